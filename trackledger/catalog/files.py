@@ -15,7 +15,7 @@ from trackledger.functions import rules
 from trackledger.model import SHEET, SHEET_JSON, user_columns
 from trackledger.session import scratch_path
 from trackledger.sinks import publish
-from trackledger.sources import files, registry, sheets
+from trackledger.sources import files, registry, sheets, text
 
 _ROWS_PER_SHEET = 10_000
 _SIZED = f"ceil(count(*) / {_ROWS_PER_SHEET}.0)"
@@ -38,6 +38,8 @@ def _sheet_documents(spark: SparkSession, sf: str) -> str:
     )
     docs = (
         rows.withColumn(SHEET, F.concat(F.lit("DOC "), (F.col("_id") % documents).cast("string")))
+        .repartition(SHEET)
+        .sortWithinPartitions(SHEET, "_id")
         .groupBy(SHEET)
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
         .select(SHEET, columns.alias("columns"), F.col("rows").cast(SHEET_JSON["rows"].dataType))
@@ -69,7 +71,7 @@ def _raw_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def _us_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "tracker")
     path = scratch_path(spark, "separated")
-    rows.write.options(sep=files.UNIT_SEPARATOR, **publish.CSV_AS_IS).csv(path)
+    rows.write.options(sep=files.UNIT_SEPARATOR, **text.WRITE).csv(path)
     return files.read_us_csv(spark, path, rows.schema)
 
 
@@ -77,8 +79,8 @@ def _extract_schema(spark: SparkSession, sf: str) -> DataFrame:
     """An extract written as text takes the types of the sheet."""
     current = view(spark, sf, "dated").withColumn("qty", F.col("qty").cast("int"))
     path = scratch_path(spark, "extract")
-    rules.select_user_columns(current).write.options(header=True).csv(path)
-    raw = spark.read.options(header=True).csv(path)
+    rules.select_user_columns(current).write.options(**text.WRITE).csv(path)
+    raw = spark.read.options(**text.READ).csv(path)
     return rules.impose_schema(raw, rules.user_schema(current))
 
 

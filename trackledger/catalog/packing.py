@@ -93,14 +93,14 @@ QUERIES = {
         AC, PN, PROPOSED_ACTION, FEEDBACK FROM tracker""",
     ),
     "conform_types": Query(
-        lambda s, d: conform.clean_rows(conform.conform(view(s, d, "dated"))),
+        lambda s, d: conform.conform(view(s, d, "dated"))[0],
         f"""{with_views('dated')} SELECT sheet, _id, AC, PN, Status,
         CAST("Created Date" AS DATE) AS "Created Date", CAST("Modified Date" AS DATE) AS "Modified Date",
         CAST(qty AS VARCHAR) AS qty
         FROM dated WHERE (Status IS NULL OR Status <> 'Error') AND ("Created Date" IS NULL OR "Created Date" <> 'n/a')""",
     ),
     "conform_rejects": Query(
-        lambda s, d: conform.rejected_cells(conform.conform(view(s, d, "dated"))),
+        lambda s, d: conform.conform(view(s, d, "dated"))[1],
         f"""{with_views('dated')}
         SELECT sheet, _id, 'Status' AS "column", Status AS value, 'not in picklist' AS reason
         FROM dated WHERE Status = 'Error'

@@ -24,8 +24,8 @@ def _reconcile(spark: SparkSession, sf: str, engine: bool = False, null_safe: bo
         ("engine_tracker", "engine_refresh", ENGINE_KEY) if engine else ("tracker", "refresh", AIRFRAME_KEY)
     )
     return reconcile(
-        keep_first(view(spark, sf, current), keys),
-        keep_first(view(spark, sf, new), keys, "src_id"),
+        keep_first(view(spark, sf, current), keys, keep_hash=True),
+        keep_first(view(spark, sf, new), keys, "src_id", keep_hash=True),
         keys,
         null_safe=null_safe,
         # Both sides have one row per key already, null keys included.
@@ -88,8 +88,12 @@ def _apply_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _apply_insert(spark: SparkSession, sf: str) -> DataFrame:
-    target = keep_first(view(spark, sf, "tracker"), AIRFRAME_KEY)
-    return changes.apply_insert(target, inserts(_reconcile(spark, sf)), ["sheet", *AIRFRAME_KEY])
+    tracker = view(spark, sf, "tracker")
+    target = keep_first(tracker, AIRFRAME_KEY)
+    last_id = tracker.agg(F.max("_id").alias("m")).scalar()
+    return changes.apply_insert(
+        target, inserts(_reconcile(spark, sf)), ["sheet", *AIRFRAME_KEY], last_id=last_id
+    )
 
 
 def _insert_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,7 +218,7 @@ QUERIES = {
     "apply_insert": Query(
         _apply_insert,
         f"""{_with_reconcile()} SELECT {', '.join(_ROW)} FROM c
-        UNION ALL SELECT sheet, (SELECT max(_id) FROM c) + row_number() OVER (ORDER BY {_KEY_ORDER}) AS _id,
+        UNION ALL SELECT sheet, (SELECT max(_id) FROM tracker) + row_number() OVER (ORDER BY {_KEY_ORDER}) AS _id,
         {', '.join(_TRACKER_COLUMNS)} FROM reconciled WHERE op = 'INSERT'""",
     ),
     "refresh_summary_ops": Query(

@@ -39,6 +39,14 @@ def needs_action(action: Column) -> Column:
     return action != F.lit(NO_ACTION)
 
 
+def some_of(cells: Sequence[tuple[Column, Column]], item_type: str) -> Column:
+    """Array of the cells whose condition holds, in order."""
+    none = F.array().cast(f"array<{item_type}>")
+    if not cells:
+        return none
+    return F.concat(*[F.when(keep, F.array(cell)).otherwise(none) for keep, cell in cells])
+
+
 def any_null(columns: Iterable[str]) -> Column:
     test = F.lit(False)
     for column in columns:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackledger.functions.rules import name
+from trackledger.functions.rules import name, some_of
 from trackledger.model import OP, ROW_ID, ROW_ORDER, SHEET, user_columns
 from trackledger.operators.blocks import number_rows
 from trackledger.operators.reconcile import UPDATE_OPS
@@ -56,18 +56,22 @@ def apply_insert(
     rows: DataFrame,
     order: Sequence[str],
     where: Column | None = None,
+    last_id: Column | int | None = None,
 ) -> DataFrame:
     """Put new rows on top of their sheets.
 
-    Only titles the target knows are taken. Row ids go on from the largest id
-    in use, in the given order. Where the target keeps a row order, new rows
+    Only titles the target knows are taken. Row ids go on, in the given order,
+    from ``last_id`` or else from the largest id in the target. Where the target keeps a row order, new rows
     come before the rows that are there.
     """
     if where is not None:
         rows = rows.where(where)
     known = [c for c in target.columns if c in rows.columns and c not in (ROW_ID, ROW_ORDER)]
     new = rows.select(*[name(c) for c in known])
-    top = target.agg(F.coalesce(F.max(ROW_ID), F.lit(0)).alias("m")).scalar()
+    if last_id is None:
+        top = target.agg(F.coalesce(F.max(ROW_ID), F.lit(0)).alias("m")).scalar()
+    else:
+        top = last_id if isinstance(last_id, Column) else F.lit(last_id)
     numbered = number_rows(new, order, "_number")
     numbered = numbered.withColumn(ROW_ID, (F.col("_number") + top).cast(target.schema[ROW_ID].dataType))
     if ROW_ORDER in target.columns:
@@ -110,11 +114,12 @@ def payload(df: DataFrame, cols: Sequence[str] | None = None, drop_falsy: bool =
     zero and false cells (``drop_falsy``), judged on the typed value.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
-    for c in user_columns(df) if cols is None else cols:
-        cell = F.struct(F.lit(c).alias("title"), name(c).cast("string").alias("value"))
-        cells.append(F.when(~_falsy(name(c), types[c]), cell) if drop_falsy else cell)
-    return F.array_compact(F.array(*cells)) if drop_falsy else F.array(*cells)
+    titles = user_columns(df) if cols is None else cols
+    cells = [F.struct(F.lit(c).alias("title"), name(c).cast("string").alias("value")) for c in titles]
+    if not drop_falsy:
+        return F.array(*cells)
+    kept = [~_falsy(name(c), types[c]) for c in titles]
+    return some_of(list(zip(kept, cells)), "struct<title:string,value:string>")
 
 
 def insert_payload(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

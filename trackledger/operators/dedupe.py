@@ -10,19 +10,22 @@ from pyspark.sql.window import Window
 
 from trackledger.functions.rules import name
 from trackledger.model import ROW_ID, SHEET
+from trackledger.operators.keys import KEY_HASH, with_key_hash
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID, keep_hash: bool = False) -> DataFrame:
     """The first row of each key within its sheet; null key parts are equal.
 
     Spark limits every key to one row per map task before the shuffle, so a
-    key that holds a large share of all rows costs no more than any other. The
-    result is partitioned and sorted by ``(sheet, *keys)``, which a following
-    join on that key uses as it is.
+    key that holds a large share of all rows costs no more than any other.
+    With ``keep_hash`` the key hash stays, and ``reconcile`` then joins the
+    rows as they are partitioned and sorted here.
     """
-    by_key = Window.partitionBy(SHEET, *[name(k) for k in keys]).orderBy(name(order))
-    ranked = df.withColumn("_rank", F.row_number().over(by_key))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+    hashed = with_key_hash(df, keys)
+    by_key = Window.partitionBy(KEY_HASH, SHEET, *[name(k) for k in keys]).orderBy(name(order))
+    ranked = hashed.withColumn("_rank", F.row_number().over(by_key))
+    first = ranked.where(F.col("_rank") == 1).drop("_rank")
+    return first if keep_hash else first.select(*[name(c) for c in df.columns])
 
 
 def first_ids(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackledger.functions.rules import any_null, name, needs_action
 from trackledger.model import CLOSABLE, NO_ACTION, OP, ROW_ID, SHEET
+from trackledger.operators.keys import KEY_HASH, with_key_hash
 from trackledger.operators.skew import spread_slot
 
 UPDATE_OPS = ["REOPEN", "COMPLETE", "ERROR"]
@@ -70,24 +71,25 @@ def reconcile(
 ) -> DataFrame:
     """All current rows and the new ones, each with its ``op`` and next status.
 
-    One full outer join on ``(sheet, *keys)`` finds what is in both, only in
-    the sheet, or only in the refresh. Refresh rows that match nothing are
-    inserts if they need an action, and are dropped otherwise. The op is worked
-    out before the status is replaced; the status before that is kept in
-    ``_old_status``.
+    One full outer join on ``(sheet, *keys)``, led by their hash, finds what is
+    in both, only in the sheet, or only in the refresh. Refresh rows that match
+    nothing are inserts if they need an action, and are dropped otherwise. The
+    op is worked out before the status is replaced; the status before that is
+    kept in ``_old_status``.
 
     ``null_safe`` lets null key parts match each other. ``validate`` checks
     that both sides hold one row per key, in two small jobs. ``spread_nulls``
-    spreads rows with null key parts over the join tasks; it is not needed
-    after ``keep_first``, where each null key occurs once, and leaving it out
-    there saves a shuffle of both sides.
+    spreads rows with null key parts over the join tasks. It is not needed
+    after ``keep_first``, where each null key occurs once; leaving it out and
+    keeping the key hash there saves another shuffle and sort of both sides.
     """
     if validate:
         require_unique(current, keys, null_safe, "current")
         require_unique(refresh, keys, null_safe, "refresh")
 
-    left, right = current, refresh
-    on = [SHEET, *keys]
+    titles = [c for c in current.columns if c != KEY_HASH]
+    left, right = with_key_hash(current, keys), with_key_hash(refresh, keys)
+    on = [KEY_HASH, SHEET, *keys]
     if not null_safe and spread_nulls:
         left = left.withColumn("_slot", spread_slot(any_null(keys)))
         right = right.withColumn("_slot", spread_slot(any_null(keys)))
@@ -100,13 +102,13 @@ def reconcile(
     condition = F.lit(True)
     for k in on:
         l, r = side("c", k), side("r", k)
-        condition = condition & (l.eqNullSafe(r) if null_safe and k != SHEET else l == r)
+        condition = condition & (l.eqNullSafe(r) if null_safe and k in keys else l == r)
     joined = left.join(right, condition, "full")
 
     row_id = side("c", ROW_ID)
     is_new = row_id.isNull()
     columns = []
-    for c in current.columns:
+    for c in titles:
         if c in refresh.columns and not c.startswith("_"):
             columns.append(F.when(is_new, side("r", c)).otherwise(side("c", c)).alias(c))
         else:
@@ -118,7 +120,7 @@ def reconcile(
     )
     old = name(status)
     return rows.select(
-        *[next_status(F.col(OP), old).alias(c) if c == status else name(c) for c in current.columns],
+        *[next_status(F.col(OP), old).alias(c) if c == status else name(c) for c in titles],
         old.alias(OLD_STATUS),
         NEW_ACTION,
         OP,

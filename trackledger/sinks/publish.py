@@ -11,17 +11,10 @@ from pyspark.sql import types as T
 
 from trackledger.functions.rules import name
 from trackledger.model import SHEET
+from trackledger.sources import text
 
 ID = "id"
 
-# Text cells as they are: spaces kept, and empty told from null.
-CSV_AS_IS = {
-    "header": True,
-    "emptyValue": '""',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-
 
 def export_by(
     df: DataFrame,
@@ -44,7 +37,7 @@ def export_by(
         )
     writer = spread.write.mode(mode).partitionBy(*cols)
     if format == "csv":
-        writer = writer.options(**CSV_AS_IS)
+        writer = writer.options(**text.WRITE)
     writer.format(format).save(path)
 
 
@@ -62,7 +55,7 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType, format: str
     """Read an export back; the schema keeps folder values text."""
     reader = spark.read.schema(schema).format(format)
     if format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**text.read_options(multi_line=True))
     return reader.load(path)
 
 
@@ -139,7 +132,7 @@ def folder_counts(
     """
     reader = spark.read.format(format).option("recursiveFileLookup", True)
     if format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**text.read_options(multi_line=True))
     rows = reader.load(f"{root.rstrip('/')}/*/{{{','.join(kinds)}}}")
     pattern = rf"([^/]+)/({'|'.join(kinds)})/"
     file = F.col("_metadata.file_path")

@@ -10,14 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackledger.functions.rules import name
+from trackledger.sources import text
 
 UNIT_SEPARATOR = chr(31)
 SOURCE = "_source"
 
 
-def read_us_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """Text with a header and the unit separator between fields."""
-    reader = spark.read.options(header=True, sep=UNIT_SEPARATOR)
+def read_us_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Text with a header and the unit separator between fields.
+
+    Pass ``multi_line=False`` when no cell has a line break, so that large
+    files are split over tasks.
+    """
+    reader = spark.read.options(sep=UNIT_SEPARATOR, **text.read_options(multi_line))
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.csv(path, inferSchema=True)
@@ -29,6 +39,7 @@ def read_extracts(
     schema: T.StructType | str | None = None,
     format: str = "parquet",
     source: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every file of a folder as one DataFrame, united by column name.
 
@@ -38,7 +49,7 @@ def read_extracts(
     """
     reader = spark.read.format(format)
     if format == "csv":
-        reader = reader.options(header=True, enforceSchema=False)
+        reader = reader.options(enforceSchema=False, **text.read_options(multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     elif format == "csv":

@@ -58,9 +58,9 @@ def sheet_rows(spark: SparkSession, path: str | list[str], named_by: str = "file
     )
 
 
-def list_titles(spark: SparkSession, path: str | list[str]) -> list[str]:
+def list_titles(spark: SparkSession, path: str | list[str], named_by: str = "file") -> list[str]:
     """Distinct column titles of all sheets, in sheet order."""
-    titles = sheet_columns(spark, path).groupBy("title").agg(F.min("position").alias("p"))
+    titles = sheet_columns(spark, path, named_by).groupBy("title").agg(F.min("position").alias("p"))
     return [r["title"] for r in titles.orderBy("p", "title").collect()]
 
 
@@ -76,7 +76,7 @@ def read_sheets(
     the titles come from the documents, which reads them once more.
     """
     if titles is None:
-        titles = list_titles(spark, path)
+        titles = list_titles(spark, path, named_by)
     types = titles if isinstance(titles, Mapping) else {t: T.StringType() for t in titles}
     cells = F.col(CELLS)
     return sheet_rows(spark, path, named_by).select(
