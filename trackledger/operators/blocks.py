@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trackledger.functions.rules import name
-from trackledger.session import shared_dir
+from trackledger.session import checkpoint
 
 BLOCK = "_block"
 POSITION = "_pos"
@@ -25,15 +25,16 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = Non
     sees the same blocks, also after an executor is lost. Without ``blocks``
     adaptive execution sizes the blocks.
     """
-    shared_dir(df.sparkSession)
     by = [name(c).asc_nulls_last() for c in order]
     ranged = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
     numbered = ranged.sortWithinPartitions(*by).withColumn("_mid", F.monotonically_increasing_id())
-    return numbered.select(
-        *[name(c) for c in df.columns],
-        F.shiftright("_mid", _LOCAL_BITS).cast("int").alias(BLOCK),
-        F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias(POSITION),
-    ).checkpoint()
+    return checkpoint(
+        numbered.select(
+            *[name(c) for c in df.columns],
+            F.shiftright("_mid", _LOCAL_BITS).cast("int").alias(BLOCK),
+            F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias(POSITION),
+        )
+    )
 
 
 def number_rows(df: DataFrame, order: Sequence[str], column: str, start: Column | int = 0) -> DataFrame:

@@ -32,6 +32,7 @@ from trackledger.functions.rules import any_null, name
 from trackledger.model import SHEET_ROW_CAP
 from trackledger.operators.blocks import BLOCK, POSITION, ordered_blocks
 from trackledger.operators.skew import attach_by_key
+from trackledger.session import materialize
 
 SHEET_NO = "sheet_no"
 SHEET_NAME = "sheet_name"
@@ -205,7 +206,7 @@ def pack_assign(
 ) -> DataFrame:
     """Add ``sheet_no`` and ``sheet_name`` to every row that can be packed."""
     # Read three times below, so it is written once to the shared folder.
-    units = pack_units(unit_counts(df, by, unit), by, unit, cap, blocks).checkpoint()
+    units = materialize(pack_units(unit_counts(df, by, unit), by, unit, cap, blocks))
     rows = df.where(~any_null([*by, unit]))
     return name_sheets(attach_by_key(rows, units, [*by, unit], SHEET_NO), by)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, splits skewed join partitions
 # and turns a join into a broadcast only once the real size is known.
@@ -23,15 +23,33 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a session without
     that setting, such as a test session on one machine, gets a local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="trackledger-")
-        spark.sparkContext.setCheckpointDir(path)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder; never reused between runs."""
     return f"{shared_dir(spark).rstrip('/')}/trackledger/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, as a Parquet table in the shared folder.
+
+    For results that several later steps read: each reads only the columns it
+    needs, the table has a known size, and it survives the loss of executors.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep its partitions as they are."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
