@@ -173,7 +173,7 @@ def test_engine_totals_of_nothing_are_zero(spark):
 
 def test_export_reports(spark, rows, tmp_path):
     summaries.export_reports(summaries.fleet_summaries(rows), str(tmp_path / "fleet"))
-    assert (tmp_path / "fleet" / "STATUS" / "FLEET=F1").is_dir()
+    assert (tmp_path / "fleet" / "STATUS" / "by_FLEET=F1").is_dir()
     back = spark.read.parquet(str(tmp_path / "fleet" / "TOTALS"))
     assert sorted(r["FLEET"] for r in back.collect()) == ["F1", "F2"]
     summaries.export_reports(summaries.engine_summaries(rows), str(tmp_path / "engine"))

@@ -155,14 +155,14 @@ def _split_by_ac(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "split")
     publish.split_by_ac(rows, path)
-    return publish.read_split(spark, path, rows.schema).select("base", "AC", "_id", "PN")
+    return publish.read_export(spark, path, rows.schema).select("base", "AC", "_id", "PN")
 
 
 def _export_sheets(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
     path = scratch_path(spark, "export")
     publish.export_sheets(rows, path)
-    return publish.read_split(spark, path, rows.schema).select("sheet", "_id", "Status")
+    return publish.read_export(spark, path, rows.schema).select("sheet", "_id", "Status")
 
 
 def _publish_swap(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,16 +26,19 @@ def export_by(
 ) -> None:
     """One folder per value of ``cols``; a null value has a folder of its own.
 
-    Rows are rebalanced by ``cols``: small values share a task, and a value
-    with very many rows is written by several tasks as several files. Rows of
-    a file are sorted by ``sort`` with nulls last.
+    The files keep all columns; the folders are named after copies of ``cols``
+    that begin with ``by_``. Rows are rebalanced by ``cols``: small values
+    share a task, and a value with very many rows is written by several tasks
+    as several files. Rows of a file are sorted by ``sort`` with nulls last.
     """
-    spread = df.hint("rebalance", *[name(c) for c in cols])
+    folders = [f"by_{c}" for c in cols]
+    rows = df.withColumns({f: name(c) for f, c in zip(folders, cols)})
+    rows = rows.hint("rebalance", *[name(f) for f in folders])
     if sort:
-        spread = spread.sortWithinPartitions(
-            *[name(c).asc_nulls_first() for c in cols], *[name(c).asc_nulls_last() for c in sort]
+        rows = rows.sortWithinPartitions(
+            *[name(f).asc_nulls_first() for f in folders], *[name(c).asc_nulls_last() for c in sort]
         )
-    writer = spread.write.mode(mode).partitionBy(*cols)
+    writer = rows.write.mode(mode).partitionBy(*folders)
     if format == "csv":
         writer = writer.options(**text.WRITE)
     writer.format(format).save(path)
@@ -51,12 +54,12 @@ def split_by_ac(df: DataFrame, path: str, base: str = "base", ac: str = "AC", fo
     export_by(df, [base, ac], path, format)
 
 
-def read_split(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
-    """Read an export back; the schema keeps folder values text."""
+def read_export(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
+    """Read an export back, without the folder columns."""
     reader = spark.read.schema(schema).format(format)
     if format == "csv":
         reader = reader.options(**text.read_options(multi_line=True))
-    return reader.load(path)
+    return reader.load(path).select(*[name(c) for c in schema.names])
 
 
 def new_sheet_id(sheet: str = SHEET) -> Column:
