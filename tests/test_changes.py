@@ -77,7 +77,7 @@ def test_rows_are_numbered_over_all_blocks(spark):
     df = spark.range(0, 1000, 1, 5).select((F.col("id") * 7 % 1000).alias("k"))
     numbered = number_rows(df, ["k"], "i", start=10)
     assert numbered.where(F.col("i") != F.col("k") + 11).isEmpty() and numbered.count() == 1000
-    cut = ordered_blocks(df, ["k"], blocks=4)
+    cut = ordered_blocks(df, ["k"], partitions=4)
     ends = cut.groupBy("_block").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")).orderBy("_block")
     last = -1
     for r in ends.collect():
@@ -85,6 +85,28 @@ def test_rows_are_numbered_over_all_blocks(spark):
         last = r["b"]
 
 
+def test_equal_rows_are_numbered_once_each(spark):
+    """A third of the rows are equal in the order and share no single partition."""
+    df = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    numbered = number_rows(df, ["k"], "i", partitions=6)
+    got = [(r["i"], r["k"]) for r in numbered.orderBy("i").collect()]
+    assert [i for i, _ in got] == list(range(1, 3001))
+    assert [k for _, k in got] == sorted(k for _, k in got)
+    tied = df.withColumn("t", F.spark_partition_id())
+    homes = ordered_blocks(tied, ["k", "t"], 6).where("k = -1").select("_block").distinct()
+    assert homes.count() > 1
+
+
+def test_column_ids_replace_titles(spark):
+    cells = "sheet string, _id long, cells array<struct<title:string,value:string>>"
+    df = spark.createDataFrame(
+        [("s", 1, [("A", "x"), ("gone", "y")]), ("t", 2, [("A", None)]), ("u", 3, [("A", "z")])], cells
+    )
+    columns = spark.createDataFrame([("s", 11, "A"), ("t", 21, "A"), ("t", 22, "B")], "sheet string, column_id long, title string")
+    rows = {r["_id"]: [tuple(c) for c in r["cells"]] for r in changes.with_column_ids(df, columns).collect()}
+    assert rows == {1: [(11, "x")], 2: [(21, None)], 3: []}
+
+
 SUMMARY = "sheet string, _id long, AC string, n long"
 NEW = "sheet string, AC string, n long"
 

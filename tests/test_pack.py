@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from trackledger.operators import pack
+from trackledger.operators import blocks, pack
 from trackledger.operators.skew import attach_by_key
 from trackledger.plans import extracts
 
@@ -48,16 +48,27 @@ def random_groups(seed):
     return groups
 
 
-@pytest.mark.parametrize("seed,cap,blocks", [(1, 100, None), (2, 100, 1), (3, 100, 7), (4, 1, 5), (5, 250, 16), (6, 10_000, 9)])
-def test_units_go_where_a_walk_puts_them(spark, seed, cap, blocks):
+@pytest.mark.parametrize("seed,cap,partitions", [(1, 100, None), (2, 100, 1), (3, 100, 7), (4, 1, 5), (5, 250, 16), (6, 10_000, 9)])
+def test_units_go_where_a_walk_puts_them(spark, seed, cap, partitions):
     groups = random_groups(seed)
-    assert got(pack.pack_units(counted(spark, groups), cap=cap, blocks=blocks)) == brute(groups, cap)
+    assert got(pack.pack_units(counted(spark, groups), cap=cap, partitions=partitions)) == brute(groups, cap)
 
 
 def test_blocks_without_a_sheet_change(spark):
     """A sheet spans several blocks when the units are few and small."""
     groups = {("F", "A"): {f"P{k:03d}": 1 for k in range(200)}}
-    assert got(pack.pack_units(counted(spark, groups), cap=150, blocks=12)) == brute(groups, 150)
+    assert got(pack.pack_units(counted(spark, groups), cap=150, partitions=12)) == brute(groups, 150)
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_large_partitions_are_cut_into_blocks(spark, monkeypatch, bits):
+    monkeypatch.setattr(blocks, "_POSITION_BITS", bits)
+    groups = {("F", "A"): {f"P{k:03d}": 1 + k % 7 for k in range(150)}, ("F", "B"): {"P": 3}}
+    cut = blocks.ordered_blocks(counted(spark, groups), ["FLEET", "CATEGORY", "PN"], partitions=2)
+    assert cut.groupBy("_block").count().agg(F.max("count")).first()[0] <= 1 << bits
+    assert got(pack.pack_units(counted(spark, groups), cap=60, partitions=2)) == brute(groups, 60)
+    numbered = blocks.number_rows(counted(spark, groups), ["FLEET", "CATEGORY", "PN"], "i", partitions=2)
+    assert [r["i"] for r in numbered.orderBy("FLEET", "CATEGORY", "PN").collect()] == list(range(1, 152))
 
 
 def test_exact_fit_and_oversized(spark):
@@ -65,14 +76,14 @@ def test_exact_fit_and_oversized(spark):
         ("F", "A"): {"P1": 60, "P2": 40, "P3": 1},
         ("F", "B"): {"P1": 500, "P2": 1, "P3": 99, "P4": 300, "P5": 300},
     }
-    result = got(pack.pack_units(counted(spark, groups), cap=100, blocks=3))
+    result = got(pack.pack_units(counted(spark, groups), cap=100, partitions=3))
     assert result == brute(groups, 100)
     assert [result["F", "B", f"P{i}"] for i in range(1, 6)] == [1, 2, 2, 3, 4]
 
 
 def test_order_is_by_text(spark):
     groups = {("F", "A"): {"P10": 60, "P9": 60, "P1": 30, "p": 5, "É": 50}}
-    assert got(pack.pack_units(counted(spark, groups), cap=100, blocks=2)) == brute(groups, 100)
+    assert got(pack.pack_units(counted(spark, groups), cap=100, partitions=2)) == brute(groups, 100)
 
 
 @pytest.fixture(scope="module")
@@ -93,7 +104,7 @@ def rows(spark):
 
 def test_packed_rows_are_whole_and_sheets_keep_their_limits(rows):
     cap = 200
-    packed = pack.pack_assign(rows, cap=cap, blocks=4)
+    packed = pack.pack_assign(rows, cap=cap, partitions=4)
     assert packed.count() == 9000
     units = packed.groupBy("FLEET", "CATEGORY", "PN").agg(
         F.count("*").alias("n"), F.countDistinct("sheet_no").alias("sheets"), F.min("sheet_no").alias("sheet_no")

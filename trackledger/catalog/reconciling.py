@@ -107,6 +107,24 @@ def _update_payload(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sheet", "_id", F.inline("cells"))
 
 
+def _column_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Change cells with column ids; the sheets number their columns differently."""
+    rows = updates(_reconcile(spark, sf))
+    columns = (
+        rows.select("sheet", "FLEET")
+        .distinct()
+        .select(
+            "sheet",
+            F.expr(
+                "inline(array(struct(10L * cast(substr(FLEET, 2) AS bigint) AS column_id, 'Status' AS title),"
+                " struct(10L * cast(substr(FLEET, 2) AS bigint) + 1 AS column_id, 'Notes' AS title)))"
+            ),
+        )
+    )
+    cells = changes.with_column_ids(changes.update_payload(rows, ["Status", "FEEDBACK"]), columns)
+    return cells.select("sheet", "_id", F.inline("cells"))
+
+
 def _change_set(spark: SparkSession, sf: str) -> DataFrame:
     titles = user_columns(view(spark, sf, "tracker"))
     changed = changes.change_set(_reconcile(spark, sf), titles)
@@ -203,6 +221,11 @@ QUERIES = {
         SELECT sheet, _id, 'Status' AS title, Status AS value FROM u
         UNION ALL SELECT sheet, _id, 'FEEDBACK' AS title, FEEDBACK AS value FROM u""",
     ),
+    "payload_column_ids": Query(
+        _column_ids,
+        f"""{_with_reconcile()} SELECT sheet, _id, 10 * CAST(substr(FLEET, 2) AS BIGINT) AS "columnId", Status AS value
+        FROM reconciled WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR')""",
+    ),
     "apply_update": Query(
         _apply_update,
         f"""{_with_reconcile()}, u AS (SELECT sheet, _id, Status FROM reconciled

@@ -14,35 +14,46 @@ from trackledger.session import checkpoint
 BLOCK = "_block"
 POSITION = "_pos"
 
-_LOCAL_BITS = 33
+# A block has at most 2 ** 20 rows, however large a partition is.
+_POSITION_BITS = 20
 
 
-def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
-    """Range-sort ``df`` and add ``_block`` and ``_pos``, both counted from 0.
+def ordered_blocks(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-sort ``df`` and add ``_block`` and ``_pos``, the place in the block.
 
     Blocks follow each other in the given order, rows in a block too. Range
     bounds come from a sample, so the result is checkpointed: every later use
-    sees the same blocks, also after an executor is lost. Without ``blocks``
-    adaptive execution sizes the blocks.
+    sees the same blocks, also after an executor is lost. Without
+    ``partitions`` adaptive execution decides on their number.
     """
     by = [name(c).asc_nulls_last() for c in order]
-    ranged = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
-    numbered = ranged.sortWithinPartitions(*by).withColumn("_mid", F.monotonically_increasing_id())
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    # The partition index in the upper bits, the row in the partition below.
+    numbered = ranged.sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
     return checkpoint(
         numbered.select(
             *[name(c) for c in df.columns],
-            F.shiftright("_mid", _LOCAL_BITS).cast("int").alias(BLOCK),
-            F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias(POSITION),
+            F.shiftright("_at", _POSITION_BITS).alias(BLOCK),
+            F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias(POSITION),
         )
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str], column: str, start: Column | int = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    order: Sequence[str],
+    column: str,
+    start: Column | int = 0,
+    partitions: int | None = None,
+) -> DataFrame:
     """Number all rows ``start + 1, start + 2, ...`` in the given order.
 
-    Only the block sizes, one row per block, pass through a single task.
+    Only the block sizes, one row per block, pass through a single task. Rows
+    that are equal in ``order`` may be many; the partition they come from
+    decides between them, so that they need not share one partition.
     """
-    cut = ordered_blocks(df, order)
+    tied = df.withColumn("_tie", F.spark_partition_id())
+    cut = ordered_blocks(tied, [*order, "_tie"], partitions)
     before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(BLOCK)
@@ -50,7 +61,7 @@ def number_rows(df: DataFrame, order: Sequence[str], column: str, start: Column
         .select(BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     start = start if isinstance(start, Column) else F.lit(start)
-    # One row per partition of the data, hence small enough to broadcast.
+    # Two numbers per partition or million rows, hence small enough to broadcast.
     return cut.join(F.broadcast(offsets), BLOCK).select(
         *[name(c) for c in df.columns if c != column],
         (start + F.col("_offset") + F.col(POSITION) + 1).cast("long").alias(column),

@@ -140,3 +140,19 @@ def change_set(reconciled: DataFrame, titles: Sequence[str], cols: Sequence[str]
     )
     changed = reconciled.where(F.col(OP) != "KEEP")
     return changed.select(SHEET, OP, ROW_ID, cells.alias("cells"))
+
+
+def with_column_ids(changes: DataFrame, columns: DataFrame) -> DataFrame:
+    """Cells with the column ids of their sheet in place of titles.
+
+    ``columns`` is ``(sheet, column_id, title)``, as ``sheet_columns`` gives
+    it. Cells whose title the sheet does not have are left out.
+    """
+    entry = F.struct("title", "column_id")
+    ids = columns.groupBy(SHEET).agg(F.map_from_entries(F.collect_list(entry)).alias("_ids"))
+    joined = changes.join(ids, SHEET, "left")
+    known = F.filter("cells", lambda c: F.col("_ids")[c["title"]].isNotNull())
+    cells = F.transform(
+        known, lambda c: F.struct(F.col("_ids")[c["title"]].alias("columnId"), c["value"].alias("value"))
+    )
+    return joined.select(*[cells.alias(c) if c == "cells" else name(c) for c in changes.columns])

@@ -165,13 +165,13 @@ def pack_units(
     by: Sequence[str] = GROUP,
     unit: str = UNIT,
     cap: int = SHEET_ROW_CAP,
-    blocks: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``sheet_no`` to counted units (``by``, ``unit``, ``n``)."""
     by = list(by)
-    cut = ordered_blocks(counts.select(*by, unit, "n"), [*by, unit], blocks)
+    cut = ordered_blocks(counts.select(*by, unit, "n"), [*by, unit], partitions)
     keys = [cut.schema[c] for c in by]
-    at = [*keys, T.StructField(BLOCK, T.IntegerType())]
+    at = [*keys, T.StructField(BLOCK, T.LongType())]
 
     def longs(*names: str) -> list[T.StructField]:
         return [T.StructField(n, T.LongType()) for n in names]
@@ -202,11 +202,11 @@ def pack_assign(
     by: Sequence[str] = GROUP,
     unit: str = UNIT,
     cap: int = SHEET_ROW_CAP,
-    blocks: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``sheet_no`` and ``sheet_name`` to every row that can be packed."""
     # Read three times below, so it is written once to the shared folder.
-    units = materialize(pack_units(unit_counts(df, by, unit), by, unit, cap, blocks))
+    units = materialize(pack_units(unit_counts(df, by, unit), by, unit, cap, partitions))
     rows = df.where(~any_null([*by, unit]))
     return name_sheets(attach_by_key(rows, units, [*by, unit], SHEET_NO), by)
 
@@ -216,10 +216,10 @@ def pack_sheets(
     by: Sequence[str] = GROUP,
     unit: str = UNIT,
     cap: int = SHEET_ROW_CAP,
-    blocks: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per packed sheet: its name, units, rows, first and last unit."""
-    units = pack_units(unit_counts(df, by, unit), by, unit, cap, blocks)
+    units = pack_units(unit_counts(df, by, unit), by, unit, cap, partitions)
     sheets = units.groupBy(*[name(c) for c in by], SHEET_NO).agg(
         F.count(F.lit(1)).alias("units"),
         F.sum("n").alias("rows"),

@@ -40,9 +40,12 @@ def read_extracts(
     format: str = "parquet",
     source: bool = False,
     multi_line: bool = True,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Every file of a folder as one DataFrame, united by column name.
 
+    ``pattern`` picks files by name, such as ``*.csv``.
+
     With a schema nothing is inferred. Without one, the columns of all files
     are merged; a column a file lacks is null there. ``source`` adds the file
     path as ``_source``. Files without rows add none.
@@ -56,6 +59,8 @@ def read_extracts(
         reader = reader.option("inferSchema", True)
     else:
         reader = reader.option("mergeSchema", True)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
     df = reader.load(path)
     return df.withColumn(SOURCE, F.col("_metadata.file_path")) if source else df
 
