@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+from trackledger.__main__ import JOBS, run
+from trackledger.catalog.fixtures import view
+from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, REGISTRY
+from trackledger.operators.dedupe import keep_first
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("inputs")
+    paths = {name: str(base / name) for name in ("tracker", "refresh", "engine_tracker", "engine_refresh")}
+    for name, path in paths.items():
+        keys = ENGINE_KEY if "engine" in name else AIRFRAME_KEY
+        order = "src_id" if "refresh" in name else "_id"
+        view(spark, SF, name).transform(lambda df, k=keys, o=order: keep_first(df, k, o)).write.parquet(path)
+    paths["raw"] = str(base / "raw")
+    view(spark, SF, "tracker").withColumns(
+        {"Created Date": F.lit(None).cast("date"), "Modified Date": F.lit("x"), "base": F.col("FLEET")}
+    ).write.parquet(paths["raw"])
+    paths["registry"] = str(base / "registry")
+    spark.createDataFrame(
+        [(f"SHEET_F{i}", str(i), f"9{i}", None, None, ["ac", "engine"]) for i in (1, 2, 3)], REGISTRY
+    ).write.json(paths["registry"])
+    return paths
+
+
+def test_reconcile_jobs(spark, inputs, tmp_path):
+    for job, current, new in [("feedback", "tracker", "refresh"), ("feedback_engine", "engine_tracker", "engine_refresh")]:
+        out = str(tmp_path / job)
+        run(spark, [job, "--sheets", inputs[current], "--refresh", inputs[new], "--registry", inputs["registry"], "--out", out])
+        before = spark.read.parquet(inputs[current])
+        after, changed = spark.read.parquet(f"{out}/sheets"), spark.read.parquet(f"{out}/changes")
+        added = changed.where("op = 'INSERT'").count()
+        assert added > 0 and after.count() == before.count() + added
+
+
+def test_dedupe_jobs(spark, inputs, tmp_path):
+    run(spark, ["dedupe", "--sheets", inputs["raw"], "--out", str(tmp_path / "d")])
+    kept = spark.read.parquet(str(tmp_path / "d/sheets"))
+    assert kept.groupBy("sheet", *AIRFRAME_KEY).count().where("count > 1").count() <= 1
+    run(spark, ["dedupe_engine", "--sheets", inputs["engine_tracker"], "--out", str(tmp_path / "e")])
+    assert spark.read.parquet(str(tmp_path / "e/changes")).isEmpty()
+
+
+def test_publish_jobs(spark, inputs, tmp_path):
+    for job, ids in [("set", {"1", "2", "3"}), ("reformat", {"91", "92", "93"})]:
+        out = str(tmp_path / job)
+        run(spark, [job, "--sheets", inputs["tracker"], "--registry", inputs["registry"], "--out", out])
+        found = spark.read.parquet(f"{out}/sheets").select("id").distinct().collect()
+        assert {str(r["id"]) for r in found} == ids
+        assert spark.read.schema(REGISTRY).json(f"{out}/registry").count() == 3
+
+
+def test_update_get_split_and_seed_jobs(spark, inputs, tmp_path):
+    total = spark.read.parquet(inputs["raw"]).count()
+    run(spark, ["update", "--sheets", inputs["raw"], "--out", str(tmp_path / "u")])
+    clean = spark.read.parquet(str(tmp_path / "u/sheets")).count()
+    bad = spark.read.parquet(str(tmp_path / "u/rejects")).select("_id").distinct().count()
+    assert clean == 0 and bad >= total - 1
+    extract = str(tmp_path / "extract")
+    spark.read.parquet(inputs["raw"]).select("_id", "sheet", "AC", "PN", "FEEDBACK").write.parquet(extract)
+    for job in ("get", "split", "seed"):
+        source = extract if job == "seed" else inputs["raw"]
+        run(spark, [job, "--sheets", source, "--out", str(tmp_path / job)])
+        assert spark.read.parquet(str(tmp_path / job)).count() == total
+
+
+def test_report_and_pack_jobs(spark, inputs, tmp_path):
+    for job in ("fleet_summaries", "category_summaries", "engine_summaries"):
+        run(spark, [job, "--sheets", inputs["raw"], "--out", str(tmp_path / job)])
+    assert spark.read.parquet(str(tmp_path / "category_summaries/TOTALS")).count() == 9
+    run(spark, ["pack", "--sheets", inputs["raw"], "--out", str(tmp_path / "p"), "--run-date", "2025-02-18"])
+    packed = spark.read.parquet(str(tmp_path / "p/sheets"))
+    assert packed.count() == spark.read.parquet(inputs["raw"]).count()
+    run(spark, ["count_rows", "--sheets", _folders(spark, inputs, tmp_path)])
+
+
+def _folders(spark, inputs, tmp_path):
+    root = tmp_path / "counted"
+    spark.read.parquet(inputs["tracker"]).write.parquet(str(root / "F1/AC/all"))
+    return str(root)
+
+
+def test_summary_refresh_job(spark, tmp_path):
+    view(spark, SF, "summary_current").write.parquet(str(tmp_path / "c"))
+    view(spark, SF, "summary_new").write.parquet(str(tmp_path / "n"))
+    run(spark, ["refresh_summary", "--sheets", str(tmp_path / "c"), "--refresh", str(tmp_path / "n"), "--out", str(tmp_path / "o")])
+    assert spark.read.parquet(str(tmp_path / "o/sheets")).count() == view(spark, SF, "summary_current").count()
+
+
+def test_unknown_job_is_refused(spark):
+    with pytest.raises(SystemExit):
+        run(spark, ["nothing", "--sheets", "x"])
+    assert len(JOBS) == 16

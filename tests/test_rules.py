@@ -60,7 +60,7 @@ def test_run_date_defaults_to_today(spark):
 
 
 def test_missing_columns_are_all_named(spark):
-    with pytest.raises(KeyError, match="Missing columns in the data: PN, AC"):
+    with pytest.raises(KeyError, match="required columns not found: PN, AC"):
         rules.require_columns(spark.range(1), ["id", "PN", "AC"])
 
 

@@ -1,0 +1 @@
+"""Tracker reconciliation and reporting on Spark."""

@@ -133,7 +133,7 @@ def _registry(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             SHEET,
             F.when(F.col("FLEET") == "F1", F.lit("1001")).alias("id"),
-            F.when(F.col("FLEET") == "F2", F.lit("2002")).alias("target_id"),
+            F.concat(F.lit("200"), F.substring("FLEET", 2, 1)).alias("target_id"),
             F.lit("extract").alias("src"),
             F.lit("2025-01-01").alias("date"),
             engine.alias("tags"),
@@ -176,7 +176,7 @@ def _publish_swap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _publish_registry(spark: SparkSession, sf: str) -> DataFrame:
-    rows = view(spark, sf, "tracker").where("FLEET <> 'F3'").select("sheet", "_id", "Status")
+    rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
     root = scratch_path(spark, "published")
     entries = publish.publish(rows, _registry(spark, sf), root, "2025-02-18")
     return entries.select("sheet", (F.col("id") == "1001").alias("kept_id"), "date")
@@ -193,9 +193,10 @@ def _publish_target(spark: SparkSession, sf: str) -> DataFrame:
 def _folder_counts(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "tracker").select("FLEET", "CATEGORY", "AC", "_id")
     path = scratch_path(spark, "folders")
-    for fleet in ("F1", "F2"):
-        publish.export_by(rows.where(F.col("FLEET") == fleet), ["CATEGORY"], f"{path}/{fleet}/Category")
-    publish.export_by(rows.where("FLEET = 'F1'"), ["AC"], f"{path}/F1/AC")
+    for fleet in ("F1", "F2", "F3"):
+        of_fleet = rows.where(F.col("FLEET") == fleet)
+        publish.export_by(of_fleet, ["CATEGORY"], f"{path}/{fleet}/Category")
+        publish.export_by(of_fleet, ["AC"], f"{path}/{fleet}/AC")
     return publish.folder_counts(spark, path)
 
 
@@ -267,17 +268,16 @@ QUERIES = {
     ),
     "publish_registry": Query(
         _publish_registry,
-        f"""{_TRACKER} SELECT DISTINCT sheet, FLEET = 'F1' AS kept_id,
-        CASE WHEN FLEET = 'F3' THEN '2025-01-01' ELSE '2025-02-18' END AS date FROM tracker""",
+        f"{_TRACKER} SELECT DISTINCT sheet, FLEET = 'F1' AS kept_id, '2025-02-18' AS date FROM tracker",
     ),
     "publish_target": Query(
         _publish_target,
-        f"""{_TRACKER} SELECT sheet, _id, Status, '2002' AS id, '2025-02-18' AS date
-        FROM tracker WHERE FLEET = 'F2'""",
+        f"""{_TRACKER} SELECT sheet, _id, Status, concat('200', substr(FLEET, 2)) AS id, '2025-02-18' AS date
+        FROM tracker""",
     ),
     "folder_counts": Query(
         _folder_counts,
-        f"""{_TRACKER} SELECT FLEET AS folder, count(*) AS category_rows,
-        count(*) FILTER (WHERE FLEET = 'F1') AS ac_rows FROM tracker WHERE FLEET IN ('F1', 'F2') GROUP BY FLEET""",
+        f"""{_TRACKER} SELECT FLEET AS folder, count(*) AS category_rows, count(*) AS ac_rows
+        FROM tracker GROUP BY FLEET""",
     ),
 }

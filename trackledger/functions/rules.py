@@ -126,7 +126,7 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Raise when columns are missing, naming every one of them."""
     missing = [c for c in names if c not in df.columns]
     if missing:
-        raise KeyError(f"Missing columns in the data: {', '.join(missing)}")
+        raise KeyError(f"required columns not found: {', '.join(missing)}")
     return df
 
 

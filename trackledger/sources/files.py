@@ -74,9 +74,9 @@ def require_inputs(df: DataFrame, exactly: int | None = None) -> DataFrame:
     """Raise unless the scan has input files, or ``exactly`` so many."""
     found = len(df.inputFiles())
     if found == 0:
-        raise ValueError("The input folder should contain at least one file.")
+        raise ValueError("no input files found")
     if exactly is not None and found != exactly:
-        raise ValueError(f"The input folder should contain exactly {exactly} file(s), found {found}.")
+        raise ValueError(f"expected exactly {exactly} input file(s), found {found}")
     return df
 
 
