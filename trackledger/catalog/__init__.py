@@ -1,6 +1,6 @@
 """Registered queries by name."""
 
-from trackledger.catalog import files, packing, reconciling, reports
+from trackledger.catalog import files, jobs, packing, reconciling, reports
 from trackledger.catalog.base import Query
 
 QUERIES: dict[str, Query] = {
@@ -8,4 +8,5 @@ QUERIES: dict[str, Query] = {
     **reconciling.QUERIES,
     **packing.QUERIES,
     **files.QUERIES,
+    **jobs.QUERIES,
 }

@@ -14,7 +14,7 @@ from trackledger.operators import pack
 _SMALL_CAP = 200
 _RUN_DATE = "2025-02-18"
 
-def _with_pack(cap: int, view_name: str = "tracker") -> str:
+def with_pack(cap: int, view_name: str = "tracker") -> str:
     """Greedy packing one unit after the other, all groups side by side."""
     return f"""{with_views(view_name)},
 sizes AS (SELECT FLEET, CATEGORY, PN, count(*) AS n,
@@ -35,12 +35,12 @@ _NAME = "printf('%s_%s_%02d', FLEET, CATEGORY, sheet_no) AS sheet_name"
 
 
 def _sheets_sql(cap: int) -> str:
-    return f"""{_with_pack(cap)} SELECT FLEET, CATEGORY, sheet_no, count(*) AS units, CAST(sum(n) AS BIGINT) AS rows,
+    return f"""{with_pack(cap)} SELECT FLEET, CATEGORY, sheet_no, count(*) AS units, CAST(sum(n) AS BIGINT) AS rows,
     min(PN) AS first_unit, max(PN) AS last_unit, {_NAME} FROM walk GROUP BY FLEET, CATEGORY, sheet_no"""
 
 
 def _assign_sql(view_name: str) -> str:
-    return f"""{_with_pack(_SMALL_CAP, view_name)} SELECT t._id, t.FLEET, t.CATEGORY, t.PN, w.sheet_no,
+    return f"""{with_pack(_SMALL_CAP, view_name)} SELECT t._id, t.FLEET, t.CATEGORY, t.PN, w.sheet_no,
     printf('%s_%s_%02d', t.FLEET, t.CATEGORY, w.sheet_no) AS sheet_name
     FROM {view_name} t JOIN walk w ON t.FLEET = w.FLEET AND t.CATEGORY = w.CATEGORY AND t.PN = w.PN"""
 

@@ -34,7 +34,7 @@ def _reconcile(spark: SparkSession, sf: str, engine: bool = False, null_safe: bo
     )
 
 
-def _with_reconcile(engine: bool = False, null_safe: bool = False) -> str:
+def with_reconcile(engine: bool = False, null_safe: bool = False) -> str:
     """Reconcile the long way: left join, anti join, union, then the rules."""
     current, new, keys = (
         ("engine_tracker", "engine_refresh", ENGINE_KEY) if engine else ("tracker", "refresh", AIRFRAME_KEY)
@@ -134,7 +134,7 @@ def _change_set(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _KEY_ORDER = ", ".join(f"{k} NULLS LAST" for k in ["sheet", *AIRFRAME_KEY])
-_ROW = ["sheet", "_id", *_TRACKER_COLUMNS]
+ROW = ["sheet", "_id", *_TRACKER_COLUMNS]
 _UNPIVOT = " UNION ALL ".join(
     f"SELECT _id, '{c}' AS title, {c} AS value FROM tracker WHERE {c} IS NOT NULL AND {c} <> ''"
     for c in _TRACKER_COLUMNS
@@ -180,55 +180,55 @@ QUERIES = {
     ),
     "reconcile_ops": Query(
         lambda s, d: _ops(_reconcile(s, d), AIRFRAME_KEY),
-        f"{_with_reconcile()} SELECT sheet, _id, {_AIR}, _old_status, Status, op FROM reconciled",
+        f"{with_reconcile()} SELECT sheet, _id, {_AIR}, _old_status, Status, op FROM reconciled",
     ),
     "reconcile_status": Query(
-        lambda s, d: _reconcile(s, d).select(*_ROW),
-        f"{_with_reconcile()} SELECT {', '.join(_ROW)} FROM reconciled",
+        lambda s, d: _reconcile(s, d).select(*ROW),
+        f"{with_reconcile()} SELECT {', '.join(ROW)} FROM reconciled",
     ),
     "reconcile_null_safe": Query(
         lambda s, d: _ops(_reconcile(s, d, null_safe=True), AIRFRAME_KEY),
-        f"{_with_reconcile(null_safe=True)} SELECT sheet, _id, {_AIR}, _old_status, Status, op FROM reconciled",
+        f"{with_reconcile(null_safe=True)} SELECT sheet, _id, {_AIR}, _old_status, Status, op FROM reconciled",
     ),
     "engine_reconcile_ops": Query(
         lambda s, d: _ops(_reconcile(s, d, engine=True), ENGINE_KEY),
-        f"{_with_reconcile(engine=True)} SELECT sheet, _id, {_ENG}, _old_status, Status, op FROM reconciled",
+        f"{with_reconcile(engine=True)} SELECT sheet, _id, {_ENG}, _old_status, Status, op FROM reconciled",
     ),
     "reconcile_inserts": Query(
         lambda s, d: inserts(_reconcile(s, d)).select("sheet", *_TRACKER_COLUMNS),
-        f"{_with_reconcile()} SELECT sheet, {', '.join(_TRACKER_COLUMNS)} FROM reconciled WHERE op = 'INSERT'",
+        f"{with_reconcile()} SELECT sheet, {', '.join(_TRACKER_COLUMNS)} FROM reconciled WHERE op = 'INSERT'",
     ),
     "change_counts": Query(
         lambda s, d: changes.change_counts(_reconcile(s, d)),
-        f"{_with_reconcile()} SELECT sheet, op, count(*) AS n FROM reconciled GROUP BY sheet, op",
+        f"{with_reconcile()} SELECT sheet, op, count(*) AS n FROM reconciled GROUP BY sheet, op",
     ),
     "command_counts": Query(
         lambda s, d: changes.command_counts(_reconcile(s, d)),
-        f"""{_with_reconcile()} SELECT sheet,
+        f"""{with_reconcile()} SELECT sheet,
         count(*) FILTER (WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR')) AS updated,
         count(*) FILTER (WHERE op = 'INSERT') AS inserted FROM reconciled GROUP BY sheet""",
     ),
     "change_set": Query(
         _change_set,
-        f"""{_with_reconcile()} SELECT sheet, op, _id,
+        f"""{with_reconcile()} SELECT sheet, op, _id,
         CAST(CASE WHEN op = 'INSERT' THEN {_FILLED} ELSE 1 END AS BIGINT) AS n_cells,
         CASE WHEN op = 'INSERT' THEN AC ELSE Status END AS first FROM reconciled WHERE op <> 'KEEP'""",
     ),
     "insert_payload": Query(_insert_payload, f"{with_views('tracker')} {_UNPIVOT}"),
     "update_payload": Query(
         _update_payload,
-        f"""{_with_reconcile()}, u AS (SELECT * FROM reconciled WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR'))
+        f"""{with_reconcile()}, u AS (SELECT * FROM reconciled WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR'))
         SELECT sheet, _id, 'Status' AS title, Status AS value FROM u
         UNION ALL SELECT sheet, _id, 'FEEDBACK' AS title, FEEDBACK AS value FROM u""",
     ),
     "payload_column_ids": Query(
         _column_ids,
-        f"""{_with_reconcile()} SELECT sheet, _id, 10 * CAST(substr(FLEET, 2) AS BIGINT) AS "columnId", Status AS value
+        f"""{with_reconcile()} SELECT sheet, _id, 10 * CAST(substr(FLEET, 2) AS BIGINT) AS "columnId", Status AS value
         FROM reconciled WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR')""",
     ),
     "apply_update": Query(
         _apply_update,
-        f"""{_with_reconcile()}, u AS (SELECT sheet, _id, Status FROM reconciled
+        f"""{with_reconcile()}, u AS (SELECT sheet, _id, Status FROM reconciled
           WHERE op IN ('REOPEN', 'COMPLETE', 'ERROR'))
         SELECT t.* EXCLUDE (Status), CASE WHEN u._id IS NOT NULL THEN u.Status ELSE t.Status END AS Status
         FROM tracker t LEFT JOIN u ON t.sheet = u.sheet AND t._id = u._id""",
@@ -240,7 +240,7 @@ QUERIES = {
     ),
     "apply_insert": Query(
         _apply_insert,
-        f"""{_with_reconcile()} SELECT {', '.join(_ROW)} FROM c
+        f"""{with_reconcile()} SELECT {', '.join(ROW)} FROM c
         UNION ALL SELECT sheet, (SELECT max(_id) FROM tracker) + row_number() OVER (ORDER BY {_KEY_ORDER}) AS _id,
         {', '.join(_TRACKER_COLUMNS)} FROM reconciled WHERE op = 'INSERT'""",
     ),

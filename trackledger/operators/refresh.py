@@ -13,16 +13,15 @@ _MATCH = "_match"
 _SLOT = "_slot"
 
 
-def _sizes(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(SHEET).agg(F.count(F.lit(1)).alias(column))
-
-
 def single_row_sheets(current: DataFrame, new: DataFrame) -> DataFrame:
     """Sheets with exactly one row on both sides, such as totals."""
+    rows = current.select(SHEET, F.lit(1).alias("_c"), F.lit(0).alias("_n")).unionByName(
+        new.select(SHEET, F.lit(0).alias("_c"), F.lit(1).alias("_n"))
+    )
     return (
-        _sizes(current, "_c")
-        .where(F.col("_c") == 1)
-        .join(_sizes(new, "_n").where(F.col("_n") == 1), SHEET)
+        rows.groupBy(SHEET)
+        .agg(F.sum("_c").alias("_c"), F.sum("_n").alias("_n"))
+        .where((F.col("_c") == 1) & (F.col("_n") == 1))
         .select(SHEET, F.lit(True).alias("_single"))
     )
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from trackledger.functions.rules import apply_feedback, fold_category, name, open_rows
+from trackledger.functions.rules import apply_feedback, fold_category, open_rows
 from trackledger.model import AIRFRAME_ACTIONS, ENGINE_ACTIONS, REPORTED
 from trackledger.operators.summary import (
     AC,
@@ -20,6 +20,7 @@ from trackledger.operators.summary import (
     STATUS,
     all_pairs_totals,
     open_actions,
+    sorted_report,
     status_matrix,
     tally,
     totals,
@@ -98,6 +99,6 @@ def export_reports(reports: Reports, path: str, format: str = "parquet") -> None
         if by:
             export_by(report, by, target, format, sort)
         elif sort:
-            report.orderBy(name(AC).asc_nulls_last()).write.format(format).save(target)
+            sorted_report(report, sort).write.format(format).save(target)
         else:
             report.write.format(format).save(target)
