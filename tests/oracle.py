@@ -28,7 +28,7 @@ def _kind(data_type):
 def compare(df, con, sql):
     """None when equal, else what differs."""
     spark_table = df.toArrow()
-    duck_table = con.execute(sql).to_arrow_table()
+    duck_table = con.sql(sql).to_arrow_table()
     got_columns, got = _rows(spark_table)
     want_columns, want = _rows(duck_table)
     if got_columns != want_columns:

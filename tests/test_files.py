@@ -126,6 +126,7 @@ def test_publish_creates_then_replaces_only_what_it_gets(spark, entries, tmp_pat
     root = str(tmp_path / "out")
     first = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("b", 3, "x"), ("unknown", 4, "x")], ROWS)
     kept = publish.publish(first, entries, root, "2025-02-18")
+    assert [r["_id"] for r in publish.unregistered_rows(first, entries).collect()] == [4]
     ids = {r["sheet"]: r["id"] for r in kept.collect()}
     dates = {r["sheet"]: r["date"] for r in kept.collect()}
     assert ids["a"] == "1" and ids["b"] and ids["b"] != ids["c"]

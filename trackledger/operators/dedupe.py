@@ -16,10 +16,11 @@ from trackledger.operators.keys import KEY_HASH, with_key_hash
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID, keep_hash: bool = False) -> DataFrame:
     """The first row of each key within its sheet; null key parts are equal.
 
-    Spark limits every key to one row per map task before the shuffle, so a
-    key that holds a large share of all rows costs no more than any other.
-    With ``keep_hash`` the key hash stays, and ``reconcile`` then joins the
-    rows as they are partitioned and sorted here.
+    ``order`` must tell the rows of a sheet apart. Spark limits every key to
+    one row per map task before the shuffle, so a key that holds a large share
+    of all rows costs no more than any other. With ``keep_hash`` the key hash
+    stays, and ``reconcile`` then joins the rows as they are partitioned and
+    sorted here.
     """
     hashed = with_key_hash(df, keys)
     by_key = Window.partitionBy(KEY_HASH, SHEET, *[name(k) for k in keys]).orderBy(name(order))

@@ -99,7 +99,9 @@ def publish(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | s
     The table below ``root`` has one folder per sheet id. Spark writes the new
     rows to a staging folder and swaps the folders of these sheets when the job
     commits: ids stay, other sheets are not touched, and a job that fails
-    changes nothing. Returns the registry with ids and dates filled in.
+    changes nothing. A sheet without rows in ``df`` is not touched either.
+    Returns the registry with ids and dates filled in; ``unregistered_rows``
+    lists what the registry does not name.
     """
     ids = assign_ids(registry)
     _replace(df, ids, root)
@@ -117,6 +119,11 @@ def publish_to_target(
     return _stamped(renamed, df, run_date)
 
 
+def unregistered_rows(df: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows of sheets the registry does not name; publishing leaves them out."""
+    return df.join(registry.select(SHEET), SHEET, "left_anti")
+
+
 def read_published(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Published rows with the sheet id; ``schema`` is that of the rows."""
     return spark.read.schema(T.StructType([*schema.fields, T.StructField(ID, T.StringType())])).parquet(root)
