@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackledger.sources.files import spread_scan
+
 # Name -> SQL; a view may use the ones above it.
 VIEWS = {
     "tracker": """
@@ -87,6 +89,7 @@ def with_views(*names: str) -> str:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named view as a DataFrame over the Parquet tables."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES}
+    tables["lineitem"] = spread_scan(tables["lineitem"], "l_orderkey", "l_linenumber")
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(name)).replace('"', "`")
     sql = f"WITH {ctes} SELECT * FROM {name}"
     for t in _TABLES:
