@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +154,8 @@ def test_publish_creates_then_replaces_only_what_it_gets(spark, entries, tmp_pat
 def test_publish_that_fails_changes_nothing(spark, entries, tmp_path):
     root = str(tmp_path / "out")
     publish.publish(spark.createDataFrame([("a", 1, "x")], ROWS), entries, root)
+    dates = publish.publish(spark.createDataFrame([("a", 1, "x")], ROWS), entries, root).where("sheet = 'a'")
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00", dates.first()["date"])
     broken = spark.createDataFrame([("a", 2, "y")], ROWS).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
     with pytest.raises(Exception, match="no"):
         publish.publish(broken, entries, root)
@@ -220,7 +223,9 @@ def test_dedupe_then_feedback_by_tag(spark, tracker, entries):
         "sheet string, _x int, AC string, FLEET string, PN string, MAIN_PN string, VENDOR string, PROPOSED_ACTION string",
     )
     outcome = jobs.feedback(deduped.sheets, refresh, entries)
-    assert {r["_id"]: r["Status"] for r in outcome.sheets.collect()} == {1: "Complete", 2: "Issue", 3: "Error", None: None}
+    assert {r["_id"]: r["Status"] for r in outcome.sheets.collect()} == {1: "Complete", 2: "Issue", 3: "Error", 4: None}
+    again = jobs.feedback(outcome.sheets, refresh, entries)
+    assert [tuple(r) for r in again.counts.collect()] == [("a", 1, 0)]
     assert outcome.sheets.columns == tracker.columns
     assert [tuple(r) for r in outcome.counts.collect()] == [("a", 2, 1)]
     assert sorted(r["op"] for r in outcome.changes.collect()) == ["COMPLETE", "ERROR", "INSERT"]

@@ -76,7 +76,10 @@ QUERIES = {
     "job_engine_totals": Query(lambda s, d: _engine(s, d, "totals"), _SQL["engine_totals"].sql),
     "job_report_export": Query(_report_export, _SQL["status_matrix"].sql),
     "job_feedback_sheets": Query(
-        lambda s, d: _feedback(s, d).sheets.select(*reconciling.ROW), _SQL["reconcile_status"].sql
+        lambda s, d: _feedback(s, d).sheets.select(*reconciling.ROW),
+        f"""{reconciling.with_reconcile()} SELECT {', '.join(reconciling.ROW)} FROM reconciled WHERE op <> 'INSERT'
+        UNION ALL SELECT sheet, (SELECT max(_id) FROM c) + row_number() OVER (ORDER BY {reconciling.KEY_ORDER}) AS _id,
+        {', '.join(reconciling.ROW[2:])} FROM reconciled WHERE op = 'INSERT'""",
     ),
     "job_feedback_counts": Query(lambda s, d: _feedback(s, d).counts, _SQL["command_counts"].sql),
     "job_feedback_engine_counts": Query(

@@ -133,7 +133,7 @@ def _change_set(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_KEY_ORDER = ", ".join(f"{k} NULLS LAST" for k in ["sheet", *AIRFRAME_KEY])
+KEY_ORDER = ", ".join(f"{k} NULLS LAST" for k in ["sheet", *AIRFRAME_KEY])
 ROW = ["sheet", "_id", *_TRACKER_COLUMNS]
 _UNPIVOT = " UNION ALL ".join(
     f"SELECT _id, '{c}' AS title, {c} AS value FROM tracker WHERE {c} IS NOT NULL AND {c} <> ''"
@@ -241,7 +241,7 @@ QUERIES = {
     "apply_insert": Query(
         _apply_insert,
         f"""{with_reconcile()} SELECT {', '.join(ROW)} FROM c
-        UNION ALL SELECT sheet, (SELECT max(_id) FROM tracker) + row_number() OVER (ORDER BY {_KEY_ORDER}) AS _id,
+        UNION ALL SELECT sheet, (SELECT max(_id) FROM tracker) + row_number() OVER (ORDER BY {KEY_ORDER}) AS _id,
         {', '.join(_TRACKER_COLUMNS)} FROM reconciled WHERE op = 'INSERT'""",
     ),
     "refresh_summary_ops": Query(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackledger.functions.rules import any_null, name, needs_action
-from trackledger.model import CLOSABLE, NO_ACTION, OP, ROW_ID, SHEET
+from trackledger.model import CLOSABLE, NO_ACTION, OP, SHEET
 from trackledger.operators.keys import KEY_HASH, with_key_hash
 from trackledger.operators.skew import spread_slot
 
@@ -39,10 +39,10 @@ def require_unique(df: DataFrame, keys: Sequence[str], null_safe: bool = False,
         raise ValueError(f"{side} is not one row per key ({', '.join(keys)}): {shown}")
 
 
-def operation(row_id: Column, status: Column, new_action: Column) -> Column:
+def operation(is_new: Column, status: Column, new_action: Column) -> Column:
     """What happens to a row of the joined set; the first case that holds wins."""
     return (
-        F.when(row_id.isNull(), F.lit("INSERT"))
+        F.when(is_new, F.lit("INSERT"))
         .when((status == "Updated") & needs_action(new_action), F.lit("REOPEN"))
         .when(status.isin(*CLOSABLE) & (new_action == NO_ACTION), F.lit("COMPLETE"))
         .when(new_action.isNull(), F.lit("ERROR"))
@@ -105,8 +105,7 @@ def reconcile(
         condition = condition & (l.eqNullSafe(r) if null_safe and k in keys else l == r)
     joined = left.join(right, condition, "full")
 
-    row_id = side("c", ROW_ID)
-    is_new = row_id.isNull()
+    is_new = side("c", SHEET).isNull()
     columns = []
     for c in titles:
         if c in refresh.columns and not c.startswith("_"):
@@ -116,7 +115,7 @@ def reconcile(
     rows = joined.where(~is_new | needs_action(side("r", action))).select(
         *columns,
         side("r", action).alias(NEW_ACTION),
-        operation(row_id, side("c", status), side("r", action)).alias(OP),
+        operation(is_new, side("c", status), side("r", action)).alias(OP),
     )
     old = name(status)
     return rows.select(

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trackledger.functions.conform import SHEET_TYPES, conform
 from trackledger.functions.rules import impose_schema, select_user_columns, user_schema
-from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, ROW_ID, user_columns
-from trackledger.operators.changes import apply_delete, change_set, command_counts
+from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, SHEET, user_columns
+from trackledger.operators.changes import apply_delete, apply_insert, change_set, command_counts
 from trackledger.operators.dedupe import duplicate_ids
-from trackledger.operators.reconcile import next_snapshot, reconcile
+from trackledger.operators.reconcile import inserts, next_snapshot, reconcile
 from trackledger.operators.refresh import refresh_summary, refreshed_rows
 from trackledger.session import materialize
 from trackledger.sinks.publish import export_sheets, publish, publish_to_target, rows_per_group
@@ -45,15 +46,17 @@ def feedback(
     """Reconcile the sheets with their extract.
 
     Only Status is written to rows that change; new rows bring every title the
-    sheet has. New rows have no row id in ``sheets``; ``apply_insert`` gives
-    ids where the store does not.
+    sheet has, get the next row ids, and go on top. In ``changes`` they have no
+    row id yet.
     """
     if registry is not None:
         current = select_by_tag(current, registry, tag)
         refresh = select_by_tag(refresh, registry, tag)
     reconciled = materialize(reconcile(current, typed_refresh(current, refresh), keys, null_safe))
+    kept = next_snapshot(reconciled.where(F.col(OP) != "INSERT"))
+    new = next_snapshot(inserts(reconciled))
     return Outcome(
-        sheets=next_snapshot(reconciled),
+        sheets=apply_insert(kept, new, [SHEET, *keys]),
         changes=change_set(reconciled, user_columns(current)),
         counts=command_counts(reconciled),
     )
@@ -77,7 +80,7 @@ def dedupe(
         current = select_by_tag(current, registry, tag)
     deleted = materialize(duplicate_ids(current, keys, order))
     return Outcome(
-        sheets=apply_delete(current, deleted), changes=deleted, counts=rows_per_group(deleted, ["sheet"])
+        sheets=apply_delete(current, deleted), changes=deleted, counts=rows_per_group(deleted, [SHEET])
     )
 
 
@@ -89,7 +92,7 @@ def refresh_summaries(current: DataFrame, new: DataFrame, key: str = "AC") -> Ou
     """Make summary sheets match new summaries without changing row ids."""
     refreshed = refresh_summary(current, typed_refresh(current, new), key)
     return Outcome(
-        sheets=refreshed_rows(refreshed), changes=refreshed, counts=rows_per_group(refreshed, ["sheet", "op"])
+        sheets=refreshed_rows(refreshed), changes=refreshed, counts=rows_per_group(refreshed, [SHEET, OP])
     )
 
 

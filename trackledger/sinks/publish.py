@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackledger.functions.rules import name
+from trackledger.functions.rules import name, utc_now
 from trackledger.model import SHEET
 from trackledger.sources import text
 
@@ -74,10 +74,10 @@ def assign_ids(registry: DataFrame) -> DataFrame:
 
 
 def _stamped(registry: DataFrame, df: DataFrame, run_date: dt.date | str | None) -> DataFrame:
-    today = F.current_date() if run_date is None else F.lit(str(run_date))
+    now = utc_now() if run_date is None else F.lit(str(run_date))
     written = df.select(SHEET).distinct().withColumn("_written", F.lit(True))
     joined = registry.join(written, SHEET, "left")
-    date = F.when(F.col("_written"), today.cast("string")).otherwise(F.col("date"))
+    date = F.when(F.col("_written"), now).otherwise(F.col("date"))
     return joined.withColumn("date", date).select(*registry.columns)
 
 
