@@ -134,7 +134,7 @@ ROWS = "sheet string, _id long, v string"
 
 
 def published(spark, root):
-    return sorted((r["id"], r["sheet"], r["_id"], r["v"]) for r in publish.read_published(spark, root, T._parse_datatype_string(ROWS)).collect())
+    return sorted((r["sheet_id"], r["sheet"], r["_id"], r["v"]) for r in publish.read_published(spark, root, T._parse_datatype_string(ROWS)).collect())
 
 
 def test_publish_creates_then_replaces_only_what_it_gets(spark, entries, tmp_path):

@@ -50,8 +50,8 @@ def test_publish_jobs(spark, inputs, tmp_path):
     for job, ids in [("set", {"1", "2", "3"}), ("reformat", {"91", "92", "93"})]:
         out = str(tmp_path / job)
         run(spark, [job, "--sheets", inputs["tracker"], "--registry", inputs["registry"], "--out", out])
-        found = spark.read.parquet(f"{out}/sheets").select("id").distinct().collect()
-        assert {str(r["id"]) for r in found} == ids
+        found = spark.read.parquet(f"{out}/sheets").select("sheet_id").distinct().collect()
+        assert {str(r["sheet_id"]) for r in found} == ids
         assert spark.read.schema(REGISTRY).json(f"{out}/registry").count() == 3
 
 

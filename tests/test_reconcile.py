@@ -108,6 +108,15 @@ def test_duplicate_keys_are_refused(spark):
     require_unique(current.withColumn("sheet", F.col("_id").cast("string")), KEYS)
 
 
+def test_equal_hashes_of_different_keys_are_no_violation(spark):
+    df = spark.createDataFrame([("s", 1, "A", "p", "X", "", ""), ("s", 2, "A", "q", "X", "", "")], CURRENT)
+    same_hash = df.withColumn("_key_hash", F.lit(7).cast("long"))
+    require_unique(same_hash, KEYS)
+    refresh = same_hash.drop("_id", "Notes").withColumn("Status", F.lit(None).cast("string"))
+    assert {r["op"] for r in reconcile(same_hash, refresh, KEYS).collect()} == {"KEEP"}
+    assert keep_first(same_hash, KEYS).count() == 2
+
+
 def test_null_keys_are_violations_only_when_null_safe(spark):
     df = spark.createDataFrame([("s", 1, None, "p", "X", "", ""), ("s", 2, None, "p", "X", "", "")], CURRENT)
     assert key_violations(df, KEYS).isEmpty()

@@ -172,7 +172,7 @@ def _publish_swap(spark: SparkSession, sf: str) -> DataFrame:
     entries = publish.publish(rows, _registry(spark, sf), root, "2025-02-18")
     publish.publish(rows.where("sheet = 'SHEET_F1' AND Status = 'Issue'"), entries, root, "2025-02-19")
     published = publish.read_published(spark, root, rows.schema)
-    return published.withColumn("id", F.when(F.col("id") == "1001", F.col("id")).otherwise(F.lit("new")))
+    return published.withColumn("sheet_id", F.when(F.col("sheet_id") == "1001", "1001").otherwise("new"))
 
 
 def _publish_registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,7 +263,7 @@ QUERIES = {
     ),
     "publish_swap": Query(
         _publish_swap,
-        f"""{_TRACKER} SELECT sheet, _id, Status, CASE WHEN FLEET = 'F1' THEN '1001' ELSE 'new' END AS id
+        f"""{_TRACKER} SELECT sheet, _id, Status, CASE WHEN FLEET = 'F1' THEN '1001' ELSE 'new' END AS sheet_id
         FROM tracker WHERE FLEET <> 'F1' OR Status = 'Issue'""",
     ),
     "publish_registry": Query(
@@ -272,7 +272,7 @@ QUERIES = {
     ),
     "publish_target": Query(
         _publish_target,
-        f"""{_TRACKER} SELECT sheet, _id, Status, concat('200', substr(FLEET, 2)) AS id, '2025-02-18' AS date
+        f"""{_TRACKER} SELECT sheet, _id, Status, concat('200', substr(FLEET, 2)) AS sheet_id, '2025-02-18' AS date
         FROM tracker""",
     ),
     "folder_counts": Query(

@@ -32,8 +32,17 @@ def key_violations(df: DataFrame, keys: Sequence[str], null_safe: bool = False)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], null_safe: bool = False, side: str = "table") -> None:
-    """Raise when a key occurs more than once, showing a few of the keys."""
-    found = key_violations(df, keys, null_safe).take(3)
+    """Raise when a key occurs more than once, showing a few of the keys.
+
+    Rows are counted by key hash, which is one number to shuffle. Only rows
+    whose hash occurs more than once are then counted by the key itself.
+    """
+    rows = with_key_hash(df if null_safe else df.where(~any_null(keys)), keys)
+    counted = rows.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n"))
+    repeated = counted.where(F.col("n") > 1).select(KEY_HASH)
+    if repeated.isEmpty():
+        return
+    found = key_violations(rows.join(repeated, KEY_HASH, "left_semi"), keys, null_safe).take(3)
     if found:
         shown = "; ".join(str(row.asDict()) for row in found)
         raise ValueError(f"{side} is not one row per key ({', '.join(keys)}): {shown}")

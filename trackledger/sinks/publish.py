@@ -14,6 +14,7 @@ from trackledger.model import SHEET
 from trackledger.sources import text
 
 ID = "id"
+SHEET_ID = "sheet_id"
 
 
 def export_by(
@@ -82,13 +83,12 @@ def _stamped(registry: DataFrame, df: DataFrame, run_date: dt.date | str | None)
 
 
 def _replace(df: DataFrame, ids: DataFrame, root: str) -> None:
-    rows = df.join(ids.select(SHEET, F.col(ID).alias("_sheet_id")), SHEET)
+    rows = df.join(ids.select(SHEET, F.col(ID).alias(SHEET_ID)), SHEET)
     (
-        rows.withColumnRenamed("_sheet_id", ID)
-        .hint("rebalance", ID)
+        rows.hint("rebalance", SHEET_ID)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(ID)
+        .partitionBy(SHEET_ID)
         .parquet(root)
     )
 
@@ -126,7 +126,7 @@ def unregistered_rows(df: DataFrame, registry: DataFrame) -> DataFrame:
 
 def read_published(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Published rows with the sheet id; ``schema`` is that of the rows."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(ID, T.StringType())])).parquet(root)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(SHEET_ID, T.StringType())])).parquet(root)
 
 
 def rows_per_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:
