@@ -6,10 +6,10 @@ every row: a row whose two bits are not both in the filter has no equal and
 passes straight through; only the others, the possibly repeated ones, are
 shuffled and compared by their SHA-256.
 
-The filter has about ``BITS_PER_ROW`` bits a row and at most ``MAX_BITS``: it is
-a table of 64-bit words with a set bit, so no more than ``MAX_BITS / 64`` rows
-are ever broadcast (32 MB). Past that size the filter fills up and passes more rows on to the shuffle;
-the result stays whole. DataFrame functions only.
+The filter has 16 bits a row or more, up to 2^27 bits: a table of 64-bit words
+of which at most 32 MB are ever broadcast. Past that size the filter fills up
+and passes more rows on to the shuffle; the result stays whole. DataFrame
+functions only.
 
 Defined results: a null text equals an empty one; of equal texts the largest
 ``doc_id`` stays (a null ``doc_id`` is smaller than any); rows that share text
@@ -21,48 +21,12 @@ names, pass through ``drop_duplicates`` unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackledger.llm.bloom import fresh_names, repeated, tested, words_for
 from trackledger.session import materialize
 
-BITS_PER_ROW = 16
-MAX_BITS = 1 << 27
-
-
-def _bits(value: Column, words: int) -> tuple[Column, Column, Column]:
-    """Word number and two bit numbers of a 64-bit hash."""
-    word = F.pmod(F.shiftrightunsigned(value, 12), F.lit(words)).alias("word")
-    return word, value.bitwiseAND(F.lit(63)), F.shiftrightunsigned(value, 6).bitwiseAND(F.lit(63))
-
-
-def _filter(hashes: DataFrame, words: int) -> DataFrame:
-    """Pass 1: (word, bits) of the bits that two rows or more set."""
-    word, one, two = _bits(F.col("hash"), words)
-    marks = hashes.select(word, F.explode(F.array_distinct(F.array(one, two))).alias("bit"))
-    repeated = marks.groupBy("word", "bit").agg(F.count("*").alias("n")).where("n > 1")
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").cast("int"))
-    return repeated.groupBy("word").agg(F.bit_or(mask).alias("bits"))
-
-
-def _suspects(rows: DataFrame, hash_column: str, n_rows: int) -> tuple[DataFrame, str]:
-    """``rows`` with a boolean column: possibly repeated or certainly single."""
-    bits = min(MAX_BITS, 1 << max(10, (BITS_PER_ROW * max(1, n_rows) - 1).bit_length()))
-    words = bits // 64
-    taken = {c.lower() for c in rows.columns}
-    fresh = iter(n for k in range(len(taken) + 3) if (n := f"_bloom{k}") not in taken)
-    word, bits_column, flag = next(fresh), next(fresh), next(fresh)
-    found = _filter(rows.select(F.col(hash_column).alias("hash")), words)
-    found = found.withColumnsRenamed({"word": word, "bits": bits_column})
-    at, one, two = _bits(F.col(hash_column), words)
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), one.cast("int")).bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), two.cast("int"))
-    )
-    # Bounded: the filter has at most MAX_BITS / 64 rows.
-    tested = rows.join(F.broadcast(found), F.col(word) == at, "left")
-    repeated = F.coalesce(F.col(bits_column).bitwiseAND(mask) == mask, F.lit(False))
-    return tested.withColumn(flag, repeated).drop(word, bits_column), flag
-
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text), dropped ones too.
@@ -73,8 +37,9 @@ def duplicates(docs: DataFrame) -> DataFrame:
     digests = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
     ).withColumn("hash", F.xxhash64("text_sha256"))
-    tested, flag = _suspects(digests, "hash", digests.count())
-    single = tested.where(~F.col(flag)).select(
+    words = words_for(digests.count())
+    rows = tested(digests, F.col("hash"), repeated(digests, "hash", words), words, "suspect")
+    single = rows.where("NOT suspect").select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
@@ -82,7 +47,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
         "text_sha256",
     )
     # Written, so that both sides of the join below are plain scans, whose hot keys can be split.
-    suspects = materialize(tested.where(flag).select("doc_id", "text_sha256"))
+    suspects = materialize(rows.where("suspect").select("doc_id", "text_sha256"))
     groups = materialize(
         suspects.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     )
@@ -102,14 +67,13 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     Rows with a text of their own are not shuffled. Of the others only id and
     digest are compared; the rows that stay are found by id and digest.
     """
-    taken = {c.lower() for c in docs.columns}
-    fresh = iter(n for k in range(len(taken) + 4) if (n := f"_dedup{k}") not in taken)
-    digest, hashed, keep, rank = (next(fresh) for _ in range(4))
+    digest, hashed, keep, rank, flag = fresh_names(docs, 5)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn(digest, F.sha2(text, 256)).withColumn(hashed, F.xxhash64(digest))
-    tested, flag = _suspects(rows, hashed, docs.count())
-    single = tested.where(~F.col(flag)).select(*docs.columns)
-    suspects = tested.where(flag).drop(flag, hashed)
+    words = words_for(docs.count())
+    rows = tested(rows, F.col(hashed), repeated(rows, hashed, words), words, flag)
+    single = rows.where(~F.col(flag)).select(*docs.columns)
+    suspects = rows.where(flag).drop(flag, hashed)
     best = suspects.groupBy(digest).agg(F.max("doc_id").alias(keep))
     # Both keys: a hot text is one row of ``best`` and meets the rows of one id.
     kept = suspects.alias("s").join(
