@@ -51,14 +51,14 @@ def duplicates(docs: DataFrame) -> DataFrame:
     groups = materialize(
         suspects.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     )
-    repeated = suspects.join(groups, "text_sha256").select(
+    several = suspects.join(groups, "text_sha256").select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
     )
-    return single.unionByName(repeated)
+    return single.unionByName(several)
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:

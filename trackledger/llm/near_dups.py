@@ -22,10 +22,11 @@ the components are exact. No step caps a shingle's documents. Texts are
 fetched for the pairs only, by a Bloom filter over their ids.
 
 Defined results: a null or empty text, or one of white space, has no set and is
-linked with nothing; a shorter text than a shingle is one shingle; rows that
-share a ``doc_id`` are one document to others (linked to whatever one of them
-is linked to), and ``documents`` returns each; rows without ``doc_id`` are
-returned with a null component; an empty table gives no rows. Other columns
+linked with nothing; a shorter text than a shingle is one shingle; of rows that
+share a ``doc_id`` each is returned with its own size, they are in one
+component, and where their texts differ pairs are checked on the text that is
+last in order; rows without ``doc_id`` are returned with a null component; an
+empty table gives no rows. Other columns
 are not read and pass through ``keep_one``.
 """
 
