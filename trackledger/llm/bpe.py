@@ -285,10 +285,15 @@ def _digests(path: str):
     return finish
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op5: ids of every document and the text decoded from them, as digests."""
-    import public_tokenizers
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``."""
+    if path is None:
+        import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode(docs, path, _digests(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5: ids of every document and the text decoded from them, as digests."""
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))

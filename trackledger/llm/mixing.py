@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackledger.llm.bloom import fresh_names
 from trackledger.session import materialize
 
 MAX_PATTERNS = 20_000
@@ -162,21 +163,25 @@ def _cuts(rows: DataFrame, flows: list[tuple[list, int, int]]) -> DataFrame:
     return table()
 
 
-def mix(docs: DataFrame, quotas, copies: int = MAX_COPIES, seed: int = SEED) -> DataFrame:
-    """Words taken of each row of ``docs`` (doc_id, text, sources array<string>).
+_OWN = ("pattern", "size", "tie", "place", "order")
 
-    ``quotas`` maps each source to words, given the words of every source.
-    Returns doc_id, sources, size, taken (0 to ``copies`` times the size).
-    """
-    sized = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.array_sort(F.array_distinct(F.coalesce("sources", F.array(F.lit(None).cast("string"))))).alias("pattern"),
-        word_count(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("tie"),
-    )
-    # The seeded order: 24 bits to narrow by, the rest to tell documents apart.
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    rows = materialize(sized.withColumn("place", F.shiftrightunsigned(order, 40)).withColumn("order", order))
+
+def _places(docs: DataFrame, sources: Column, seed: int) -> list[Column]:
+    """Pattern, size and place in the seeded order of each row, named as in ``_OWN``."""
+    nowhere = F.array(F.lit(None).cast("string"))
+    order = F.xxhash64(F.lit(seed), docs["doc_id"].cast("long"))
+    return [
+        F.array_sort(F.array_distinct(F.coalesce(sources, nowhere))),
+        word_count(docs["text"]),
+        F.xxhash64(docs["text"]),
+        # 24 bits to narrow by; the whole number tells documents apart.
+        F.shiftrightunsigned(order, 64 - 8 * STEPS),
+        order,
+    ]
+
+
+def _plan(rows: DataFrame, quotas, copies: int) -> DataFrame:
+    """Where each pattern's last copy ends; ``rows`` are a table of ``_OWN``."""
     found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -188,27 +193,58 @@ def mix(docs: DataFrame, quotas, copies: int = MAX_COPIES, seed: int = SEED) ->
     flow = route(
         [([number[s] for s in r["pattern"]], r["words"]) for r in found], [int(w) for w in wanted], copies
     )
-    flows = []
-    for row, words in zip(found, flow):
-        taken = sum(words)
-        flows.append((row["pattern"], *(divmod(taken, row["words"]) if row["words"] else (0, 0))))
+    flows = [
+        (r["pattern"], *(divmod(sum(words), r["words"]) if r["words"] else (0, 0))) for r, words in zip(found, flow)
+    ]
+    return _cuts(rows, flows)
+
+
+def _taken(rows: DataFrame, cuts: DataFrame, own: Sequence[str], taken: str) -> DataFrame:
+    """``rows`` with the words taken of each; ``own`` are the names of the columns of ``_OWN``."""
+    pattern, size, tie, place, order = own
+    named = {c: f"{taken}_{c}" for c in ("k", "pattern", "copies", "prefix", "left")}
+    k, match, copies, prefix, left = named.values()
     # Bounded: at most MAX_PATTERNS rows.
-    at = rows.join(F.broadcast(_cuts(rows, flows)), "pattern")
+    at = rows.join(F.broadcast(cuts.withColumnsRenamed(named)), F.col(pattern) == F.col(match))
     # Only the documents that share the last of 2^24 parts are put in order one by one.
-    earlier = Window.partitionBy("k").orderBy("order", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    rest = F.col("left") - F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    edge = at.where(F.col("place") == F.col("prefix")).withColumn(
-        "last", F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    )
-    others = at.where(F.col("place") != F.col("prefix")).withColumn(
-        "last", F.when(F.col("place") < F.col("prefix"), F.col("size")).otherwise(F.lit(0))
-    )
-    return others.unionByName(edge).select(
-        "doc_id",
-        F.col("pattern").alias("sources"),
-        "size",
-        (F.col("copies") * F.col("size") + F.col("last")).cast("long").alias("taken"),
+    earlier = Window.partitionBy(k).orderBy(order, size, tie).rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.col(left) - F.coalesce(F.sum(size).over(earlier), F.lit(0))
+    last = F.when(F.col(place) < F.col(prefix), F.col(size)).otherwise(F.lit(0))
+    others = at.where(F.col(place) != F.col(prefix)).withColumn(taken, last)
+    edge = at.where(F.col(place) == F.col(prefix)).withColumn(
+        taken, F.greatest(F.lit(0), F.least(F.col(size), rest))
     )
+    total = (F.col(copies) * F.col(size) + F.col(taken)).cast("long")
+    return others.unionByName(edge).withColumn(taken, total).drop(*named.values())
+
+
+def mix(docs: DataFrame, sources: Column, quotas, copies: int = MAX_COPIES, seed: int = SEED) -> DataFrame:
+    """Words taken of each row of ``docs`` (doc_id, text).
+
+    ``sources`` is an array of strings; ``quotas(names, sizes)`` gives the words
+    wanted of each source. Returns doc_id, sources, size, taken (0 to ``copies``
+    times the size).
+    """
+    columns = [c.alias(n) for c, n in zip(_places(docs, sources, seed), _OWN)]
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns))
+    mixed = _taken(rows, _plan(rows, quotas, copies), _OWN, "taken")
+    return mixed.select("doc_id", F.col("pattern").alias("sources"), "size", "taken")
+
+
+def draw(docs: DataFrame, sources: Column, quotas, copies: int = MAX_COPIES, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix takes them: whole rows, as often as they are taken, all columns.
+
+    A document that the mix takes in part is taken whole if that is half of it
+    or more. Texts don't move; only documents at a pattern's end are sorted.
+    """
+    *own, taken = fresh_names(docs, len(_OWN) + 1)
+    places = _places(docs, sources, seed)
+    rows = materialize(docs.select(*[c.alias(n) for c, n in zip(places, _OWN)]))
+    whole = docs.select("*", *[c.alias(n) for c, n in zip(places, own)])
+    mixed = _taken(whole, _plan(rows, quotas, copies), own, taken).where(F.col(taken) > 0)
+    times = F.round(F.col(taken) / F.col(own[1])).cast("int")
+    drawn = mixed.where(times > 0).withColumn(taken, F.explode(F.sequence(F.lit(1), times)))
+    return drawn.select(*docs.columns)
 
 
 WEIGHTS = (3, 1, 2)
@@ -230,7 +266,7 @@ def mix_by_source(docs: DataFrame) -> DataFrame:
         kept.update(zip(names, zip(sizes, wanted)))
         return wanted
 
-    mixed = mix(docs.select("doc_id", "text", F.array("source").alias("sources")), quotas)
+    mixed = mix(docs, F.array("source"), quotas)
     rows = [(name, size, float(target)) for name, (size, target) in kept.items()]
     table = docs.sparkSession.createDataFrame(rows, "name string, source_size long, target double")
     # Bounded as the patterns are.
@@ -239,6 +275,11 @@ def mix_by_source(docs: DataFrame) -> DataFrame:
     )
 
 
+def draw_by_source(docs: DataFrame) -> DataFrame:
+    """``draw`` where each document has one source."""
+    return draw(docs, F.array("source"), contract_targets)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: words that the mix takes of every document."""
     return mix_by_source(spark.read.parquet(f"{sf_dir}/documents.parquet"))
