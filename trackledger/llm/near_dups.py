@@ -10,12 +10,13 @@ these prefixes are shuffled, by shingle.
 Texts with the same set are one class, of which one stands for all. Within the
 documents of a shingle no all pairs are made:
 
-1. every document is paired with the smallest one; length and positional
-   filters drop pairs that can't reach the overlap, each pair left is checked
-   once against whole texts, and links are gathered into components;
+1. every document is paired with the smallest one; filters by length, position
+   and suffix (a histogram of the whole set) drop pairs that can't reach the
+   overlap, each pair left is checked once against whole texts, and links are
+   gathered into components;
 2. documents of a shingle that are still in different components are paired
-   across components, but for those within the shingle's largest one, filtered
-   (by length, position, and a histogram of the suffixes) and checked.
+   across components, each one outside the smallest one's component with all
+   others, filtered and checked in the same way.
 
 Every pair that could link is then either checked or inside one component, so
 the components are exact. No step caps a shingle's documents. Texts are
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackledger.llm.bloom import with_ids, without_ids
+from trackledger.llm.bloom import members, tested, with_ids, without_ids, words_for
 from trackledger.llm.components import components
 from trackledger.llm.words import distinct, raw, slices, text_column, tokens
 from trackledger.session import materialize
@@ -48,7 +49,7 @@ from trackledger.session import materialize
 SHINGLE = 5
 PERCENT = 75
 SLOT_BITS = 18
-BUCKETS = 32
+BUCKETS = 256
 CHUNK = 4 << 20
 _ODD = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -155,7 +156,7 @@ def _prefixes(rarity: np.ndarray):
                     rare = rarity[_slots(own)]
                     prefixes.append(own[np.argsort(rare, kind="stable")[:keep]].view(np.int64))
                     cells = np.bincount((own & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                    histograms.append(cells.astype("<u4").tobytes())
+                    histograms.append(np.minimum(cells, 0xFFFF).astype("<u2").tobytes())
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
                 yield pa.record_batch(
                     [
@@ -195,16 +196,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _suffix_filter(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose histograms allow the overlap: no more than the smaller count per bucket."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    own = materialize(with_ids(sets.select("doc_id", "n", "histogram"), ids))
+    one = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
+    two = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
 
     @F.pandas_udf("long")
     def bound(ha, hb):
-        tables = (np.frombuffer(b"".join(h), "<u4").reshape(-1, BUCKETS) for h in (ha, hb))
-        return type(ha)(np.minimum(*tables).sum(axis=1).astype(np.int64))
+        tables = (np.frombuffer(b"".join(h), "<u2").reshape(-1, BUCKETS) for h in (ha, hb))
+        return type(ha)(np.minimum(*tables).sum(axis=1, dtype=np.int64))
 
     joined = pairs.join(two, "b").join(one, "a")
-    return joined.where((100 + PERCENT) * bound("ha", "hb") >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
+    return joined.where((100 + PERCENT) * bound("ha", "hb") >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,18 +229,29 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = materialize(docs.mapInArrow(_prefixes(rarity), schema))
     known = sets.where("doc_id IS NOT NULL AND n > 0")
     classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("rep")))
+    others = known.select("digest", "doc_id").join(classes, "digest").where("doc_id <> rep")
+    others = materialize(others.select("digest", "doc_id", "rep").distinct())
     # Rows of one id are one document: the classes of all its texts hang together.
-    same = known.select("digest", "doc_id").join(classes, "digest").where("doc_id <> rep").select(
-        F.col("rep").alias("a"), F.col("doc_id").alias("b")
+    same = others.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    # Representatives pass without a shuffle; the few that a filter can't tell are looked up.
+    words = words_for(others.count())
+    row = F.xxhash64("doc_id", "digest")
+    ruled_out = members(others.select(row.alias("hash")), "hash", words)
+    flagged = tested(known, row, ruled_out, words, "maybe")
+    first = flagged.where("NOT maybe").unionByName(
+        flagged.where("maybe").join(others.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti").select(flagged.columns)
     )
-    same = materialize(same)
-    rep = F.col("r.rep")
-    first = known.alias("s").join(classes.alias("r"), (F.col("s.doc_id") == rep) & (F.col("s.digest") == F.col("r.digest")))
-    first = first.select("s.doc_id", "s.n", "s.digest", "s.prefix")
+    first = first.select("doc_id", "n", "prefix", "histogram")
+    # Shingles in one prefix only meet nothing: a filter of the others spares moving their postings.
+    several = first.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("docs"))
+    several = materialize(several.where("docs > 1").select(F.xxhash64("shingle").alias("hash")))
+    words = words_for(several.count())
     # Place and size share a number: a posting is three numbers wide.
     postings = first.select(F.posexplode("prefix").alias("at", "shingle"), "doc_id", "n").select(
         "shingle", "doc_id", (F.shiftleft("n", 32) + F.col("at")).alias("place")
     )
+    kept = tested(postings, F.xxhash64("shingle"), members(several, "hash", words), words, "maybe")
+    postings = kept.where("maybe").drop("maybe")
     group = Window.partitionBy("shingle")
     hub = F.min(F.struct("doc_id", "place")).over(group)
     shared = postings.select("*", F.count("*").over(group).alias("docs"), hub.alias("hub")).where("docs > 1")
@@ -251,19 +265,15 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     stars = shared.where("doc_id <> hub").where(_can_link(size("hub_place"), at("hub_place"), size("place"), at("place")))
     stars = materialize(stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
-    by_id = first.drop("prefix").join(known.select("doc_id", "digest", "histogram"), ["doc_id", "digest"])
-    by_id = materialize(by_id.groupBy("doc_id").agg(F.max("n").alias("n"), F.max("histogram").alias("histogram")))
-    links = same.unionByName(verified(stars, docs, by_id))
+    links = same.unionByName(verified(stars, docs, first))
     found = components(links)
 
     # Second round: what one shingle still holds in several components.
     placed = shared.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
     placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
-    placed = materialize(placed)
-    parts = placed.groupBy("shingle", "part").agg(F.count("*").alias("docs"))
-    split = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("docs", "part")).alias("main"))
-    split = materialize(split.where("parts > 1").select("shingle", F.col("main.part").alias("main")))
-    open_ = materialize(placed.join(split, "shingle"))
+    main = F.min(F.struct("doc_id", "part")).over(group)["part"]
+    several = placed.select("*", main.alias("main"), F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
+    open_ = materialize(several.where("low <> high").drop("low", "high"))
     one = open_.where("part <> main").select("shingle", *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")])
     pairs = open_.join(one, "shingle").where(
         (F.col("part") != F.col("part_1"))
@@ -271,7 +281,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         & _can_link(size("place"), at("place"), size("place_1"), at("place_1"))
     )
     crossing = pairs.select(F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")).distinct()
-    more = verified(materialize(crossing), docs, by_id)
+    more = verified(materialize(crossing), docs, first)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     return sets.select("doc_id", F.col("n").alias("n_shingles")), found
