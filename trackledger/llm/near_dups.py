@@ -16,7 +16,8 @@ documents of a shingle no all pairs are made:
    gathered into components;
 2. documents of a shingle that are still in different components are paired
    across components, each one outside the smallest one's component with all
-   others, filtered and checked in the same way.
+   others, filtered and checked in the same way; here the number of shingles
+   that two prefixes share bounds the overlap as well.
 
 Every pair that could link is then either checked or inside one component, so
 the components are exact. No step caps a shingle's documents. Texts are
@@ -280,7 +281,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         & ((F.col("part") == F.col("main")) | (F.col("doc_id") < F.col("doc_id_1")))
         & _can_link(size("place"), at("place"), size("place_1"), at("place_1"))
     )
-    crossing = pairs.select(F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")).distinct()
+    # All shingles that both prefixes hold are here: n of them and the longer suffix bound the overlap.
+    na, nb = size("place"), size("place_1")
+    crossing = pairs.groupBy(F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")).agg(
+        F.count("*").alias("n"), F.max(na + nb).alias("both"), F.max(F.greatest(na, nb)).alias("longer")
+    )
+    overlap = F.col("n") + F.ceil(PERCENT * F.col("longer") / 100) - 1
+    crossing = crossing.where((100 + PERCENT) * overlap >= PERCENT * F.col("both")).select("a", "b")
     more = verified(materialize(crossing), docs, first)
     if not more.isEmpty():
         found = components(links.unionByName(more))
