@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 ROOT = "/root/testdata"
 SMALL = os.environ.get("TRACKLEDGER_SF_DIR", f"{ROOT}/sf0.001")
 # Two rows of the smallest tables share a row id, so these need larger ones.
-UNIQUE_IDS = {"dup_ids", "engine_dup_ids", "apply_delete", "apply_update", "job_dedupe_sheets"}
+UNIQUE_IDS = {"dup_ids", "engine_dup_ids", "apply_delete", "apply_update", "job_dedupe_sheets", "dedupe_sheet_order"}
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackledger.sources.files import spread_scan
 
 # Name -> SQL; a view may use the ones above it.
 VIEWS = {
@@ -37,7 +36,7 @@ FROM tracker WHERE _id % 10 <> 3""",
 SELECT sheet, _id, AC, FLEET, PN, MAIN_PN AS NHA, CATEGORY AS TOP, cast(_id % 4 AS varchar(10)) AS LEVEL,
   CASE WHEN PROPOSED_ACTION = 'NO_ACTION' THEN 'NO_ACTION' ELSE 'UPDATE_EFFECTIVITY' END AS PROPOSED_ACTION,
   FEEDBACK, Status
-FROM tracker WHERE FLEET <> 'F3'""",
+FROM tracker""",
     "engine_refresh": """
 SELECT sheet, AC, FLEET, CASE WHEN _id % 11 = 0 THEN concat('NEW', PN) ELSE PN END AS PN, NHA, TOP, LEVEL,
   CASE WHEN _id % 3 = 0 THEN 'NO_ACTION' ELSE 'UPDATE_EFFECTIVITY' END AS PROPOSED_ACTION,
@@ -89,7 +88,6 @@ def with_views(*names: str) -> str:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named view as a DataFrame over the Parquet tables."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES}
-    tables["lineitem"] = spread_scan(tables["lineitem"], "l_orderkey", "l_linenumber")
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(name)).replace('"', "`")
     sql = f"WITH {ctes} SELECT * FROM {name}"
     for t in _TABLES:

@@ -10,6 +10,7 @@ from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY
 from trackledger.operators.dedupe import keep_first
+from trackledger.operators.reconcile import reconcile
 from trackledger.plans import extracts, sheets, summaries
 from trackledger.session import scratch_path
 from trackledger.sinks.publish import read_export
@@ -91,6 +92,20 @@ QUERIES = {
     "job_dedupe_sheets": Query(
         lambda s, d: sheets.dedupe(view(s, d, "tracker")).sheets, _SQL["apply_delete"].sql
     ),
+    "dedupe_sheet_order": Query(
+        lambda s, d: sheets.dedupe(view(s, d, "tracker").withColumn("_row", -F.col("_id"))).changes,
+        f"""{with_views('tracker')} SELECT sheet, _id FROM (SELECT sheet, _id, row_number() OVER
+        (PARTITION BY sheet, AC, FLEET, PN, MAIN_PN, VENDOR ORDER BY _id DESC) AS rn FROM tracker) t WHERE rn > 1""",
+    ),
+    "reconcile_mixed_types": Query(
+        lambda s, d: reconcile(
+            keep_first(view(s, d, "engine_tracker"), ENGINE_KEY).withColumn("LEVEL", F.col("LEVEL").cast("int")),
+            keep_first(view(s, d, "engine_refresh"), ENGINE_KEY, "src_id"),
+            ENGINE_KEY,
+        ).groupBy("sheet", "op").agg(F.count("*").alias("n")),
+        f"""SELECT sheet, op, count(*) AS n
+        FROM ({reconciling.QUERIES["engine_reconcile_ops"].sql}) x GROUP BY sheet, op""",
+    ),
     "job_pack_export": Query(
         _pack_export,
         f"""{packing.with_pack(_CAP, 'partial')}

@@ -99,6 +99,13 @@ QUERIES = {
         CAST(qty AS VARCHAR) AS qty
         FROM dated WHERE (Status IS NULL OR Status <> 'Error') AND ("Created Date" IS NULL OR "Created Date" <> 'n/a')""",
     ),
+    "conform_accounts_for_all": Query(
+        lambda s, d: conform.conform_all(view(s, d, "dated")),
+        f"""{with_views('dated')} SELECT sheet, _id, AC, PN, Status,
+        TRY_CAST("Created Date" AS DATE) AS "Created Date", CAST("Modified Date" AS DATE) AS "Modified Date",
+        CAST(qty AS VARCHAR) AS qty, coalesce(Status, '') = 'Error' OR coalesce("Created Date", '') = 'n/a' AS _rejected
+        FROM dated""",
+    ),
     "conform_rejects": Query(
         lambda s, d: conform.conform(view(s, d, "dated"))[1],
         f"""{with_views('dated')}

@@ -63,6 +63,7 @@ def conform(
 
     Returns the rows in which every cell fits, and one row per cell that does
     not: sheet, row id, column, value and reason. Neither needs a shuffle.
+    ``conform_all`` returns the other rows as well.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     users = set(user_columns(df))
@@ -87,3 +88,23 @@ def conform(
         return clean, df.select(*at, F.inline(none))
     rejects = df.where(~fits).select(*at, F.inline(F.array(*cells))).where(F.col("reason").isNotNull())
     return clean, rejects
+
+
+REJECTED = "_rejected"
+
+
+def conform_all(df: DataFrame, spec: Mapping[str, Picklist | Date | Text] = SHEET_TYPES) -> DataFrame:
+    """Every row in sheet types; ``_rejected`` tells whether a cell did not fit.
+
+    A text that is not in its picklist stays as it is, a text that is not a
+    date becomes null; ``conform`` lists both.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    users = set(user_columns(df))
+    columns, fits = [], F.lit(True)
+    for c in df.columns:
+        typed, reason = _typed(c, types[c], spec.get(c, Text())) if c in users else (name(c), None)
+        columns.append(typed.alias(c))
+        if reason is not None:
+            fits = fits & reason.isNull()
+    return df.select(*columns, (~fits).alias(REJECTED))

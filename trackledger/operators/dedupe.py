@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from trackledger.functions.rules import name
 from trackledger.model import ROW_ID, SHEET
-from trackledger.operators.keys import KEY_HASH, with_key_hash
+from trackledger.operators.keys import key_hash, with_key_hash
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID, keep_hash: bool = False) -> DataFrame:
@@ -23,7 +23,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID, keep_has
     sorted here.
     """
     hashed = with_key_hash(df, keys)
-    by_key = Window.partitionBy(KEY_HASH, SHEET, *[name(k) for k in keys]).orderBy(name(order))
+    by_key = Window.partitionBy(key_hash(keys), SHEET, *[name(k) for k in keys]).orderBy(name(order))
     ranked = hashed.withColumn("_rank", F.row_number().over(by_key))
     first = ranked.where(F.col("_rank") == 1).drop("_rank")
     return first if keep_hash else first.select(*[name(c) for c in df.columns])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackledger.functions.rules import any_null, name, needs_action
 from trackledger.model import CLOSABLE, NO_ACTION, OP, SHEET
-from trackledger.operators.keys import KEY_HASH, with_key_hash
+from trackledger.operators.keys import key_hash, with_key_hash
 from trackledger.operators.skew import spread_slot
 
 UPDATE_OPS = ["REOPEN", "COMPLETE", "ERROR"]
@@ -38,11 +38,12 @@ def require_unique(df: DataFrame, keys: Sequence[str], null_safe: bool = False,
     whose hash occurs more than once are then counted by the key itself.
     """
     rows = with_key_hash(df if null_safe else df.where(~any_null(keys)), keys)
-    counted = rows.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n"))
-    repeated = counted.where(F.col("n") > 1).select(KEY_HASH)
+    hashed = key_hash(keys)
+    counted = rows.groupBy(hashed).agg(F.count(F.lit(1)).alias("n"))
+    repeated = counted.where(F.col("n") > 1).select(hashed)
     if repeated.isEmpty():
         return
-    found = key_violations(rows.join(repeated, KEY_HASH, "left_semi"), keys, null_safe).take(3)
+    found = key_violations(rows.join(repeated, hashed, "left_semi"), keys, null_safe).take(3)
     if found:
         shown = "; ".join(str(row.asDict()) for row in found)
         raise ValueError(f"{side} is not one row per key ({', '.join(keys)}): {shown}")
@@ -96,9 +97,9 @@ def reconcile(
         require_unique(current, keys, null_safe, "current")
         require_unique(refresh, keys, null_safe, "refresh")
 
-    titles = [c for c in current.columns if c != KEY_HASH]
+    titles = [c for c in current.columns if not c.startswith("_key_hash_")]
     left, right = with_key_hash(current, keys), with_key_hash(refresh, keys)
-    on = [KEY_HASH, SHEET, *keys]
+    on = [key_hash(keys), SHEET, *keys]
     if not null_safe and spread_nulls:
         left = left.withColumn("_slot", spread_slot(any_null(keys)))
         right = right.withColumn("_slot", spread_slot(any_null(keys)))
@@ -111,6 +112,8 @@ def reconcile(
     condition = F.lit(True)
     for k in on:
         l, r = side("c", k), side("r", k)
+        if k in keys and current.schema[k].dataType != refresh.schema[k].dataType:
+            l, r = l.cast("string"), r.cast("string")
         condition = condition & (l.eqNullSafe(r) if null_safe and k in keys else l == r)
     joined = left.join(right, condition, "full")
 

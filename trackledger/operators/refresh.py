@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackledger.functions.rules import name
 from trackledger.model import OP, ROW_ID, SHEET, system_columns
+from trackledger.operators.reconcile import require_unique
 from trackledger.operators.skew import spread_slot
 
 _MATCH = "_match"
@@ -33,8 +34,12 @@ def refresh_summary(current: DataFrame, new: DataFrame, key: str = "AC") -> Data
     joined on ``key``, where null matches nothing. ``op`` says what happens:
     UPDATE for matched rows, BLANK for rows only the sheet has (their user
     columns become null), UNMATCHED_NEW for rows only the extract has, which
-    have no row id and are reported, not written.
+    have no row id and are reported, not written. A key that occurs twice in a
+    sheet on either side is refused.
     """
+    for df, side_name in ((current, "current"), (new, "new")):
+        if key in df.columns:
+            require_unique(df, [key], side=side_name)
     singles = single_row_sheets(current, new)
 
     def with_match(df: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from trackledger.functions.rules import name
 # A key is hot when it holds more than this share of all rows, so there are at
 # most 1 / HOT_SHARE hot keys, whatever the data.
 HOT_SHARE = 1 / 1000
-_SLOTS = 1024
 
 # Slot of rows that do take part in the join.
 _MEETS = -1
@@ -25,7 +24,7 @@ def spread_slot(spread: Column) -> Column:
     the map task, which stays the same when a task is run again and differs
     between equal rows of different tasks.
     """
-    return F.when(spread, F.spark_partition_id() % _SLOTS).otherwise(F.lit(_MEETS))
+    return F.when(spread, F.spark_partition_id()).otherwise(F.lit(_MEETS))
 
 
 def attach_by_key(

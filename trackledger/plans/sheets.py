@@ -9,9 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackledger.functions.conform import SHEET_TYPES, conform
+from trackledger.functions.conform import SHEET_TYPES, conform, conform_all
 from trackledger.functions.rules import impose_schema, select_user_columns, user_schema
-from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, SHEET, user_columns
+from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, ROW_ORDER, SHEET, user_columns
 from trackledger.operators.changes import apply_delete, apply_insert, change_set, command_counts
 from trackledger.operators.dedupe import duplicate_ids
 from trackledger.operators.reconcile import inserts, next_snapshot, reconcile
@@ -73,9 +73,13 @@ def dedupe(
     registry: DataFrame | None = None,
     tag: str = "ac",
     keys: Sequence[str] = AIRFRAME_KEY,
-    order: str = ROW_ID,
+    order: str | None = None,
 ) -> Outcome:
-    """Delete every row that is not the first of its key."""
+    """Delete every row that is not the first of its key.
+
+    Rows are in sheet order: by ``_row`` where the data has it, else by id.
+    """
+    order = order or (ROW_ORDER if ROW_ORDER in current.columns else ROW_ID)
     if registry is not None:
         current = select_by_tag(current, registry, tag)
     deleted = materialize(duplicate_ids(current, keys, order))
@@ -84,7 +88,7 @@ def dedupe(
     )
 
 
-def dedupe_engine(current: DataFrame, registry: DataFrame | None = None, order: str = ROW_ID) -> Outcome:
+def dedupe_engine(current: DataFrame, registry: DataFrame | None = None, order: str | None = None) -> Outcome:
     return dedupe(current, registry, "engine", ENGINE_KEY, order)
 
 
@@ -113,5 +117,5 @@ def get_sheets(df: DataFrame, path: str, format: str = "parquet") -> None:
 
 
 def update_sheets(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows in sheet types, and the cells that do not fit."""
-    return conform(df, SHEET_TYPES)
+    """All rows in sheet types, flagged where a cell does not fit, and those cells."""
+    return conform_all(df, SHEET_TYPES), conform(df, SHEET_TYPES)[1]

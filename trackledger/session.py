@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,11 +21,14 @@ SETTINGS = {
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, also used for checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without
-    that setting, such as a test session on one machine, gets a local folder.
+    The cluster names it in ``spark.checkpoint.dir``. Without that setting a
+    session on one machine (master ``local``) gets a local folder, and any other
+    one is refused: its executors could not see each other's files.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not path and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="trackledger-")
     if not context.getCheckpointDir():

@@ -82,7 +82,17 @@ def _stamped(registry: DataFrame, df: DataFrame, run_date: dt.date | str | None)
     return joined.withColumn("date", date).select(*registry.columns)
 
 
+def require_one_entry(registry: DataFrame, column: str) -> None:
+    """Raise when the registry names a sheet, or a target, more than once."""
+    named = registry.where(name(column).isNotNull() & (name(column) != ""))
+    found = named.groupBy(name(column)).agg(F.count("*").alias("n")).where("n > 1").take(3)
+    if found:
+        raise ValueError(f"registry repeats {column}: {[row[0] for row in found]}")
+
+
 def _replace(df: DataFrame, ids: DataFrame, root: str) -> None:
+    require_one_entry(ids, SHEET)
+    require_one_entry(ids, ID)
     rows = df.join(ids.select(SHEET, F.col(ID).alias(SHEET_ID)), SHEET)
     (
         rows.hint("rebalance", SHEET_ID)
@@ -98,10 +108,12 @@ def publish(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | s
 
     The table below ``root`` has one folder per sheet id. Spark writes the new
     rows to a staging folder and swaps the folders of these sheets when the job
-    commits: ids stay, other sheets are not touched, and a job that fails
-    changes nothing. A sheet without rows in ``df`` is not touched either.
+    commits: ids stay and other sheets are not touched. The swap is folder by
+    folder: a job that fails before its commit changes nothing, one that fails
+    in it may leave some sheets new and some old. A sheet without rows in ``df``
+    is not touched. A registry that names a sheet or an id twice is refused.
     Returns the registry with ids and dates filled in; ``unregistered_rows``
-    lists what the registry does not name.
+    lists what the registry does not name, which the job writes apart.
     """
     ids = assign_ids(registry)
     _replace(df, ids, root)
@@ -124,9 +136,18 @@ def unregistered_rows(df: DataFrame, registry: DataFrame) -> DataFrame:
     return df.join(registry.select(SHEET), SHEET, "left_anti")
 
 
-def read_published(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Published rows with the sheet id; ``schema`` is that of the rows."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(SHEET_ID, T.StringType())])).parquet(root)
+def read_published(
+    spark: SparkSession, root: str, schema: T.StructType, registry: DataFrame | None = None
+) -> DataFrame:
+    """Published rows with the sheet id; ``schema`` is that of the rows.
+
+    With the registry only the sheets that it names now are read: not those
+    whose rows have moved to a target since.
+    """
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(SHEET_ID, T.StringType())])).parquet(root)
+    if registry is None:
+        return rows
+    return rows.join(registry.select(F.col(ID).alias(SHEET_ID)).distinct(), SHEET_ID, "left_semi").select(*rows.columns)
 
 
 def rows_per_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:

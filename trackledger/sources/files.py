@@ -65,19 +65,6 @@ def read_extracts(
     return df.withColumn(SOURCE, F.col("_metadata.file_path")) if source else df
 
 
-def spread_scan(df: DataFrame, *by: str) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores, by the given columns.
-
-    A small table may be one file with one row group, which one task reads;
-    the work after the scan then uses all cores. A large table has many splits
-    and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[name(c) for c in by])
-
-
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames; columns a frame lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
