@@ -58,9 +58,10 @@ def test_publish_jobs(spark, inputs, tmp_path):
 def test_update_get_split_and_seed_jobs(spark, inputs, tmp_path):
     total = spark.read.parquet(inputs["raw"]).count()
     run(spark, ["update", "--sheets", inputs["raw"], "--out", str(tmp_path / "u")])
-    clean = spark.read.parquet(str(tmp_path / "u/sheets")).count()
+    kept = spark.read.parquet(str(tmp_path / "u/sheets"))
+    clean = kept.where("NOT _rejected").count()
     bad = spark.read.parquet(str(tmp_path / "u/rejects")).select("_id").distinct().count()
-    assert clean == 0 and bad >= total - 1
+    assert kept.count() == total and clean == 0 and bad >= total - 1
     extract = str(tmp_path / "extract")
     spark.read.parquet(inputs["raw"]).select("_id", "sheet", "AC", "PN", "FEEDBACK").write.parquet(extract)
     for job in ("get", "split", "seed"):
