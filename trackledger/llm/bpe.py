@@ -1,13 +1,16 @@
 """Operator 5: byte-level BPE encoding and decoding by a rank file.
 
 Texts are cut into the pattern's words on whole chunks of bytes; a chunk then
-is one row with its distinct words as byte arrays and a code per place. Spark
-higher-order functions fold the ranked merges over the byte arrays: every step
-joins the adjacent pair of lowest rank, the first one of equals, until no pair
-has a rank. The rank map is a literal: two arrays of slots (cuckoo hashing), of
-which a pair is in the one or the other at its key's remainder.
-Chunks never leave their task: there is no shuffle, and nothing is gathered
-beyond a chunk.
+is one row with its distinct words as byte arrays and a code per place. A word
+that is a piece itself has that piece's id. For all others Spark higher-order
+functions fold the ranked merges over the byte arrays: every step joins the
+adjacent pair of lowest rank, the first one of equals, until no pair has a rank.
+The fold carries the ranks of the pairs along, so a step looks up only the two
+pairs beside the joined one. The rank map is a literal: two arrays of slots
+(cuckoo hashing), of which a pair is in the one or the other at its key's
+remainder.
+Chunks never leave their task: there is no shuffle. A task folds a word once: it
+remembers up to ``WORDS`` words and their ids for its later chunks.
 
 Words over ``LONG`` bytes (one step per byte makes the fold quadratic) get the
 same merges from the same map with a heap.
@@ -28,19 +31,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackledger.llm.words import bounds, gather, pretokens, slices, text_column
+from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
 
 CHUNK = 16 << 20
 LONG = 256
+WORDS = 2_000_000  # that a task remembers
 BYTES = LONG  # no slice of a folded word is longer
 NONE = 1 << 16
+RANK_SHIFT = 28  # of an entry of the fold; the bits between the id and the rank hold the start
 #: Primes; a quarter of the slots is used by a map of 50,000 pieces.
 SLOTS = (199_999, 200_003)
 
-CHUNKS = "doc_ids array<long>, firsts binary, codes binary, words array<array<short>>, long_words binary"
+CHUNKS = "doc_ids array<long>, firsts binary, codes binary, base long, known binary, words array<array<short>>, long_words binary"
 
 
 class Ranks:
@@ -56,6 +62,8 @@ class Ranks:
         if len(self.pieces) > NONE:
             raise ValueError(f"the rank map holds at most {NONE} pieces")
         self.piece_array = np.array(self.pieces, dtype=object)
+        self.decimals = np.array([str(k) for k in range(len(self.pieces))], dtype=object)
+        self.arrow = pa.array(self.pieces, pa.binary())
         self.bytes = [self.ids[bytes([b])] for b in range(256)]
         self._fill_slots()
 
@@ -85,6 +93,10 @@ class Ranks:
                 return slots[key % size] % NONE
         return NONE
 
+    def doubles(self) -> list[int]:
+        """Rank of each pair of bytes, at 256 times the first plus the second."""
+        return [self.join(a, b) for a in self.bytes for b in self.bytes]
+
     def merged(self, word: bytes) -> list[int]:
         """The merges of one long word, by a heap over its places."""
         piece = [self.bytes[b] for b in word]
@@ -115,69 +127,115 @@ def _literal(values) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def merge_words(words: Column, table: Ranks) -> Column:
-    """Ids of each byte array (array of arrays): the fold over ranked merges."""
-    one, two, first = (_literal(x) for x in (*table.slots, table.bytes))
+    """Ids of each byte array (array of arrays): the fold over ranked merges.
+
+    The fold's state is one array of numbers, an entry for each piece: the rank
+    of the pair that it begins, where it starts in the word, and its id. The
+    smallest entry is the leftmost pair of lowest rank. An edge that joins
+    nothing stands before and after the word, so all neighbours exist.
+    """
+    one, two, doubles = (_literal(x) for x in (*table.slots, table.doubles()))
+    first = _literal(table.bytes)
+    unjoined = NONE << RANK_SHIFT
+    edge = F.array(F.lit(unjoined + NONE - 1).cast("long"))
 
     def rank(left: Column, right: Column) -> Column:
-        key = left * NONE + right
+        """The rank of two ids, shifted to its place in an entry."""
+        key = F.shiftleft(left, 16).bitwiseOR(right)
         found = [F.get(slots, (key % size).cast("int")) for slots, size in zip((one, two), SLOTS)]
-        low = [x.bitwiseAND(F.lit(NONE - 1)) for x in found]
-        return F.when(F.shiftright(found[0], 16) == key, low[0]).when(F.shiftright(found[1], 16) == key, low[1])
-
-    def step(state: Column, _: Column) -> Column:
-        def join(pairs: Column) -> Column:
-            best = F.array_min(pairs)
-            place = F.array_position(pairs, best).cast("int")
-            return F.when(best.isNull(), state).otherwise(
-                F.concat(F.slice(state, F.lit(1), place - 1), F.array(best), F.slice(state, place + 2, BYTES))
+        low = [F.shiftleft(x.bitwiseAND(F.lit(NONE - 1)), RANK_SHIFT) for x in found]
+        hit = F.when(F.shiftright(found[0], 16) == key, low[0]).when(F.shiftright(found[1], 16) == key, low[1])
+        return hit.otherwise(F.lit(unjoined))
+
+    def number(entry: Column) -> Column:
+        return entry.bitwiseAND(F.lit(NONE - 1).cast("long"))
+
+    def below(entry: Column, bits: int) -> Column:
+        return entry.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+    # A fold over one value names it, so that it is worked out once.
+    def step(now: Column, _: Column) -> Column:
+        return F.aggregate(F.array(F.array_min(now)), now, joined)
+
+    def joined(now: Column, best: Column) -> Column:
+        def at(now: Column, place: Column) -> Column:
+            piece = F.shiftright(best, RANK_SHIFT)
+            before, after = F.get(now, place - 2), F.get(now, place + 1)
+            start = below(best, RANK_SHIFT) - number(best)
+            two = F.array(
+                rank(number(before), piece).bitwiseOR(below(before, RANK_SHIFT)),
+                rank(piece, number(after)).bitwiseOR(start.bitwiseOR(piece)),
             )
+            return F.concat(F.slice(now, F.lit(1), place - 2), two, F.slice(now, place + 2, BYTES + 2))
 
-        return _let(F.zip_with(state, F.slice(state, 2, BYTES), rank), join)
+        place = F.array_position(now, best).cast("int")
+        return F.when(best >= unjoined, now).otherwise(F.aggregate(F.array(place), now, at))
 
-    def fold(word: Column) -> Column:
+    def start(word: Column) -> Column:
         # get() counts from 0: a byte is its own position.
-        start = F.transform(word, lambda b: F.get(first, b.cast("int")))
-        return F.when(F.size(word) < 2, start).otherwise(
-            F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step)
+        ids = F.transform(word, lambda b, k: F.shiftleft((k + 1).cast("long"), 16).bitwiseOR(F.get(first, b.cast("int"))))
+        pairs = F.zip_with(
+            word, F.slice(word, 2, BYTES), lambda a, b: F.coalesce(F.get(doubles, a.cast("int") * 256 + b.cast("int")), F.lit(NONE).cast("long"))
+        )
+        entries = F.zip_with(ids, pairs, lambda x, r: F.shiftleft(r, RANK_SHIFT).bitwiseOR(x))
+        return F.concat(edge, entries, edge)
+
+    def fold(word: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.size(word)),
+            start(word),
+            step,
+            lambda end: F.transform(F.slice(end, F.lit(2), F.size(end) - 2), number),
         )
 
     return F.transform(words, fold)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text", CHUNK):
-            words, first = pretokens(text_column(part.column(1)))
-            coded = words.dictionary_encode()
-            distinct = coded.dictionary
-            at = np.frombuffer(distinct.buffers()[1], np.int32)[: len(distinct) + 1] if len(distinct) else np.zeros(1, np.int32)
-            data = np.frombuffer(distinct.buffers()[2], np.uint8) if len(distinct) else np.zeros(0, np.uint8)
-            sizes = np.diff(at).astype(np.int64)
-            long = sizes > LONG
-            short = gather(data, at[:-1].astype(np.int64), np.where(long, 0, sizes))
-            arrays = pa.ListArray.from_arrays(
-                pa.array(bounds(np.where(long, 0, sizes)), pa.int32()), pa.array(short.astype(np.int16))
-            )
-            # Long words travel as bytes: their number, length and text.
-            packed = b"".join(
-                np.array([k, sizes[k]], "<i8").tobytes() + data[at[k] : at[k + 1]].tobytes() for k in np.flatnonzero(long)
-            )
-            yield pa.record_batch(
-                [
-                    pa.array([part.column(0)], pa.list_(pa.int64())),
-                    pa.array([first.astype("<i8").tobytes()], pa.binary()),
-                    pa.array([np.asarray(coded.indices).astype("<i4").tobytes()], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), arrays),
-                    pa.array([packed], pa.binary()),
-                ],
-                names=["doc_ids", "firsts", "codes", "words", "long_words"],
-            )
+def _chunks(path: str):
+    """Rows of ``CHUNKS``; ``codes`` count the words that the task knows, from 0.
+
+    ``known`` and ``words`` are about the chunk's new words only. A task that
+    knows ``WORDS`` words forgets them (``base`` 0 again).
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[bytes, int] = {}
+        for batch in batches:
+            for part in slices(batch, "text", CHUNK):
+                words, first = pretokens(text_column(part.column(1)))
+                coded = words.dictionary_encode()
+                if len(numbers) > WORDS:
+                    numbers = {}
+                base = len(numbers)
+                number = np.array([numbers.setdefault(w, len(numbers)) for w in coded.dictionary.to_pylist()], np.int32)
+                new = coded.dictionary.filter(pa.array(number >= base, pa.bool_()))
+                known = pc.index_in(new, value_set=ranks(path).arrow)
+                known = np.asarray(pc.fill_null(known, -1)).astype("<i4")
+                data, at = raw(new.cast(pa.large_binary()))
+                sizes = np.diff(at)
+                folded = np.flatnonzero((known < 0) & (sizes <= LONG))
+                short = gather(data, at[folded], sizes[folded])
+                arrays = pa.ListArray.from_arrays(pa.array(bounds(sizes[folded]), pa.int32()), pa.array(short.astype(np.int16)))
+                # Long words travel as bytes: their number, length and text.
+                packed = b"".join(
+                    np.array([k, sizes[k]], "<i8").tobytes() + data[at[k] : at[k + 1]].tobytes()
+                    for k in np.flatnonzero((known < 0) & (sizes > LONG))
+                )
+                yield pa.record_batch(
+                    [
+                        pa.array([part.column(0)], pa.list_(pa.int64())),
+                        pa.array([first.astype("<i8").tobytes()], pa.binary()),
+                        pa.array([number[np.asarray(coded.indices)].astype("<i4").tobytes()], pa.binary()),
+                        pa.array([base], pa.int64()),
+                        pa.array([known.tobytes()], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array([0, len(folded)], pa.int32()), arrays),
+                        pa.array([packed], pa.binary()),
+                    ],
+                    names=["doc_ids", "firsts", "codes", "base", "known", "words", "long_words"],
+                )
+
+    return cut
 
 
 def _unpack(packed: bytes) -> Iterator[tuple[int, bytes]]:
@@ -188,20 +246,39 @@ def _unpack(packed: bytes) -> Iterator[tuple[int, bytes]]:
         at += 16 + size
 
 
+def _new_ids(path: str, known: np.ndarray, word_ids: pa.ListArray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of ids of each) of a chunk's new words: pieces, folded ones, long ones by the heap."""
+    long = {number: ranks(path).merged(word) for number, word in _unpack(packed)}
+    own = np.diff(np.asarray(word_ids.offsets)).astype(np.int64)
+    counts = (known >= 0).astype(np.int64)
+    for number, found in long.items():
+        counts[number] = len(found)
+    folded = counts == 0
+    counts[folded] = own
+    starts = bounds(counts)[:-1]
+    ids = np.empty(counts.sum(), np.int32)
+    ids[starts[known >= 0]] = known[known >= 0]
+    ids[gather(np.arange(len(ids)), starts[folded], own)] = np.asarray(word_ids.flatten())
+    for number, found in long.items():
+        ids[starts[number] : starts[number] + len(found)] = found
+    return ids, counts
+
+
 def _encoded(path: str, finish):
-    """Per chunk: ids of its words (short by the fold, long by the heap), then ``finish``."""
+    """Per chunk: ids of the words that the task knows so far, then ``finish``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 3))
-                firsts, codes, packed = (batch.column(c)[row].as_py() for c in (1, 2, 4))
-                counts = np.diff(np.asarray(word_ids.offsets)).astype(np.int64)
-                ids = np.asarray(word_ids.flatten())
-                for number, word in _unpack(packed):
-                    found = ranks(path).merged(word)
-                    at = int(counts[:number].sum())
-                    ids, counts[number] = np.insert(ids, at, found), len(found)
+                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 5))
+                firsts, codes, base, known, packed = (batch.column(c)[row].as_py() for c in (1, 2, 3, 4, 6))
+                if base == 0:
+                    ids, counts = ids[:0], counts[:0]
+                if base != len(counts):
+                    raise ValueError("chunks of a task came out of order")
+                new = _new_ids(path, np.frombuffer(known, "<i4"), word_ids, packed)
+                ids, counts = np.concatenate([ids, new[0]]), np.concatenate([counts, new[1]])
                 yield finish(doc_ids, np.frombuffer(firsts, "<i8"), np.frombuffer(codes, "<i4"), ids, counts)
 
     return encode
@@ -212,13 +289,15 @@ def encode(docs: DataFrame, path: str, finish, schema: str) -> DataFrame:
 
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
-    of all distinct words with their number per word.
+    of all words that the task knows with their number per word.
     """
-    chunks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_chunks, CHUNKS)
+    chunks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_chunks(path), CHUNKS)
     folded = chunks.select(
         "doc_ids",
         "firsts",
         "codes",
+        "base",
+        "known",
         merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words"),
         "long_words",
     )
@@ -262,21 +341,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def _digests(path: str):
     def finish(doc_ids, firsts, codes, ids, counts) -> pa.RecordBatch:
-        starts = bounds(counts)
-        listed = ids.tolist()
-        spelled = np.array(
-            [" ".join(map(str, listed[a:b])) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())] or [""],
-            dtype=object,
-        )
+        table, starts = ranks(path), bounds(counts)[:-1]
         # One document at a time: the ids of a chunk are never held flat at once.
         n_tokens, id_sums, text_sums = [], [], []
         for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist()):
             own = codes[a:b]
-            flat = gather(ids, starts[:-1][own], counts[own])
+            flat = gather(ids, starts[own], counts[own])
             n_tokens.append(len(flat))
-            id_sums.append(hashlib.sha256(" ".join(spelled[own].tolist()).encode()).hexdigest())
-            text = decode_ids(ranks(path), flat)
-            text_sums.append(hashlib.sha256(text).hexdigest())
+            id_sums.append(hashlib.sha256(" ".join(table.decimals[flat].tolist()).encode()).hexdigest())
+            text_sums.append(hashlib.sha256(decode_ids(table, flat)).hexdigest())
         return pa.record_batch(
             [doc_ids, pa.array(n_tokens, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
