@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
 
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 LONG = 256
 WORDS = 2_000_000  # that a task remembers
 BYTES = LONG  # no slice of a folded word is longer
@@ -138,7 +138,7 @@ def merge_words(words: Column, table: Ranks) -> Column:
     one, two, doubles = (_literal(x) for x in (*table.slots, table.doubles()))
     first = _literal(table.bytes)
     unjoined = NONE << RANK_SHIFT
-    edge = F.array(F.lit(unjoined + NONE - 1).cast("long"))
+    before, after = (F.array(F.lit(unjoined + (k << 16) + NONE - 1).cast("long")) for k in (0, 4095))
 
     def rank(left: Column, right: Column) -> Column:
         """The rank of two ids, shifted to its place in an entry."""
@@ -161,15 +161,16 @@ def merge_words(words: Column, table: Ranks) -> Column:
     def joined(now: Column, best: Column) -> Column:
         def at(now: Column, place: Column) -> Column:
             piece = F.shiftright(best, RANK_SHIFT)
-            before, after = F.get(now, place - 2), F.get(now, place + 1)
+            left, right = F.get(now, place - 2), F.get(now, place + 1)
             start = below(best, RANK_SHIFT) - number(best)
             two = F.array(
-                rank(number(before), piece).bitwiseOR(below(before, RANK_SHIFT)),
-                rank(piece, number(after)).bitwiseOR(start.bitwiseOR(piece)),
+                rank(number(left), piece).bitwiseOR(below(left, RANK_SHIFT)),
+                rank(piece, number(right)).bitwiseOR(start.bitwiseOR(piece)),
             )
             return F.concat(F.slice(now, F.lit(1), place - 2), two, F.slice(now, place + 2, BYTES + 2))
 
-        place = F.array_position(now, best).cast("int")
+        # Starts ascend. array_position() would leave its loop by an exception, which costs more.
+        place = F.size(F.filter(now, lambda entry: below(entry, RANK_SHIFT) <= below(best, RANK_SHIFT)))
         return F.when(best >= unjoined, now).otherwise(F.aggregate(F.array(place), now, at))
 
     def start(word: Column) -> Column:
@@ -179,7 +180,7 @@ def merge_words(words: Column, table: Ranks) -> Column:
             word, F.slice(word, 2, BYTES), lambda a, b: F.coalesce(F.get(doubles, a.cast("int") * 256 + b.cast("int")), F.lit(NONE).cast("long"))
         )
         entries = F.zip_with(ids, pairs, lambda x, r: F.shiftleft(r, RANK_SHIFT).bitwiseOR(x))
-        return F.concat(edge, entries, edge)
+        return F.concat(before, entries, after)
 
     def fold(word: Column) -> Column:
         return F.aggregate(

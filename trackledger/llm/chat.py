@@ -13,20 +13,24 @@ each block yields its best scores from every state to every state (a product
 over the max-plus algebra), so only a small matrix per block meets in one
 task; then every block is decoded between its known ends.
 
-Defined results: a null text is an empty line; a null role counts for no table
-and is recovered like any other; turns that share a number are ordered by
-text; unknown roles are rendered as ``user``; an empty table gives no rows.
+Defined results: a null text is an empty line; a null or unknown role counts for
+no table and is recovered like any other; turns that share a number are ordered
+by text and all returned; rows without ``conv_id`` are one conversation; turns
+without a number come first in theirs; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from trackledger.llm.toxicity import held_out
 
@@ -35,6 +39,7 @@ ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)
 START = STATES  # before the first line
 BLOCK = 1024
+BATCH = 2048
 FOLD = 0
 
 # Names that transcripts use for the roles.
@@ -122,18 +127,37 @@ def transcript(conversations: DataFrame, unmarked: int = 4) -> DataFrame:
     ).withColumn("block", F.floor(F.col("turn") / BLOCK))
 
 
-def _lines(frame: pd.DataFrame) -> tuple[list[int], list[tuple[int, ...]]]:
-    """(row of each line, what is seen of it) in the order of turns; a blank line parts turns."""
+def _lines(shown: Sequence[str]) -> tuple[list[int], list[tuple[int, ...]]]:
+    """(number of the turn of each line, what is seen of it) in the order of turns; a blank line parts turns."""
     owner, seen = [], []
-    for row, shown in enumerate(frame["shown"]):
-        for k, line in enumerate(shown.split("\n")):
-            owner.append(row)
+    for number, turn in enumerate(shown):
+        for k, line in enumerate(turn.split("\n")):
+            owner.append(number)
             seen.append(observe(line, k == 0))
     return owner, seen
 
 
-def _sorted(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.sort_values(["turn", "text"], kind="stable").reset_index(drop=True)
+def _sorted_runs(frame: DataFrame, *keys: str, order: Sequence[str]) -> DataFrame:
+    """Rows of equal ``keys`` in one task, after each other; many runs to a task, not a call for each."""
+    return frame.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """The rows of each run of equal first ``keys`` columns (nulls are equal)."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if held and row[:keys] != held[0][:keys]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while part := list(itertools.islice(rows, BATCH)):
+        yield pa.record_batch([pa.array(column, field.type) for column, field in zip(zip(*part), schema)], schema=schema)
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,55 +208,53 @@ def render(role: str, text: str) -> str:
 
 def recover(lines: DataFrame, tables: Tables) -> DataFrame:
     """conv_id, turn, role (recovered), n_lines, unmarked, rendered of every turn."""
-    keys = "conv_id long, block long"
+    key = [("conv_id", pa.int64()), ("block", pa.int64())]
+    product_schema = pa.schema([*key, ("total", pa.list_(pa.float64()))])
+    ends_schema = pa.schema([*key, ("before", pa.int32()), ("last", pa.int32())])
+    turn_schema = pa.schema(
+        [key[0], ("turn", pa.int64()), ("role", pa.string()), ("n_lines", pa.int64()), ("unmarked", pa.bool_()), ("rendered", pa.string())]
+    )
 
-    def product(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = _sorted(frame)
-        _, seen = _lines(frame)
-        total = tables.product(tables.seen(seen))
-        return pd.DataFrame({"conv_id": frame["conv_id"][:1], "block": frame["block"][:1], "total": [total.ravel().tolist()]})
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for run in _runs(batches, 2):
+            _, seen = _lines([row[4] for row in run])
+            yield *run[0][:2], tables.product(tables.seen(seen)).ravel().tolist()
 
-    def ends(frame: pd.DataFrame) -> pd.DataFrame:
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """The state before each block and its last, along the best path over blocks."""
-        frame = frame.sort_values("block")
-        steps = [np.array(t).reshape(STATES + 1, STATES) for t in frame["total"]]
-        score, back = steps[0][START], []
-        for step in steps[1:]:
-            each = score[:, None] + step[:STATES]
-            back.append(each.argmax(axis=0))
-            score = each.max(axis=0)
-        last = [int(score.argmax())]
-        for step in reversed(back):
-            last.append(int(step[last[-1]]))
-        last = [START, *last[::-1]]
-        return pd.DataFrame({"conv_id": frame["conv_id"], "block": frame["block"], "before": last[:-1], "last": last[1:]})
-
-    def decode(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = _sorted(frame)
-        owner, seen = _lines(frame)
-        states = tables.path(tables.seen(seen), int(frame["before"][0]), int(frame["last"][0]))
-        role: dict[int, int] = {}
-        for row, state in zip(owner, states):
-            role.setdefault(row, state // 2)
-        names = [ROLES[role[k]] for k in range(len(frame))]
-        return pd.DataFrame(
-            {
-                "conv_id": frame["conv_id"],
-                "turn": frame["turn"],
-                "role": names,
-                "n_lines": frame["shown"].map(lambda x: x.count("\n") + 1),
-                "unmarked": frame["unmarked"],
-                "rendered": [render(n, t) for n, t in zip(names, frame["text"])],
-            }
-        )
-
-    blocks = lines.groupBy("conv_id", "block")
-    totals = blocks.applyInPandas(product, f"{keys}, total array<double>")
-    bounds = totals.groupBy("conv_id").applyInPandas(ends, f"{keys}, before int, last int")
-    joined = lines.join(bounds, ["conv_id", "block"])
-    return joined.groupBy("conv_id", "block").applyInPandas(
-        decode, "conv_id long, turn long, role string, n_lines long, unmarked boolean, rendered string"
-    )
+        for run in _runs(batches, 1):
+            steps = [np.array(row[2]).reshape(STATES + 1, STATES) for row in run]
+            score, back = steps[0][START], []
+            for step in steps[1:]:
+                each = score[:, None] + step[:STATES]
+                back.append(each.argmax(axis=0))
+                score = each.max(axis=0)
+            last = [int(score.argmax())]
+            for step in reversed(back):
+                last.append(int(step[last[-1]]))
+            last = [START, *last[::-1]]
+            yield from ((*row[:2], *pair) for row, pair in zip(run, itertools.pairwise(last)))
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (_, _, _, _, before, last, *_), *run in _runs(batches, 2):
+            owner, seen = _lines([row[6] for row in run])
+            role: dict[int, int] = {}
+            for number, state in zip(owner, tables.path(tables.seen(seen), before, last)):
+                role.setdefault(number, state // 2)
+            for k, (conv_id, _, turn, text, _, _, shown, unmarked) in enumerate(run):
+                name = ROLES[role[k]]
+                yield conv_id, turn, name, shown.count("\n") + 1, unmarked, render(name, text)
+
+    def mapped(frame: DataFrame, rows, schema: pa.Schema) -> DataFrame:
+        return frame.mapInArrow(lambda batches: _batches(rows(batches), schema), from_arrow_schema(schema))
+
+    turns = _sorted_runs(lines.select("conv_id", "block", "turn", "text", "shown"), "conv_id", "block", order=["turn", "text"])
+    totals = _sorted_runs(mapped(turns, products, product_schema), "conv_id", order=["block"])
+    # A block's ends come before its turns.
+    marks = mapped(totals, ends, ends_schema).withColumn("is_turn", F.lit(False))
+    both = lines.withColumn("is_turn", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    both = _sorted_runs(both, "conv_id", "block", order=["is_turn", "turn", "text"])
+    return mapped(both.select("conv_id", "block", "turn", "text", "before", "last", "shown", "unmarked"), decoded, turn_schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
