@@ -140,9 +140,11 @@ def merge_words(words: Column, table: Ranks) -> Column:
     unjoined = NONE << RANK_SHIFT
     before, after = (F.array(F.lit(unjoined + (k << 16) + NONE - 1).cast("long")) for k in (0, 4095))
 
-    def rank(left: Column, right: Column) -> Column:
-        """The rank of two ids, shifted to its place in an entry."""
-        key = F.shiftleft(left, 16).bitwiseOR(right)
+    def key(left: Column, right: Column) -> Column:
+        return F.shiftleft(left, 16).bitwiseOR(right)
+
+    def rank(key: Column) -> Column:
+        """The rank of a key's two ids, shifted to its place in an entry."""
         found = [F.get(slots, (key % size).cast("int")) for slots, size in zip((one, two), SLOTS)]
         low = [F.shiftleft(x.bitwiseAND(F.lit(NONE - 1)), RANK_SHIFT) for x in found]
         hit = F.when(F.shiftright(found[0], 16) == key, low[0]).when(F.shiftright(found[1], 16) == key, low[1])
@@ -163,9 +165,10 @@ def merge_words(words: Column, table: Ranks) -> Column:
             piece = F.shiftright(best, RANK_SHIFT)
             left, right = F.get(now, place - 2), F.get(now, place + 1)
             start = below(best, RANK_SHIFT) - number(best)
-            two = F.array(
-                rank(number(left), piece).bitwiseOR(below(left, RANK_SHIFT)),
-                rank(piece, number(right)).bitwiseOR(start.bitwiseOR(piece)),
+            two = F.zip_with(
+                F.array(key(number(left), piece), key(piece, number(right))),
+                F.array(below(left, RANK_SHIFT), start.bitwiseOR(piece)),
+                lambda pair, low: rank(pair).bitwiseOR(low),
             )
             return F.concat(F.slice(now, F.lit(1), place - 2), two, F.slice(now, place + 2, BYTES + 2))
 
@@ -175,16 +178,18 @@ def merge_words(words: Column, table: Ranks) -> Column:
 
     def start(word: Column) -> Column:
         # get() counts from 0: a byte is its own position.
-        ids = F.transform(word, lambda b, k: F.shiftleft((k + 1).cast("long"), 16).bitwiseOR(F.get(first, b.cast("int"))))
-        pairs = F.zip_with(
-            word, F.slice(word, 2, BYTES), lambda a, b: F.coalesce(F.get(doubles, a.cast("int") * 256 + b.cast("int")), F.lit(NONE).cast("long"))
-        )
-        entries = F.zip_with(ids, pairs, lambda x, r: F.shiftleft(r, RANK_SHIFT).bitwiseOR(x))
+        def entry(b: Column, k: Column) -> Column:
+            pair = F.get(doubles, b.cast("int") * 256 + F.get(word, k + 1).cast("int"))
+            low = F.shiftleft((k + 1).cast("long"), 16).bitwiseOR(F.get(first, b.cast("int")))
+            return F.shiftleft(F.coalesce(pair, F.lit(NONE).cast("long")), RANK_SHIFT).bitwiseOR(low)
+
+        entries = F.transform(word, entry)
         return F.concat(before, entries, after)
 
     def fold(word: Column) -> Column:
+        # A word of n bytes has n - 1 merges at most; further steps change nothing.
         return F.aggregate(
-            F.sequence(F.lit(1), F.size(word)),
+            F.sequence(F.lit(2), F.size(word)),
             start(word),
             step,
             lambda end: F.transform(F.slice(end, F.lit(2), F.size(end) - 2), number),
