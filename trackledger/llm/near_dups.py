@@ -7,8 +7,9 @@ corpus, then by hash. Two sets with a Jaccard similarity of ``PERCENT`` or more
 share a shingle among their first ``n - ceil(PERCENT n / 100) + 1``, so only
 these prefixes are shuffled, by shingle.
 
-Texts with the same set are one class, of which one stands for all. Within the
-documents of a shingle no all pairs are made:
+Texts with the same set are one class, of which one stands for all. Pairs within
+the documents of a shingle are made in two rounds (the second one still grows with
+the square of a shingle's documents where these stay in many components):
 
 1. every document is paired with the smallest one; filters by length, position
    and suffix (a histogram of the whole set) drop pairs that can't reach the
