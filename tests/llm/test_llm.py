@@ -197,6 +197,27 @@ def test_language_model_counts_and_beats_unigrams(shared, odd, none, sf_dir):
     assert lm.score(*lm.fit(none)).count() == 0
 
 
+def test_language_model_tells_words_of_a_class_apart_by_context(shared, monkeypatch):
+    """Words of one class share no context; features are not folded, whatever the number of buckets."""
+    # Held-out texts: those whose crc32 falls into the fold.
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    other = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    docs = [(i, f"before{k % 500:03} behind{k % 500:03}") for k, i in enumerate(ids[:5000])]
+    seen, changed = [(i, k, k) for k, i in enumerate(other[:400])], [(i, k, k + 1) for k, i in enumerate(other[400:800])]
+    docs += [(i, f"before{a:03} behind{b:03}") for i, a, b in seen + changed]
+    docs.append((ids[5000], " ".join(f"c{k % lm.FREQUENT}" for k in range(2400))))  # classes of their own
+    docs.append((other[800], " ".join(f"w{k % 1000}" for k in range(lm.PART + 5))))  # a text of two parts
+    frame = shared.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for size in (lm.BUCKET, 1 << 12):
+        monkeypatch.setattr(lm, "BUCKET", size)
+        found.append({r["doc_id"]: r for r in lm.score(*lm.fit(frame)).collect()})
+    one, two = found
+    assert len(one) == len(docs) and one[other[800]]["n_tokens"] == lm.PART + 6
+    assert all(abs(one[i]["score"] - two[i]["score"]) < 1e-4 * one[i]["n_tokens"] for i in one)
+    assert all(one[i]["score"] > one[j]["score"] + 0.5 for (i, *_), (j, *_) in zip(seen, changed))
+
+
 def test_fingerprints(odd, none):
     found = fingerprints.fingerprint_with_next(odd).collect()
     order = sorted(texts(odd), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
