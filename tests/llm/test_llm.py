@@ -182,6 +182,15 @@ def test_toxic_documents_are_found(shared, none, sf_dir):
     assert toxicity.reject(none, model).columns == none.columns
 
 
+def test_toxicity_takes_one_row_of_a_labelled_id(shared):
+    docs = [(i, f"{'vile nasty' if i % 2 else 'kind nice'} word{i % 7} text") for i in range(60)]
+    labels = shared.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    copies = [(i, "a vile nasty row") for i in (2, 4, 6, 8) for _ in range(40)]  # smaller than the ids' own texts
+    one, two = (toxicity.train(shared.createDataFrame(d, "doc_id long, text string"), labels) for d in (docs, docs + copies))
+    assert all(np.array_equal(a, b) for a, b in zip(vars(one).values(), vars(two).values()))
+    assert len(one.slots)
+
+
 def test_language_model_counts_and_beats_unigrams(shared, odd, none, sf_dir):
     for docs in (odd.where("doc_id IS NOT NULL"), shared.read.parquet(f"{sf_dir}/documents.parquet")):
         found = lm.score(*lm.fit(docs)).collect()

@@ -142,10 +142,12 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 0, max_train: int = MA
         .orderBy(F.xxhash64("_labelled"), "_labelled")
         .limit(max_train)
     )
-    # Bounded: at most max_train rows of two numbers.
+    # Bounded: at most max_train rows of two numbers; an id that repeats gives one text, the largest.
     sample = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(materialize(chosen)), F.col("doc_id") == F.col("_labelled"))
+        .groupBy("doc_id")
+        .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
         .select("text", "toxic")
     )
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
