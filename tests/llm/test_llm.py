@@ -81,6 +81,15 @@ def test_token_files_are_in_order_and_random_access(odd, none, shared):
     assert token_files.read_documents(empty).count() == 0
 
 
+def test_token_files_know_added_tokens():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    cases = ["plain text", "a<|endoftext|>b", "", "é <|endoftext|><|endoftext|> x", "end"]
+    ids, counts = token_files.word_encoder(path)(words.text_column(__import__("pyarrow").array(cases)))
+    want = [library.encode(t, add_special_tokens=False).ids for t in cases]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
 def test_exact_duplicates_keep_the_largest_id(odd, none):
     groups = collections.defaultdict(list)
     for i, t in texts(odd):

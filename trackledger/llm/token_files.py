@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,6 +57,8 @@ class WordEncoder:
         tokenizer = Tokenizer.from_file(path)
         self.size = tokenizer.get_vocab_size()
         self._model = tokenizer.model
+        self._whole = tokenizer
+        self._added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._signs = _byte_signs(level)
         self._known: dict[bytes, bytes] = {}
@@ -75,7 +78,21 @@ class WordEncoder:
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text)."""
+        """(ids of all texts, ids per text); texts that hold an added token are encoded by the library."""
+        ids, counts = self._by_words(texts)
+        marked = np.zeros(len(texts), dtype=bool)
+        for token in self._added:
+            marked |= np.asarray(pc.match_substring(texts, token).fill_null(False))
+        if not marked.any():
+            return ids, counts
+        parts = np.split(ids, bounds(counts)[1:-1])
+        for k in np.flatnonzero(marked):
+            own = texts[int(k)].as_py()
+            own = own.decode() if isinstance(own, bytes) else own
+            parts[k] = np.array(self._whole.encode(own, add_special_tokens=False).ids, dtype="<u4")
+        return np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words, first = pretokens(texts)
         coded = words.dictionary_encode()
         found = self._encode(coded.dictionary.to_pylist())
