@@ -1,7 +1,21 @@
 """Registered queries of this subpackage, and the same in SQL where SQL can say it."""
 
 from trackledger.catalog.base import Query
-from trackledger.llm import bpe, chat, exact_dedup, fingerprints, lm, mixing, near_dups, quality, token_files, toxicity, warc, whitening
+from trackledger.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    fingerprints,
+    lm,
+    mixing,
+    near_dups,
+    quality,
+    search,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": Query(fingerprints.query),
@@ -15,5 +29,6 @@ QUERIES: dict[str, Query] = {
     "op9_warc": Query(warc.query, warc.SQL),
     "op10_token_files": Query(token_files.query),
     "op11_whitening": Query(whitening.query),
+    "op12_search": Query(search.query, search.SQL),
     "op13_quality": Query(quality.query),
 }

@@ -131,16 +131,19 @@ def pretokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.searchsorted(first, at)
 
 
-def tokens(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(
+    texts: pa.Array, lower: bool = True, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs without ASCII white space, A-Z lower-cased.
 
+    ``inside`` says of each of the 256 bytes whether it belongs to a run instead.
     Returns the bytes, where each run begins and ends, and the number of each
     text's first run and the end.
     """
     data, at = raw(texts)
     if lower and len(data):
         data = data + ((data >= 0x41) & (data <= 0x5A)).astype(np.uint8) * np.uint8(32)
-    word = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
+    word = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D))) if inside is None else inside[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[at] = True
     begin = word.copy()
