@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -212,13 +213,13 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
     """``docs`` without the rows that score below ``threshold``; all columns stay."""
 
     @F.pandas_udf("double")
-    def scores(texts: Iterator) -> Iterator:
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = model.scorer()
         for text in texts:
             array = text_column(pa.array(text, pa.string(), from_pandas=True))
             parts = slices(pa.record_batch([array], names=["text"]), "text", CHUNK)
             found = [scorer(text_column(p.column(0))) for p in parts]
-            yield type(text)(np.concatenate(found) if found else np.zeros(0))
+            yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return docs.where(scores(F.col("text")) >= threshold)
 

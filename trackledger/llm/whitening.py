@@ -197,12 +197,12 @@ def leading_eigenvalues(diagonal: np.ndarray, beside: np.ndarray, count: int) ->
         middle = low + (high - low) / 2
         if ((middle <= low) | (middle >= high) | (high - low <= 2 * _EPS * np.maximum(np.abs(low), np.abs(high)))).all():
             break
-        pivot = diagonal[0] - middle
-        below = (pivot < 0).astype(np.int64)
-        for k in range(1, size):
+        below, pivot = np.zeros(count, dtype=np.int64), diagonal[0] - middle
+        for k in range(size):
             pivot = np.where(np.abs(pivot) < least, -least, pivot)
-            pivot = diagonal[k] - middle - squares[k - 1] / pivot
             below += pivot < 0
+            if k + 1 < size:
+                pivot = diagonal[k + 1] - middle - squares[k] / pivot
         high = np.where(below >= wanted, middle, high)
         low = np.where(below >= wanted, low, middle)
     return low + (high - low) / 2
@@ -303,7 +303,7 @@ def fit(vectors: DataFrame, components: int = COMPONENTS) -> Whitening | None:
     matrix = covariance(vectors, centre)
     values, rows = principal(matrix, components)
     trace = float(np.trace(matrix))
-    live = values > _EPS * centre.size * max(trace, 0)
+    live = values > 16 * _EPS * centre.size * max(trace, 0)  # below, rounding is all there is
     explained = np.where(live, values, 0) / trace if trace > 0 else np.zeros(len(values))
     return Whitening(centre, values, explained, rows, live)
 
