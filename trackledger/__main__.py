@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackledger.plans import extracts, sheets, summaries
 from trackledger.session import SETTINGS
-from trackledger.sinks.publish import folder_counts, unregistered_rows
+from trackledger.sinks.publish import folder_counts
 from trackledger.sources.files import read_extracts
 from trackledger.sources.registry import read_registry
 
@@ -41,9 +41,10 @@ def _refresh_summary(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _publish(spark: SparkSession, a: argparse.Namespace, run) -> None:
-    kept = run(read_extracts(spark, a.sheets), read_registry(spark, a.registry), f"{a.out}/sheets", a.run_date)
-    kept.write.json(f"{a.out}/registry")
-    _write(unregistered_rows(read_extracts(spark, a.sheets), kept), f"{a.out}/left_out")
+    done = run(read_extracts(spark, a.sheets), read_registry(spark, a.registry), f"{a.out}/sheets", a.run_date)
+    done.registry.write.json(f"{a.out}/registry")
+    _write(done.left_out, f"{a.out}/left_out")
+    done.account.show(truncate=False)
 
 
 def _update(spark: SparkSession, a: argparse.Namespace) -> None:

@@ -14,7 +14,7 @@ from trackledger.catalog.fixtures import view, with_views
 from trackledger.functions import rules
 from trackledger.model import SHEET, SHEET_JSON, user_columns
 from trackledger.session import scratch_path
-from trackledger.sinks import publish
+from trackledger.sinks import publish, versions
 from trackledger.sources import files, registry, sheets, text
 
 _ROWS_PER_SHEET = 10_000
@@ -190,6 +190,59 @@ def _publish_target(spark: SparkSession, sf: str) -> DataFrame:
     return published.join(entries.select("sheet", "date"), "sheet")
 
 
+def _partly_registered(spark: SparkSession, sf: str) -> DataFrame:
+    """SHEET_F2 is not in the registry, SHEET_F3 has no target."""
+    target = F.when(F.col("sheet") != "SHEET_F3", F.col("target_id"))
+    return _registry(spark, sf).where("sheet <> 'SHEET_F2'").withColumn("target_id", target)
+
+
+def _publish_left_out(spark: SparkSession, sf: str) -> DataFrame:
+    """Every input row of a set and of a reformat, and where it went."""
+    rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
+    entries, found = _partly_registered(spark, sf), []
+    for job, to_target in (("set", False), ("reformat", True)):
+        root = scratch_path(spark, "published")
+        done = publish.publish_version(rows, entries, root, "2025-02-18", to_target)
+        went = publish.read_published(spark, root, rows.schema).drop("sheet_id").withColumn("went", F.lit(True))
+        stayed = done.left_out.withColumn("went", F.lit(False))
+        found.append(went.unionByName(stayed).withColumn("job", F.lit(job)))
+    return files.union_by_name(found)
+
+
+def _publish_account(spark: SparkSession, sf: str) -> DataFrame:
+    """Fates of all rows of a reformat over sheets that had been set before."""
+    rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
+    root = scratch_path(spark, "published")
+    entries = _partly_registered(spark, sf)
+    known = publish.publish(rows, entries, root, "2025-02-18")
+    done = publish.publish_version(rows.where("Status = 'Issue'"), known, root, "2025-02-19", to_target=True)
+    return done.account.select("sheet", "fate", "reason", "n_rows")
+
+
+def _publish_set_then_reformat(spark: SparkSession, sf: str) -> DataFrame:
+    """Moved sheets are under their target only; one without a target stays as it was, with its date."""
+    rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
+    root = scratch_path(spark, "published")
+    target = F.when(F.col("sheet") != "SHEET_F3", F.col("target_id"))
+    entries = publish.publish(rows, _registry(spark, sf).withColumn("target_id", target), root, "2025-02-18")
+    moved = publish.publish_to_target(rows.where("Status = 'Issue'"), entries, root, "2025-02-19")
+    published = publish.read_published(spark, root, rows.schema, moved)
+    found = published.join(moved.select(F.col("id").alias("sheet_id"), "date"), "sheet_id")
+    return found.withColumn("sheet_id", F.when(F.col("sheet_id").startswith("200"), F.col("sheet_id")).otherwise("own"))
+
+
+def _publish_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """A set of all sheets with rows for one: the others are there, empty."""
+    rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
+    root = scratch_path(spark, "published")
+    entries = publish.publish(rows, _registry(spark, sf), root, "2025-02-18")
+    some = rows.where("sheet = 'SHEET_F1'")
+    kept = publish.publish_version(some, entries, root, "2025-02-19", covers=publish.with_source(entries)).registry
+    left = publish.read_published(spark, root, rows.schema).groupBy("sheet_id").agg(F.count("*").alias("n"))
+    held = versions.live(spark, root).join(left, "sheet_id", "left").join(kept, F.col("sheet_id") == F.col("id"))
+    return held.select("sheet", "date", "n_rows", F.coalesce("n", F.lit(0)).alias("n_read"))
+
+
 def _folder_counts(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "tracker").select("FLEET", "CATEGORY", "AC", "_id")
     path = scratch_path(spark, "folders")
@@ -275,6 +328,32 @@ QUERIES = {
         f"""{_TRACKER} SELECT sheet, _id, Status, concat('200', substr(FLEET, 2)) AS sheet_id, '2025-02-18' AS date
         FROM tracker""",
     ),
+    "publish_left_out": Query(
+        _publish_left_out,
+        f"""{_TRACKER} SELECT sheet, _id, Status, sheet <> 'SHEET_F2' AS went, 'set' AS job FROM tracker
+        UNION ALL SELECT sheet, _id, Status, sheet = 'SHEET_F1' AS went, 'reformat' AS job FROM tracker""",
+    ),
+    "publish_account": Query(
+        _publish_account,
+        f"""{_TRACKER}, i AS (SELECT sheet, count(*) AS n FROM tracker WHERE Status = 'Issue' GROUP BY sheet)
+        SELECT sheet, CASE WHEN sheet = 'SHEET_F1' THEN 'moved' ELSE 'left_out' END AS fate,
+          CASE sheet WHEN 'SHEET_F2' THEN 'not in the registry' WHEN 'SHEET_F3' THEN 'no target' END AS reason,
+          n AS n_rows FROM i
+        UNION ALL SELECT sheet, 'cleared' AS fate, CAST(NULL AS VARCHAR) AS reason, count(*) AS n_rows FROM tracker
+        WHERE sheet = 'SHEET_F1' GROUP BY sheet""",
+    ),
+    "publish_set_then_reformat": Query(
+        _publish_set_then_reformat,
+        f"""{_TRACKER} SELECT sheet, _id, Status,
+        CASE WHEN FLEET <> 'F3' THEN concat('200', substr(FLEET, 2)) ELSE 'own' END AS sheet_id,
+        CASE WHEN FLEET <> 'F3' THEN '2025-02-19' ELSE '2025-02-18' END AS date
+        FROM tracker WHERE FLEET = 'F3' OR Status = 'Issue'""",
+    ),
+    "publish_empty": Query(
+        _publish_empty,
+        f"""{_TRACKER} SELECT sheet, '2025-02-19' AS date, count(*) FILTER (WHERE FLEET = 'F1') AS n_rows,
+        count(*) FILTER (WHERE FLEET = 'F1') AS n_read FROM tracker GROUP BY sheet""",
+    ),
     "folder_counts": Query(
         _folder_counts,
         f"""{_TRACKER} SELECT FLEET AS folder, count(*) AS category_rows, count(*) AS ac_rows

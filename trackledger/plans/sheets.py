@@ -17,7 +17,7 @@ from trackledger.operators.dedupe import duplicate_ids
 from trackledger.operators.reconcile import inserts, next_snapshot, reconcile
 from trackledger.operators.refresh import refresh_summary, refreshed_rows
 from trackledger.session import materialize
-from trackledger.sinks.publish import export_sheets, publish, publish_to_target, rows_per_group
+from trackledger.sinks.publish import Published, export_sheets, publish_version, rows_per_group, with_source
 from trackledger.sources.registry import select_by_tag
 
 
@@ -100,16 +100,14 @@ def refresh_summaries(current: DataFrame, new: DataFrame, key: str = "AC") -> Ou
     )
 
 
-def set_sheets(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None) -> DataFrame:
-    """Create or replace sheets; returns the registry to keep."""
-    return publish(df, registry, root, run_date)
+def set_sheets(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None) -> Published:
+    """Create or replace sheets; those with a source and without rows become empty."""
+    return publish_version(df, registry, root, run_date, covers=with_source(registry))
 
 
-def reformat_sheets(
-    df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None
-) -> DataFrame:
-    """Replace the target sheets; returns the registry to keep."""
-    return publish_to_target(df, registry, root, run_date)
+def reformat_sheets(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None) -> Published:
+    """Replace the target sheets; targets of sheets with a source and without rows become empty."""
+    return publish_version(df, registry, root, run_date, to_target=True, covers=with_source(registry))
 
 
 def get_sheets(df: DataFrame, path: str, format: str = "parquet") -> None:

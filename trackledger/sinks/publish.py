@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,12 @@ from pyspark.sql import types as T
 
 from trackledger.functions.rules import name, utc_now
 from trackledger.model import SHEET
+from trackledger.session import materialize
+from trackledger.sinks import versions
+from trackledger.sinks.versions import SHEET_ID
 from trackledger.sources import text
 
 ID = "id"
-SHEET_ID = "sheet_id"
 
 
 def export_by(
@@ -74,14 +77,6 @@ def assign_ids(registry: DataFrame) -> DataFrame:
     return registry.withColumn(ID, F.when(has_id, F.col(ID)).otherwise(new_sheet_id()))
 
 
-def _stamped(registry: DataFrame, df: DataFrame, run_date: dt.date | str | None) -> DataFrame:
-    now = utc_now() if run_date is None else F.lit(str(run_date))
-    written = df.select(SHEET).distinct().withColumn("_written", F.lit(True))
-    joined = registry.join(written, SHEET, "left")
-    date = F.when(F.col("_written"), now).otherwise(F.col("date"))
-    return joined.withColumn("date", date).select(*registry.columns)
-
-
 def require_one_entry(registry: DataFrame, column: str) -> None:
     """Raise when the registry names a sheet, or a target, more than once."""
     named = registry.where(name(column).isNotNull() & (name(column) != ""))
@@ -90,45 +85,110 @@ def require_one_entry(registry: DataFrame, column: str) -> None:
         raise ValueError(f"registry repeats {column}: {[row[0] for row in found]}")
 
 
-def _replace(df: DataFrame, ids: DataFrame, root: str) -> None:
-    require_one_entry(ids, SHEET)
-    require_one_entry(ids, ID)
-    rows = df.join(ids.select(SHEET, F.col(ID).alias(SHEET_ID)), SHEET)
-    (
-        rows.hint("rebalance", SHEET_ID)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SHEET_ID)
-        .parquet(root)
+@dataclass(frozen=True)
+class Published:
+    """What a publish did.
+
+    ``registry`` is the one to keep. ``account`` has rows ``sheet, sheet_id,
+    fate, reason, n_rows``: input rows are ``published`` (under the sheet's own
+    id), ``moved`` (under its target's) or ``left_out``; rows that were there
+    before and are no more are ``cleared``. ``left_out`` are the input rows that
+    went nowhere.
+    """
+
+    registry: DataFrame
+    account: DataFrame
+    left_out: DataFrame
+
+
+def publish_version(
+    df: DataFrame,
+    registry: DataFrame,
+    root: str,
+    run_date: dt.date | str | None = None,
+    to_target: bool = False,
+    covers: DataFrame | None = None,
+) -> Published:
+    """Create or replace sheets in the versioned table below ``root``.
+
+    Each sheet's rows go under its id, or with ``to_target`` under its target's,
+    whose rows they replace; the sheet's own rows then go, and the target goes
+    by the sheet's name. The input is read once: rows without a place are
+    written beside the others, and everything else is counted from what was
+    written. The new version counts all at once, by the last step.
+
+    Sheets with rows in ``df`` are set, and those that ``covers`` (column
+    ``sheet``) names, too, when they have none: these become empty. All others
+    stay as they are. Only sheets that were set get a new date. A registry that
+    names a sheet, an id or a target twice is refused, also if it would do so
+    after the move.
+    """
+    spark = df.sparkSession
+    entries = registry if to_target else assign_ids(registry)
+    require_one_entry(entries, SHEET)
+    place = F.col("target_id") if to_target else F.col(ID)
+    places = entries.where(place.isNotNull() & (place != "")).select(SHEET, ID, place.alias(SHEET_ID))
+    require_one_entry(places, SHEET_ID)
+
+    before = materialize(versions.live(spark, root))
+    version = versions.add_rows(df.join(places.select(SHEET, SHEET_ID), SHEET, "left").select(*df.columns, SHEET_ID), root)
+    written = versions.version_rows(spark, root, version, df.schema)
+    counts = materialize(written.groupBy(SHEET, SHEET_ID).agg(F.count(F.lit(1)).alias(versions.ROWS)))
+    placed = counts.where(F.col(SHEET_ID).isNotNull())
+    named = placed.select(SHEET) if covers is None else placed.select(SHEET).unionByName(covers.select(SHEET))
+    # One row a sheet that was set, with the number of its rows, 0 if it is empty now.
+    done = places.join(named.distinct(), SHEET, "left_semi").join(placed.select(SHEET, versions.ROWS), SHEET, "left")
+    done = materialize(done.na.fill(0, subset=[versions.ROWS]))
+
+    moved_id = F.col(SHEET_ID) if to_target else F.col(ID)
+    set_now = done.select(SHEET, moved_id.alias("_id_now"), F.lit(True).alias("_written"))
+    stamp = utc_now() if run_date is None else F.lit(str(run_date))
+    kept = materialize(
+        entries.join(set_now, SHEET, "left")
+        .withColumn("date", F.when(F.col("_written"), stamp).otherwise(F.col("date")))
+        .withColumn(ID, F.coalesce("_id_now", ID))
+        .select(*registry.columns)
     )
+    require_one_entry(kept, ID)
+
+    gone = done.select(SHEET_ID).unionByName(done.select(F.col(ID).alias(SHEET_ID))) if to_target else done.select(SHEET_ID)
+    gone = gone.where(F.col(SHEET_ID).isNotNull()).distinct()
+    new = done.select(SHEET_ID, F.lit(version).alias(versions.VERSION), versions.ROWS)
+    state = before.join(gone, SHEET_ID, "left_anti").unionByName(new)
+
+    def fates(rows: DataFrame, fate: str, reason: Column) -> DataFrame:
+        return rows.select(SHEET, SHEET_ID, F.lit(fate).alias("fate"), reason.alias("reason"), versions.ROWS)
+
+    none = F.lit(None).cast("string")
+    known = entries.select(SHEET, F.lit("no target").alias("_why"))
+    left = counts.where(F.col(SHEET_ID).isNull()).join(known, SHEET, "left")
+    # Rows that go were those of the sheet that had this id, else of the target's new one.
+    owners = done.where(F.col(ID).isNotNull()).select(SHEET, F.col(ID).alias(SHEET_ID))
+    names = owners.unionByName(done.select(SHEET, SHEET_ID).join(owners.select(SHEET_ID), SHEET_ID, "left_anti"))
+    cleared = before.join(gone, SHEET_ID, "left_semi").join(names, SHEET_ID, "left")
+    account = fates(done, "moved" if to_target else "published", none)
+    account = account.unionByName(fates(left, "left_out", F.coalesce("_why", F.lit("not in the registry"))))
+    account = materialize(account.unionByName(fates(cleared, "cleared", none)).where(F.col(versions.ROWS) > 0))
+
+    versions.commit(state, root, version)
+    return Published(kept, account, written.where(F.col(SHEET_ID).isNull()).drop(SHEET_ID))
 
 
 def publish(df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None) -> DataFrame:
-    """Create or replace the sheets of ``df`` that the registry names.
-
-    The table below ``root`` has one folder per sheet id. Spark writes the new
-    rows to a staging folder and swaps the folders of these sheets when the job
-    commits: ids stay and other sheets are not touched. The swap is folder by
-    folder: a job that fails before its commit changes nothing, one that fails
-    in it may leave some sheets new and some old. A sheet without rows in ``df``
-    is not touched. A registry that names a sheet or an id twice is refused.
-    Returns the registry with ids and dates filled in; ``unregistered_rows``
-    lists what the registry does not name, which the job writes apart.
-    """
-    ids = assign_ids(registry)
-    _replace(df, ids, root)
-    return _stamped(ids, df, run_date)
+    """Create or replace the sheets of ``df``; the registry with ids and dates filled in."""
+    return publish_version(df, registry, root, run_date).registry
 
 
 def publish_to_target(
     df: DataFrame, registry: DataFrame, root: str, run_date: dt.date | str | None = None
 ) -> DataFrame:
-    """Replace the target sheet of each sheet, which then goes by the new name."""
-    has_target = F.col("target_id").isNotNull() & (F.col("target_id") != "")
-    moved = registry.where(has_target).withColumn(ID, F.col("target_id"))
-    _replace(df, moved, root)
-    renamed = registry.withColumn(ID, F.when(has_target, F.col("target_id")).otherwise(F.col(ID)))
-    return _stamped(renamed, df, run_date)
+    """Replace the target sheet of each sheet of ``df``, which then goes by the new name."""
+    return publish_version(df, registry, root, run_date, to_target=True).registry
+
+
+def with_source(registry: DataFrame) -> DataFrame:
+    """Sheets whose entry names a source: a job that sets them empties those without rows."""
+    return registry.where(F.col("src").isNotNull() & (F.col("src") != "")).select(SHEET)
 
 
 def unregistered_rows(df: DataFrame, registry: DataFrame) -> DataFrame:
@@ -141,10 +201,9 @@ def read_published(
 ) -> DataFrame:
     """Published rows with the sheet id; ``schema`` is that of the rows.
 
-    With the registry only the sheets that it names now are read: not those
-    whose rows have moved to a target since.
+    With the registry only the sheets that it names are read.
     """
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(SHEET_ID, T.StringType())])).parquet(root)
+    rows = versions.live_rows(spark, root, schema)
     if registry is None:
         return rows
     return rows.join(registry.select(F.col(ID).alias(SHEET_ID)).distinct(), SHEET_ID, "left_semi").select(*rows.columns)
