@@ -71,6 +71,38 @@ def test_large_partitions_are_cut_into_blocks(spark, monkeypatch, bits):
     assert [r["i"] for r in numbered.orderBy("FLEET", "CATEGORY", "PN").collect()] == list(range(1, 152))
 
 
+@pytest.mark.parametrize("cap,bits", [(37, 2), (5000, 3), (9, 0)])
+def test_no_task_holds_more_than_two_tables(spark, monkeypatch, cap, bits):
+    """One group over very many blocks, beside groups that begin and end inside them."""
+    monkeypatch.setattr(blocks, "_POSITION_BITS", bits)
+    plain = pack._composed
+
+    def checked(by, cap):
+        compose = plain(by, cap)
+
+        def run(pair):
+            assert len(pair) <= 2 * (cap + 1) and pair["_node"].nunique() <= 2
+            return compose(pair)
+
+        return run
+
+    monkeypatch.setattr(pack, "_composed", checked)
+    rng = random.Random(bits)
+    groups = {("F", "B"): {f"P{k:04d}": rng.choice([1, 2, 3, 11, 40]) for k in range(400 if bits else 90)}}
+    groups |= {("F", c): {f"P{k}": k + 1 for k in range(3)} for c in ("A", "C")}
+    units = counted(spark, groups)
+    cut = blocks.ordered_blocks(units, ["FLEET", "CATEGORY", "PN"], partitions=3)
+    assert cut.where("CATEGORY = 'B'").select("_block").distinct().count() > 40
+    assert got(pack.pack_units(units, cap=cap, partitions=3)) == brute(groups, cap)
+
+
+def test_rows_before_blocks_with_gaps(spark):
+    sizes = {b: b % 5 for b in (0, 1, 2, 3, 8, 9, 31, 8192, 8193, 3 << 13, 5 << 20)}
+    frame = spark.createDataFrame(list(sizes.items()), "_block long, _n long")
+    want = {b: sum(n for c, n in sizes.items() if c < b) for b in sizes}
+    assert {r["_block"]: r["_offset"] for r in blocks.rows_before(frame).collect()} == want
+
+
 def test_exact_fit_and_oversized(spark):
     groups = {
         ("F", "A"): {"P1": 60, "P2": 40, "P3": 1},

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trackledger.functions.rules import name
-from trackledger.session import checkpoint
+from trackledger.session import checkpoint, materialize
 
 BLOCK = "_block"
 POSITION = "_pos"
@@ -39,6 +38,30 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], partitions: int | None =
     )
 
 
+def rows_before(sizes: DataFrame) -> DataFrame:
+    """``_block, _offset``: how many rows lie in the blocks before each one.
+
+    ``sizes`` is ``_block, _n``. The blocks are the leaves of a tree in which
+    two nodes make one of the next level. Every block adds its size to the nodes
+    above it, and takes the sums of those nodes that end where it begins: the
+    left neighbours of the right-hand nodes on its way up. Both steps are
+    aggregates and a join on (level, node), so no task sees all blocks.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(63 - _POSITION_BITS))).alias("_level")
+    node = F.call_function("shiftright", F.col(BLOCK), F.col("_level"))
+    above = sizes.select(BLOCK, "_n", level).withColumn("_node", node)
+    is_left = F.col("_node").bitwiseAND(F.lit(1)) == 0
+    left = above.where(is_left).groupBy("_level", "_node").agg(F.sum("_n").alias("_sum"))
+    wanted = above.where(~is_left).select(BLOCK, "_level", (F.col("_node") - 1).alias("_node"))
+    found = wanted.join(left, ["_level", "_node"]).groupBy(BLOCK).agg(F.sum("_sum").alias("_offset"))
+    return sizes.select(BLOCK).join(found, BLOCK, "left").na.fill(0, subset=["_offset"])
+
+
+def block_sizes(cut: DataFrame) -> DataFrame:
+    """``_block, _n``, written: two numbers per partition or million rows."""
+    return materialize(cut.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n")))
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -48,21 +71,16 @@ def number_rows(
 ) -> DataFrame:
     """Number all rows ``start + 1, start + 2, ...`` in the given order.
 
-    Only the block sizes, one row per block, pass through a single task. Rows
-    that are equal in ``order`` may be many; the partition they come from
-    decides between them, so that they need not share one partition.
+    The rows are sorted by range and cut into blocks; ``rows_before`` says where
+    the numbers of a block begin. Rows that are equal in ``order`` may be many;
+    the partition they come from decides between them, so that they need not
+    share one partition.
     """
     tied = df.withColumn("_tie", F.spark_partition_id())
     cut = ordered_blocks(tied, [*order, "_tie"], partitions)
-    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(BLOCK)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
+    before = materialize(rows_before(block_sizes(cut)))
     start = start if isinstance(start, Column) else F.lit(start)
-    # Two numbers per partition or million rows, hence small enough to broadcast.
-    return cut.join(F.broadcast(offsets), BLOCK).select(
+    return cut.join(before, BLOCK).select(
         *[name(c) for c in df.columns if c != column],
         (start + F.col("_offset") + F.col(POSITION) + 1).cast("long").alias(column),
     )

@@ -10,12 +10,16 @@ hold most units, so the walk over a group is cut into ordered blocks:
 
 1. every block works out, in parallel, how it would end for any room left on
    the sheet that is open when the block begins (``_outcomes``);
-2. a short walk over these outcomes, block after block, finds the room each
-   block really begins with (``_starts``);
+2. outcomes are composed two by two, neighbour with neighbour, until one table
+   tells how a whole group ends; on the way back down every table turns the
+   begin of its right neighbour from unknown to known (``block_starts``). Each of
+   these rounds is a grouped step over all pairs of all groups, as many as the
+   number of blocks of the longest group has binary digits;
 3. every block then assigns its own units, again in parallel (``_assign``).
 
 An outcome table has at most ``cap + 1`` entries, as only that many units can
-come before the first sheet change in a block.
+come before the first sheet change in a block. No task holds more than two
+tables of a group, or the units of one block.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import types as T
 
 from trackledger.functions.rules import any_null, name
 from trackledger.model import SHEET_ROW_CAP
-from trackledger.operators.blocks import BLOCK, POSITION, ordered_blocks
+from trackledger.operators.blocks import BLOCK, ordered_blocks, rows_before
 from trackledger.operators.skew import attach_by_key
 from trackledger.session import materialize
 
@@ -38,6 +42,8 @@ SHEET_NO = "sheet_no"
 SHEET_NAME = "sheet_name"
 GROUP = ("FLEET", "CATEGORY")
 UNIT = "PN"
+_NODE = "_node"
+_UP = "_up"
 
 
 def unit_counts(df: DataFrame, by: Sequence[str] = GROUP, unit: str = UNIT) -> DataFrame:
@@ -104,39 +110,94 @@ def _outcomes(by: list[str], cap: int) -> Callable[[Iterator[pd.DataFrame]], Ite
     return run
 
 
-def _starts(by: list[str], cap: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per block and group: rows on the open sheet, and its number, at the begin."""
+def _composed(by: list[str], cap: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """How two neighbours end together, from how each of them ends."""
+
+    def run(pair: pd.DataFrame) -> pd.DataFrame:
+        pair = pair.sort_values([_NODE, "reach"], ignore_index=True)
+        key = {c: pair[c].iloc[0] for c in [*by, _UP]}
+        is_left = (pair[_NODE] % 2 == 0).to_numpy()
+        one, two = (pair.loc[at, ["reach", "opens", "used"]].to_numpy(dtype=np.int64) for at in (is_left, ~is_left))
+        if len(one) and len(two):
+            # What the right one makes of the room that the left one leaves.
+            at = np.searchsorted(two[:, 0], cap - one[:, 2], side="right")
+            fits = at == len(two)
+            at = np.minimum(at, len(two) - 1)
+            opens = one[:, 1] + np.where(fits, 0, two[at, 1])
+            used = np.where(fits, np.minimum(one[:, 2] + two[-1, 0], cap), two[at, 2])
+            # With more room than the left one needs, the right one begins on the same sheet.
+            reach = np.concatenate([one[:, 0], two[:, 0] + one[-1, 0]])
+            opens, used = np.concatenate([opens, two[:, 1]]), np.concatenate([used, two[:, 2]])
+            # No sheet has more room than the cap: one entry beyond it is the last.
+            last = int(np.searchsorted(reach, cap, side="right")) + 1
+            reach, opens, used = reach[:last], opens[:last], used[:last]
+            keep = np.append((opens[1:] != opens[:-1]) | (used[1:] != used[:-1]), True)
+            table = np.column_stack([reach[keep], opens[keep], used[keep]])
+        else:
+            table = one if len(one) else two
+        out = pd.DataFrame(table, columns=["reach", "opens", "used"])
+        for column, value in key.items():
+            out[_NODE if column == _UP else column] = value
+        return out[[*by, _NODE, "reach", "opens", "used"]]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, block_key, used, number = None, None, cap, 0
-        reach, opens, ends = [], [], []
+    return run
 
-        def step(used: int, number: int) -> tuple[int, int]:
-            bounds = np.concatenate(reach)
-            at = int(np.searchsorted(bounds, cap - used, side="right"))
-            if at == len(bounds):
-                return min(used + int(bounds[-1]), cap), number
-            return int(np.concatenate(ends)[at]), number + int(np.concatenate(opens)[at])
 
-        for batch in batches:
-            found = []
-            for key, part in batch.groupby([*by, "_block"], sort=False):
-                if key != block_key:
-                    if block_key is not None and key[:-1] == group:
-                        used, number = step(used, number)
-                    else:
-                        # A full sheet number 0 makes the first unit open sheet 1.
-                        group, used, number = key[:-1], cap, 0
-                    block_key = key
-                    reach, opens, ends = [], [], []
-                    found.append((*key, used, number))
-                reach.append(part["reach"].to_numpy())
-                opens.append(part["opens"].to_numpy())
-                ends.append(part["used"].to_numpy())
-            if found:
-                yield pd.DataFrame(found, columns=[*by, "_block", "_used", "_number"])
+def _passed(begins: DataFrame, tables: DataFrame, by: list[str], cap: int) -> DataFrame:
+    """``_used, _number`` behind the left-hand tables, from those before them."""
+    left = tables.where(f"{_NODE} % 2 = 0").withColumn(_UP, F.shiftright(_NODE, 1)).drop(_NODE)
+    room = F.lit(cap) - F.col("_used")
+    entry = F.when(F.col("reach") > room, F.struct("reach", "opens", "used"))
+    ends = (
+        begins.join(left, [*by, _UP])
+        .groupBy(*by, _UP, "_used", "_number")
+        .agg(F.min(entry).alias("end"), F.max("reach").alias("all"))
+    )
+    return ends.select(
+        *by,
+        _UP,
+        F.coalesce("end.used", F.least(F.col("_used") + F.col("all"), F.lit(cap))).alias("_used_after"),
+        (F.col("_number") + F.coalesce("end.opens", F.lit(0))).alias("_number_after"),
+    )
 
-    return run
+
+def block_starts(outcomes: DataFrame, by: Sequence[str], cap: int) -> DataFrame:
+    """``by, _block, _used, _number``: rows on the open sheet, and its number, where each block begins.
+
+    A full sheet number 0 makes the first unit of a group open sheet 1.
+    """
+    by = list(by)
+    blocks = materialize(outcomes.select(*by, BLOCK).distinct())
+    full = [F.lit(cap).cast("long").alias("_used"), F.lit(0).cast("long").alias("_number")]
+    # Blocks in a row, without gaps, so that neighbours have neighbouring numbers.
+    ranks = rows_before(materialize(blocks.select(BLOCK).distinct().withColumn("_n", F.lit(1))))
+    placed = materialize(blocks.join(ranks.withColumnRenamed("_offset", _NODE), BLOCK))
+    spans = placed.groupBy(*by).agg(F.min(_NODE).alias("first"), F.max(_NODE).alias("last")).where("first < last")
+    spans = materialize(spans)
+    digits = F.length(F.bin(F.col("first").bitwiseXOR(F.col("last"))))
+    height = spans.agg(F.max(digits)).first()[0]
+    if height is None:  # every group lies in one block
+        return blocks.select(*by, BLOCK, *full)
+    schema = T.StructType([outcomes.schema[c] for c in by])
+    for column in (_NODE, "reach", "opens", "used"):
+        schema = schema.add(column, T.LongType())
+    open_ = outcomes.join(spans.select(*by), by, "left_semi").join(placed, [*by, BLOCK])
+    levels = [materialize(open_.select(*schema.names))]
+    for _ in range(height - 1):
+        pairs = levels[-1].withColumn(_UP, F.shiftright(_NODE, 1)).groupBy(*by, _UP)
+        levels.append(materialize(pairs.applyInPandas(_composed(by, cap), schema)))
+    begins = spans.select(*by, F.shiftright("first", height).alias(_NODE), *full)
+    for tables in reversed(levels):
+        above = begins.withColumnRenamed(_NODE, _UP)
+        nodes = tables.select(*by, _NODE).distinct().withColumn(_UP, F.shiftright(_NODE, 1))
+        found = nodes.join(above, [*by, _UP]).join(_passed(above, tables, by, cap), [*by, _UP], "left")
+        right = F.col(_NODE) % 2 == 1  # begins where its left neighbour, if there is one, ends
+        used, number = (
+            F.coalesce(F.when(right, F.col(f"{c}_after")), F.col(c)).alias(c) for c in ("_used", "_number")
+        )
+        begins = materialize(found.select(*by, _NODE, used, number))
+    found = placed.join(begins, [*by, _NODE], "left")
+    return found.select(*by, BLOCK, *[F.coalesce(F.col(c), full[k]).alias(c) for k, c in enumerate(("_used", "_number"))])
 
 
 def _assign(cap: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
@@ -179,11 +240,7 @@ def pack_units(
     outcomes = cut.select(*by, BLOCK, "n").mapInPandas(
         _outcomes(by, cap), T.StructType(at + longs("reach", "opens", "used"))
     )
-    starts = (
-        outcomes.repartition(*by)
-        .sortWithinPartitions(*by, BLOCK, "reach")
-        .mapInPandas(_starts(by, cap), T.StructType(at + longs("_used", "_number")))
-    )
+    starts = block_starts(materialize(outcomes), by, cap)
     return (
         cut.groupBy(*by, BLOCK)
         .cogroup(starts.groupBy(*by, BLOCK))
