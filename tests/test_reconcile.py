@@ -1,10 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from trackledger.model import CLOSABLE, PICKLIST
+from trackledger.catalog.fixtures import view
+from trackledger.model import AIRFRAME_KEY, CLOSABLE, PICKLIST
 from trackledger.operators.dedupe import duplicate_ids, first_ids, keep_first
-from trackledger.operators.reconcile import key_violations, reconcile, require_unique
+from trackledger.operators.reconcile import key_violations, reconcile, reconcile_once, require_no_repeats, require_unique
+from trackledger.plans import sheets
 
+SF = "/root/testdata/sf0.001"
 KEYS = ["AC", "PN"]
 CURRENT = "sheet string, _id long, AC string, PN string, PROPOSED_ACTION string, Status string, Notes string"
 REFRESH = "sheet string, AC string, PN string, PROPOSED_ACTION string, Status string"
@@ -182,3 +185,72 @@ def test_dedupe_is_idempotent_with_a_hot_key(spark):
     kept = keep_first(df, KEYS)
     assert kept.count() == 51 and duplicate_ids(df, KEYS).count() == 6000 - 51
     assert duplicate_ids(kept, KEYS).isEmpty()
+
+
+def _rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_one_pass_gives_what_reconcile_gives(spark, null_safe):
+    current, refresh = (view(spark, SF, n).transform(lambda d, o=o: keep_first(d, AIRFRAME_KEY, o)) for n, o in (("tracker", "_id"), ("refresh", "src_id")))
+    plain = reconcile(current, refresh, AIRFRAME_KEY, null_safe)
+    once = reconcile_once(current, refresh, AIRFRAME_KEY, null_safe)
+    require_no_repeats(once, AIRFRAME_KEY)
+    once = once.drop("_repeats")
+    assert _rows_of(once) == _rows_of(plain) and once.columns == plain.columns
+
+
+def test_one_pass_shuffles_each_side_once(spark, tmp_path):
+    for n in ("tracker", "refresh"):
+        view(spark, SF, n).write.parquet(str(tmp_path / n))
+    current, refresh = (spark.read.parquet(str(tmp_path / n)) for n in ("tracker", "refresh"))
+    once = reconcile_once(current, refresh, AIRFRAME_KEY)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange ") == 2
+
+
+@pytest.mark.parametrize("side", ["current", "refresh"])
+def test_one_pass_finds_repeated_keys_and_does_not_multiply_them(spark, side):
+    columns = "sheet string, _id long, AC string, FLEET string, PN string, MAIN_PN string, VENDOR string, PROPOSED_ACTION string, Status string"
+    one = [("s", 1, "A", "F", "p", "m", "v", "X", "Issue"), ("s", 2, "A", "F", None, "m", "v", "X", "Issue"), ("s", 3, "A", "F", None, "m", "v", "X", "Issue")]
+    hot = [("s", k, "A", "F", "p", "m", "v", "X", "Issue") for k in range(3000)]
+    current = spark.createDataFrame(hot if side == "current" else one, columns).repartition(4)
+    refresh = spark.createDataFrame(hot if side == "refresh" else one, columns).drop("_id", "Status").repartition(4)
+    rows = reconcile_once(current, refresh, AIRFRAME_KEY)
+    assert rows.count() <= 7
+    with pytest.raises(ValueError, match=rf"{side} is not one row per key .*'PN': 'p'"):
+        require_no_repeats(rows, AIRFRAME_KEY)
+    with pytest.raises(ValueError, match=f"{side} is not one row per key"):
+        sheets.feedback(current, refresh)
+
+
+def test_one_pass_over_empty_sides(spark):
+    current, refresh = (view(spark, SF, n).transform(lambda d, o=o: keep_first(d, AIRFRAME_KEY, o)) for n, o in (("tracker", "_id"), ("refresh", "src_id")))
+    for a, b in ((current.limit(0), refresh), (current, refresh.limit(0)), (current.limit(0), refresh.limit(0))):
+        rows = reconcile_once(a, b, AIRFRAME_KEY)
+        require_no_repeats(rows, AIRFRAME_KEY)
+        assert rows.count() == reconcile(a, b, AIRFRAME_KEY).count()
+        outcome = sheets.feedback(a, b)
+        assert outcome.sheets.count() == a.count() + outcome.changes.where("op = 'INSERT'").count()
+
+
+def test_repeated_keys_without_action_are_found_too(spark):
+    current = spark.createDataFrame([("s", 1, "A", "p", "X", "Issue", "n")], CURRENT)
+    refresh = spark.createDataFrame([("s", "A", "q", "NO_ACTION", None)] * 2, REFRESH)
+    with pytest.raises(ValueError, match="refresh is not one row per key"):
+        require_no_repeats(reconcile_once(current, refresh, KEYS), KEYS)
+
+
+def test_feedback_keeps_changed_rows_only(spark):
+    current = view(spark, SF, "tracker").transform(lambda d: keep_first(d, AIRFRAME_KEY)).withColumn("sheet", F.when(F.col("FLEET") == "F1", "quiet").otherwise(F.col("sheet")))
+    refresh = current.drop("Status").withColumn("PROPOSED_ACTION", F.when(F.col("sheet") == "quiet", "X").otherwise(F.col("PROPOSED_ACTION")))
+    current = current.withColumn("Status", F.when(F.col("sheet") == "quiet", "Issue").otherwise(F.col("Status")))
+    outcome = sheets.feedback(current, refresh, null_safe=True)
+    changed = outcome.changes.count()
+    assert 0 < changed < current.count()
+    counts = {r["sheet"]: (r["updated"], r["inserted"]) for r in outcome.counts.collect()}
+    assert counts["quiet"] == (0, 0) and sum(u for u, _ in counts.values()) == changed
+    before = {(r["sheet"], r["_id"]): r["Status"] for r in current.collect()}
+    after = {(r["sheet"], r["_id"]): r["Status"] for r in outcome.sheets.collect()}
+    assert set(before) == set(after) and sum(before[k] != after[k] for k in before) == changed

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackledger.functions.rules import any_null, name, needs_action
@@ -15,6 +15,7 @@ from trackledger.operators.skew import spread_slot
 UPDATE_OPS = ["REOPEN", "COMPLETE", "ERROR"]
 OLD_STATUS = "_old_status"
 NEW_ACTION = "_new_action"
+REPEATS = "_repeats"
 
 
 def key_violations(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -96,14 +97,76 @@ def reconcile(
     if validate:
         require_unique(current, keys, null_safe, "current")
         require_unique(refresh, keys, null_safe, "refresh")
+    left, right, on = _sides(current, refresh, keys, not null_safe and spread_nulls)
+    return _matched(current, refresh, left, right, on, keys, null_safe, action, status)
 
-    titles = [c for c in current.columns if not c.startswith("_key_hash_")]
+
+def reconcile_once(
+    current: DataFrame,
+    refresh: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    action: str = "PROPOSED_ACTION",
+    status: str = "Status",
+) -> DataFrame:
+    """As ``reconcile``, with the check of the keys in the same pass.
+
+    The rows are numbered within their key where the join has partitioned and
+    sorted them anyway. Only first rows go on to the join, so that a repeated
+    key can't multiply; a first row that is not the only one of its key says so
+    in the column ``_repeats``, which names the side, and is always returned.
+    Whoever keeps the result asks ``require_no_repeats`` before using it.
+    """
+    left, right, on = _sides(current, refresh, keys, not null_safe)
+    by_key = Window.partitionBy(*[name(c) for c in on]).orderBy(name(on[0]))
+    # Rows with a null key part match nothing, also not each other.
+    counts = F.lit(True) if null_safe else ~any_null(keys)
+
+    def first_rows(df: DataFrame, side_name: str) -> DataFrame:
+        more = F.lead(F.lit(side_name)).over(by_key)
+        numbered = df.withColumns({"_nth": F.row_number().over(by_key), REPEATS: more})
+        first = numbered.where((F.col("_nth") == 1) | ~counts).drop("_nth")
+        return first.withColumn(REPEATS, F.when(counts, F.col(REPEATS)))
+
+    left, right = first_rows(left, "current"), first_rows(right, "refresh")
+    return _matched(current, refresh, left, right, on, keys, null_safe, action, status, [REPEATS])
+
+
+def require_no_repeats(reconciled: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when ``reconcile_once`` met a key more than once, showing a few."""
+    found = reconciled.where(F.col(REPEATS).isNotNull()).select(REPEATS, SHEET, *[name(k) for k in keys]).take(3)
+    if found:
+        shown = "; ".join(str({k: v for k, v in row.asDict().items() if k != REPEATS}) for row in found)
+        raise ValueError(f"{found[0][REPEATS]} is not one row per key ({', '.join(keys)}): {shown}")
+
+
+def _sides(
+    current: DataFrame, refresh: DataFrame, keys: Sequence[str], spread_nulls: bool
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the columns they are joined on, and these columns."""
     left, right = with_key_hash(current, keys), with_key_hash(refresh, keys)
     on = [key_hash(keys), SHEET, *keys]
-    if not null_safe and spread_nulls:
+    if spread_nulls:
         left = left.withColumn("_slot", spread_slot(any_null(keys)))
         right = right.withColumn("_slot", spread_slot(any_null(keys)))
         on = [*on, "_slot"]
+    return left, right, on
+
+
+def _matched(
+    current: DataFrame,
+    refresh: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    keys: Sequence[str],
+    null_safe: bool,
+    action: str,
+    status: str,
+    marks: Sequence[str] = (),
+) -> DataFrame:
+    """The full outer join of both sides, with op and next status, and the ``marks`` that either side has."""
+    titles = [c for c in current.columns if not c.startswith("_key_hash_")]
     left, right = left.alias("c"), right.alias("r")
 
     def side(alias: str, column: str) -> Column:
@@ -124,8 +187,13 @@ def reconcile(
             columns.append(F.when(is_new, side("r", c)).otherwise(side("c", c)).alias(c))
         else:
             columns.append(side("c", c).alias(c))
-    rows = joined.where(~is_new | needs_action(side("r", action))).select(
+    wanted = ~is_new | needs_action(side("r", action))
+    marked = {m: F.coalesce(side("c", m), side("r", m)) for m in marks}
+    for mark in marked.values():
+        wanted = wanted | mark.isNotNull()
+    rows = joined.where(wanted).select(
         *columns,
+        *[mark.alias(m) for m, mark in marked.items()],
         side("r", action).alias(NEW_ACTION),
         operation(is_new, side("c", status), side("r", action)).alias(OP),
     )
@@ -135,6 +203,7 @@ def reconcile(
         old.alias(OLD_STATUS),
         NEW_ACTION,
         OP,
+        *marks,
     )
 
 
@@ -148,4 +217,4 @@ def updates(reconciled: DataFrame) -> DataFrame:
 
 def next_snapshot(reconciled: DataFrame) -> DataFrame:
     """The sheets after the reconcile; inserts still lack a row id."""
-    return reconciled.drop(OP, OLD_STATUS, NEW_ACTION)
+    return reconciled.drop(OP, OLD_STATUS, NEW_ACTION, REPEATS)

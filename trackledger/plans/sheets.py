@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from trackledger.functions.conform import SHEET_TYPES, conform, conform_all
 from trackledger.functions.rules import impose_schema, select_user_columns, user_schema
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, ROW_ORDER, SHEET, user_columns
-from trackledger.operators.changes import apply_delete, apply_insert, change_set, command_counts
+from trackledger.operators.changes import apply_delete, apply_insert, apply_update, change_set, command_counts
 from trackledger.operators.dedupe import duplicate_ids
-from trackledger.operators.reconcile import inserts, next_snapshot, reconcile
+from trackledger.operators.reconcile import REPEATS, inserts, next_snapshot, reconcile_once, require_no_repeats, updates
 from trackledger.operators.refresh import refresh_summary, refreshed_rows
 from trackledger.session import materialize
 from trackledger.sinks.publish import Published, export_sheets, publish_version, rows_per_group, with_source
@@ -45,20 +45,25 @@ def feedback(
 ) -> Outcome:
     """Reconcile the sheets with their extract.
 
-    Only Status is written to rows that change; new rows bring every title the
-    sheet has, get the next row ids, and go on top. In ``changes`` they have no
-    row id yet.
+    One pass over both finds the changes and checks that keys do not repeat;
+    only changed rows are written to the shared folder. ``sheets`` puts the new
+    Status of changed rows into the others by row id, when it is asked for. New
+    rows bring every title the sheet has, get the next row ids, and go on top.
+    In ``changes`` they have no row id yet.
     """
     if registry is not None:
         current = select_by_tag(current, registry, tag)
         refresh = select_by_tag(refresh, registry, tag)
-    reconciled = materialize(reconcile(current, typed_refresh(current, refresh), keys, null_safe))
-    kept = next_snapshot(reconciled.where(F.col(OP) != "INSERT"))
-    new = next_snapshot(inserts(reconciled))
+    reconciled = reconcile_once(current, typed_refresh(current, refresh), keys, null_safe)
+    changed = materialize(reconciled.where((F.col(OP) != "KEEP") | F.col(REPEATS).isNotNull()))
+    require_no_repeats(changed, keys)
+    kept = apply_update(current, updates(changed), ["Status"])
+    # A sheet whose rows all stay as they are is counted with zeros.
+    counts = command_counts(changed.select(SHEET, OP).unionByName(current.select(SHEET).distinct().withColumn(OP, F.lit("KEEP"))))
     return Outcome(
-        sheets=apply_insert(kept, new, [SHEET, *keys]),
-        changes=change_set(reconciled, user_columns(current)),
-        counts=command_counts(reconciled),
+        sheets=apply_insert(kept, next_snapshot(inserts(changed)), [SHEET, *keys]),
+        changes=change_set(changed, user_columns(current)),
+        counts=counts,
     )
 
 
