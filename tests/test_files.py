@@ -1,3 +1,4 @@
+import hashlib
 import json
 import re
 
@@ -58,6 +59,86 @@ def test_titles_and_types_can_be_given(spark, documents):
     }
 
 
+def _one_document(tmp_path, document, title="s"):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / f"{title}.json").write_text(json.dumps(document))
+    return str(tmp_path / "one")
+
+
+def test_of_equal_titles_the_last_cell_counts(spark, tmp_path):
+    stamps = {"createdAt": "2025-01-01T00:00:00Z", "modifiedAt": "2025-01-01T00:00:00Z"}
+    columns = [{"id": 1, "title": "A"}, {"id": 2, "title": "B"}, {"id": 3, "title": "A"}]
+
+    def row(i, *cells):
+        return {"id": i, **stamps, "cells": [{"columnId": c, "value": v} if v != "none" else {"columnId": c} for c, v in cells]}
+
+    rows = [
+        row(1, (1, "a"), (2, "b"), (3, "c")), row(2, (1, "a"), (2, "b")), row(3, (3, "c")), row(4, (2, "b"), (3, "none")),
+        row(5), row(6, (3, "c"), (1, "a")), row(7, (9, "?"), (2, "b")),
+    ]
+    path = _one_document(tmp_path, {"columns": columns, "rows": rows})
+    want = [(1, "c", "b"), (2, "a", "b"), (3, "c", None), (4, None, "b"), (5, None, None), (6, "a", None), (7, None, "b")]
+    sheets.land_documents(spark, path, str(tmp_path / "lines"))
+    for df in (sheets.read_sheets(spark, path), sheets.read_landed(spark, str(tmp_path / "lines"))):
+        assert [(r["_id"], r["A"], r["B"]) for r in df.orderBy("_row").collect()] == want
+
+
+def test_landed_lines_are_the_documents(spark, documents, tmp_path):
+    landing = str(tmp_path / "lines")
+    sheets.land_documents(spark, documents, landing)
+    direct, landed = sheets.read_sheets(spark, documents), sheets.read_landed(spark, landing)
+    assert landed.dtypes == direct.dtypes
+    assert sorted(map(tuple, landed.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+    columns = sheets.landed_columns(spark, landing)
+    assert sorted(map(tuple, columns.collect())) == sorted(map(tuple, sheets.sheet_columns(spark, documents).collect()))
+    typed = sheets.read_landed(spark, landing, {"AC": T.StringType(), "none": T.LongType()})
+    assert typed.columns[5:] == ["AC", "none"] and typed.count() == 3
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    stamps = {"createdAt": "2025-01-01T00:00:00Z", "modifiedAt": "2025-01-01T00:00:00Z"}
+    rows = [{"id": k, **stamps, "cells": [{"columnId": 1, "value": hashlib.sha512(str(k).encode()).hexdigest()}]} for k in range(20_000)]
+    path = _one_document(tmp_path, {"columns": [{"id": 1, "title": "A"}], "rows": rows})
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k", "spark.sql.files.maxPartitionBytes": "128k", "spark.sql.files.openCostInBytes": "0", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sheets.land_documents(spark, path, str(tmp_path / "lines"))
+        landed = sheets.read_landed(spark, str(tmp_path / "lines"))
+        tasks = landed.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(r["count"] for r in tasks) == 20_000 and len(tasks) > 3
+    assert landed.where("_row <> _id").isEmpty()
+
+
+def test_snapshot_notices_a_changed_document(spark, documents, tmp_path):
+    sheets.snapshot_raw(spark, documents, str(tmp_path / "kept"))
+    assert sheets.read_snapshot(spark, str(tmp_path / "kept")).count() == 3
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    kept.withColumn("document", F.concat("document", F.lit(" "))).write.parquet(str(tmp_path / "changed"))
+    with pytest.raises(Exception, match="differs from its digest"):
+        sheets.read_snapshot(spark, str(tmp_path / "changed")).collect()
+
+
+def test_text_is_split_unless_a_cell_has_a_line_break(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('a,b\n1,"say ""x"""\n2,\n')
+    (tmp_path / "broken.csv").write_text('a,b\n1,"two\nlines"\n')
+    assert not files.has_broken_lines(spark, str(tmp_path / "plain.csv"))
+    assert files.has_broken_lines(spark, str(tmp_path / "broken.csv"))
+    assert files.has_broken_lines(spark, str(tmp_path)) and not files.has_broken_lines(spark, str(tmp_path), "p*.csv")
+    rows = files.read_text_cells(spark, [str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")]).collect()
+    assert sorted((r["a"], r["b"] or "") for r in rows) == [("1", 'say "x"'), ("1", "two\nlines"), ("2", "")]
+    df = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    df.coalesce(1).write.options(**text.WRITE).csv(str(tmp_path / "big"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        assert files.read_extracts(spark, str(tmp_path / "big"), df.schema, "csv").rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_raw_snapshot_keeps_documents(spark, documents, tmp_path):
     landing = str(tmp_path / "landing")
     sheets.snapshot_raw(spark, documents, landing)

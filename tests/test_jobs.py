@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackledger.__main__ import JOBS, run
+from trackledger.catalog.files import write_documents
 from trackledger.catalog.fixtures import view
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, REGISTRY
 from trackledger.operators.dedupe import keep_first
+from trackledger.sources import text
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,4 +98,32 @@ def test_summary_refresh_job(spark, tmp_path):
 def test_unknown_job_is_refused(spark):
     with pytest.raises(SystemExit):
         run(spark, ["nothing", "--sheets", "x"])
-    assert len(JOBS) == 16
+    assert len(JOBS) == 17
+
+
+def test_jobs_start_from_documents_lines_and_text(spark, inputs, tmp_path):
+    current, refresh = spark.read.parquet(inputs["tracker"]), spark.read.parquet(inputs["refresh"])
+    write_documents(current, str(tmp_path / "by_folder"))
+    documents = tmp_path / "documents"
+    documents.mkdir()
+    for folder in (tmp_path / "by_folder").glob("sheet=*"):
+        text_of = "".join(f.read_text() for f in folder.glob("part-*"))
+        (documents / f"{folder.name.split('=')[1]}.json").write_text(text_of)
+    refresh.drop("src_id").write.options(**text.WRITE).csv(str(tmp_path / "csv"))
+    refresh.drop("src_id").write.options(sep=chr(31), **text.WRITE).csv(str(tmp_path / "us"))
+    run(spark, ["land", "--sheets", str(documents), "--out", str(tmp_path / "lines")])
+    want = None
+    cases = [("parquet", inputs["tracker"], "parquet", inputs["refresh"]), ("documents", str(documents), "csv", str(tmp_path / "csv")), ("lines", str(tmp_path / "lines"), "us_csv", str(tmp_path / "us"))]
+    for k, (sheets_format, sheets, refresh_format, path) in enumerate(cases):
+        out = str(tmp_path / f"out{k}")
+        run(spark, ["feedback", "--sheets", sheets, "--sheets-format", sheets_format, "--refresh", path, "--refresh-format", refresh_format, "--out", out])
+        got = sorted((r["sheet"], r["_id"], r["Status"]) for r in spark.read.parquet(f"{out}/sheets").select("sheet", "_id", "Status").collect() if r["Status"] is not None)
+        want = want or got
+        assert got == want and len(got) > 1000
+
+
+def test_split_job_can_take_the_last_worksheet(spark, tmp_path):
+    rows = spark.createDataFrame([("f", 1, "A", "x"), ("f", 2, "A", "y"), ("g", 1, "A", "z")], "base string, ws int, AC string, v string")
+    rows.write.parquet(str(tmp_path / "in"))
+    run(spark, ["split", "--sheets", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--worksheet", "ws"])
+    assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["y", "z"]

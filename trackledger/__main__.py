@@ -1,6 +1,9 @@
 """Run one job: ``python -m trackledger <job> --sheets ... --out ...``.
 
-Also usable with spark-submit. Tables are Parquet; the registry is JSON.
+Also usable with spark-submit. Tables are Parquet unless ``--sheets-format`` or
+``--refresh-format`` says otherwise: ``documents`` (one JSON document per sheet),
+``lines`` (what the job ``land`` makes of them), ``csv`` or ``us_csv`` (cells as
+text, which take the sheet's types). The registry is JSON.
 """
 
 from __future__ import annotations
@@ -13,8 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from trackledger.plans import extracts, sheets, summaries
 from trackledger.session import SETTINGS
 from trackledger.sinks.publish import folder_counts
-from trackledger.sources.files import read_extracts
+from trackledger.sources.files import UNIT_SEPARATOR, read_extracts, read_text_cells
 from trackledger.sources.registry import read_registry
+from trackledger.sources.sheets import land_documents, read_landed, read_sheets
+
+
+FORMATS = {
+    "parquet": lambda spark, path: read_extracts(spark, path),
+    "documents": lambda spark, path: read_sheets(spark, path),
+    "lines": lambda spark, path: read_landed(spark, path),
+    "csv": lambda spark, path: read_text_cells(spark, path),
+    "us_csv": lambda spark, path: read_text_cells(spark, path, UNIT_SEPARATOR),
+}
+
+
+def _sheets(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    return FORMATS[a.sheets_format](spark, a.sheets)
+
+
+def _refresh(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    return FORMATS[a.refresh_format](spark, a.refresh)
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -28,37 +49,36 @@ def _keep(outcome: sheets.Outcome, out: str) -> None:
 
 
 def _feedback(spark: SparkSession, a: argparse.Namespace, run) -> None:
-    current, refresh = read_extracts(spark, a.sheets), read_extracts(spark, a.refresh)
-    _keep(run(current, refresh, _registry(spark, a), null_safe=a.null_safe), a.out)
+    _keep(run(_sheets(spark, a), _refresh(spark, a), _registry(spark, a), null_safe=a.null_safe), a.out)
 
 
 def _dedupe(spark: SparkSession, a: argparse.Namespace, run) -> None:
-    _keep(run(read_extracts(spark, a.sheets), _registry(spark, a)), a.out)
+    _keep(run(_sheets(spark, a), _registry(spark, a)), a.out)
 
 
 def _refresh_summary(spark: SparkSession, a: argparse.Namespace) -> None:
-    _keep(sheets.refresh_summaries(read_extracts(spark, a.sheets), read_extracts(spark, a.refresh)), a.out)
+    _keep(sheets.refresh_summaries(_sheets(spark, a), _refresh(spark, a)), a.out)
 
 
 def _publish(spark: SparkSession, a: argparse.Namespace, run) -> None:
-    done = run(read_extracts(spark, a.sheets), read_registry(spark, a.registry), f"{a.out}/sheets", a.run_date)
+    done = run(_sheets(spark, a), read_registry(spark, a.registry), f"{a.out}/sheets", a.run_date)
     done.registry.write.json(f"{a.out}/registry")
     _write(done.left_out, f"{a.out}/left_out")
     done.account.show(truncate=False)
 
 
 def _update(spark: SparkSession, a: argparse.Namespace) -> None:
-    clean, rejects = sheets.update_sheets(read_extracts(spark, a.sheets))
+    clean, rejects = sheets.update_sheets(_sheets(spark, a))
     _write(clean, f"{a.out}/sheets")
     _write(rejects, f"{a.out}/rejects")
 
 
 def _summaries(spark: SparkSession, a: argparse.Namespace, run) -> None:
-    summaries.export_reports(run(read_extracts(spark, a.sheets)), a.out)
+    summaries.export_reports(run(_sheets(spark, a)), a.out)
 
 
 def _pack(spark: SparkSession, a: argparse.Namespace) -> None:
-    rejects = extracts.pack_job(read_extracts(spark, a.sheets), f"{a.out}/sheets", a.run_date)
+    rejects = extracts.pack_job(_sheets(spark, a), f"{a.out}/sheets", a.run_date)
     _write(rejects, f"{a.out}/rejects")
 
 
@@ -67,7 +87,7 @@ def _registry(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
 
 
 JOBS = {
-    "get": lambda s, a: sheets.get_sheets(read_extracts(s, a.sheets), a.out),
+    "get": lambda s, a: sheets.get_sheets(_sheets(s, a), a.out),
     "set": lambda s, a: _publish(s, a, sheets.set_sheets),
     "update": _update,
     "reformat": lambda s, a: _publish(s, a, sheets.reformat_sheets),
@@ -80,8 +100,9 @@ JOBS = {
     "category_summaries": lambda s, a: _summaries(s, a, summaries.fleet_category_summaries),
     "engine_summaries": lambda s, a: _summaries(s, a, summaries.engine_summaries),
     "pack": _pack,
-    "seed": lambda s, a: _write(extracts.seed_job(read_extracts(s, a.sheets), a.run_date), a.out),
-    "split": lambda s, a: extracts.split_job(read_extracts(s, a.sheets), a.out),
+    "seed": lambda s, a: _write(extracts.seed_job(_sheets(s, a), a.run_date), a.out),
+    "split": lambda s, a: extracts.split_job(_sheets(s, a), a.out, worksheet=a.worksheet),
+    "land": lambda s, a: land_documents(s, a.sheets, a.out),
     "count_rows": lambda s, a: folder_counts(s, a.sheets).show(truncate=False),
 }
 
@@ -93,6 +114,9 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--refresh", help="new extract")
     parser.add_argument("--registry", help="registry of sheets")
     parser.add_argument("--out", help="folder for results")
+    parser.add_argument("--sheets-format", choices=FORMATS, default="parquet")
+    parser.add_argument("--refresh-format", choices=FORMATS, default="parquet")
+    parser.add_argument("--worksheet", help="column that numbers the worksheets of a base; the last one is split")
     parser.add_argument("--run-date", help="date to stamp, today by default")
     parser.add_argument("--null-safe", action="store_true", help="null key parts match each other")
     args = parser.parse_args(argv)

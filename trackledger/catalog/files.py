@@ -21,11 +21,9 @@ _ROWS_PER_SHEET = 10_000
 _SIZED = f"ceil(count(*) / {_ROWS_PER_SHEET}.0)"
 
 
-def _sheet_documents(spark: SparkSession, sf: str) -> str:
-    """The tracker as sheet documents of about ten thousand rows each."""
-    rows = view(spark, sf, "tracker")
+def write_documents(rows: DataFrame, path: str) -> None:
+    """One document per sheet below ``path``, its rows by id and its columns numbered from 1."""
     titles = user_columns(rows)
-    documents = rows.agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_SHEET).alias("n")).scalar()
     cells = F.array(
         *[F.struct(F.lit(i + 1).cast("long").alias("columnId"), F.col(t).alias("value")) for i, t in enumerate(titles)]
     )
@@ -37,35 +35,46 @@ def _sheet_documents(spark: SparkSession, sf: str) -> str:
         *[F.struct(F.lit(i + 1).cast("long").alias("id"), F.lit(t).alias("title")) for i, t in enumerate(titles)]
     )
     docs = (
-        rows.withColumn(SHEET, F.concat(F.lit("DOC "), (F.col("_id") % documents).cast("string")))
-        .repartition(SHEET)
-        .sortWithinPartitions(SHEET, "_id")
-        .groupBy(SHEET)
+        rows.groupBy(SHEET)
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
         .select(SHEET, columns.alias("columns"), F.col("rows").cast(SHEET_JSON["rows"].dataType))
     )
-    path = scratch_path(spark, "documents")
     docs.write.partitionBy(SHEET).json(path)
+
+
+def _sheet_documents(spark: SparkSession, sf: str) -> str:
+    """The tracker as sheet documents of about ten thousand rows each."""
+    rows = view(spark, sf, "tracker")
+    documents = rows.agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_SHEET).alias("n")).scalar()
+    path = scratch_path(spark, "documents")
+    write_documents(rows.withColumn(SHEET, F.concat(F.lit("DOC "), (F.col("_id") % documents).cast("string"))), path)
     return path
 
 
 def _sheet_json_scan(spark: SparkSession, sf: str) -> DataFrame:
-    scanned = sheets.read_sheets(spark, _sheet_documents(spark, sf), named_by="folder")
+    titles = user_columns(view(spark, sf, "tracker"))
+    scanned = sheets.read_sheets(spark, _sheet_documents(spark, sf), titles, named_by="folder")
     return scanned.drop("_created", "_modified")
 
 
+def _sheet_lines_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by way of landed lines, with the titles found in the documents."""
+    landing = scratch_path(spark, "lines")
+    sheets.land_documents(spark, _sheet_documents(spark, sf), landing, named_by="folder")
+    return sheets.read_landed(spark, landing).drop("_created", "_modified")
+
+
 def _sheet_columns(spark: SparkSession, sf: str) -> DataFrame:
     found = sheets.sheet_columns(spark, _sheet_documents(spark, sf), named_by="folder")
     return found.groupBy("title", "column_id").agg(F.count(F.lit(1)).alias("n_sheets"))
 
 
 def _raw_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of all documents as they were kept."""
     landing = scratch_path(spark, "landing")
     sheets.snapshot_raw(spark, f"{_sheet_documents(spark, sf)}/*", landing)
-    raw = spark.read.parquet(landing).select(F.from_json("document", SHEET_JSON).alias("d"))
-    return raw.select(F.explode("d.rows").alias("r")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("r.id").alias("first_id"), F.max("r.id").alias("last_id")
-    )
+    kept = sheets.read_snapshot(spark, landing)
+    return kept.select(F.sha2("document", 256).alias("sha256"), F.length("document").alias("n_chars"))
 
 
 def _us_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,14 +264,20 @@ def _folder_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 _TRACKER = with_views("tracker")
 
+_DOCS_SQL = f"""{_TRACKER}, docs AS (SELECT 'DOC ' || cast(_id % (SELECT cast({_SIZED} AS BIGINT) FROM tracker) AS varchar)
+  AS doc, * EXCLUDE (sheet) FROM tracker)
+SELECT doc AS sheet, _id, row_number() OVER (PARTITION BY doc ORDER BY _id) - 1 AS _row,
+AC, FLEET, PN, MAIN_PN, VENDOR, CATEGORY, PROPOSED_ACTION, FEEDBACK, Status FROM docs"""
+_TITLES = ["AC", "FLEET", "PN", "MAIN_PN", "VENDOR", "CATEGORY", "PROPOSED_ACTION", "FEEDBACK", "Status"]
+_COLUMNS_JSON = ",".join(f'{{"id":{i + 1},"title":"{t}"}}' for i, t in enumerate(_TITLES))
+_CELLS_SQL = "concat_ws(',', " + ", ".join(
+    f"""concat('{{"columnId":{i + 1}', CASE WHEN {t} IS NOT NULL THEN concat(',"value":"', {t}, '"') ELSE '' END, '}}')"""
+    for i, t in enumerate(_TITLES)
+) + ")"
+
 QUERIES = {
-    "sheet_json_scan": Query(
-        _sheet_json_scan,
-        f"""{_TRACKER}, docs AS (SELECT 'DOC ' || cast(_id % (SELECT cast({_SIZED} AS BIGINT) FROM tracker) AS varchar)
-          AS doc, * EXCLUDE (sheet) FROM tracker)
-        SELECT doc AS sheet, _id, row_number() OVER (PARTITION BY doc ORDER BY _id) - 1 AS _row,
-        AC, FLEET, PN, MAIN_PN, VENDOR, CATEGORY, PROPOSED_ACTION, FEEDBACK, Status FROM docs""",
-    ),
+    "sheet_json_scan": Query(_sheet_json_scan, _DOCS_SQL),
+    "sheet_lines_scan": Query(_sheet_lines_scan, _DOCS_SQL),
     "sheet_columns": Query(
         _sheet_columns,
         f"""{_TRACKER}, n AS (SELECT count(DISTINCT _id % (SELECT cast({_SIZED} AS BIGINT) FROM tracker)) AS n_sheets
@@ -273,7 +288,12 @@ QUERIES = {
     ),
     "raw_snapshot": Query(
         _raw_snapshot,
-        f"{_TRACKER} SELECT count(*) AS n_rows, min(_id) AS first_id, max(_id) AS last_id FROM tracker",
+        f"""{_TRACKER}, docs AS (SELECT _id % (SELECT cast({_SIZED} AS BIGINT) FROM tracker) AS doc, * FROM tracker),
+        lines AS (SELECT doc, _id, concat('{{"id":', _id, ',"createdAt":"2025-02-18T08:00:00.000Z",',
+          '"modifiedAt":"2025-02-18T08:00:00.000Z","cells":[', {_CELLS_SQL}, ']}}') AS line FROM docs),
+        texts AS (SELECT concat('{{"columns":[{_COLUMNS_JSON}],"rows":[', string_agg(line, ',' ORDER BY _id), ']}}',
+          chr(10)) AS document FROM lines GROUP BY doc)
+        SELECT sha256(document) AS sha256, CAST(length(document) AS INTEGER) AS n_chars FROM texts""",
     ),
     "us_csv_scan": Query(_us_csv_scan, f"{_TRACKER} SELECT * FROM tracker"),
     "extract_schema": Query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackledger.catalog import packing, reconciling, reports
 from trackledger.catalog.base import Query
+from trackledger.catalog.files import write_documents
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY
 from trackledger.operators.dedupe import keep_first
@@ -14,6 +15,9 @@ from trackledger.operators.reconcile import reconcile
 from trackledger.plans import extracts, sheets, summaries
 from trackledger.session import scratch_path
 from trackledger.sinks.publish import read_export
+from trackledger.sources import text
+from trackledger.sources.files import read_text_cells
+from trackledger.sources.sheets import land_documents, read_landed
 
 _CAP = 200
 _RUN_DATE = "2025-02-18"
@@ -27,6 +31,32 @@ def _feedback(spark: SparkSession, sf: str, engine: bool = False) -> sheets.Outc
     return sheets.feedback(current, refresh, keys=keys)
 
 
+def _feedback_from_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The current sheets come from one document each, the extract from text."""
+    current = keep_first(view(spark, sf, "tracker"), AIRFRAME_KEY)
+    documents, landing, extract = (scratch_path(spark, n) for n in ("documents", "lines", "extract"))
+    write_documents(current, documents)
+    land_documents(spark, documents, landing, named_by="folder")
+    keep_first(view(spark, sf, "refresh"), AIRFRAME_KEY, "src_id").drop("src_id").write.options(**text.WRITE).csv(extract)
+    outcome = sheets.feedback(read_landed(spark, landing), read_text_cells(spark, extract))
+    return outcome.sheets.select(*reconciling.ROW)
+
+
+def _refresh_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary rows after the job, which writes the values of the new summaries under the old ids."""
+    outcome = sheets.refresh_summaries(view(spark, sf, "summary_current"), view(spark, sf, "summary_new"))
+    return outcome.sheets.select("sheet", "_id", "AC", "n_rows")
+
+
+def _split_worksheets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = view(spark, sf, "tracker").select(
+        F.col("FLEET").alias("base"), (F.col("_id") % 7).cast("int").alias("ws"), "AC", "_id", "PN"
+    )
+    path = scratch_path(spark, "split")
+    extracts.split_job(rows, path, worksheet="ws")
+    return read_export(spark, path, rows.drop("ws").schema)
+
+
 def _fleet(spark: SparkSession, sf: str, report: str) -> DataFrame:
     return summaries.fleet_summaries(view(spark, sf, "tracker"))[report]
 
@@ -82,6 +112,22 @@ QUERIES = {
         UNION ALL SELECT sheet, (SELECT max(_id) FROM c) + row_number() OVER (ORDER BY {reconciling.KEY_ORDER}) AS _id,
         {', '.join(reconciling.ROW[2:])} FROM reconciled WHERE op = 'INSERT'""",
     ),
+    "job_feedback_from_documents": Query(
+        _feedback_from_documents,
+        f"""{reconciling.with_reconcile()} SELECT {', '.join(reconciling.ROW)} FROM reconciled WHERE op <> 'INSERT'
+        UNION ALL SELECT sheet, (SELECT max(_id) FROM c) + row_number() OVER (ORDER BY {reconciling.KEY_ORDER}) AS _id,
+        {', '.join(reconciling.ROW[2:])} FROM reconciled WHERE op = 'INSERT'""",
+    ),
+    "job_refresh_summary": Query(
+        _refresh_job,
+        f"""{with_views('summary_current', 'summary_new')} SELECT c.sheet, c._id, n.AC, n.n_rows
+        FROM summary_current c LEFT JOIN summary_new n ON n.sheet = c.sheet AND n.AC = c.AC""",
+    ),
+    "job_split_worksheets": Query(
+        _split_worksheets,
+        f"""{with_views('tracker')}, w AS (SELECT FLEET AS base, CAST(_id % 7 AS INTEGER) AS ws, AC, _id, PN FROM tracker)
+        SELECT base, AC, _id, PN FROM w WHERE ws = (SELECT max(m.ws) FROM w m WHERE m.base = w.base)""",
+    ),
     "job_feedback_counts": Query(lambda s, d: _feedback(s, d).counts, _SQL["command_counts"].sql),
     "job_feedback_engine_counts": Query(
         lambda s, d: _feedback(s, d, engine=True).counts,

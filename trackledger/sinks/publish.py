@@ -16,6 +16,7 @@ from trackledger.session import materialize
 from trackledger.sinks import versions
 from trackledger.sinks.versions import SHEET_ID
 from trackledger.sources import text
+from trackledger.sources.files import has_broken_lines
 
 ID = "id"
 
@@ -62,7 +63,7 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType, format: st
     """Read an export back, without the folder columns."""
     reader = spark.read.schema(schema).format(format)
     if format == "csv":
-        reader = reader.options(**text.read_options(multi_line=True))
+        reader = reader.options(**text.read_options(has_broken_lines(spark, path)))
     return reader.load(path).select(*[name(c) for c in schema.names])
 
 

@@ -16,30 +16,51 @@ UNIT_SEPARATOR = chr(31)
 SOURCE = "_source"
 
 
+def has_broken_lines(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> bool:
+    """Whether a quoted cell goes over a line's end: its line has an odd number of quotes.
+
+    Reads the text in splits, up to the first such line.
+    """
+    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not reader.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_us_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
+    sep: str = UNIT_SEPARATOR,
 ) -> DataFrame:
     """Text with a header and the unit separator between fields.
 
-    Pass ``multi_line=False`` when no cell has a line break, so that large
-    files are split over tasks.
+    Large files are split over tasks unless a cell has a line break; without
+    ``multi_line`` the lines are looked through for one first. Without a schema
+    the types are inferred.
     """
-    reader = spark.read.options(sep=UNIT_SEPARATOR, **text.read_options(multi_line))
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, path)
+    reader = spark.read.options(sep=sep, **text.read_options(multi_line))
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.csv(path, inferSchema=True)
 
 
+def read_text_cells(spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool | None = None) -> DataFrame:
+    """Separated text with a header, every cell as text: the sheet says what type it takes."""
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, path)
+    return spark.read.options(sep=sep, **text.read_options(multi_line)).csv(path)
+
+
 def read_extracts(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
     format: str = "parquet",
     source: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
     """Every file of a folder as one DataFrame, united by column name.
@@ -48,10 +69,13 @@ def read_extracts(
 
     With a schema nothing is inferred. Without one, the columns of all files
     are merged; a column a file lacks is null there. ``source`` adds the file
-    path as ``_source``. Files without rows add none.
+    path as ``_source``. Files without rows add none. Text is split over tasks
+    unless a cell has a line break, see ``read_us_csv``.
     """
     reader = spark.read.format(format)
     if format == "csv":
+        if multi_line is None:
+            multi_line = has_broken_lines(spark, path, pattern)
         reader = reader.options(enforceSchema=False, **text.read_options(multi_line))
     if schema is not None:
         reader = reader.schema(schema)

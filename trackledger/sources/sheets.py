@@ -1,4 +1,14 @@
-"""Sheet documents: nested JSON, one file per sheet."""
+"""Sheet documents: nested JSON, one file per sheet, and the same as lines.
+
+A document is one JSON value, so one task reads it. ``land_documents`` splits
+documents into lines once: one row per sheet row and one per column, as a table
+that any number of tasks read together.
+
+Cells name their column by an id. Which place and id a title has is worked out
+once per sheet (``_layout``); a row then takes the cell at that place and looks
+further only if the cell there is another one. Of columns with equal titles the
+last one that a row has a cell for gives the value.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackledger.model import CREATED, MODIFIED, ROW_ID, ROW_ORDER, SHEET, SHEET_JSON
+from trackledger.session import materialize
+
+_ROW = SHEET_JSON["rows"].dataType.elementType
+_LINE = (
+    T.StructType()
+    .add(SHEET, T.StringType())
+    .add("place", T.LongType())
+    .add("id", T.LongType())
+    .add("title", T.StringType())
+    .add("createdAt", T.TimestampType())
+    .add("modifiedAt", T.TimestampType())
+    .add("cells", _ROW["cells"].dataType)
+)
 
-CELLS = "cells"
+Titles = Sequence[str] | Mapping[str, T.DataType]
 
 
 def _sheet_name(named_by: str) -> Column:
@@ -35,58 +58,125 @@ def sheet_columns(spark: SparkSession, path: str | list[str], named_by: str = "f
     )
 
 
-def sheet_rows(spark: SparkSession, path: str | list[str], named_by: str = "file") -> DataFrame:
-    """One row per sheet row, with its cells as a map from title to text.
+def _titles_of(columns: DataFrame) -> list[str]:
+    """Distinct titles in sheet order: as many as the result has columns."""
+    titles = columns.groupBy("title").agg(F.min("position").alias("p"))
+    return [r["title"] for r in titles.orderBy("p", "title").collect()]
+
+
+def list_titles(spark: SparkSession, path: str | list[str], named_by: str = "file") -> list[str]:
+    """Distinct column titles of all sheets, in sheet order."""
+    return _titles_of(sheet_columns(spark, path, named_by))
+
+
+def _layout(columns: Column, titles: Sequence[str]) -> Column:
+    """For each title: place and id of its last column, and the ids of all its columns.
 
-    ``_row`` is the place of the row in its sheet. A cell without a value is
-    null, and so is a title without a cell.
+    ``columns`` are the ``(id, title)`` of a sheet in order.
     """
-    docs = _documents(spark, path, named_by).withColumn(
-        "_titles",
-        F.map_from_entries(F.transform("columns", lambda c: F.struct(c["id"], c["title"]))),
+
+    def of(title: str) -> Column:
+        placed = F.transform(columns, lambda c, i: F.struct(i.alias("place"), c["id"].alias("id"), c["title"].alias("title")))
+        own = F.filter(placed, lambda c: c["title"] == F.lit(title))
+        last = F.get(own, F.size(own) - 1)
+        return F.struct(last["place"].alias("place"), last["id"].alias("id"), F.transform(own, lambda c: c["id"]).alias("ids"))
+
+    return F.array(*[of(t) for t in titles]) if titles else F.array()
+
+
+def _value(cells: Column, at: Column) -> Column:
+    """Text of the cell that belongs to one entry of a layout."""
+    there = F.get(cells, at["place"])
+    own = F.filter(cells, lambda c: F.array_contains(at["ids"], c["columnId"]))
+    return F.when(there["columnId"] == at["id"], there["value"]).when(
+        at["id"].isNotNull(), F.get(own, F.size(own) - 1)["value"]
     )
-    rows = docs.select(SHEET, "_titles", F.posexplode("rows").alias(ROW_ORDER, "row"))
+
+
+def _typed_rows(rows: DataFrame, titles: Titles) -> DataFrame:
+    """Rows ``sheet, _layout, place, id, createdAt, modifiedAt, cells`` as sheet rows."""
+    types = titles if isinstance(titles, Mapping) else {t: T.StringType() for t in titles}
+    values = [
+        _value(F.col("cells"), F.get("_layout", F.lit(i))).cast(kind).alias(title)
+        for i, (title, kind) in enumerate(types.items())
+    ]
     return rows.select(
         SHEET,
-        F.col("row.id").alias(ROW_ID),
-        F.col("row.createdAt").alias(CREATED),
-        F.col("row.modifiedAt").alias(MODIFIED),
-        F.col(ROW_ORDER).cast("long").alias(ROW_ORDER),
-        F.map_from_entries(
-            F.transform("row.cells", lambda c: F.struct(F.col("_titles")[c["columnId"]], c["value"]))
-        ).alias(CELLS),
+        F.col("id").alias(ROW_ID),
+        F.col("createdAt").alias(CREATED),
+        F.col("modifiedAt").alias(MODIFIED),
+        F.col("place").cast("long").alias(ROW_ORDER),
+        *values,
     )
 
 
-def list_titles(spark: SparkSession, path: str | list[str], named_by: str = "file") -> list[str]:
-    """Distinct column titles of all sheets, in sheet order."""
-    titles = sheet_columns(spark, path, named_by).groupBy("title").agg(F.min("position").alias("p"))
-    return [r["title"] for r in titles.orderBy("p", "title").collect()]
-
-
 def read_sheets(
-    spark: SparkSession,
-    path: str | list[str],
-    titles: Sequence[str] | Mapping[str, T.DataType] | None = None,
-    named_by: str = "file",
+    spark: SparkSession, path: str | list[str], titles: Titles | None = None, named_by: str = "file"
 ) -> DataFrame:
-    """All sheets below ``path`` as one DataFrame, one column per title.
+    """All sheet documents below ``path`` as one DataFrame, one column per title.
 
     ``titles`` may be a list (text columns) or a mapping to types. Without it
-    the titles come from the documents, which reads them once more.
+    the titles come from the documents, which reads them once more. ``_row`` is
+    the place of the row in its sheet. A cell without a value is null, and so is
+    a title without a cell.
     """
     if titles is None:
         titles = list_titles(spark, path, named_by)
-    types = titles if isinstance(titles, Mapping) else {t: T.StringType() for t in titles}
-    cells = F.col(CELLS)
-    return sheet_rows(spark, path, named_by).select(
-        SHEET, ROW_ID, CREATED, MODIFIED, ROW_ORDER, *[cells[t].cast(types[t]).alias(t) for t in types]
-    )
+    docs = _documents(spark, path, named_by).withColumn("_layout", _layout(F.col("columns"), list(titles)))
+    rows = docs.select(SHEET, "_layout", F.posexplode("rows").alias("place", "row"))
+    return _typed_rows(rows.select(SHEET, "_layout", "place", "row.*"), titles)
+
+
+def land_documents(spark: SparkSession, path: str | list[str], landing: str, named_by: str = "file") -> None:
+    """Split the documents below ``path`` into lines, reading each once.
+
+    ``landing`` gets a table of rows and one of columns; large sheets are dealt
+    over several files.
+    """
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in _LINE.fields}
+
+    def line(kind: str, place: Column, values: dict[str, Column]) -> Column:
+        own = {**nothing, **values, "place": place.cast("long")}
+        return F.struct(F.lit(kind).alias("kind"), *[own[c].alias(c) for c in _LINE.names[1:]])
+
+    columns = F.transform("columns", lambda c, i: line("columns", i, {"id": c["id"], "title": c["title"]}))
+    rows = F.transform("rows", lambda r, i: line("rows", i, {n: r[n] for n in _ROW.names}))
+    empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), *_LINE.fields[1:]])))
+    both = F.concat(F.coalesce(columns, empty), F.coalesce(rows, empty))
+    lines = _documents(spark, path, named_by).select(SHEET, F.inline(both))
+    lines.hint("rebalance").write.partitionBy("kind").parquet(landing)
+
+
+def landed_columns(spark: SparkSession, landing: str) -> DataFrame:
+    """Column metadata of landed sheets: sheet, column_id, title and position."""
+    lines = spark.read.schema(_LINE).parquet(f"{landing.rstrip('/')}/kind=columns")
+    return lines.select(SHEET, F.col("id").alias("column_id"), "title", F.col("place").cast("int").alias("position"))
+
+
+def read_landed(spark: SparkSession, landing: str, titles: Titles | None = None) -> DataFrame:
+    """As ``read_sheets``, from landed lines: a sheet is read by as many tasks as its size asks for."""
+    columns = landed_columns(spark, landing)
+    if titles is None:
+        titles = _titles_of(columns)
+    entry = F.struct("position", F.col("column_id").alias("id"), "title")
+    # One row a sheet, as wide as the sheet.
+    sheets = columns.groupBy(SHEET).agg(F.array_sort(F.collect_list(entry)).alias("columns"))
+    # Written, so that its size is known: then rows need not meet by sheet, of which one may be most of all.
+    layouts = materialize(sheets.select(SHEET, _layout(F.col("columns"), list(titles)).alias("_layout")))
+    rows = spark.read.schema(_LINE).parquet(f"{landing.rstrip('/')}/kind=rows")
+    return _typed_rows(rows.join(layouts, SHEET, "left"), titles)
 
 
 def snapshot_raw(spark: SparkSession, path: str, landing: str) -> None:
-    """Keep the raw sheet documents as they came, one row per file."""
+    """Keep the raw sheet documents as they came, one row per file, each with a digest of its text."""
     raw = spark.read.text(path, wholetext=True)
-    raw.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("document")).write.mode(
-        "errorifexists"
-    ).parquet(landing)
+    kept = raw.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("document"))
+    kept.withColumn("sha256", F.sha2("document", 256)).write.mode("errorifexists").parquet(landing)
+
+
+def read_snapshot(spark: SparkSession, landing: str) -> DataFrame:
+    """Kept documents; fails on one whose text is not what its digest was taken of."""
+    kept = spark.read.schema("file string, document string, sha256 string").parquet(landing)
+    same = F.sha2("document", 256) == F.col("sha256")
+    broken = F.raise_error(F.concat(F.lit("document differs from its digest: "), "file")).cast("string")
+    return kept.withColumn("document", F.when(same, F.col("document")).otherwise(broken))
