@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from trackledger.model import REGISTRY
 from trackledger.plans import extracts, sheets as jobs
 from trackledger.sinks import publish
-from trackledger.sources import files, registry, sheets, text
+from trackledger.__main__ import run
+from trackledger.sources import files, ledger, registry, sheets, text
 
 
 @pytest.fixture
@@ -169,11 +170,38 @@ def test_folder_union_counts_and_guards(spark, tmp_path):
     df = files.read_extracts(spark, paths, source=True)
     assert [(r["i"], r["x"], r["y"]) for r in df.orderBy("i").collect()] == [(1, "a", None), (2, None, "b")]
     assert sorted(r["n"] for r in files.input_counts(spark, paths).collect()) == [0, 1, 1]
-    assert files.require_inputs(df) is df
+    found = ledger.list_files(spark, paths)
+    ledger.require_files(found)
+    ledger.require_files(found, exactly=3)
     with pytest.raises(ValueError, match="exactly 1"):
-        files.require_inputs(df, exactly=1)
+        ledger.require_files(found, exactly=1)
     with pytest.raises(ValueError, match="no input files"):
-        files.require_inputs(spark.range(1))
+        ledger.require_files(ledger.list_files(spark, str(tmp_path / "nowhere*")))
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv", "json"])
+def test_ledger_counts_rows_of_every_file(spark, tmp_path, format):
+    for n, rows in {"a": 3, "b b": 2, "c": 0}.items():
+        df = spark.range(rows).select(F.col("id").cast("string").alias("i"), F.lit("x\ny").alias("v"))
+        writer = df.coalesce(1).write
+        (writer.options(**text.WRITE) if format == "csv" else writer).format(format).save(str(tmp_path / "in" / n))
+    book = ledger.file_ledger(spark, str(tmp_path / "in"), format)
+    counts = {r["file"].split("/")[-2]: r["n_rows"] for r in book.collect()}
+    assert counts["a"] == 3 and counts["b%20b"] == 2 and counts.get("c", 0) == 0
+    assert book.where("n_bytes IS NULL").isEmpty()
+    assert ledger.file_ledger(spark, str(tmp_path / "none*"), format).isEmpty()
+
+
+def test_summary_commands_need_their_input(spark, tmp_path):
+    rows = spark.createDataFrame([("F", "A", "C", "X", None, "Issue")], "FLEET string, AC string, CATEGORY string, PROPOSED_ACTION string, FEEDBACK string, Status string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.union(rows).repartition(2).write.parquet(str(tmp_path / "two"))
+    for job in ("fleet_summaries", "category_summaries", "engine_summaries"):
+        run(spark, [job, "--sheets", str(tmp_path / "one"), "--single-input", "--out", str(tmp_path / f"out_{job}")])
+        with pytest.raises(ValueError, match="exactly 1"):
+            run(spark, [job, "--sheets", str(tmp_path / "two"), "--single-input", "--out", str(tmp_path / "no")])
+        with pytest.raises(ValueError, match="no input files"):
+            run(spark, [job, "--sheets", str(tmp_path / "none*"), "--out", str(tmp_path / "no")])
 
 
 def test_last_worksheet_per_workbook(spark):
@@ -263,8 +291,9 @@ def test_folder_counts(spark, tmp_path):
     one.write.parquet(str(tmp_path / "A319/Category/y"))
     one.write.parquet(str(tmp_path / "A319/AC/z"))
     one.write.parquet(str(tmp_path / "A320/AC/z"))
+    one.limit(0).coalesce(1).write.parquet(str(tmp_path / "A 321/AC/z"))  # nothing but an empty file
     rows = sorted(map(tuple, publish.folder_counts(spark, str(tmp_path)).collect()))
-    assert rows == [("A319", 6, 3), ("A320", 0, 3)]
+    assert rows == [("A 321", 0, 0), ("A319", 6, 3), ("A320", 0, 3)]
 
 
 CURRENT = "sheet string, _id long, AC string, FLEET string, PN string, MAIN_PN string, VENDOR string, PROPOSED_ACTION string, Status string"
@@ -311,3 +340,18 @@ def test_update_job_conforms(spark, tracker):
     clean, rejects = jobs.update_sheets(tracker.withColumn("Status", F.when(F.col("_id") < 3, "Issue").otherwise("?")))
     # No row is lost: those with an unfit cell are flagged.
     assert clean.count() == 5 and clean.where("_rejected").count() == 2 and rejects.count() == 2
+
+
+def test_sorted_export_is_in_order_over_files(spark, tmp_path):
+    """One folder has most rows, and a third of all rows are equal in the order."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("m")).otherwise(F.when(F.col("id") % 50 != 1, F.sha2(F.col("id").cast("string"), 256)))
+    df = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 10 == 0, "b").when(F.col("id") % 10 == 1, None).otherwise("a").alias("g"), key.alias("k"), "id")
+    publish.export_by(df, ["g"], str(tmp_path / "o"), sort=["k"], partitions=6)
+    rows = publish.in_order(spark, str(tmp_path / "o"), df.schema).collect()
+    assert sorted((r["g"] or "", r["id"]) for r in rows) == sorted((r["g"] or "", r["id"]) for r in df.collect())
+    files = {r["_file"] for r in rows if r["g"] == "a"}
+    hot = {r["_file"] for r in rows if r["k"] == "m"}
+    assert len(files) > 2 and len(hot) > 1
+    for g in ("a", "b", None):
+        keys = [r["k"] for r in sorted((r for r in rows if r["g"] == g), key=lambda r: (r["_file"], r["_pos"]))]
+        assert keys == sorted(keys, key=lambda k: (k is None, k or ""))

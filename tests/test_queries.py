@@ -10,8 +10,6 @@ from trackledger.catalog import QUERIES
 
 ROOT = "/root/testdata"
 SMALL = os.environ.get("TRACKLEDGER_SF_DIR", f"{ROOT}/sf0.001")
-# Two rows of the smallest tables share a row id, so these need larger ones.
-UNIQUE_IDS = {"dup_ids", "engine_dup_ids", "apply_delete", "apply_update", "job_dedupe_sheets", "dedupe_sheet_order"}
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +19,10 @@ def connections():
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, connections, name):
-    sf_dir = f"{ROOT}/sf0.01" if name in UNIQUE_IDS else SMALL
-    if sf_dir not in connections:
-        connections[sf_dir] = oracle.connect(sf_dir)
-    result = contract.queries()[name](spark, sf_dir)
-    assert oracle.compare(result, connections[sf_dir], contract.oracle_sql()[name]) is None
+    if SMALL not in connections:
+        connections[SMALL] = oracle.connect(SMALL)
+    result = contract.queries()[name](spark, SMALL)
+    assert oracle.compare(result, connections[SMALL], contract.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from trackledger.catalog.fixtures import view
 from trackledger.model import AIRFRAME_KEY, CLOSABLE, PICKLIST
-from trackledger.operators.dedupe import duplicate_ids, first_ids, keep_first
+from trackledger.operators.changes import apply_delete
+from trackledger.operators.dedupe import duplicate_ids, duplicate_rows, first_ids, keep_first
 from trackledger.operators.reconcile import key_violations, reconcile, reconcile_once, require_no_repeats, require_unique
 from trackledger.plans import sheets
 
@@ -254,3 +255,32 @@ def test_feedback_keeps_changed_rows_only(spark):
     before = {(r["sheet"], r["_id"]): r["Status"] for r in current.collect()}
     after = {(r["sheet"], r["_id"]): r["Status"] for r in outcome.sheets.collect()}
     assert set(before) == set(after) and sum(before[k] != after[k] for k in before) == changed
+
+
+def _brute_dedupe(rows):
+    """First row of each (sheet, key) by id; of equal ids the first in the list."""
+    seen, kept, gone = set(), [], []
+    for row in sorted(rows, key=lambda r: r[1]):
+        key = (row[0], row[2], row[3])
+        (gone if key in seen else kept).append(row)
+        seen.add(key)
+    return kept, gone
+
+
+def test_rows_that_share_an_id_are_deduplicated_by_row(spark):
+    rows = [
+        ("s", 5, "A", "p", "x"), ("s", 5, "A", "p", "x"),  # equal rows
+        ("s", 6, "A", "q", "x"), ("s", 6, "A", "p", "x"),  # one first, one not
+        ("s", 7, "A", "q", "x"), ("s", 7, "A", "q", "y"),  # both not first
+        ("s", 8, None, "z", "x"), ("s", 8, None, "z", "x"), ("s", 8, None, "w", "x"),
+        ("t", 5, "A", "p", "x"),
+    ]
+    frame = spark.createDataFrame(rows, "sheet string, _id long, AC string, PN string, v string").repartition(3)
+    kept, gone = _brute_dedupe(rows)
+    assert _rows_of(duplicate_ids(frame, KEYS)) == sorted(((r[0], r[1]) for r in gone), key=repr)
+    outcome = sheets.dedupe(frame, keys=KEYS)
+    assert _rows_of(outcome.changes) == sorted(((r[0], r[1]) for r in gone), key=repr)
+    got = _rows_of(outcome.sheets.select("sheet", "_id", "AC", "PN"))
+    assert got == sorted((r[:4] for r in kept), key=repr)
+    left = apply_delete(frame, duplicate_rows(frame, KEYS))
+    assert left.count() == len(kept) and left.columns == frame.columns

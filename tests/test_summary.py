@@ -2,10 +2,11 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from trackledger.functions.rules import apply_feedback, fold_category, open_rows
 from trackledger.model import ENGINE_ACTIONS, REPORTED
-from trackledger.operators import summary
+from trackledger.operators import dimension, summary
 from trackledger.plans import summaries
 
 SCHEMA = (
@@ -110,7 +111,7 @@ def test_aircraft_with_unlisted_statuses_stays_with_zeros(spark):
 
 def test_totals_with_categories(rows, frame):
     ready, plain = fold_category(apply_feedback(rows)), folded(frame)
-    wide = summary.totals_with_categories(ready)
+    wide = dimension.totals_with_categories(ready)
     assert wide.columns[-2:] == ["OTHER", "ROTABLE"]
     want = {
         (
@@ -131,23 +132,50 @@ def test_all_pairs_are_present(spark, rows, frame):
         for f in ["F1", "F2"]
         for c in ["OTHER", "ROTABLE"]
     }
-    assert got(summary.all_pairs_totals(ready)) == want
+    assert got(dimension.pair_totals(ready)) == want
     sparse = spark.createDataFrame(
         [("F1", "A", "x", None, None, "Issue"), ("F2", "B", "x", None, None, None), ("F3", None, "x", None, None, None)],
         SCHEMA,
     )
-    result = summary.all_pairs_totals(sparse)
+    result = dimension.pair_totals(sparse)
     assert result.count() == 6
     assert [r["Issue"] for r in result.where("FLEET = 'F1' AND CATEGORY = 'A'").collect()] == [1]
 
 
-def test_category_list_follows_the_pivot_limit(spark, rows):
-    spark.conf.set("spark.sql.pivotMaxValues", "2")
-    try:
-        with pytest.raises(ValueError, match="more than 2 categories"):
-            summary.category_list(rows)
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+def test_declared_categories_have_rows_with_zeros(spark, rows, frame):
+    ready, plain = fold_category(apply_feedback(rows)), folded(frame)
+    actions = summary.AIRFRAME_ACTIONS
+    declared = spark.createDataFrame([("SPARE",), ("ROTABLE",)], "CATEGORY string")
+    result = got(dimension.pair_totals(ready, declared))
+    assert {r[:2] for r in result} == {(f, c) for f in ("F1", "F2") for c in ("SPARE", "ROTABLE", "OTHER")}
+    assert {r[2:] for r in result if r[1] == "SPARE"} == {(0,) * (len(actions) + len(REPORTED))}
+    pairs = spark.createDataFrame([("F1", "SPARE"), ("F9", "OTHER")], "FLEET string, CATEGORY string")
+    found = {r[:2] for r in got(dimension.pair_totals(ready, pairs))}
+    assert found == {(f, c) for f in ("F1", "F2") for c in ("ROTABLE", "OTHER")} | {("F1", "SPARE"), ("F9", "OTHER")}
+    long = {(r["FLEET"], r["kind"], r["title"]): r["n"] for r in dimension.long_totals(ready, declared).collect()}
+    for fleet, part in plain.groupby("FLEET"):
+        assert long[fleet, "category", "SPARE"] == 0
+        assert long[fleet, "category", "OTHER"] == int((part["CATEGORY"] == "OTHER").sum())
+        assert [long[fleet, "action", t] for t in actions] + [long[fleet, "status", t] for t in REPORTED] == list(
+            brute_totals(part, actions)
+        )
+    wide = dimension.totals_with_categories(ready, categories=declared)
+    assert wide.columns[-2:] == ["ROTABLE", "SPARE"] and set(r["SPARE"] for r in wide.collect()) == {0}
+
+
+def test_any_number_of_categories(spark):
+    """More than a pivot would take, in rows; every fleet with every category."""
+    df = spark.range(0, 12_000).select(
+        F.concat(F.lit("F"), F.col("id") % 2).alias("FLEET"), F.concat(F.lit("C"), F.col("id")).alias("CATEGORY"),
+        F.lit("A").alias("AC"), F.lit("x").alias("PROPOSED_ACTION"), F.lit(None).cast("string").alias("FEEDBACK"), F.lit("Issue").alias("Status"),
+    )
+    long = dimension.long_totals(df).where("kind = 'category'")
+    assert long.count() == 12_000 + 2
+    pairs = dimension.pair_totals(df)
+    assert pairs.count() == 24_000 and pairs.agg(F.sum("Issue")).first()[0] == 12_000
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert dimension.pair_totals(df.limit(0)).isEmpty() and dimension.long_totals(df.limit(0)).isEmpty()
 
 
 def test_reports_from_counted_rows_equal_reports_from_rows(rows, frame):
@@ -155,9 +183,9 @@ def test_reports_from_counted_rows_equal_reports_from_rows(rows, frame):
     reports = summaries.fleet_summaries(rows)
     assert got(reports["ACTIONS"]) == got(summary.open_actions(open_rows(ready)))
     assert got(reports["STATUS"]) == got(summary.status_matrix(ready))
-    assert got(reports["TOTALS"]) == got(summary.totals_with_categories(fold_category(ready)))
+    assert got(reports["TOTALS"]) == got(dimension.totals_with_categories(fold_category(ready)))
     pairs = summaries.fleet_category_summaries(rows)
-    assert got(pairs["TOTALS"]) == got(summary.all_pairs_totals(fold_category(ready)))
+    assert got(pairs["TOTALS"]) == got(dimension.pair_totals(fold_category(ready)))
     assert got(pairs["ACTION"]) == brute_actions(folded(frame), ["FLEET", "CATEGORY"], summary.AIRFRAME_ACTIONS)
     engine = summaries.engine_summaries(rows)
     assert got(engine["totals"]) == {brute_totals(prepared(frame), ENGINE_ACTIONS)}
@@ -180,9 +208,3 @@ def test_export_reports(spark, rows, tmp_path):
     assert spark.read.parquet(str(tmp_path / "engine" / "totals")).count() == 1
     acs = [r["AC"] for r in spark.read.parquet(str(tmp_path / "engine" / "all_action")).collect()]
     assert acs == ["A1", "A2", "A3", None]
-
-
-def test_one_input_file_is_required(spark, rows, tmp_path):
-    rows.repartition(2).write.parquet(str(tmp_path / "two"))
-    with pytest.raises(ValueError, match="exactly 1"):
-        summaries.engine_summaries(spark.read.parquet(str(tmp_path / "two")), single_input=True)

@@ -17,6 +17,7 @@ from trackledger.plans import extracts, sheets, summaries
 from trackledger.session import SETTINGS
 from trackledger.sinks.publish import folder_counts
 from trackledger.sources.files import UNIT_SEPARATOR, read_extracts, read_text_cells
+from trackledger.sources.ledger import list_files, require_files
 from trackledger.sources.registry import read_registry
 from trackledger.sources.sheets import land_documents, read_landed, read_sheets
 
@@ -74,6 +75,7 @@ def _update(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _summaries(spark: SparkSession, a: argparse.Namespace, run) -> None:
+    require_files(list_files(spark, a.sheets), exactly=1 if a.single_input else None)
     summaries.export_reports(run(_sheets(spark, a)), a.out)
 
 
@@ -117,6 +119,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--sheets-format", choices=FORMATS, default="parquet")
     parser.add_argument("--refresh-format", choices=FORMATS, default="parquet")
     parser.add_argument("--worksheet", help="column that numbers the worksheets of a base; the last one is split")
+    parser.add_argument("--single-input", action="store_true", help="a summary takes exactly one input file")
     parser.add_argument("--run-date", help="date to stamp, today by default")
     parser.add_argument("--null-safe", action="store_true", help="null key parts match each other")
     args = parser.parse_args(argv)

@@ -6,13 +6,15 @@ shared folder and reads it back with the library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.functions import rules
-from trackledger.model import SHEET, SHEET_JSON, user_columns
+from trackledger.model import PACK_SORT, SHEET, SHEET_JSON, user_columns
+from trackledger.operators import summary
+from trackledger.plans import summaries
 from trackledger.session import scratch_path
 from trackledger.sinks import publish, versions
 from trackledger.sources import files, registry, sheets, text
@@ -174,6 +176,32 @@ def _export_sheets(spark: SparkSession, sf: str) -> DataFrame:
     return publish.read_export(spark, path, rows.schema).select("sheet", "_id", "Status")
 
 
+def _export_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of every row in its sheet, by file and place in the file; a sheet has several files."""
+    rows = view(spark, sf, "tracker").select("sheet", *PACK_SORT)
+    path = scratch_path(spark, "ordered")
+    publish.export_by(rows, [SHEET], path, sort=PACK_SORT, partitions=8)
+    placed = publish.in_order(spark, path, rows.schema)
+    in_sheet = Window.partitionBy(SHEET).orderBy("_file", "_pos")
+    return placed.select(*rows.columns, F.row_number().over(in_sheet).cast("long").alias("place"))
+
+
+def _report_order(spark: SparkSession, sf: str) -> DataFrame:
+    report = summaries.engine_summaries(view(spark, sf, "engine_tracker"))["all_status"]
+    path = scratch_path(spark, "ordered")
+    summary.sorted_report(report).write.parquet(path)
+    placed = publish.in_order(spark, path, report.schema)
+    return placed.select("AC", F.row_number().over(Window.orderBy("_file", "_pos")).cast("long").alias("place"))
+
+
+def _inferred_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Text without a schema: types come from the cells, over all files of the folder."""
+    path = scratch_path(spark, "inferred")
+    rows = view(spark, sf, "dated").select("_id", "AC", "Created Date", F.col("qty"), (F.col("qty") / 2).alias("half"))
+    rows.repartition(3, "_id").write.options(**text.WRITE).csv(path)
+    return files.read_extracts(spark, path, format="csv")
+
+
 def _publish_swap(spark: SparkSession, sf: str) -> DataFrame:
     """Publish all sheets, then publish one of them again with other rows."""
     rows = view(spark, sf, "tracker").select("sheet", "_id", "Status")
@@ -330,6 +358,21 @@ QUERIES = {
         f"{_TRACKER} SELECT FLEET AS base, CASE WHEN _id % 23 <> 0 THEN AC END AS AC, _id, PN FROM tracker",
     ),
     "export_sheets": Query(_export_sheets, f"{_TRACKER} SELECT sheet, _id, Status FROM tracker"),
+    "export_order": Query(
+        _export_order,
+        f"""{_TRACKER} SELECT sheet, {', '.join(PACK_SORT)}, row_number() OVER (PARTITION BY sheet
+        ORDER BY {', '.join(f'{c} NULLS LAST' for c in PACK_SORT)}) AS place FROM tracker""",
+    ),
+    "report_order": Query(
+        _report_order,
+        f"""{with_views('engine_tracker')} SELECT AC, row_number() OVER (ORDER BY AC NULLS LAST) AS place
+        FROM (SELECT DISTINCT AC FROM engine_tracker WHERE AC IS NOT NULL
+        AND CASE WHEN FEEDBACK IS NOT NULL AND FEEDBACK <> '' THEN 'Validated' ELSE Status END IS NOT NULL) x""",
+    ),
+    "inferred_text": Query(
+        _inferred_text,
+        f"""{with_views('dated')} SELECT _id, AC, "Created Date", CAST(qty AS INTEGER) AS qty, qty / 2 AS half FROM dated""",
+    ),
     "rows_per_group": Query(
         lambda s, d: publish.rows_per_group(view(s, d, "tracker"), ["sheet", "CATEGORY"]),
         f"{_TRACKER} SELECT sheet, CATEGORY, count(*) AS n FROM tracker GROUP BY sheet, CATEGORY",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.functions import conform, rules
-from trackledger.model import SHEET_ROW_CAP
+from trackledger.model import PACK_REQUIRED, SHEET_ROW_CAP
 from trackledger.operators import pack
 
 _SMALL_CAP = 200
@@ -85,6 +85,11 @@ QUERIES = {
         f"""{with_views('partial')} SELECT * EXCLUDE (Status), coalesce(Status, 'Initial') AS Status,
         DATE '{_RUN_DATE}' AS "Created Date", DATE '{_RUN_DATE}' AS "Modified Date" FROM partial""",
     ),
+    "required_columns": Query(
+        lambda s, d: rules.require_columns(_prepared(s, d), PACK_REQUIRED).select(*PACK_REQUIRED),
+        f"""{with_views('partial')} SELECT coalesce(Status, 'Initial') AS Status, DATE '{_RUN_DATE}' AS "Created Date",
+        DATE '{_RUN_DATE}' AS "Modified Date", CATEGORY, PN, MAIN_PN, AC, FLEET FROM partial""",
+    ),
     "seed_columns": Query(
         _seeded,
         f"""{with_views('tracker')} SELECT _id,

@@ -9,7 +9,7 @@ from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, user_columns
 from trackledger.operators import changes, refresh
-from trackledger.operators.dedupe import duplicate_ids, keep_first
+from trackledger.operators.dedupe import duplicate_ids, duplicate_rows, keep_first
 from trackledger.operators.reconcile import inserts, key_violations, reconcile, updates
 
 _AIR = ", ".join(AIRFRAME_KEY)
@@ -84,7 +84,7 @@ def _apply_update(spark: SparkSession, sf: str) -> DataFrame:
 
 def _apply_delete(spark: SparkSession, sf: str) -> DataFrame:
     tracker = view(spark, sf, "tracker")
-    return changes.apply_delete(tracker, duplicate_ids(tracker, AIRFRAME_KEY))
+    return changes.apply_delete(tracker, duplicate_rows(tracker, AIRFRAME_KEY))
 
 
 def _apply_insert(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,4 +252,21 @@ QUERIES = {
         lambda s, d: refresh.refresh_summary(view(s, d, "totals_current"), view(s, d, "totals_new")),
         _refresh_sql("totals_current", "totals_new", "n.sheet = c.sheet", ""),
     ),
+    "refresh_paired_by_choice": Query(
+        lambda s, d: refresh.refresh_summary(
+            view(s, d, "totals_current").withColumn("AC", F.lit("A")),
+            view(s, d, "totals_new").withColumn("AC", F.lit("B")),
+            paired=view(s, d, "totals_new").where("sheet <> 'TOTALS_F2'"),
+        ),
+        f"""{with_views('totals_current', 'totals_new')} SELECT n.sheet, c._id, n.n_rows, 'B' AS AC, 'UPDATE' AS op
+        FROM totals_new n JOIN totals_current c ON c.sheet = n.sheet WHERE n.sheet <> 'TOTALS_F2'
+        UNION ALL SELECT sheet, _id, CAST(NULL AS BIGINT) AS n_rows, CAST(NULL AS VARCHAR) AS AC, 'BLANK' AS op
+        FROM totals_current WHERE sheet = 'TOTALS_F2'
+        UNION ALL SELECT sheet, CAST(NULL AS BIGINT) AS _id, n_rows, 'B' AS AC, 'UNMATCHED_NEW' AS op
+        FROM totals_new WHERE sheet = 'TOTALS_F2'""",
+    ),
+    "summary_key_violations": Query(
+        lambda s, d: key_violations(view(s, d, "summary_new").unionByName(view(s, d, "summary_new").where("n_rows % 2 = 0")), ["AC"]),
+        f"""{with_views('summary_new')} SELECT sheet, AC, CAST(2 AS BIGINT) AS n FROM summary_new WHERE n_rows % 2 = 0""",
+    ),
 }

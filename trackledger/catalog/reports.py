@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.functions import rules
 from trackledger.model import ENGINE_ACTIONS, REPORTED
-from trackledger.operators import summary
+from trackledger.operators import dimension, summary
 
 _RULE = "CASE WHEN FEEDBACK IS NOT NULL AND FEEDBACK <> '' THEN 'Validated' ELSE Status END"
 _FOLD = "CASE WHEN CATEGORY IN ('KIT', 'GEN-CON', 'SOFTWARE') THEN 'OTHER' ELSE CATEGORY END"
@@ -49,16 +50,47 @@ def _wide_sql() -> str:
     return f"{_with('tracker')} SELECT FLEET, {_ADD}, {_VALIDATE}, {_STATUSES}, {columns} FROM folded GROUP BY FLEET"
 
 
-def _all_pairs_sql() -> str:
-    titles = ["Add Effectivity", "Validate Effectivity", *REPORTED]
-    columns = ", ".join(f'coalesce(s."{t}", 0) AS "{t}"' for t in titles)
-    return f"""{_with('tracker')},
-s AS (SELECT FLEET, CATEGORY, {_ADD}, {_VALIDATE}, {_STATUSES} FROM folded GROUP BY FLEET, CATEGORY)
-SELECT f.FLEET, c.CATEGORY, {columns}
-FROM (SELECT DISTINCT FLEET FROM folded) f CROSS JOIN (SELECT DISTINCT CATEGORY FROM folded) c
+_ZEROS = ", ".join(
+    f'coalesce(s."{t}", 0) AS "{t}"' for t in ["Add Effectivity", "Validate Effectivity", *REPORTED]
+)
+_MISSING = "NOT (FLEET = 'F1' AND CATEGORY = 'ROTABLE') AND NOT (FLEET = 'F3' AND CATEGORY = 'EXPENDABLE')"
+_SPARSE = f"{_with('tracker')}, sparse AS (SELECT * FROM folded WHERE {_MISSING})"
+
+
+def _sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fleets lack a category that others have."""
+    return _folded(spark, sf).where(_MISSING)
+
+
+def _declared(spark: SparkSession, sf: str) -> DataFrame:
+    """Part types as a dimension; most are no category of any row."""
+    return spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_type").alias("CATEGORY")).distinct()
+
+
+def _all_pairs_sql(rows: str) -> str:
+    return f"""{_SPARSE},
+s AS (SELECT FLEET, CATEGORY, {_ADD}, {_VALIDATE}, {_STATUSES} FROM {rows} GROUP BY FLEET, CATEGORY)
+SELECT f.FLEET, c.CATEGORY, {_ZEROS}
+FROM (SELECT DISTINCT FLEET FROM {rows}) f CROSS JOIN (SELECT DISTINCT CATEGORY FROM {rows}) c
 LEFT JOIN s ON s.FLEET = f.FLEET AND s.CATEGORY = c.CATEGORY"""
 
 
+def _long_sql() -> str:
+    titles = [("action", "Add Effectivity", "PROPOSED_ACTION = 'ADD_EFFECTIVITY'")]
+    titles.append(("action", "Validate Effectivity", "PROPOSED_ACTION = 'VALIDATE_EFFECTIVITY'"))
+    titles += [("status", status, f"Status = '{status}'") for status in REPORTED]
+    counted = " UNION ALL ".join(
+        f"SELECT FLEET, '{kind}' AS kind, '{title}' AS title, count(*) FILTER (WHERE {test}) AS n FROM sparse GROUP BY FLEET"
+        for kind, title, test in titles
+    )
+    return f"""{_SPARSE}, f AS (SELECT DISTINCT FLEET FROM sparse),
+wanted AS (SELECT DISTINCT FLEET, p_type AS title FROM f CROSS JOIN part UNION SELECT FLEET, 'OTHER' FROM f
+  UNION SELECT FLEET, CATEGORY FROM sparse)
+SELECT w.FLEET, 'category' AS kind, w.title, count(s.FLEET) AS n FROM wanted w
+LEFT JOIN sparse s ON s.FLEET = w.FLEET AND s.CATEGORY = w.title GROUP BY w.FLEET, w.title
+UNION ALL {counted}"""
+
+
 QUERIES = {
     "feedback_rule": Query(
         lambda s, d: _validated(s, d).select("_id", "FEEDBACK", "Status"),
@@ -118,9 +150,21 @@ QUERIES = {
         f"{_with('tracker')} SELECT FLEET, CATEGORY, count(*) AS n FROM folded GROUP BY FLEET, CATEGORY",
     ),
     "fleet_totals_with_categories": Query(
-        lambda s, d: summary.totals_with_categories(_folded(s, d)), _wide_sql()
+        lambda s, d: dimension.totals_with_categories(_folded(s, d)), _wide_sql()
+    ),
+    "fleet_category_totals": Query(lambda s, d: dimension.pair_totals(_folded(s, d)), _all_pairs_sql("folded")),
+    "fleet_category_totals_sparse": Query(
+        lambda s, d: dimension.pair_totals(_sparse(s, d)), _all_pairs_sql("sparse")
+    ),
+    "fleet_category_totals_declared": Query(
+        lambda s, d: dimension.pair_totals(_sparse(s, d), _declared(s, d)),
+        f"""{_SPARSE}, names AS (SELECT DISTINCT p_type AS CATEGORY FROM part UNION SELECT CATEGORY FROM sparse),
+s AS (SELECT FLEET, CATEGORY, {_ADD}, {_VALIDATE}, {_STATUSES} FROM sparse GROUP BY FLEET, CATEGORY)
+SELECT f.FLEET, c.CATEGORY, {_ZEROS} FROM (SELECT DISTINCT FLEET FROM sparse) f CROSS JOIN names c
+LEFT JOIN s ON s.FLEET = f.FLEET AND s.CATEGORY = c.CATEGORY
+WHERE s.FLEET IS NOT NULL OR c.CATEGORY IN (SELECT p_type FROM part)""",
     ),
-    "fleet_category_totals": Query(lambda s, d: summary.all_pairs_totals(_folded(s, d)), _all_pairs_sql()),
+    "fleet_totals_long": Query(lambda s, d: dimension.long_totals(_sparse(s, d), _declared(s, d)), _long_sql()),
     "engine_totals": Query(
         lambda s, d: summary.totals(_validated(s, d, "engine_tracker"), [], ENGINE_ACTIONS),
         f"{_with('engine_tracker')} SELECT {_UPDATE}, {_STATUSES} FROM fb",

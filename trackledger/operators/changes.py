@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackledger.functions.rules import name, some_of
 from trackledger.model import OP, ROW_ID, ROW_ORDER, SHEET, user_columns
 from trackledger.operators.blocks import number_rows
+from trackledger.operators.dedupe import N_ALL, N_ROWS
 from trackledger.operators.reconcile import UPDATE_OPS
+from trackledger.session import materialize
 
 _AT = [SHEET, ROW_ID]
 
@@ -45,10 +47,24 @@ def apply_update(
 
 
 def apply_delete(target: DataFrame, ids: DataFrame, rows: Column | None = None) -> DataFrame:
-    """Remove the rows named by ``(sheet, _id)``."""
+    """Remove the rows named by ``(sheet, _id)``.
+
+    Where ``ids`` says how many rows of an id go, out of how many
+    (``duplicate_rows``), and some stay, those go that are last by their cells;
+    equal rows can't be told apart, and need not be.
+    """
     if rows is not None:
         ids = ids.where(rows)
-    return target.join(ids.select(*_AT), _AT, "left_anti")
+    if not {N_ROWS, N_ALL} <= set(ids.columns):
+        return target.join(ids.select(*_AT), _AT, "left_anti")
+    ids = materialize(ids.select(*_AT, N_ROWS, N_ALL))
+    kept = target.join(ids.select(*_AT), _AT, "left_anti")
+    partly = ids.where(F.col(N_ROWS) < F.col(N_ALL)).withColumn("_stay", F.col(N_ALL) - F.col(N_ROWS)).drop(N_ROWS, N_ALL)
+    if partly.isEmpty():
+        return kept
+    cells = [name(f.name) for f in target.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]
+    ranked = target.join(partly, _AT).withColumn("_nth", F.row_number().over(Window.partitionBy(*_AT).orderBy(*cells)))
+    return kept.unionByName(ranked.where(F.col("_nth") <= F.col("_stay")).select(*[name(c) for c in target.columns]))
 
 
 def apply_insert(

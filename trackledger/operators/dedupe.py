@@ -12,6 +12,9 @@ from trackledger.functions.rules import name
 from trackledger.model import ROW_ID, SHEET
 from trackledger.operators.keys import key_hash, with_key_hash
 
+N_ROWS = "n_rows"
+N_ALL = "n_all"
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID, keep_hash: bool = False) -> DataFrame:
     """The first row of each key within its sheet; null key parts are equal.
@@ -38,10 +41,22 @@ def first_ids(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFr
     return df.groupBy(SHEET, *[name(k) for k in keys]).agg(first.alias(ROW_ID)).select(SHEET, ROW_ID)
 
 
-def duplicate_ids(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
-    """``(sheet, _id)`` of every row that is not the first of its key.
+def duplicate_rows(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+    """``sheet, _id, n_rows, n_all``: how many of the rows with an id are not the first of their key.
 
-    ``_id`` must be unique within a sheet. The rows meet the first ids on
-    ``_id``, which spreads evenly, and not on the key, which may be hot.
+    Every row counts for its id, and every first row against it; what is left of
+    an id are its duplicates. So rows that share an id, even equal ones, are told
+    apart by number, and rows spread by id and not by key, which may be hot.
     """
-    return df.select(SHEET, ROW_ID).join(first_ids(df, keys, order), [SHEET, ROW_ID], "left_anti")
+    every = df.select(SHEET, ROW_ID, F.lit(1).alias("_here"), F.lit(0).alias("_first"))
+    first = first_ids(df, keys, order).select(SHEET, ROW_ID, F.lit(0).alias("_here"), F.lit(1).alias("_first"))
+    summed = every.unionByName(first).groupBy(SHEET, ROW_ID).agg(
+        F.sum(F.col("_here") - F.col("_first")).alias(N_ROWS), F.sum("_here").alias(N_ALL)
+    )
+    return summed.where(F.col(N_ROWS) > 0)
+
+
+def duplicate_ids(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+    """``(sheet, _id)`` of every row that is not the first of its key."""
+    found = duplicate_rows(df, keys, order)
+    return found.select(SHEET, ROW_ID, F.explode(F.sequence(F.lit(1), N_ROWS))).drop("col")

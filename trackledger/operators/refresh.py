@@ -27,11 +27,16 @@ def single_row_sheets(current: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def refresh_summary(current: DataFrame, new: DataFrame, key: str = "AC") -> DataFrame:
+def refresh_summary(
+    current: DataFrame, new: DataFrame, key: str = "AC", paired: DataFrame | None = None
+) -> DataFrame:
     """New summary values under the row ids the sheet has.
 
     A sheet with one row on both sides pairs the two rows; any other sheet is
-    joined on ``key``, where null matches nothing. ``op`` says what happens:
+    joined on ``key``, where null matches nothing. ``paired`` (column ``sheet``)
+    says instead which sheets are totals whose single rows are paired, so that
+    others are joined on ``key`` even when they happen to have one row; a sheet
+    it names that has several rows on a side is joined on ``key``, too. ``op`` says what happens:
     UPDATE for matched rows, BLANK for rows only the sheet has (their user
     columns become null), UNMATCHED_NEW for rows only the extract has, which
     have no row id and are reported, not written. A key that occurs twice in a
@@ -41,6 +46,8 @@ def refresh_summary(current: DataFrame, new: DataFrame, key: str = "AC") -> Data
         if key in df.columns:
             require_unique(df, [key], side=side_name)
     singles = single_row_sheets(current, new)
+    if paired is not None:
+        singles = singles.join(paired.select(SHEET).distinct(), SHEET, "left_semi")
 
     def with_match(df: DataFrame) -> DataFrame:
         keyed = name(key).cast("string") if key in df.columns else F.lit(None).cast("string")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackledger.functions.rules import name
-from trackledger.model import AIRFRAME_ACTIONS, OTHER, REPORTED
+from trackledger.model import AIRFRAME_ACTIONS, REPORTED
 
 AC = "AC"
 STATUS = "Status"
@@ -27,7 +27,7 @@ def _weight(weight: str | None) -> Column:
     return F.lit(1) if weight is None else name(weight)
 
 
-def _count(condition: Column, weight: str | None) -> Column:
+def count_where(condition: Column, weight: str | None) -> Column:
     if weight is None:
         return F.count_if(condition)
     counted = F.sum(F.when(condition, name(weight)).otherwise(F.lit(0)))
@@ -69,7 +69,7 @@ def open_actions(
     A null aircraft keeps its row, with zeros.
     """
     counts = [
-        _count(name(AC).isNotNull() & (name(ACTION) == value), weight).alias(title)
+        count_where(name(AC).isNotNull() & (name(ACTION) == value), weight).alias(title)
         for title, value in actions.items()
     ]
     grouped = _present(open_df, by).groupBy(*[name(c) for c in by], AC).agg(*counts)
@@ -89,14 +89,14 @@ def status_matrix(
     statuses only stays, with zeros.
     """
     rows = _present(df, [*by, AC, STATUS])
-    counts = [_count(name(STATUS) == s, weight).alias(s) for s in statuses]
+    counts = [count_where(name(STATUS) == s, weight).alias(s) for s in statuses]
     return rows.groupBy(*[name(c) for c in by], AC).agg(*counts)
 
 
-def _total_columns(actions: Mapping[str, str], statuses: Sequence[str], weight: str | None) -> list[Column]:
+def total_columns(actions: Mapping[str, str], statuses: Sequence[str], weight: str | None) -> list[Column]:
     return [
-        *[_count(name(ACTION) == value, weight).alias(title) for title, value in actions.items()],
-        *[_count(name(STATUS) == s, weight).alias(s) for s in statuses],
+        *[count_where(name(ACTION) == value, weight).alias(title) for title, value in actions.items()],
+        *[count_where(name(STATUS) == s, weight).alias(s) for s in statuses],
     ]
 
 
@@ -108,7 +108,7 @@ def totals(
     weight: str | None = None,
 ) -> DataFrame:
     """Actions and statuses over all rows, open or not; one row without ``by``."""
-    columns = _total_columns(actions, statuses, weight)
+    columns = total_columns(actions, statuses, weight)
     if not by:
         return df.agg(*columns)
     return _present(df, by).groupBy(*[name(c) for c in by]).agg(*columns)
@@ -119,60 +119,6 @@ def category_counts(df: DataFrame, by: Sequence[str] = ("FLEET",), weight: str |
     return tally(_present(df, [*by, CATEGORY]), [*by, CATEGORY], weight)
 
 
-def category_list(df: DataFrame) -> list[str]:
-    """Category titles for a wide report, with OTHER first.
-
-    Like a pivot without values, this collects distinct values and follows the
-    same limit; pass the list yourself, or use the long form, beyond it.
-    """
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = [r[0] for r in distinct_values(df, CATEGORY).where(name(CATEGORY).isNotNull()).take(limit + 1)]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories; pass the list or use category_counts")
-    return [OTHER, *sorted(c for c in found if c != OTHER)]
-
-
-def totals_with_categories(
-    df: DataFrame,
-    by: Sequence[str] = ("FLEET",),
-    actions: Mapping[str, str] = AIRFRAME_ACTIONS,
-    statuses: Sequence[str] = REPORTED,
-    categories: Sequence[str] | None = None,
-    weight: str | None = None,
-) -> DataFrame:
-    """Totals with one more column per category, OTHER first, from one aggregate."""
-    if categories is None:
-        categories = category_list(df)
-    columns = _total_columns(actions, statuses, weight)
-    columns += [_count(name(CATEGORY) == c, weight).alias(c) for c in categories]
-    return _present(df, by).groupBy(*[name(c) for c in by]).agg(*columns)
-
-
-def all_pairs_totals(
-    df: DataFrame,
-    fleet: str = "FLEET",
-    category: str = CATEGORY,
-    actions: Mapping[str, str] = AIRFRAME_ACTIONS,
-    statuses: Sequence[str] = REPORTED,
-    weight: str | None = None,
-) -> DataFrame:
-    """Totals for every fleet and category pair, with zeros where there are no rows.
-
-    The rows are reduced to one per pair that occurs. Each fleet then lists all
-    categories, which come from a scalar subquery over the category column, and
-    looks up its own totals; no pairs of rows are formed.
-    """
-    titles = [*actions, *statuses]
-    pairs = totals(df, [fleet, category], actions, statuses, weight)
-    categories = (
-        _present(df, [category]).agg(F.array_sort(F.collect_set(name(category))).alias("all")).scalar()
-    )
-    fleets = distinct_values(_present(df, [fleet]), fleet)
-    slots = fleets.withColumn("_all", categories).select(name(fleet), F.explode("_all").alias(category))
-    joined = slots.join(pairs, [fleet, category], "left")
-    return joined.na.fill(0, subset=titles).select(name(fleet), name(category), *[name(t) for t in titles])
-
-
 def sorted_report(report: DataFrame, by: Sequence[str] = (AC,)) -> DataFrame:
     """Report rows in ascending order with nulls last."""
     return report.orderBy(*[name(c).asc_nulls_last() for c in by])

@@ -13,7 +13,7 @@ from trackledger.functions.conform import SHEET_TYPES, conform, conform_all
 from trackledger.functions.rules import impose_schema, select_user_columns, user_schema
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, ROW_ORDER, SHEET, user_columns
 from trackledger.operators.changes import apply_delete, apply_insert, apply_update, change_set, command_counts
-from trackledger.operators.dedupe import duplicate_ids
+from trackledger.operators.dedupe import N_ALL, N_ROWS, duplicate_rows, keep_first
 from trackledger.operators.reconcile import REPEATS, inserts, next_snapshot, reconcile_once, require_no_repeats, updates
 from trackledger.operators.refresh import refresh_summary, refreshed_rows
 from trackledger.session import materialize
@@ -83,13 +83,19 @@ def dedupe(
     """Delete every row that is not the first of its key.
 
     Rows are in sheet order: by ``_row`` where the data has it, else by id.
+    Where rows share an id and only some of them go, the first rows are picked
+    as whole rows, as the id does not say which.
     """
     order = order or (ROW_ORDER if ROW_ORDER in current.columns else ROW_ID)
     if registry is not None:
         current = select_by_tag(current, registry, tag)
-    deleted = materialize(duplicate_ids(current, keys, order))
+    found = materialize(duplicate_rows(current, keys, order))
+    shared = not found.where(F.col(N_ROWS) < F.col(N_ALL)).isEmpty()
+    deleted = found.select(SHEET, ROW_ID, F.explode(F.sequence(F.lit(1), N_ROWS))).drop("col")
     return Outcome(
-        sheets=apply_delete(current, deleted), changes=deleted, counts=rows_per_group(deleted, [SHEET])
+        sheets=keep_first(current, keys, order) if shared else apply_delete(current, found.select(SHEET, ROW_ID)),
+        changes=deleted,
+        counts=rows_per_group(deleted, [SHEET]),
     )
 
 
@@ -97,9 +103,11 @@ def dedupe_engine(current: DataFrame, registry: DataFrame | None = None, order:
     return dedupe(current, registry, "engine", ENGINE_KEY, order)
 
 
-def refresh_summaries(current: DataFrame, new: DataFrame, key: str = "AC") -> Outcome:
-    """Make summary sheets match new summaries without changing row ids."""
-    refreshed = refresh_summary(current, typed_refresh(current, new), key)
+def refresh_summaries(
+    current: DataFrame, new: DataFrame, key: str = "AC", paired: DataFrame | None = None
+) -> Outcome:
+    """Make summary sheets match new summaries without changing row ids; ``paired`` names the totals."""
+    refreshed = refresh_summary(current, typed_refresh(current, new), key, paired)
     return Outcome(
         sheets=refreshed_rows(refreshed), changes=refreshed, counts=rows_per_group(refreshed, [SHEET, OP])
     )

@@ -13,24 +13,21 @@ from pyspark.sql import DataFrame
 
 from trackledger.functions.rules import apply_feedback, fold_category, open_rows
 from trackledger.model import AIRFRAME_ACTIONS, ENGINE_ACTIONS, REPORTED
+from trackledger.operators.dimension import FLEET, long_totals, pair_totals, totals_with_categories
 from trackledger.operators.summary import (
     AC,
     ACTION,
     CATEGORY,
     STATUS,
-    all_pairs_totals,
     open_actions,
     sorted_report,
     status_matrix,
     tally,
     totals,
-    totals_with_categories,
 )
 from trackledger.session import materialize
 from trackledger.sinks.publish import export_by
-from trackledger.sources.files import require_inputs
 
-FLEET = "FLEET"
 _N = "n"
 
 Reports = dict[str, DataFrame]
@@ -44,14 +41,25 @@ def fleet_summaries(
     df: DataFrame,
     statuses: Sequence[str] = REPORTED,
     actions: Mapping[str, str] = AIRFRAME_ACTIONS,
-    categories: Sequence[str] | None = None,
+    categories: Sequence[str] | DataFrame | None = None,
+    long: bool = False,
 ) -> Reports:
-    """Per fleet: open actions, status matrix, and totals with category counts."""
+    """Per fleet: open actions, status matrix, and totals with category counts.
+
+    ``categories`` declares those to list, as titles or as a dimension. With
+    ``long`` the totals come as rows, for any number of categories.
+    """
     facts = fold_category(_facts(df, [FLEET, CATEGORY]))
+    if long:
+        if categories is not None and not isinstance(categories, DataFrame):
+            categories = df.sparkSession.createDataFrame([(c,) for c in categories], f"{CATEGORY} string")
+        totals_of_fleets = long_totals(facts, categories, FLEET, actions, statuses, _N)
+    else:
+        totals_of_fleets = totals_with_categories(facts, [FLEET], actions, statuses, categories, _N)
     return {
         "ACTIONS": open_actions(open_rows(facts), [FLEET], actions, _N),
         "STATUS": status_matrix(facts, [FLEET], statuses, _N),
-        "TOTALS": totals_with_categories(facts, [FLEET], actions, statuses, categories, _N),
+        "TOTALS": totals_of_fleets,
     }
 
 
@@ -60,13 +68,18 @@ def fleet_category_summaries(
     statuses: Sequence[str] = REPORTED,
     actions: Mapping[str, str] = AIRFRAME_ACTIONS,
     fold: bool = True,
+    categories: DataFrame | None = None,
 ) -> Reports:
-    """Per fleet and category: open actions, status matrix and totals of every pair."""
+    """Per fleet and category: open actions, status matrix and totals of every pair.
+
+    ``categories`` declares the categories, or with a fleet column the pairs, that
+    have a row of totals even if nothing occurs.
+    """
     facts = fold_category(_facts(df, [FLEET, CATEGORY]), fold)
     return {
         "ACTION": open_actions(open_rows(facts), [FLEET, CATEGORY], actions, _N),
         "STATUS": status_matrix(facts, [FLEET, CATEGORY], statuses, _N),
-        "TOTALS": all_pairs_totals(facts, FLEET, CATEGORY, actions, statuses, _N),
+        "TOTALS": pair_totals(facts, categories, FLEET, actions, statuses, _N),
     }
 
 
@@ -74,14 +87,8 @@ def engine_summaries(
     df: DataFrame,
     statuses: Sequence[str] = REPORTED,
     actions: Mapping[str, str] = ENGINE_ACTIONS,
-    single_input: bool = False,
 ) -> Reports:
-    """Over all rows: open actions and status matrix per aircraft, and totals.
-
-    ``single_input`` insists that the rows come from exactly one file.
-    """
-    if single_input:
-        require_inputs(df, exactly=1)
+    """Over all rows: open actions and status matrix per aircraft, and totals."""
     facts = _facts(df, [])
     return {
         "all_action": open_actions(open_rows(facts), [], actions, _N),

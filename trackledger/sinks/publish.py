@@ -17,6 +17,7 @@ from trackledger.sinks import versions
 from trackledger.sinks.versions import SHEET_ID
 from trackledger.sources import text
 from trackledger.sources.files import has_broken_lines
+from trackledger.sources.ledger import file_ledger, folder_rows
 
 ID = "id"
 
@@ -28,27 +29,47 @@ def export_by(
     format: str = "parquet",
     sort: Sequence[str] = (),
     mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
     """One folder per value of ``cols``; a null value has a folder of its own.
 
     The files keep all columns; the folders are named after copies of ``cols``
     that begin with ``by_``. Rows are rebalanced by ``cols``: small values
     share a task, and a value with very many rows is written by several tasks
-    as several files. Rows of a file are sorted by ``sort`` with nulls last.
+    as several files.
+
+    With ``sort`` the rows are cut into even ranges of folder and ``sort``, nulls
+    last, and every range is sorted: a folder's files follow each other in the
+    order of the numbers in their names (``in_order``), and a large folder is
+    cut where its rows are. Equal rows may be many; the task that read them
+    decides between them, so that they need not share one range.
     """
     folders = [f"by_{c}" for c in cols]
     rows = df.withColumns({f: name(c) for f, c in zip(folders, cols)})
-    rows = rows.hint("rebalance", *[name(f) for f in folders])
     if sort:
-        rows = rows.sortWithinPartitions(
-            *[name(f).asc_nulls_first() for f in folders], *[name(c).asc_nulls_last() for c in sort]
-        )
+        order = [*[name(f).asc_nulls_first() for f in folders], *[name(c).asc_nulls_last() for c in sort]]
+        tied = rows.withColumn("_tie", F.spark_partition_id())
+        by = [*order, F.col("_tie")]
+        ranged = tied.repartitionByRange(partitions, *by) if partitions else tied.repartitionByRange(*by)
+        rows = ranged.sortWithinPartitions(*by).drop("_tie")
+    else:
+        rows = rows.hint("rebalance", *[name(f) for f in folders])
     writer = rows.write.mode(mode).partitionBy(*folders)
     if format == "csv":
         writer = writer.options(**text.WRITE)
     writer.format(format).save(path)
 
 
+def in_order(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Exported Parquet rows with ``_file``, the number of their file, and ``_pos``, their place in it.
+
+    Sorted exports are read in order by ``_file, _pos``.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    return rows.select(*[name(c) for c in schema.names], number.alias("_file"), F.col("_metadata.row_index").alias("_pos"))
+
+
 def export_sheets(df: DataFrame, path: str, format: str = "parquet") -> None:
     """One folder per sheet."""
     export_by(df, [SHEET], path, format)
@@ -217,19 +238,6 @@ def rows_per_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def folder_counts(
     spark: SparkSession, root: str, kinds: Sequence[str] = ("Category", "AC"), format: str = "parquet"
 ) -> DataFrame:
-    """Rows per fleet folder and kind, over all files of ``root/<fleet>/<kind>``.
-
-    Only file footers are read for Parquet, as no column is needed.
-    """
-    reader = spark.read.format(format).option("recursiveFileLookup", True)
-    if format == "csv":
-        reader = reader.options(**text.read_options(multi_line=True))
-    rows = reader.load(f"{root.rstrip('/')}/*/{{{','.join(kinds)}}}")
-    pattern = rf"([^/]+)/({'|'.join(kinds)})/"
-    file = F.col("_metadata.file_path")
-    found = rows.select(
-        F.regexp_extract(file, pattern, 1).alias("folder"), F.regexp_extract(file, pattern, 2).alias("kind")
-    )
-    return found.groupBy("folder").agg(
-        *[F.count_if(F.col("kind") == k).alias(f"{k.lower()}_rows") for k in kinds]
-    )
+    """Rows per fleet folder and kind, over all files of ``root/<fleet>/<kind>``; empty files count as 0."""
+    where = f"{root.rstrip('/')}/*/{{{','.join(kinds)}}}"
+    return folder_rows(file_ledger(spark, where, format), kinds)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from trackledger.functions.rules import name
 from trackledger.sources import text
+from trackledger.sources.ledger import FILE, ROWS, file_ledger
 
 UNIT_SEPARATOR = chr(31)
 SOURCE = "_source"
@@ -94,24 +95,11 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def require_inputs(df: DataFrame, exactly: int | None = None) -> DataFrame:
-    """Raise unless the scan has input files, or ``exactly`` so many."""
-    found = len(df.inputFiles())
-    if found == 0:
-        raise ValueError("no input files found")
-    if exactly is not None and found != exactly:
-        raise ValueError(f"expected exactly {exactly} input file(s), found {found}")
-    return df
-
-
 def input_counts(
     spark: SparkSession, path: str | list[str], format: str = "parquet", schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Rows per input file; a file without rows shows 0."""
-    at = F.col("_metadata.file_path").alias(SOURCE)
-    files = spark.read.format("binaryFile").load(path).select(at)
-    rows = read_extracts(spark, path, schema, format).select(at).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n"))
-    return files.join(rows, SOURCE, "left").select(SOURCE, F.coalesce("n", F.lit(0)).alias("n"))
+    return file_ledger(spark, path, format).select(F.col(FILE).alias(SOURCE), F.col(ROWS).alias("n"))
 
 
 def last_worksheet(df: DataFrame, workbook: str = "workbook", ordinal: str = "worksheet") -> DataFrame:
