@@ -91,9 +91,10 @@ def test_a_version_counts_when_it_is_finished(spark, root):
     before = table(spark, root)
     # All rows are written and the state, too, but the log does not name them yet.
     rows = spark.createDataFrame([("a", 7, "y", "1")], f"{ROWS}, sheet_id string")
-    version = versions.add_rows(rows, root)
+    held, version = versions.live_and_next(spark, root)
+    versions.add_rows(rows, root, version)
     assert table(spark, root) == before
-    state = versions.live(spark, root).where("sheet_id <> '1'")
+    state = held.where("sheet_id <> '1'")
     state = state.unionByName(spark.createDataFrame([("1", version, 1)], versions.LIVE))
     versions.commit(state, root, version)
     assert table(spark, root) == [("1", "a", 7), ("2", "b", 2)]
@@ -101,7 +102,9 @@ def test_a_version_counts_when_it_is_finished(spark, root):
 
 def test_of_two_writers_one_is_told(spark, root):
     rows = spark.createDataFrame([("a", 1, "x", "1")], f"{ROWS}, sheet_id string")
-    one, two = sorted([versions.add_rows(rows, root), versions.add_rows(rows, root)])
+    one, two = sorted(versions.live_and_next(spark, root)[1] for _ in range(2))
+    for version in (one, two):
+        versions.add_rows(rows, root, version)
     state = [spark.createDataFrame([("1", v, 1)], versions.LIVE) for v in (one, two)]
     versions.commit(state[0], root, one)
     with pytest.raises(RuntimeError, match="meanwhile"):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackledger.functions.rules import name, utc_now
+from trackledger.functions.rules import name
 from trackledger.model import SHEET
 from trackledger.session import materialize
 from trackledger.sinks import versions
@@ -99,12 +99,14 @@ def assign_ids(registry: DataFrame) -> DataFrame:
     return registry.withColumn(ID, F.when(has_id, F.col(ID)).otherwise(new_sheet_id()))
 
 
-def require_one_entry(registry: DataFrame, column: str) -> None:
-    """Raise when the registry names a sheet, or a target, more than once."""
-    named = registry.where(name(column).isNotNull() & (name(column) != ""))
-    found = named.groupBy(name(column)).agg(F.count("*").alias("n")).where("n > 1").take(3)
+def require_one_entry(registry: DataFrame, *columns: str | Column) -> None:
+    """Raise when the registry names a sheet, an id or a target more than once."""
+    named = registry.select(*columns)
+    entry = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in named.columns])
+    values = named.select(F.inline(entry)).where("value IS NOT NULL AND value <> ''")
+    found = values.groupBy("column", "value").agg(F.count("*").alias("n")).where("n > 1").take(3)
     if found:
-        raise ValueError(f"registry repeats {column}: {[row[0] for row in found]}")
+        raise ValueError(f"registry repeats {found[0]['column']}: {[row['value'] for row in found]}")
 
 
 @dataclass(frozen=True)
@@ -146,14 +148,13 @@ def publish_version(
     after the move.
     """
     spark = df.sparkSession
-    entries = registry if to_target else assign_ids(registry)
-    require_one_entry(entries, SHEET)
+    entries = materialize(registry if to_target else assign_ids(registry))
     place = F.col("target_id") if to_target else F.col(ID)
+    require_one_entry(entries, SHEET, place.alias(SHEET_ID))
     places = entries.where(place.isNotNull() & (place != "")).select(SHEET, ID, place.alias(SHEET_ID))
-    require_one_entry(places, SHEET_ID)
 
-    before = materialize(versions.live(spark, root))
-    version = versions.add_rows(df.join(places.select(SHEET, SHEET_ID), SHEET, "left").select(*df.columns, SHEET_ID), root)
+    before, version = versions.live_and_next(spark, root)
+    versions.add_rows(df.join(places.select(SHEET, SHEET_ID), SHEET, "left").select(*df.columns, SHEET_ID), root, version)
     written = versions.version_rows(spark, root, version, df.schema)
     counts = materialize(written.groupBy(SHEET, SHEET_ID).agg(F.count(F.lit(1)).alias(versions.ROWS)))
     placed = counts.where(F.col(SHEET_ID).isNotNull())
@@ -164,14 +165,15 @@ def publish_version(
 
     moved_id = F.col(SHEET_ID) if to_target else F.col(ID)
     set_now = done.select(SHEET, moved_id.alias("_id_now"), F.lit(True).alias("_written"))
-    stamp = utc_now() if run_date is None else F.lit(str(run_date))
-    kept = materialize(
+    now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds") if run_date is None else str(run_date)
+    kept = (
         entries.join(set_now, SHEET, "left")
-        .withColumn("date", F.when(F.col("_written"), stamp).otherwise(F.col("date")))
+        .withColumn("date", F.when(F.col("_written"), F.lit(now)).otherwise(F.col("date")))
         .withColumn(ID, F.coalesce("_id_now", ID))
         .select(*registry.columns)
     )
-    require_one_entry(kept, ID)
+    if to_target:  # a sheet may have got the id of another one
+        require_one_entry(kept, ID)
 
     gone = done.select(SHEET_ID).unionByName(done.select(F.col(ID).alias(SHEET_ID))) if to_target else done.select(SHEET_ID)
     gone = gone.where(F.col(SHEET_ID).isNotNull()).distinct()
@@ -190,7 +192,7 @@ def publish_version(
     cleared = before.join(gone, SHEET_ID, "left_semi").join(names, SHEET_ID, "left")
     account = fates(done, "moved" if to_target else "published", none)
     account = account.unionByName(fates(left, "left_out", F.coalesce("_why", F.lit("not in the registry"))))
-    account = materialize(account.unionByName(fates(cleared, "cleared", none)).where(F.col(versions.ROWS) > 0))
+    account = account.unionByName(fates(cleared, "cleared", none)).where(F.col(versions.ROWS) > 0)
 
     versions.commit(state, root, version)
     return Published(kept, account, written.where(F.col(SHEET_ID).isNull()).drop(SHEET_ID))

@@ -46,17 +46,20 @@ def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
 
 def live(spark: SparkSession, root: str) -> DataFrame:
     """``sheet_id, version, n_rows`` of every sheet id that the table holds now."""
-    _, version = _last(spark, root)
-    return _read(spark, f"{root}/_live/{version}", LIVE) if version else spark.createDataFrame([], LIVE)
+    return live_and_next(spark, root)[0]
 
 
-def add_rows(rows: DataFrame, root: str) -> str:
-    """Write ``rows``, by their ``sheet_id``, as a new version that does not count yet."""
-    number, _ = _last(rows.sparkSession, root)
-    version = f"{number + 1:08d}-{uuid.uuid4().hex[:12]}"
+def live_and_next(spark: SparkSession, root: str) -> tuple[DataFrame, str]:
+    """What the table holds now, and a name for the version after it."""
+    number, version = _last(spark, root)
+    held = _read(spark, f"{root}/_live/{version}", LIVE) if version else spark.createDataFrame([], LIVE)
+    return held, f"{number + 1:08d}-{uuid.uuid4().hex[:12]}"
+
+
+def add_rows(rows: DataFrame, root: str, version: str) -> None:
+    """Write ``rows``, by their ``sheet_id``, as a version that does not count yet."""
     # Large sheets are written by several tasks, small ones share a task.
     rows.hint("rebalance", SHEET_ID).write.partitionBy(SHEET_ID).parquet(f"{root}/{VERSION}={version}")
-    return version
 
 
 def version_rows(spark: SparkSession, root: str, version: str, schema: T.StructType) -> DataFrame:
@@ -70,7 +73,8 @@ def commit(state: DataFrame, root: str, version: str) -> None:
     spark = state.sparkSession
     state.select(*LIVE.names).coalesce(1).write.parquet(f"{root}/_live/{version}")
     number = int(version.split("-")[0])
-    spark.createDataFrame([(number, version)], _LOG).coalesce(1).write.mode("append").parquet(f"{root}/_log")
+    entry = spark.range(0, 1, 1, 1).select(F.lit(number).cast("long").alias("number"), F.lit(version).alias(VERSION))
+    entry.write.mode("append").parquet(f"{root}/_log")
     last, counts = _last(spark, root)
     if last == number and counts != version:
         raise RuntimeError(f"another job has published {counts} meanwhile; {version} does not count")
