@@ -71,13 +71,14 @@ def without_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> Data
 
     Rows that the filter of ``ids`` excludes pass without a shuffle.
     """
-    (flag,) = fresh_names(docs, 1)
+    flag, gone = fresh_names(docs, 2)
     words = words_for(ids.count())
     found = members(ids.select(F.xxhash64("id").alias("hash")), "hash", words)
     rows = tested(docs, F.xxhash64(F.col(column).cast("long")), found, words, flag)
     clear = rows.where(~F.col(flag)).drop(flag)
     checked = rows.where(flag).drop(flag)
-    return clear.unionByName(checked.join(ids, F.col(column).cast("long") == F.col("id"), "left_anti"))
+    ids = ids.select(F.col("id").alias(gone))
+    return clear.unionByName(checked.join(ids, F.col(column).cast("long") == F.col(gone), "left_anti"))
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:

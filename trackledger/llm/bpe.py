@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 LONG = 256
 WORDS = 2_000_000  # that a task remembers
 BYTES = LONG  # no slice of a folded word is longer

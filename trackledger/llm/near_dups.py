@@ -52,7 +52,7 @@ SHINGLE = 5
 PERCENT = 75
 SLOT_BITS = 18
 BUCKETS = 256
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 

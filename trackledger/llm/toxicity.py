@@ -35,7 +35,7 @@ MAX_TRAIN = 12_000
 FEATURES = 4096
 LEAST_RATIO = 3.0
 ROUNDS = 200
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 FOLDS = 5
 
 
