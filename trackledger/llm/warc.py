@@ -2,7 +2,7 @@
 
 Writing: the digest of every payload is worked out first; of records with
 equal payloads the one with the largest id becomes a response, the others
-revisit it. Each record is a gzip member of its own, so archives can be split
+revisit it. Only pages that may be revisits, by a Bloom filter, are shuffled. Each record is a gzip member of its own, so archives can be split
 anywhere. Records go to files of the shared folder; a manifest that Spark
 commits names the files.
 
@@ -13,9 +13,11 @@ start inside its range, reading past its end for the last one. Within a range
 a record's end is the next one's beginning. Memory holds one record.
 
 Defined results: a null payload is an empty one; equal payloads below
-``revisit_from`` bytes are all responses; rows that share an id are separate
-records, of which the first in the order of the url is referred to by that id;
-an empty table gives no files and no rows; other columns are not read.
+``revisit_from`` bytes are all responses; a null id is smaller than any, so such
+a page revisits the equal one with the largest id, and equal pages that all lack
+an id are responses; rows that share an id are separate records, and those with
+the largest id of their payload are all responses, to which the others refer by
+that id; an empty table gives no files and no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackledger.llm.bloom import members, tested, words_for
 from trackledger.llm.store import Folder, open_input
 from trackledger.session import materialize, scratch_path
 
@@ -114,15 +117,21 @@ def write_archives(
     )
     referring = (
         digests.join(groups, ["digest", "n"])
-        .where(F.col("page_id") < F.col("last"))
-        .select(F.col("page_id").alias("_id"), F.col("last").alias("refers_to"), "digest")
+        .where(F.col("last").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("last"))))
+        .select(F.col("page_id").alias("_id"), F.col("last").alias("refers_to"), F.col("digest").alias("_copy"))
     )
     referring = materialize(referring.distinct())
-    records = rows.withColumn("_digest", F.sha1(payload)).join(
-        referring, (F.col("page_id") == F.col("_id")) & (F.col("_digest") == F.col("digest")), "left"
-    )
+    # Pages that a filter of the revisits excludes are written where they are read; only the others move.
+    words = words_for(referring.count())
+    found = members(referring.select(F.xxhash64("_id", "_copy").alias("hash")), "hash", words)
+    marked = rows.withColumn("_digest", F.sha1(payload))
+    marked = tested(marked, F.xxhash64("page_id", "_digest"), found, words, "_maybe")
+    clear = marked.where("NOT _maybe").withColumn("refers_to", F.lit(None).cast("long"))
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_copy"))
+    suspects = marked.where("_maybe").join(referring, same, "left")
+    columns = ["page_id", "url", "html", "refers_to"]
     return materialize(
-        records.select("page_id", "url", "html", "refers_to").mapInArrow(
+        clear.select(*columns).unionByName(suspects.select(*columns)).mapInArrow(
             _writer(folder, file_bytes), "path string, length long, records long"
         )
     )
