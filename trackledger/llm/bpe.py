@@ -9,8 +9,11 @@ The fold carries the ranks of the pairs along, so a step looks up only the two
 pairs beside the joined one. The rank map is a literal: two arrays of slots
 (cuckoo hashing), of which a pair is in the one or the other at its key's
 remainder.
-Chunks never leave their task: there is no shuffle. A task folds a word once: it
-remembers up to ``WORDS`` words and their ids for its later chunks.
+Texts are never shuffled. A task folds a word once: it remembers up to ``WORDS``
+words for its later chunks. Words that many tasks would fold are folded before
+all others: the ``FREQUENT`` commonest ones of a sample of documents, of about
+``SAMPLE`` bytes, whose ids go to every task; the sample decides what is folded
+when, and nothing else.
 
 Words over ``LONG`` bytes (one step per byte makes the fold quadratic) get the
 same merges from the same map with a heap.
@@ -28,25 +31,33 @@ import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
+from trackledger.session import materialize
 
 CHUNK = 1 << 20
 LONG = 256
 WORDS = 2_000_000  # that a task remembers
+FREQUENT = 400_000  # words folded before all others: 10 MB with their ids
+SAMPLE = 48 << 20  # bytes of text they are looked for in
 BYTES = LONG  # no slice of a folded word is longer
 NONE = 1 << 16
 RANK_SHIFT = 28  # of an entry of the fold; the bits between the id and the rank hold the start
 #: Primes; a quarter of the slots is used by a map of 50,000 pieces.
 SLOTS = (199_999, 200_003)
 
-CHUNKS = "doc_ids array<long>, firsts binary, codes binary, base long, known binary, words array<array<short>>, long_words binary"
+CHUNKS = (
+    "doc_ids array<long>, firsts binary, codes binary, n_codes long, base long, counts binary, ids binary, "
+    "words array<array<short>>, long_words binary"
+)
 
 
 class Ranks:
@@ -198,11 +209,98 @@ def merge_words(words: Column, table: Ranks) -> Column:
     return F.transform(words, fold)
 
 
-def _chunks(path: str):
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+
+
+@dataclass(frozen=True)
+class Folded:
+    """Words that are folded already, in the order of their hashes, with the ids of each, one after the other."""
+
+    words: pa.Array
+    hashes: np.ndarray
+    counts: np.ndarray
+    starts: np.ndarray
+    ids: np.ndarray
+
+    @staticmethod
+    def make(words: pa.Array, counts: np.ndarray, ids: np.ndarray) -> Folded:
+        hashes = _hashes(words)
+        order = np.argsort(hashes, kind="stable")
+        flat = gather(ids, bounds(counts)[:-1][order], counts[order])
+        starts = bounds(counts[order])[:-1].astype(np.int32)
+        return Folded(words.take(pa.array(order)), hashes[order], counts[order].astype(np.uint16), starts, flat.astype(np.uint16))
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, 0 where it isn't here; the ids of those that are)."""
+        counts = np.zeros(len(words), np.int64)
+        if not len(self.hashes):
+            return counts, self.ids[:0]
+        hashes = _hashes(words)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        maybe = np.flatnonzero(self.hashes[at] == hashes)
+        same = pc.equal(words.take(pa.array(maybe)), self.words.take(pa.array(at[maybe])))
+        found = maybe[np.asarray(same)]
+        counts[found] = self.counts[at[found]]
+        return counts, gather(self.ids, self.starts[at[found]], counts[found])
+
+
+def _byte_arrays(words: pa.Array) -> pa.Array:
+    """Words as arrays of their bytes."""
+    data, at = raw(words.cast(pa.large_binary()))
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(data.astype(np.int16)))
+
+
+def _missing(path: str):
+    """Words of texts that are no pieces, and that the fold is for, with how often they are there."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", CHUNK):
+                words, _ = pretokens(text_column(part.column(0)))
+                counted = words.value_counts()
+                word, n = counted.field(0), counted.field(1)
+                fits = pc.less_equal(pc.binary_length(word), LONG)
+                wanted = pc.and_(pc.invert(pc.is_in(word, value_set=ranks(path).arrow)), fits)
+                yield pa.record_batch([word.filter(wanted), n.filter(wanted)], names=["word", "n"])
+
+    return rows
+
+
+def _folding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            words = batch.column(0).slice(start, 4096)
+            ends = pa.array([0, len(words)], pa.int32())
+            arrays = _byte_arrays(words)
+            yield pa.record_batch(
+                [pa.ListArray.from_arrays(ends, words.cast(pa.binary())), pa.ListArray.from_arrays(ends, arrays)],
+                names=["words", "arrays"],
+            )
+
+
+def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SAMPLE) -> Folded:
+    """The commonest words of a sample of ``docs`` (text), folded."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    part = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 + total // sample)) == 0)
+    words = part.mapInArrow(_missing(path), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    best = materialize(words.orderBy(F.desc("n"), "word").limit(count).select("word"))
+    rows = best.repartition(max(1, docs.sparkSession.sparkContext.defaultParallelism)).mapInArrow(
+        _folding_rows, "words array<binary>, arrays array<array<short>>"
+    )
+    merged = merge_words(F.col("arrays"), ranks(path)).cast("array<array<int>>")
+    found = materialize(rows.select("words", merged.alias("ids"))).toArrow()  # count words at most
+    words, ids = (c.combine_chunks().flatten() for c in found.columns)
+    counts = np.asarray(pc.list_value_length(ids)).astype(np.int64)
+    return Folded.make(words.cast(pa.binary()), counts, np.asarray(ids.flatten()))
+
+
+def _chunks(path: str, folded: Folded, remembered: int):
     """Rows of ``CHUNKS``; ``codes`` count the words that the task knows, from 0.
 
-    ``known`` and ``words`` are about the chunk's new words only. A task that
-    knows ``WORDS`` words forgets them (``base`` 0 again).
+    ``counts``, ``ids`` and ``words`` are about the chunk's new words only: those
+    whose ids are known, and those to fold, with a count of 0. A task that knows
+    more than ``remembered`` words forgets them (``base`` 0 again).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,35 +309,43 @@ def _chunks(path: str):
             for part in slices(batch, "text", CHUNK):
                 words, first = pretokens(text_column(part.column(1)))
                 coded = words.dictionary_encode()
-                if len(numbers) > WORDS:
+                if len(numbers) > remembered:
                     numbers = {}
                 base = len(numbers)
                 number = np.array([numbers.setdefault(w, len(numbers)) for w in coded.dictionary.to_pylist()], np.int32)
                 new = coded.dictionary.filter(pa.array(number >= base, pa.bool_()))
-                known = pc.index_in(new, value_set=ranks(path).arrow)
-                known = np.asarray(pc.fill_null(known, -1)).astype("<i4")
+                piece = np.asarray(pc.fill_null(pc.index_in(new, value_set=ranks(path).arrow), -1)).astype(np.int32)
+                counts, cached = folded.of(new)
+                counts[piece >= 0] = 0  # no word is in both
+                ids = np.empty(int(counts.sum() + (piece >= 0).sum()), np.int32)
+                place = np.repeat(piece >= 0, np.where(piece >= 0, 1, counts))
+                ids[place], ids[~place] = piece[piece >= 0], cached
+                counts[piece >= 0] = 1
                 data, at = raw(new.cast(pa.large_binary()))
                 sizes = np.diff(at)
-                folded = np.flatnonzero((known < 0) & (sizes <= LONG))
-                short = gather(data, at[folded], sizes[folded])
-                arrays = pa.ListArray.from_arrays(pa.array(bounds(sizes[folded]), pa.int32()), pa.array(short.astype(np.int16)))
+                short = np.flatnonzero((counts == 0) & (sizes <= LONG))
                 # Long words travel as bytes: their number, length and text.
                 packed = b"".join(
                     np.array([k, sizes[k]], "<i8").tobytes() + data[at[k] : at[k + 1]].tobytes()
-                    for k in np.flatnonzero((known < 0) & (sizes > LONG))
+                    for k in np.flatnonzero((counts == 0) & (sizes > LONG))
                 )
+                codes = number[np.asarray(coded.indices)].astype("<i4")
                 yield pa.record_batch(
                     [
                         pa.array([part.column(0)], pa.list_(pa.int64())),
                         pa.array([first.astype("<i8").tobytes()], pa.binary()),
-                        pa.array([number[np.asarray(coded.indices)].astype("<i4").tobytes()], pa.binary()),
+                        pa.array([pa.compress(codes.tobytes(), "zstd", asbytes=True)], pa.binary()),
+                        pa.array([len(codes)], pa.int64()),
                         pa.array([base], pa.int64()),
-                        pa.array([known.tobytes()], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array([0, len(folded)], pa.int32()), arrays),
+                        pa.array([counts.astype("<i4").tobytes()], pa.binary()),
+                        pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array([0, len(short)], pa.int32()), _byte_arrays(new.take(pa.array(short)))),
                         pa.array([packed], pa.binary()),
                     ],
-                    names=["doc_ids", "firsts", "codes", "base", "known", "words", "long_words"],
+                    names=[f.split()[0] for f in CHUNKS.split(", ")],
                 )
+        numbers.clear()
+        pa.default_memory_pool().release_unused()
 
     return cut
 
@@ -252,18 +358,18 @@ def _unpack(packed: bytes) -> Iterator[tuple[int, bytes]]:
         at += 16 + size
 
 
-def _new_ids(path: str, known: np.ndarray, word_ids: pa.ListArray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, number of ids of each) of a chunk's new words: pieces, folded ones, long ones by the heap."""
+def _new_ids(path: str, counts: np.ndarray, known: np.ndarray, word_ids: pa.ListArray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of ids of each) of a chunk's new words: known ones, folded ones, long ones by the heap."""
     long = {number: ranks(path).merged(word) for number, word in _unpack(packed)}
-    own = np.diff(np.asarray(word_ids.offsets)).astype(np.int64)
-    counts = (known >= 0).astype(np.int64)
+    counts, there = counts.astype(np.int64), counts > 0
     for number, found in long.items():
         counts[number] = len(found)
     folded = counts == 0
+    own = np.diff(np.asarray(word_ids.offsets)).astype(np.int64)
     counts[folded] = own
     starts = bounds(counts)[:-1]
     ids = np.empty(counts.sum(), np.int32)
-    ids[starts[known >= 0]] = known[known >= 0]
+    ids[gather(np.arange(len(ids)), starts[there], counts[there])] = known
     ids[gather(np.arange(len(ids)), starts[folded], own)] = np.asarray(word_ids.flatten())
     for number, found in long.items():
         ids[starts[number] : starts[number] + len(found)] = found
@@ -271,43 +377,41 @@ def _new_ids(path: str, known: np.ndarray, word_ids: pa.ListArray, packed: bytes
 
 
 def _encoded(path: str, finish):
-    """Per chunk: ids of the words that the task knows so far, then ``finish``."""
+    """Per chunk: ids of the words that its task knew so far, then ``finish``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 5))
-                firsts, codes, base, known, packed = (batch.column(c)[row].as_py() for c in (1, 2, 3, 4, 6))
+                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 7))
+                firsts, codes, n_codes, base, new, known, packed = (
+                    batch.column(c)[row].as_py() for c in (1, 2, 3, 4, 5, 6, 8)
+                )
                 if base == 0:
                     ids, counts = ids[:0], counts[:0]
                 if base != len(counts):
                     raise ValueError("chunks of a task came out of order")
-                new = _new_ids(path, np.frombuffer(known, "<i4"), word_ids, packed)
-                ids, counts = np.concatenate([ids, new[0]]), np.concatenate([counts, new[1]])
-                yield finish(doc_ids, np.frombuffer(firsts, "<i8"), np.frombuffer(codes, "<i4"), ids, counts)
+                found = _new_ids(path, np.frombuffer(new, "<i4"), np.frombuffer(known, "<i4"), word_ids, packed)
+                ids, counts = np.concatenate([ids, found[0]]), np.concatenate([counts, found[1]])
+                codes = np.frombuffer(pa.decompress(codes, 4 * n_codes, "zstd"), "<i4")
+                yield finish(doc_ids, np.frombuffer(firsts, "<i8"), codes, ids, counts)
+        pa.default_memory_pool().release_unused()
 
     return encode
 
 
-def encode(docs: DataFrame, path: str, finish, schema: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WORDS) -> DataFrame:
     """Encode ``docs`` (doc_id, text); ``finish`` makes the rows of a chunk.
 
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
     of all words that the task knows with their number per word.
     """
-    chunks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_chunks(path), CHUNKS)
-    folded = chunks.select(
-        "doc_ids",
-        "firsts",
-        "codes",
-        "base",
-        "known",
-        merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words"),
-        "long_words",
-    )
-    return folded.mapInArrow(_encoded(path, finish), schema)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chunks = docs.mapInArrow(_chunks(path, frequent(docs, path), remembered), CHUNKS)
+    merged = merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words")
+    names = [f.split()[0] for f in CHUNKS.split(", ")]
+    return chunks.select(*[merged if n == "words" else n for n in names]).mapInArrow(_encoded(path, finish), schema)
 
 
 def _id_rows(doc_ids, firsts, codes, ids, counts) -> pa.RecordBatch:
