@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from trackledger.llm import (
-    bpe, catalog, chat, exact_dedup, fingerprints, lm, mixing, near_dups, token_files, toxicity, warc, words,
+    bpe, catalog, exact_dedup, fingerprints, lm, mixing, near_dups, token_files, toxicity, warc, words,
 )
 from trackledger.session import scratch_path
 
@@ -276,34 +276,6 @@ def test_warc_survives_splits_and_edge_cases(shared):
     assert warc.read_records(empty).count() == 0
 
 
-def test_chat_roles_are_recovered(shared, sf_dir):
-    lines = chat.transcript(shared.read.parquet(f"{sf_dir}/conversations.parquet"))
-    found = chat.recover(lines, chat.train(lines)).select("conv_id", "turn", F.col("role").alias("found"))
-    right = found.join(lines, ["conv_id", "turn"]).select((F.col("found") == F.col("role")).cast("int").alias("ok"))
-    assert right.agg(F.avg("ok")).first()[0] > 0.9
-    rows_in = [(1, 0, None, None), (1, 1, "user", "")] + [(2, k, "user" if k % 2 else "assistant", "x?") for k in range(3000)]
-    rows_in += [(None, 0, "user", "a"), (None, None, "judge", "b\n\nc"), (3, None, "user", "d"), (3, 0, "user", "d"), (3, 0, "user", "d")]
-    odd_lines = chat.transcript(shared.createDataFrame(rows_in, "conv_id long, turn long, role string, text string"))
-    odd_found = chat.recover(odd_lines, chat.train(lines)).collect()
-    key = lambda pair: tuple((x is None, x or 0) for x in pair)
-    assert sorted(((r["conv_id"], r["turn"]) for r in odd_found), key=key) == sorted((r[:2] for r in rows_in), key=key)
-    assert {r["n_lines"] for r in odd_found if r["conv_id"] is None} == {1, 3}
-    assert chat.recover(odd_lines.limit(0), chat.train(lines)).count() == 0
-
-
-def test_chat_blocks_give_the_path_of_the_whole(shared, monkeypatch):
-    rng = np.random.default_rng(7)
-    roles = [chat.ROLES[k] for k in rng.integers(0, 3, 60)]
-    rows_in = [(5, k, r, f"{'Well' if r == 'user' else 'so'} {k}{'?' if r == 'user' else '.'}") for k, r in enumerate(roles)]
-    frame = shared.createDataFrame(rows_in, "conv_id long, turn long, role string, text string")
-    tables = chat.train(chat.transcript(frame), fold=-1)
-    found = []
-    for size in (1024, 7, 1):
-        monkeypatch.setattr(chat, "BLOCK", size)
-        found.append(sorted((r["turn"], r["role"]) for r in chat.recover(chat.transcript(frame), tables).collect()))
-    assert found[0] == found[1] == found[2]
-
-
 def test_pipeline_is_its_stages_by_brute_force(shared, sf_dir):
     docs = shared.read.parquet(f"{sf_dir}/documents.parquet")
     model = toxicity.train(docs, shared.read.parquet(f"{sf_dir}/labels.parquet"))
