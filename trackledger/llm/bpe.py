@@ -56,7 +56,7 @@ SLOTS = (199_999, 200_003)
 
 CHUNKS = (
     "doc_ids array<long>, firsts binary, codes binary, n_codes long, base long, counts binary, ids binary, "
-    "words array<array<short>>, long_words binary"
+    "numbers binary, words array<array<short>>, long_words binary"
 )
 
 
@@ -296,55 +296,57 @@ def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SA
 
 
 def _chunks(path: str, folded: Folded, remembered: int):
-    """Rows of ``CHUNKS``; ``codes`` count the words that the task knows, from 0.
+    """Rows of ``CHUNKS``; ``codes`` count the chunk's distinct words, from 0.
 
-    ``counts``, ``ids`` and ``words`` are about the chunk's new words only: those
-    whose ids are known, and those to fold, with a count of 0. A task that knows
-    more than ``remembered`` words forgets them (``base`` 0 again).
+    ``counts`` says how many ids each of these has, 0 where they are not known
+    yet, and ``ids`` are the known ones. The others have ``numbers``: words that
+    the task has met, counted from 0. Those from ``base`` on are new; they follow
+    as ``words`` to fold and ``long_words``. A task that has met more than
+    ``remembered`` words forgets them (``base`` 0 again).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
+        met: dict[bytes, int] = {}
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
                 words, first = pretokens(text_column(part.column(1)))
                 coded = words.dictionary_encode()
-                if len(numbers) > remembered:
-                    numbers = {}
-                base = len(numbers)
-                number = np.array([numbers.setdefault(w, len(numbers)) for w in coded.dictionary.to_pylist()], np.int32)
-                new = coded.dictionary.filter(pa.array(number >= base, pa.bool_()))
-                piece = np.asarray(pc.fill_null(pc.index_in(new, value_set=ranks(path).arrow), -1)).astype(np.int32)
-                counts, cached = folded.of(new)
+                piece = np.asarray(pc.fill_null(pc.index_in(coded.dictionary, value_set=ranks(path).arrow), -1)).astype(np.int32)
+                counts, cached = folded.of(coded.dictionary)
                 counts[piece >= 0] = 0  # no word is in both
                 ids = np.empty(int(counts.sum() + (piece >= 0).sum()), np.int32)
                 place = np.repeat(piece >= 0, np.where(piece >= 0, 1, counts))
                 ids[place], ids[~place] = piece[piece >= 0], cached
                 counts[piece >= 0] = 1
+                if len(met) > remembered:
+                    met = {}
+                base, rest = len(met), coded.dictionary.filter(pa.array(counts == 0))
+                number = np.array([met.setdefault(w, len(met)) for w in rest.to_pylist()], np.int32)
+                new = rest.filter(pa.array(number >= base, pa.bool_()))
                 data, at = raw(new.cast(pa.large_binary()))
                 sizes = np.diff(at)
-                short = np.flatnonzero((counts == 0) & (sizes <= LONG))
-                # Long words travel as bytes: their number, length and text.
+                # Long words travel as bytes: their place among the new ones, length and text.
                 packed = b"".join(
                     np.array([k, sizes[k]], "<i8").tobytes() + data[at[k] : at[k + 1]].tobytes()
-                    for k in np.flatnonzero((counts == 0) & (sizes > LONG))
+                    for k in np.flatnonzero(sizes > LONG)
                 )
-                codes = number[np.asarray(coded.indices)].astype("<i4")
+                short = _byte_arrays(new.filter(pa.array(sizes <= LONG)))
+                codes = np.asarray(coded.indices).astype("<i4")
                 yield pa.record_batch(
                     [
                         pa.array([part.column(0)], pa.list_(pa.int64())),
                         pa.array([first.astype("<i8").tobytes()], pa.binary()),
-                        pa.array([pa.compress(codes.tobytes(), "zstd", asbytes=True)], pa.binary()),
+                        pa.array([pa.compress(codes.tobytes(), "lz4", asbytes=True)], pa.binary()),
                         pa.array([len(codes)], pa.int64()),
                         pa.array([base], pa.int64()),
                         pa.array([counts.astype("<i4").tobytes()], pa.binary()),
                         pa.array([ids.astype("<i4").tobytes()], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array([0, len(short)], pa.int32()), _byte_arrays(new.take(pa.array(short)))),
+                        pa.array([number.astype("<i4").tobytes()], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array([0, len(short)], pa.int32()), short),
                         pa.array([packed], pa.binary()),
                     ],
                     names=[f.split()[0] for f in CHUNKS.split(", ")],
                 )
-        numbers.clear()
         pa.default_memory_pool().release_unused()
 
     return cut
@@ -358,42 +360,48 @@ def _unpack(packed: bytes) -> Iterator[tuple[int, bytes]]:
         at += 16 + size
 
 
-def _new_ids(path: str, counts: np.ndarray, known: np.ndarray, word_ids: pa.ListArray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, number of ids of each) of a chunk's new words: known ones, folded ones, long ones by the heap."""
+def _new_ids(path: str, word_ids: pa.ListArray, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of ids of each) of a chunk's new words: folded ones, long ones by the heap."""
     long = {number: ranks(path).merged(word) for number, word in _unpack(packed)}
-    counts, there = counts.astype(np.int64), counts > 0
+    counts = np.full(len(word_ids) + len(long), -1, np.int64)
     for number, found in long.items():
         counts[number] = len(found)
-    folded = counts == 0
-    own = np.diff(np.asarray(word_ids.offsets)).astype(np.int64)
-    counts[folded] = own
+    folded = counts < 0
+    counts[folded] = np.diff(np.asarray(word_ids.offsets))
     starts = bounds(counts)[:-1]
     ids = np.empty(counts.sum(), np.int32)
-    ids[gather(np.arange(len(ids)), starts[there], counts[there])] = known
-    ids[gather(np.arange(len(ids)), starts[folded], own)] = np.asarray(word_ids.flatten())
+    ids[gather(np.arange(len(ids)), starts[folded], counts[folded])] = np.asarray(word_ids.flatten())
     for number, found in long.items():
         ids[starts[number] : starts[number] + len(found)] = found
     return ids, counts
 
 
 def _encoded(path: str, finish):
-    """Per chunk: ids of the words that its task knew so far, then ``finish``."""
+    """Per chunk: ids of its distinct words, from the chunk and from what its task has met, then ``finish``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        met_ids, met_counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 7))
-                firsts, codes, n_codes, base, new, known, packed = (
-                    batch.column(c)[row].as_py() for c in (1, 2, 3, 4, 5, 6, 8)
+                doc_ids, word_ids = (batch.column(c).slice(row, 1).flatten() for c in (0, 8))
+                firsts, codes, n_codes, base, counts, known, number, packed = (
+                    batch.column(c)[row].as_py() for c in (1, 2, 3, 4, 5, 6, 7, 9)
                 )
                 if base == 0:
-                    ids, counts = ids[:0], counts[:0]
-                if base != len(counts):
+                    met_ids, met_counts = met_ids[:0], met_counts[:0]
+                if base != len(met_counts):
                     raise ValueError("chunks of a task came out of order")
-                found = _new_ids(path, np.frombuffer(new, "<i4"), np.frombuffer(known, "<i4"), word_ids, packed)
-                ids, counts = np.concatenate([ids, found[0]]), np.concatenate([counts, found[1]])
-                codes = np.frombuffer(pa.decompress(codes, 4 * n_codes, "zstd"), "<i4")
+                new = _new_ids(path, word_ids, packed)
+                met_ids, met_counts = np.concatenate([met_ids, new[0]]), np.concatenate([met_counts, new[1]])
+                counts, number = np.frombuffer(counts, "<i4").astype(np.int64), np.frombuffer(number, "<i4")
+                there = counts > 0
+                counts[~there] = met_counts[number]
+                starts = bounds(counts)[:-1]
+                ids = np.empty(counts.sum(), np.int32)
+                ids[gather(np.arange(len(ids)), starts[there], counts[there])] = np.frombuffer(known, "<i4")
+                own = gather(met_ids, bounds(met_counts)[:-1][number], met_counts[number])
+                ids[gather(np.arange(len(ids)), starts[~there], counts[~there])] = own
+                codes = np.frombuffer(pa.decompress(codes, 4 * n_codes, "lz4"), "<i4")
                 yield finish(doc_ids, np.frombuffer(firsts, "<i8"), codes, ids, counts)
         pa.default_memory_pool().release_unused()
 
@@ -405,7 +413,7 @@ def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WO
 
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
-    of all words that the task knows with their number per word.
+    of the chunk's distinct words with their number per word.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunks = docs.mapInArrow(_chunks(path, frequent(docs, path), remembered), CHUNKS)
