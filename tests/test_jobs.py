@@ -6,6 +6,7 @@ from trackledger.catalog.files import write_documents
 from trackledger.catalog.fixtures import view
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, REGISTRY
 from trackledger.operators.dedupe import keep_first
+from trackledger.session import drop_scratch, materialize, scratch_path
 from trackledger.sources import text
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +128,14 @@ def test_split_job_can_take_the_last_worksheet(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
     run(spark, ["split", "--sheets", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--worksheet", "ws"])
     assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["y", "z"]
+
+
+def test_a_job_can_clear_its_scratch(spark, tmp_path):
+    kept = materialize(spark.range(5))
+    assert kept.count() == 5
+    other = scratch_path(spark, "own")
+    spark.range(3).write.parquet(other)
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        spark.read.parquet(other)
+    assert materialize(spark.range(4)).count() == 4

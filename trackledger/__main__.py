@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from trackledger.plans import extracts, sheets, summaries
-from trackledger.session import SETTINGS
+from trackledger.session import SETTINGS, drop_scratch
 from trackledger.sinks.publish import folder_counts
 from trackledger.sources.files import UNIT_SEPARATOR, read_extracts, read_text_cells
 from trackledger.sources.ledger import list_files, require_files
@@ -130,7 +130,11 @@ def main() -> None:
     builder = SparkSession.builder.appName("trackledger")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    run(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    try:
+        run(spark)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -36,9 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/trackledger/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder; never reused between runs."""
-    return f"{shared_dir(spark).rstrip('/')}/trackledger/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written with ``materialize``; for the end of a job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
