@@ -33,7 +33,7 @@ def texts(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
 
 
-@pytest.mark.parametrize("name", ["op6_exact_dedup", "op9_warc"])
+@pytest.mark.parametrize("name", ["op6_exact_dedup", "op8_ngram_jaccard", "op9_warc"])
 def test_query_matches_sql(shared, sf_dir, name):
     query = catalog.QUERIES[name]
     assert oracle.compare(query.run(shared, sf_dir), oracle.connect(sf_dir), query.sql) is None

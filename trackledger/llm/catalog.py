@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {
     "op5_byte_bpe": Query(bpe.query),
     "op6_exact_dedup": Query(exact_dedup.query, exact_dedup.SQL),
     "op7_chat": Query(chat.query),
-    "op8_ngram_jaccard": Query(near_dups.query),
+    "op8_ngram_jaccard": Query(near_dups.query, near_dups.SQL),
     "op9_warc": Query(warc.query, warc.SQL),
     "op10_token_files": Query(token_files.query),
     "op11_whitening": Query(whitening.query),

@@ -8,17 +8,18 @@ share a shingle among their first ``n - ceil(PERCENT n / 100) + 1``, so only
 these prefixes are shuffled, by shingle.
 
 Texts with the same set are one class, of which one stands for all. Pairs within
-the documents of a shingle are made in two rounds (the second one still grows with
-the square of a shingle's documents where these stay in many components):
+the documents of a shingle are made in two rounds:
 
 1. every document is paired with the smallest one; filters by length, position
    and suffix (a histogram of the whole set) drop pairs that can't reach the
    overlap, each pair left is checked once against whole texts, and links are
    gathered into components;
-2. documents of a shingle that are still in different components are paired
-   across components, each one outside the smallest one's component with all
-   others, filtered and checked in the same way; here the number of shingles
-   that two prefixes share bounds the overlap as well.
+2. documents that still share shingles across components look for partners of
+   each band of sizes, but only under their rarest shingles: two sets of about
+   a size link only if their prefixes share many shingles, so all but the most
+   frequent ones of that number find every partner (``_crossing``). The shingles
+   that two prefixes share bound the overlap; then pairs are filtered and checked
+   as before.
 
 Every pair that could link is then either checked or inside one component, so
 the components are exact. No step caps a shingle's documents. Texts are
@@ -36,6 +37,7 @@ are not read and pass through ``keep_one``.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +54,7 @@ SHINGLE = 5
 PERCENT = 75
 SLOT_BITS = 18
 BUCKETS = 256
+BANDS = 8  # of sizes, between a size and the largest that can link with it
 CHUNK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -223,6 +226,63 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(whole.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"))
 
 
+def _size(place: str) -> Column:
+    return F.shiftright(place, 32)
+
+
+def _at(place: str) -> Column:
+    return F.col(place).bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def _needed(one: Column, two: Column) -> Column:
+    """So many shingles, less one for rounding, two prefixes share at least if sets of these sizes link."""
+    overlap = (one + two) * PERCENT / (100 + PERCENT)
+    return F.greatest(F.lit(1), F.ceil(overlap - F.ceil(F.greatest(one, two) * PERCENT / 100)))
+
+
+def _crossing(open_: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of different components (shingle, doc_id, place, part) that may link.
+
+    Two prefixes share several shingles if their sets link, the more the closer
+    their sizes are. So a document looks for partners of a band of sizes under
+    its rarest shingles only: of k that documents of the band have, too, and of
+    which it must share n or more, under all but the n - 1 most frequent ones.
+    """
+    size = _size("place").cast("double")
+    step = math.log(100 / PERCENT) / BANDS
+    open_ = open_.withColumn("band", F.floor(F.log(size) / step))
+    held = open_.groupBy("shingle", "band").agg(F.count("*").alias("docs")).withColumnRenamed("band", "other")
+    reach = BANDS + 1
+    near = (F.col("other") - F.col("band")).between(-reach, reach)
+    looking = open_.join(held, "shingle").where(near)
+    ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
+    low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
+    looking = looking.withColumn("needed", F.least(_needed(size, low), _needed(size, high)))
+    mine = Window.partitionBy("doc_id", "other")
+    ranked = looking.select(
+        "*", F.row_number().over(mine.orderBy("docs", "shingle")).alias("rank"), F.count("*").over(mine).alias("k")
+    )
+    probes = ranked.where(F.col("rank") <= F.col("k") - F.col("needed") + 1)
+    probes = probes.select("shingle", F.col("other").alias("band"), *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")])
+    pairs = open_.join(probes, ["shingle", "band"]).where(
+        (F.col("part") < F.col("part_1")) & _can_link(_size("place"), _at("place"), _size("place_1"), _at("place_1"))
+    )
+    ids = [F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")]
+    return materialize(pairs.select(*ids).distinct())
+
+
+def _enough_shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose prefixes share enough: that number and the longer suffix bound the overlap."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    own = materialize(with_ids(sets.select("doc_id", "n", "prefix"), ids))
+    one = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+    two = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+    both = pairs.join(two, "b").join(one, "a")
+    overlap = F.size(F.array_intersect("pa", "pb")) + F.ceil(PERCENT * F.greatest("na", "nb") / 100) - 1
+    kept = both.where((100 + PERCENT) * overlap >= PERCENT * (F.col("na") + F.col("nb")))
+    return materialize(kept.select("a", "b").distinct())
+
+
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles of every row; id, component of every linked id)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -259,13 +319,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = postings.select("*", F.count("*").over(group).alias("docs"), hub.alias("hub")).where("docs > 1")
     shared = materialize(shared.select("shingle", "doc_id", "place", F.col("hub.doc_id").alias("hub"), F.col("hub.place").alias("hub_place")))
 
-    def size(place: str) -> Column:
-        return F.shiftright(place, 32)
-
-    def at(place: str) -> Column:
-        return F.col(place).bitwiseAND(F.lit((1 << 32) - 1))
-
-    stars = shared.where("doc_id <> hub").where(_can_link(size("hub_place"), at("hub_place"), size("place"), at("place")))
+    stars = shared.where("doc_id <> hub").where(_can_link(_size("hub_place"), _at("hub_place"), _size("place"), _at("place")))
     stars = materialize(stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = same.unionByName(verified(stars, docs, first))
     found = components(links)
@@ -273,23 +327,9 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Second round: what one shingle still holds in several components.
     placed = shared.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
     placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
-    main = F.min(F.struct("doc_id", "part")).over(group)["part"]
-    several = placed.select("*", main.alias("main"), F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
+    several = placed.select("*", F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
     open_ = materialize(several.where("low <> high").drop("low", "high"))
-    one = open_.where("part <> main").select("shingle", *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")])
-    pairs = open_.join(one, "shingle").where(
-        (F.col("part") != F.col("part_1"))
-        & ((F.col("part") == F.col("main")) | (F.col("doc_id") < F.col("doc_id_1")))
-        & _can_link(size("place"), at("place"), size("place_1"), at("place_1"))
-    )
-    # All shingles that both prefixes hold are here: n of them and the longer suffix bound the overlap.
-    na, nb = size("place"), size("place_1")
-    crossing = pairs.groupBy(F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")).agg(
-        F.count("*").alias("n"), F.max(na + nb).alias("both"), F.max(F.greatest(na, nb)).alias("longer")
-    )
-    overlap = F.col("n") + F.ceil(PERCENT * F.col("longer") / 100) - 1
-    crossing = crossing.where((100 + PERCENT) * overlap >= PERCENT * F.col("both")).select("a", "b")
-    more = verified(materialize(crossing), docs, first)
+    more = verified(_enough_shared(_crossing(open_), first), docs, first)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     return sets.select("doc_id", F.col("n").alias("n_shingles")), found
@@ -312,3 +352,31 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: near-duplicate component of every document."""
     return documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) END AS s
+  FROM words
+),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (len(x.s) + len(y.s) - common)
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b AS other FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM sets JOIN reached ON reached.doc_id = sets.doc_id GROUP BY sets.doc_id, s
+"""
