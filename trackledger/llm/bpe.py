@@ -12,7 +12,8 @@ remainder.
 Texts are never shuffled. A task folds a word once: it remembers up to ``WORDS``
 words for its later chunks. Words that many tasks would fold are folded before
 all others: the ``FREQUENT`` commonest ones of a sample of documents, of about
-``SAMPLE`` bytes, whose ids go to every task; the sample decides what is folded
+``SAMPLE`` bytes, written to the shared folder with their ids, where every task
+reads them; the sample decides what is folded
 when, and nothing else.
 
 Words over ``LONG`` bytes (one step per byte makes the fold quadratic) get the
@@ -31,17 +32,19 @@ import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackledger.llm.store import file_system
 from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
-from trackledger.session import materialize
+from trackledger.session import materialize, scratch_path
 
 CHUNK = 1 << 20
 LONG = 256
@@ -213,23 +216,17 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
 
 
-@dataclass(frozen=True)
 class Folded:
-    """Words that are folded already, in the order of their hashes, with the ids of each, one after the other."""
+    """Words that are folded already, in the order of their hashes, with the ids of each."""
 
-    words: pa.Array
-    hashes: np.ndarray
-    counts: np.ndarray
-    starts: np.ndarray
-    ids: np.ndarray
-
-    @staticmethod
-    def make(words: pa.Array, counts: np.ndarray, ids: np.ndarray) -> Folded:
-        hashes = _hashes(words)
-        order = np.argsort(hashes, kind="stable")
-        flat = gather(ids, bounds(counts)[:-1][order], counts[order])
-        starts = bounds(counts[order])[:-1].astype(np.int32)
-        return Folded(words.take(pa.array(order)), hashes[order], counts[order].astype(np.uint16), starts, flat.astype(np.uint16))
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        word, hashed, ids = (table.column(c).combine_chunks() if table.num_rows else None for c in ("word", "hash", "ids"))
+        self.words = word
+        self.hashes = np.asarray(hashed).view(np.uint64) if table.num_rows else np.zeros(0, np.uint64)
+        self.starts = np.asarray(ids.offsets)[:-1] if table.num_rows else np.zeros(0, np.int32)
+        self.counts = np.asarray(pc.list_value_length(ids)).astype(np.uint16) if table.num_rows else np.zeros(0, np.uint16)
+        self.ids = np.asarray(ids.values).astype(np.uint16) if table.num_rows else np.zeros(0, np.uint16)
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, 0 where it isn't here; the ids of those that are)."""
@@ -245,6 +242,16 @@ class Folded:
         return counts, gather(self.ids, self.starts[at[found]], counts[found])
 
 
+@functools.lru_cache(maxsize=1)
+def _load(folder: str) -> Folded:
+    """The words that ``frequent`` has written; at most ``FREQUENT``."""
+    system, path = file_system(folder)
+    schema = pa.schema([("word", pa.binary()), ("hash", pa.uint64()), ("ids", pa.list_(pa.int32()))])
+    files = [f.path for f in system.get_file_info(pafs.FileSelector(path)) if f.base_name.startswith("part-")]
+    tables = [pq.read_table(f, filesystem=system).cast(schema, safe=False) for f in sorted(files)]
+    return Folded(pa.concat_tables([schema.empty_table(), *tables]).sort_by("hash"))
+
+
 def _byte_arrays(words: pa.Array) -> pa.Array:
     """Words as arrays of their bytes."""
     data, at = raw(words.cast(pa.large_binary()))
@@ -279,8 +286,15 @@ def _folding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SAMPLE) -> Folded:
-    """The commonest words of a sample of ``docs`` (text), folded."""
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = batch.column(0)
+        hashes = pa.array(_hashes(words).view(np.int64))
+        yield pa.record_batch([words, hashes, batch.column(1)], names=["word", "hash", "ids"])
+
+
+def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SAMPLE) -> str:
+    """The commonest words of a sample of ``docs`` (text), folded: a folder of the shared one with their ids."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     part = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 + total // sample)) == 0)
     words = part.mapInArrow(_missing(path), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -289,13 +303,13 @@ def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SA
         _folding_rows, "words array<binary>, arrays array<array<short>>"
     )
     merged = merge_words(F.col("arrays"), ranks(path)).cast("array<array<int>>")
-    found = materialize(rows.select("words", merged.alias("ids"))).toArrow()  # count words at most
-    words, ids = (c.combine_chunks().flatten() for c in found.columns)
-    counts = np.asarray(pc.list_value_length(ids)).astype(np.int64)
-    return Folded.make(words.cast(pa.binary()), counts, np.asarray(ids.flatten()))
+    found = materialize(rows.select(F.explode(F.arrays_zip("words", merged.alias("ids"))).alias("w")).select("w.words", "w.ids"))
+    folder = scratch_path(docs.sparkSession, "words")
+    found.mapInArrow(_hashed, "word binary, hash long, ids array<int>").coalesce(1).write.parquet(folder)
+    return folder
 
 
-def _chunks(path: str, folded: Folded, remembered: int):
+def _chunks(path: str, folder: str, remembered: int):
     """Rows of ``CHUNKS``; ``codes`` count the chunk's distinct words, from 0.
 
     ``counts`` says how many ids each of these has, 0 where they are not known
@@ -307,6 +321,7 @@ def _chunks(path: str, folded: Folded, remembered: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[bytes, int] = {}
+        folded = _load(folder)
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
                 words, first = pretokens(text_column(part.column(1)))
