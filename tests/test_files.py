@@ -126,9 +126,9 @@ def test_snapshot_notices_a_changed_document(spark, documents, tmp_path):
 def test_text_is_split_unless_a_cell_has_a_line_break(spark, tmp_path):
     (tmp_path / "plain.csv").write_text('a,b\n1,"say ""x"""\n2,\n')
     (tmp_path / "broken.csv").write_text('a,b\n1,"two\nlines"\n')
-    assert not files.has_broken_lines(spark, str(tmp_path / "plain.csv"))
-    assert files.has_broken_lines(spark, str(tmp_path / "broken.csv"))
-    assert files.has_broken_lines(spark, str(tmp_path)) and not files.has_broken_lines(spark, str(tmp_path), "p*.csv")
+    assert not text.has_broken_lines(spark, str(tmp_path / "plain.csv"))
+    assert text.has_broken_lines(spark, str(tmp_path / "broken.csv"))
+    assert text.has_broken_lines(spark, str(tmp_path)) and not text.has_broken_lines(spark, str(tmp_path), "p*.csv")
     rows = files.read_text_cells(spark, [str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")]).collect()
     assert sorted((r["a"], r["b"] or "") for r in rows) == [("1", 'say "x"'), ("1", "two\nlines"), ("2", "")]
     df = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
@@ -347,11 +347,14 @@ def test_sorted_export_is_in_order_over_files(spark, tmp_path):
     key = F.when(F.col("id") % 3 == 0, F.lit("m")).otherwise(F.when(F.col("id") % 50 != 1, F.sha2(F.col("id").cast("string"), 256)))
     df = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 10 == 0, "b").when(F.col("id") % 10 == 1, None).otherwise("a").alias("g"), key.alias("k"), "id")
     publish.export_by(df, ["g"], str(tmp_path / "o"), sort=["k"], partitions=6)
-    rows = publish.in_order(spark, str(tmp_path / "o"), df.schema).collect()
+    rows = publish.in_order(spark, str(tmp_path / "o"), df.schema, ["g"]).collect()
     assert sorted((r["g"] or "", r["id"]) for r in rows) == sorted((r["g"] or "", r["id"]) for r in df.collect())
-    files = {r["_file"] for r in rows if r["g"] == "a"}
-    hot = {r["_file"] for r in rows if r["k"] == "m"}
-    assert len(files) > 2 and len(hot) > 1
+    files = spark.read.schema(df.schema).parquet(str(tmp_path / "o")).select("g", "k", "_metadata.file_name").distinct().collect()
+    assert len({r["file_name"] for r in files if r["g"] == "a"}) > 2
+    assert len({r["file_name"] for r in files if r["k"] == "m"}) > 1
     for g in ("a", "b", None):
-        keys = [r["k"] for r in sorted((r for r in rows if r["g"] == g), key=lambda r: (r["_file"], r["_pos"]))]
-        assert keys == sorted(keys, key=lambda k: (k is None, k or ""))
+        own = sorted((r["place"], r["k"]) for r in rows if r["g"] == g and r["k"] is not None)
+        nulls = [r["place"] for r in rows if r["g"] == g and r["k"] is None]
+        assert sorted([p for p, _ in own] + nulls) == list(range(1, len(own) + len(nulls) + 1))
+        assert [k for _, k in own] == sorted(k for _, k in own)
+        assert not nulls or min(nulls) > len(own)

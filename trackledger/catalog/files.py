@@ -6,7 +6,7 @@ shared folder and reads it back with the library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackledger.catalog.base import Query
@@ -181,17 +181,14 @@ def _export_order(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "tracker").select("sheet", *PACK_SORT)
     path = scratch_path(spark, "ordered")
     publish.export_by(rows, [SHEET], path, sort=PACK_SORT, partitions=8)
-    placed = publish.in_order(spark, path, rows.schema)
-    in_sheet = Window.partitionBy(SHEET).orderBy("_file", "_pos")
-    return placed.select(*rows.columns, F.row_number().over(in_sheet).cast("long").alias("place"))
+    return publish.in_order(spark, path, rows.schema, [SHEET])
 
 
 def _report_order(spark: SparkSession, sf: str) -> DataFrame:
     report = summaries.engine_summaries(view(spark, sf, "engine_tracker"))["all_status"]
     path = scratch_path(spark, "ordered")
     summary.sorted_report(report).write.parquet(path)
-    placed = publish.in_order(spark, path, report.schema)
-    return placed.select("AC", F.row_number().over(Window.orderBy("_file", "_pos")).cast("long").alias("place"))
+    return publish.in_order(spark, path, report.schema).select("AC", "place")
 
 
 def _inferred_text(spark: SparkSession, sf: str) -> DataFrame:

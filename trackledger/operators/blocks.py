@@ -38,23 +38,25 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], partitions: int | None =
     )
 
 
-def rows_before(sizes: DataFrame) -> DataFrame:
-    """``_block, _offset``: how many rows lie in the blocks before each one.
+def rows_before(sizes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by, _block, _offset``: how many rows lie in the blocks before each one.
 
-    ``sizes`` is ``_block, _n``. The blocks are the leaves of a tree in which
+    ``sizes`` is ``by, _block, _n``. The blocks are the leaves of a tree in which
     two nodes make one of the next level. Every block adds its size to the nodes
     above it, and takes the sums of those nodes that end where it begins: the
     left neighbours of the right-hand nodes on its way up. Both steps are
-    aggregates and a join on (level, node), so no task sees all blocks.
+    aggregates and a join on (level, node), so no task sees all blocks. ``by``
+    columns must not be null.
     """
+    by = list(by)
     level = F.explode(F.sequence(F.lit(0), F.lit(63 - _POSITION_BITS))).alias("_level")
     node = F.call_function("shiftright", F.col(BLOCK), F.col("_level"))
-    above = sizes.select(BLOCK, "_n", level).withColumn("_node", node)
+    above = sizes.select(*by, BLOCK, "_n", level).withColumn("_node", node)
     is_left = F.col("_node").bitwiseAND(F.lit(1)) == 0
-    left = above.where(is_left).groupBy("_level", "_node").agg(F.sum("_n").alias("_sum"))
-    wanted = above.where(~is_left).select(BLOCK, "_level", (F.col("_node") - 1).alias("_node"))
-    found = wanted.join(left, ["_level", "_node"]).groupBy(BLOCK).agg(F.sum("_sum").alias("_offset"))
-    return sizes.select(BLOCK).join(found, BLOCK, "left").na.fill(0, subset=["_offset"])
+    left = above.where(is_left).groupBy(*by, "_level", "_node").agg(F.sum("_n").alias("_sum"))
+    wanted = above.where(~is_left).select(*by, BLOCK, "_level", (F.col("_node") - 1).alias("_node"))
+    found = wanted.join(left, [*by, "_level", "_node"]).groupBy(*by, BLOCK).agg(F.sum("_sum").alias("_offset"))
+    return sizes.select(*by, BLOCK).join(found, [*by, BLOCK], "left").na.fill(0, subset=["_offset"])
 
 
 def block_sizes(cut: DataFrame) -> DataFrame:

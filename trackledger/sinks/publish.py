@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 
 from trackledger.functions.rules import name
 from trackledger.model import SHEET
+from trackledger.operators.blocks import BLOCK, rows_before
 from trackledger.session import materialize
 from trackledger.sinks import versions
 from trackledger.sinks.versions import SHEET_ID
 from trackledger.sources import text
-from trackledger.sources.files import has_broken_lines
 from trackledger.sources.ledger import file_ledger, folder_rows
 
 ID = "id"
@@ -40,7 +40,7 @@ def export_by(
 
     With ``sort`` the rows are cut into even ranges of folder and ``sort``, nulls
     last, and every range is sorted: a folder's files follow each other in the
-    order of the numbers in their names (``in_order``), and a large folder is
+    order of the numbers in their names (``in_order`` says each row's place), and a large folder is
     cut where its rows are. Equal rows may be many; the task that read them
     decides between them, so that they need not share one range.
     """
@@ -60,14 +60,23 @@ def export_by(
     writer.format(format).save(path)
 
 
-def in_order(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Exported Parquet rows with ``_file``, the number of their file, and ``_pos``, their place in it.
+def in_order(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of a sorted Parquet export with ``place``, 1, 2, ... in the order of its files.
 
-    Sorted exports are read in order by ``_file, _pos``.
+    With ``by``, the columns that the export has folders of, places count within
+    a folder. Only the files' sizes are added up; rows get their place by a join
+    with as many rows as there are files.
     """
     rows = spark.read.schema(schema).parquet(path)
     number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
-    return rows.select(*[name(c) for c in schema.names], number.alias("_file"), F.col("_metadata.row_index").alias("_pos"))
+    folder = F.to_json(F.struct(*[name(c) for c in by])) if by else F.lit("")
+    rows = rows.select(
+        *[name(c) for c in schema.names], folder.alias("_folder"), number.alias(BLOCK), F.col("_metadata.row_index").alias("_pos")
+    )
+    sizes = materialize(rows.groupBy("_folder", BLOCK).agg(F.count(F.lit(1)).alias("_n")))
+    before = materialize(rows_before(sizes, ["_folder"]))
+    place = (F.col("_offset") + F.col("_pos") + 1).alias("place")
+    return rows.join(before, ["_folder", BLOCK]).select(*[name(c) for c in schema.names], place)
 
 
 def export_sheets(df: DataFrame, path: str, format: str = "parquet") -> None:
@@ -84,7 +93,7 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType, format: st
     """Read an export back, without the folder columns."""
     reader = spark.read.schema(schema).format(format)
     if format == "csv":
-        reader = reader.options(**text.read_options(has_broken_lines(spark, path)))
+        reader = reader.options(**text.read_options(text.has_broken_lines(spark, path)))
     return reader.load(path).select(*[name(c) for c in schema.names])
 
 

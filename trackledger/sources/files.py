@@ -17,16 +17,6 @@ UNIT_SEPARATOR = chr(31)
 SOURCE = "_source"
 
 
-def has_broken_lines(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> bool:
-    """Whether a quoted cell goes over a line's end: its line has an odd number of quotes.
-
-    Reads the text in splits, up to the first such line.
-    """
-    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not reader.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def read_us_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -41,7 +31,7 @@ def read_us_csv(
     the types are inferred.
     """
     if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
+        multi_line = text.has_broken_lines(spark, path)
     reader = spark.read.options(sep=sep, **text.read_options(multi_line))
     if schema is not None:
         return reader.schema(schema).csv(path)
@@ -51,7 +41,7 @@ def read_us_csv(
 def read_text_cells(spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool | None = None) -> DataFrame:
     """Separated text with a header, every cell as text: the sheet says what type it takes."""
     if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
+        multi_line = text.has_broken_lines(spark, path)
     return spark.read.options(sep=sep, **text.read_options(multi_line)).csv(path)
 
 
@@ -76,7 +66,7 @@ def read_extracts(
     reader = spark.read.format(format)
     if format == "csv":
         if multi_line is None:
-            multi_line = has_broken_lines(spark, path, pattern)
+            multi_line = text.has_broken_lines(spark, path, pattern)
         reader = reader.options(enforceSchema=False, **text.read_options(multi_line))
     if schema is not None:
         reader = reader.schema(schema)

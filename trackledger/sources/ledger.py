@@ -46,7 +46,7 @@ def file_ledger(
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
     if format == "csv":
-        reader = reader.options(**text.read_options(multi_line=True))
+        reader = reader.options(**text.read_options(text.has_broken_lines(spark, path, pattern)))
     if format in ("csv", "json"):
         reader = reader.schema("_any string")
     counted = reader.load(path).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(F.count(F.lit(1)).alias(ROWS))
