@@ -54,8 +54,10 @@ SAMPLE = 48 << 20  # bytes of text they are looked for in
 BYTES = LONG  # no slice of a folded word is longer
 NONE = 1 << 16
 RANK_SHIFT = 28  # of an entry of the fold; the bits between the id and the rank hold the start
-#: Primes; a quarter of the slots is used by a map of 50,000 pieces.
-SLOTS = (199_999, 200_003)
+#: Primes; a third of the slots is used by a map of 50,000 pieces.
+SLOTS = (149_993, 150_011)
+#: Characters of a plan's text that are kept: the literal map would be megabytes of it in every job's record.
+PLAN_TEXT = 100_000
 
 CHUNKS = (
     "doc_ids array<long>, firsts binary, codes binary, n_codes long, base long, counts binary, ids binary, "
@@ -428,8 +430,12 @@ def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WO
 
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
-    of the chunk's distinct words with their number per word.
+    of the chunk's distinct words with their number per word. The session keeps
+    at most ``PLAN_TEXT`` characters of a plan's text from now on.
     """
+    conf = docs.sparkSession.conf
+    if int(conf.get("spark.sql.maxPlanStringLength")) > PLAN_TEXT:
+        conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunks = docs.mapInArrow(_chunks(path, frequent(docs, path), remembered), CHUNKS)
     merged = merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words")
