@@ -433,9 +433,9 @@ def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WO
     of the chunk's distinct words with their number per word. The session keeps
     at most ``PLAN_TEXT`` characters of a plan's text from now on.
     """
-    conf = docs.sparkSession.conf
-    if int(conf.get("spark.sql.maxPlanStringLength")) > PLAN_TEXT:
-        conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
+    conf, limit = docs.sparkSession.conf, "spark.sql.maxPlanStringLength"
+    if len(conf.get(limit).rstrip("b")) > len(str(PLAN_TEXT)):  # bytes; 2147483632b by default
+        conf.set(limit, str(PLAN_TEXT))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunks = docs.mapInArrow(_chunks(path, frequent(docs, path), remembered), CHUNKS)
     merged = merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words")
