@@ -54,7 +54,7 @@ SHINGLE = 5
 PERCENT = 75
 SLOT_BITS = 18
 BUCKETS = 256
-BANDS = 8  # of sizes, between a size and the largest that can link with it
+BANDS = 12  # of sizes, between a size and the largest that can link with it
 CHUNK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -244,16 +244,17 @@ def _crossing(open_: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents of different components (shingle, doc_id, place, part) that may link.
 
     Two prefixes share several shingles if their sets link, the more the closer
-    their sizes are. So a document looks for partners of a band of sizes under
-    its rarest shingles only: of k that documents of the band have, too, and of
-    which it must share n or more, under all but the n - 1 most frequent ones.
+    their sizes are. So a document looks for partners of a band of sizes, in
+    components of smaller numbers, under its rarest shingles only: of k that such
+    documents have, too, and of which it must share n or more, under all but the
+    n - 1 most frequent ones.
     """
     size = _size("place").cast("double")
     step = math.log(100 / PERCENT) / BANDS
     open_ = open_.withColumn("band", F.floor(F.log(size) / step))
-    held = open_.groupBy("shingle", "band").agg(F.count("*").alias("docs")).withColumnRenamed("band", "other")
+    held = open_.groupBy("shingle", F.col("band").alias("other")).agg(F.count("*").alias("docs"), F.min("part").alias("least"))
     reach = BANDS + 1
-    near = (F.col("other") - F.col("band")).between(-reach, reach)
+    near = (F.col("other") - F.col("band")).between(-reach, reach) & (F.col("least") < F.col("part"))
     looking = open_.join(held, "shingle").where(near)
     ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
     low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
