@@ -61,7 +61,7 @@ def test_bpe_is_the_librarys(odd, none):
     assert rows(encoded) == sorted(((i, encoding.encode_ordinary(t)) for i, t in texts(odd)), key=repr)
     assert rows(bpe.decode(encoded, path)) == sorted(texts(odd), key=repr)
     # The same when a task forgets its words with every chunk, and when none are folded before.
-    forgetful = bpe.encode(odd.coalesce(1), path, bpe._id_rows, "doc_id long, ids array<int>", remembered=0)
+    forgetful = bpe.encode(odd.coalesce(1), path, bpe._id_rows, "doc_id long, ids array<int>", remembered=0, first=0)
     assert rows(forgetful) == rows(encoded)
     assert bpe.digests(none).count() == 0
 

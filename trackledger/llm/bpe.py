@@ -245,10 +245,12 @@ class Folded:
 
 
 @functools.lru_cache(maxsize=1)
-def _load(folder: str) -> Folded:
-    """The words that ``frequent`` has written; at most ``FREQUENT``."""
-    system, path = file_system(folder)
+def _load(folder: str | None) -> Folded:
+    """The words that ``frequent`` has written; at most ``FREQUENT``, none without a folder."""
     schema = pa.schema([("word", pa.binary()), ("hash", pa.uint64()), ("ids", pa.list_(pa.int32()))])
+    if folder is None:
+        return Folded(schema.empty_table())
+    system, path = file_system(folder)
     files = [f.path for f in system.get_file_info(pafs.FileSelector(path)) if f.base_name.startswith("part-")]
     tables = [pq.read_table(f, filesystem=system).cast(schema, safe=False) for f in sorted(files)]
     return Folded(pa.concat_tables([schema.empty_table(), *tables]).sort_by("hash"))
@@ -311,7 +313,7 @@ def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SA
     return folder
 
 
-def _chunks(path: str, folder: str, remembered: int):
+def _chunks(path: str, folder: str | None, remembered: int):
     """Rows of ``CHUNKS``; ``codes`` count the chunk's distinct words, from 0.
 
     ``counts`` says how many ids each of these has, 0 where they are not known
@@ -425,9 +427,13 @@ def _encoded(path: str, finish):
     return encode
 
 
-def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WORDS) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, finish, schema: str, remembered: int = WORDS, first: int = FREQUENT
+) -> DataFrame:
     """Encode ``docs`` (doc_id, text); ``finish`` makes the rows of a chunk.
 
+    ``first`` is the number of words folded before all others.
+
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
     of the chunk's distinct words with their number per word. The session keeps
@@ -437,7 +443,8 @@ def encode(docs: DataFrame, path: str, finish, schema: str, remembered: int = WO
     if len(conf.get(limit).rstrip("b")) > len(str(PLAN_TEXT)):  # bytes; 2147483632b by default
         conf.set(limit, str(PLAN_TEXT))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = docs.mapInArrow(_chunks(path, frequent(docs, path), remembered), CHUNKS)
+    folder = frequent(docs, path, first) if first else None
+    chunks = docs.mapInArrow(_chunks(path, folder, remembered), CHUNKS)
     merged = merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words")
     names = [f.split()[0] for f in CHUNKS.split(", ")]
     return chunks.select(*[merged if n == "words" else n for n in names]).mapInArrow(_encoded(path, finish), schema)
@@ -497,13 +504,14 @@ def _digests(path: str):
     return finish
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``."""
+def digests(docs: DataFrame, path: str | None = None, first: int = FREQUENT) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``; ``first`` as in ``encode``."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return encode(docs, path, _digests(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encode(docs, path, _digests(path), schema, first=first)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
