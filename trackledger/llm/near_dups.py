@@ -255,15 +255,15 @@ def _crossing(open_: DataFrame) -> DataFrame:
     held = open_.groupBy("shingle", F.col("band").alias("other")).agg(F.count("*").alias("docs"), F.min("part").alias("least"))
     reach = BANDS + 1
     near = (F.col("other") - F.col("band")).between(-reach, reach) & (F.col("least") < F.col("part"))
-    looking = open_.join(held, "shingle").where(near)
-    ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
-    low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
-    looking = looking.withColumn("needed", F.least(_needed(size, low), _needed(size, high)))
+    looking = open_.join(held, "shingle").where(near).select("shingle", "doc_id", "place", "part", "other", "docs")
     mine = Window.partitionBy("doc_id", "other")
     ranked = looking.select(
         "*", F.row_number().over(mine.orderBy("docs", "shingle")).alias("rank"), F.count("*").over(mine).alias("k")
     )
-    probes = ranked.where(F.col("rank") <= F.col("k") - F.col("needed") + 1)
+    ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
+    low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
+    needed = F.least(_needed(size, low), _needed(size, high))
+    probes = ranked.where(F.col("rank") <= F.col("k") - needed + 1)
     probes = probes.select("shingle", F.col("other").alias("band"), *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")])
     pairs = open_.join(probes, ["shingle", "band"]).where(
         (F.col("part") < F.col("part_1")) & _can_link(_size("place"), _at("place"), _size("place_1"), _at("place_1"))
