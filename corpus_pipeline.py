@@ -3,7 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and returns documents with all their
 columns, but for the last, which returns token digests. ``run`` writes each
 stage's result to the shared folder and reads it again as the next one's
-input, so a lost executor costs one stage at most.
+input, so a lost executor costs one stage at most. Stages hand texts to Python in
+batches of ``BATCH_ROWS`` rows, as the session is told: the stages before have
+left an executor less memory than an operator on its own has.
 """
 
 from __future__ import annotations
@@ -14,24 +16,35 @@ from trackledger.llm import bpe, exact_dedup, mixing, near_dups, toxicity
 from trackledger.session import materialize
 
 
+BATCH_ROWS = 500
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels, does not reject."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.reject(docs, toxicity.train(docs, labels))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, that of the largest id."""
+    _small_batches(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
+    _small_batches(spark)
     return near_dups.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
+    _small_batches(spark)
     return mixing.draw_by_source(docs)
 
 
@@ -41,6 +54,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     No words are folded before the others: that saves the driver, which has seen
     four stages, a second plan with the literal rank map, and changes no id.
     """
+    _small_batches(spark)
     return bpe.digests(docs, first=0)
 
 
