@@ -21,7 +21,6 @@ from trackledger.sources.ledger import list_files, require_files
 from trackledger.sources.registry import read_registry
 from trackledger.sources.sheets import land_documents, read_landed, read_sheets
 
-
 FORMATS = {
     "parquet": lambda spark, path: read_extracts(spark, path),
     "documents": lambda spark, path: read_sheets(spark, path),

@@ -90,12 +90,6 @@ def _run_date(run_date: dt.date | str | None) -> Column:
     return F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
 
 
-def utc_now() -> Column:
-    """The present moment in UTC as ISO text, to the second."""
-    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-
-
 def stamp_dates(
     df: DataFrame,
     run_date: dt.date | str | None = None,

@@ -23,10 +23,6 @@ ACTION = "PROPOSED_ACTION"
 CATEGORY = "CATEGORY"
 
 
-def _weight(weight: str | None) -> Column:
-    return F.lit(1) if weight is None else name(weight)
-
-
 def count_where(condition: Column, weight: str | None) -> Column:
     if weight is None:
         return F.count_if(condition)
