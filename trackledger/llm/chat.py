@@ -293,11 +293,6 @@ def train(lines: DataFrame, fold: int = FOLD) -> Tables:
     return Tables(tables[0], tables[1:])
 
 
-def render(role: str, text: str) -> str:
-    """One canonical turn."""
-    return f"<|im_start|>{role}\n{text}<|im_end|>\n"
-
-
 _KEY = [("conv_id", pa.int64()), ("group", pa.int64()), ("block", pa.int64())]
 _MATRIX = pa.schema([*_KEY, ("total", pa.binary())])
 _ENDS = pa.schema([*_KEY, ("before", pa.int32()), ("last", pa.int32())])

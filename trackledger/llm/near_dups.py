@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from trackledger.llm.bloom import members, tested, with_ids, without_ids, words_for
 from trackledger.llm.components import components
-from trackledger.llm.words import distinct, raw, slices, text_column, tokens
+from trackledger.llm.words import distinct, slices, text_column, tokens
 from trackledger.session import materialize
 
 SHINGLE = 5
