@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackledger.llm.store import file_system
-from trackledger.llm.words import bounds, gather, pretokens, raw, slices, text_column
+from trackledger.llm.words import bounds, gather, pretokens, raw, release, slices, text_column
 from trackledger.session import materialize, scratch_path
 
 CHUNK = 1 << 20
@@ -366,7 +366,8 @@ def _chunks(path: str, folder: str | None, remembered: int):
                     ],
                     names=[f.split()[0] for f in CHUNKS.split(", ")],
                 )
-        pa.default_memory_pool().release_unused()
+        met = {}
+        release()
 
     return cut
 
@@ -422,7 +423,7 @@ def _encoded(path: str, finish):
                 ids[gather(np.arange(len(ids)), starts[~there], counts[~there])] = own
                 codes = np.frombuffer(pa.decompress(codes, 4 * n_codes, "lz4"), "<i4")
                 yield finish(doc_ids, np.frombuffer(firsts, "<i8"), codes, ids, counts)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return encode
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from trackledger.llm.bloom import members, tested, with_ids, without_ids, words_for
 from trackledger.llm.components import components
-from trackledger.llm.words import distinct, slices, text_column, tokens
+from trackledger.llm.words import distinct, release, slices, text_column, tokens
 from trackledger.session import materialize
 
 SHINGLE = 5
@@ -128,6 +128,7 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.arange(len(rows)), pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(counts))],
             names=["block", "counts"],
         )
+    release()
 
 
 def slot_counts(docs: DataFrame) -> np.ndarray:
@@ -173,6 +174,7 @@ def _prefixes(rarity: np.ndarray):
                     ],
                     names=["doc_id", "n", "digest", "prefix", "histogram"],
                 )
+        release()
 
     return rows
 
@@ -197,6 +199,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shared = int((both[1:] == both[:-1]).sum())
                 linked.append(shared > 0 and 100 * shared >= PERCENT * (len(other) + len(own) - shared))
             yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+    release()
 
 
 def _suffix_filter(pairs: DataFrame, sets: DataFrame) -> DataFrame:

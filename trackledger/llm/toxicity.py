@@ -22,11 +22,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackledger.llm.words import distinct, raw, slices, text_column
+from trackledger.llm.words import distinct, raw, release, slices, text_column
 from trackledger.session import materialize
 
 SIZES = (5, 6)
@@ -192,6 +193,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in slices(batch, "text", CHUNK):
                 found = model.scores(text_column(part.column(1)))
                 yield pa.record_batch([part.column(0), pa.array(found)], names=["doc_id", "score"])
+        release()
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows_in.mapInArrow(rows, "doc_id long, score double")
@@ -201,11 +203,13 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
 
     @F.pandas_udf("double")
-    def scores(text):
-        array = text_column(pa.array(text, pa.string(), from_pandas=True))
-        parts = slices(pa.record_batch([array], names=["text"]), "text", CHUNK)
-        found = [model.scores(text_column(p.column(0))) for p in parts]
-        return type(text)(np.concatenate(found) if found else np.zeros(0))
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in texts:
+            array = text_column(pa.array(text, pa.string(), from_pandas=True))
+            parts = slices(pa.record_batch([array], names=["text"]), "text", CHUNK)
+            found = [model.scores(text_column(p.column(0))) for p in parts]
+            yield pd.Series(np.concatenate(found) if found else np.zeros(0))
+        release()
 
     return docs.where(scores(F.col("text")) < threshold)
 

@@ -9,7 +9,9 @@ Both return slices of the batch's own bytes: nothing is copied per word, and
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import unicodedata
 from collections.abc import Iterator
 
@@ -174,3 +176,12 @@ def distinct(values: np.ndarray) -> np.ndarray:
     new = np.ones(len(values), dtype=bool)
     np.not_equal(values[1:], values[:-1], out=new[1:])
     return values[new]
+
+
+def release() -> None:
+    """Give back to the system what a task no longer needs: its Python worker stays, and waits for others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
