@@ -46,7 +46,7 @@ from trackledger.llm.store import file_system
 from trackledger.llm.words import bounds, gather, pretokens, raw, release, slices, text_column
 from trackledger.session import materialize, scratch_path
 
-CHUNK = 1 << 18
+CHUNK = 1 << 20
 LONG = 256
 WORDS = 2_000_000  # that a task remembers
 FREQUENT = 400_000  # words folded before all others: 10 MB with their ids
