@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from trackledger.model import REGISTRY
+from trackledger.catalog.files import write_documents
+from trackledger.model import REGISTRY, SHEET_JSON
 from trackledger.plans import extracts, sheets as jobs
 from trackledger.sinks import publish
 from trackledger.__main__ import run
@@ -358,3 +360,21 @@ def test_sorted_export_is_in_order_over_files(spark, tmp_path):
         assert sorted([p for p, _ in own] + nulls) == list(range(1, len(own) + len(nulls) + 1))
         assert [k for _, k in own] == sorted(k for _, k in own)
         assert not nulls or min(nulls) > len(own)
+
+
+def test_a_sheet_in_parts_lands_whole_and_in_order(spark, tmp_path):
+    rows = spark.range(25).selectExpr(
+        "if(id < 23, 'A', 'B') AS sheet", "100 - id AS _id", "if(id % 5 = 0, NULL, concat('v', id)) AS v"
+    )
+    write_documents(rows, str(tmp_path / "docs"), part_rows=4, compression="gzip")
+    documents = spark.read.schema(SHEET_JSON).json(str(tmp_path / "docs"), multiLine=True)
+    assert documents.agg(F.max(F.size("rows"))).first()[0] <= 4 and documents.count() >= 7
+    sheets.land_documents(spark, str(tmp_path / "docs"), str(tmp_path / "lines"), named_by="folder")
+    columns = [tuple(r) for r in sheets.landed_columns(spark, str(tmp_path / "lines")).orderBy("sheet").collect()]
+    assert columns == [("A", 1, "v", 0), ("B", 1, "v", 0)]
+    landed = sheets.read_landed(spark, str(tmp_path / "lines"))
+    order = Window.partitionBy("sheet").orderBy("_id")
+    want = rows.select("sheet", "_id", (F.row_number().over(order) - 1).cast("long").alias("_row"), "v")
+    assert sorted(map(tuple, landed.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    with pytest.raises(Exception, match="comes in parts"):
+        sheets.read_sheets(spark, str(tmp_path / "docs"), ["v"], named_by="folder").collect()

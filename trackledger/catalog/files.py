@@ -6,50 +6,69 @@ shared folder and reads it back with the library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackledger.catalog.base import Query
 from trackledger.catalog.fixtures import view, with_views
 from trackledger.functions import rules
+from trackledger.functions.rules import name
 from trackledger.model import PACK_SORT, SHEET, SHEET_JSON, user_columns
 from trackledger.operators import summary
 from trackledger.plans import summaries
 from trackledger.session import scratch_path
 from trackledger.sinks import publish, versions
 from trackledger.sources import files, registry, sheets, text
+from trackledger.sources.sheets import PART
 
-_ROWS_PER_SHEET = 10_000
-_SIZED = f"ceil(count(*) / {_ROWS_PER_SHEET}.0)"
+ROWS_PER_DOCUMENT = 10_000
+_SIZED = f"ceil(count(*) / {ROWS_PER_DOCUMENT}.0)"
 
 
-def write_documents(rows: DataFrame, path: str) -> None:
-    """One document per sheet below ``path``, its rows by id and its columns numbered from 1."""
+def write_documents(rows: DataFrame, path: str, part_rows: int | None = None, compression: str | None = None) -> None:
+    """One document per sheet below ``path``, its rows by id and its columns numbered from 1.
+
+    With ``part_rows`` a sheet of any size comes in parts of at most so many
+    rows, each a document of its own in a numbered folder. Rows meet as they
+    are, without the titles and stamps of their cells.
+    """
     titles = user_columns(rows)
-    cells = F.array(
-        *[F.struct(F.lit(i + 1).cast("long").alias("columnId"), F.col(t).alias("value")) for i, t in enumerate(titles)]
-    )
     stamp = F.lit("2025-02-18 08:00:00").cast("timestamp")
-    row = F.struct(
-        F.col("_id").alias("id"), stamp.alias("createdAt"), stamp.alias("modifiedAt"), cells.alias("cells")
-    )
     columns = F.array(
         *[F.struct(F.lit(i + 1).cast("long").alias("id"), F.lit(t).alias("title")) for i, t in enumerate(titles)]
     )
+    plain = rows.select(SHEET, "_id", *[name(t).alias(f"_{i}") for i, t in enumerate(titles)])
+    by = [SHEET]
+    if part_rows is None:
+        met = plain.repartition(SHEET)
+    else:
+        ranged = plain.repartitionByRange(SHEET, "_id").sortWithinPartitions(*plain.columns)
+        part = F.floor(F.monotonically_increasing_id() / part_rows)
+        met, by = ranged.withColumn(PART, part), [SHEET, PART]
+
+    def nested(row: Column) -> Column:
+        cells = [
+            F.struct(F.lit(i + 1).cast("long").alias("columnId"), row[f"_{i}"].alias("value")) for i in range(len(titles))
+        ]
+        return F.struct(
+            row["_id"].alias("id"), stamp.alias("createdAt"), stamp.alias("modifiedAt"), F.array(*cells).alias("cells")
+        )
+
     docs = (
-        rows.groupBy(SHEET)
-        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
-        .select(SHEET, columns.alias("columns"), F.col("rows").cast(SHEET_JSON["rows"].dataType))
+        met.groupBy(*by)
+        .agg(F.array_sort(F.collect_list(F.struct(*plain.columns[1:]))).alias("rows"))
+        .select(*by, columns.alias("columns"), F.transform("rows", nested).cast(SHEET_JSON["rows"].dataType).alias("rows"))
     )
-    docs.write.partitionBy(SHEET).json(path)
+    docs.write.partitionBy(*by).json(path, compression=compression)
 
 
 def _sheet_documents(spark: SparkSession, sf: str) -> str:
     """The tracker as sheet documents of about ten thousand rows each."""
     rows = view(spark, sf, "tracker")
-    documents = rows.agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_SHEET).alias("n")).scalar()
+    documents = rows.agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_DOCUMENT).alias("n")).scalar()
     path = scratch_path(spark, "documents")
-    write_documents(rows.withColumn(SHEET, F.concat(F.lit("DOC "), (F.col("_id") % documents).cast("string"))), path)
+    dealt = rows.withColumn(SHEET, F.concat(F.lit("DOC "), (F.col("_id") % documents).cast("string")))
+    write_documents(dealt, path, compression="gzip")
     return path
 
 
