@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackledger.session import materialize
 from trackledger.sources import text
 
 FILE = "file"
@@ -63,9 +64,13 @@ def require_files(files: DataFrame, exactly: int | None = None) -> None:
 
 
 def folder_rows(ledger: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """Rows per fleet folder and kind, of files below ``<fleet>/<kind>/``; the path is looked at once a file."""
+    """Rows per fleet folder and kind, of files below ``<fleet>/<kind>/``.
+
+    The ledger is written first: a filter on the path would otherwise be pushed
+    to the scan that counts rows, and look at the path once a row.
+    """
     pattern = rf"([^/]+)/({'|'.join(kinds)})/"
-    of_file = ledger.select(
+    of_file = materialize(ledger.select(FILE, ROWS)).select(
         F.regexp_extract(FILE, pattern, 1).alias("folder"), F.regexp_extract(FILE, pattern, 2).alias("kind"), ROWS
     )
     counts = [F.sum(F.when(F.col("kind") == k, F.col(ROWS)).otherwise(F.lit(0))).alias(f"{k.lower()}_rows") for k in kinds]
