@@ -22,6 +22,7 @@ from trackledger.sources import files, registry, sheets, text
 from trackledger.sources.sheets import PART
 
 ROWS_PER_DOCUMENT = 10_000
+_ROWS_PER_TASK = 1_000_000
 _SIZED = f"ceil(count(*) / {ROWS_PER_DOCUMENT}.0)"
 
 
@@ -62,6 +63,11 @@ def write_documents(rows: DataFrame, path: str, part_rows: int | None = None, co
     docs.write.partitionBy(*by).json(path, compression=compression)
 
 
+def _tasks(rows: DataFrame, least: int) -> int:
+    """Tasks that write ``rows``: ``least``, or as many as leave each a million rows."""
+    return max(least, -(-rows.count() // _ROWS_PER_TASK))
+
+
 def _sheet_documents(spark: SparkSession, sf: str) -> str:
     """The tracker as sheet documents of about ten thousand rows each."""
     rows = view(spark, sf, "tracker")
@@ -214,7 +220,7 @@ def _inferred_text(spark: SparkSession, sf: str) -> DataFrame:
     """Text without a schema: types come from the cells, over all files of the folder."""
     path = scratch_path(spark, "inferred")
     rows = view(spark, sf, "dated").select("_id", "AC", "Created Date", F.col("qty"), (F.col("qty") / 2).alias("half"))
-    rows.repartition(3, "_id").write.options(**text.WRITE).csv(path)
+    rows.repartition(_tasks(rows, 3), "_id").write.options(**text.WRITE).csv(path)
     return files.read_extracts(spark, path, format="csv")
 
 
