@@ -205,7 +205,7 @@ def _export_order(spark: SparkSession, sf: str) -> DataFrame:
     """The place of every row in its sheet, by file and place in the file; a sheet has several files."""
     rows = view(spark, sf, "tracker").select("sheet", *PACK_SORT)
     path = scratch_path(spark, "ordered")
-    publish.export_by(rows, [SHEET], path, sort=PACK_SORT, partitions=8)
+    publish.export_by(rows, [SHEET], path, sort=PACK_SORT, partitions=_tasks(rows, 8))
     return publish.in_order(spark, path, rows.schema, [SHEET])
 
 
