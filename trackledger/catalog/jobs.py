@@ -13,7 +13,7 @@ from trackledger.model import AIRFRAME_KEY, ENGINE_KEY
 from trackledger.operators.dedupe import keep_first
 from trackledger.operators.reconcile import reconcile
 from trackledger.plans import extracts, sheets, summaries
-from trackledger.session import scratch_path
+from trackledger.session import materialize, scratch_path
 from trackledger.sinks.publish import read_export
 from trackledger.sources import text
 from trackledger.sources.files import read_text_cells
@@ -42,6 +42,15 @@ def _feedback_from_documents(spark: SparkSession, sf: str) -> DataFrame:
     return outcome.sheets.select(*reconciling.ROW)
 
 
+def _mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Ops per sheet where the sheet has a number and the extract its digits."""
+    current = keep_first(view(spark, sf, "engine_tracker"), ENGINE_KEY).withColumn("LEVEL", F.col("LEVEL").cast("int"))
+    refresh = keep_first(view(spark, sf, "engine_refresh"), ENGINE_KEY, "src_id")
+    # Written, as both are read twice: to check their keys and to join them.
+    reconciled = reconcile(materialize(current), materialize(refresh), ENGINE_KEY)
+    return reconciled.groupBy("sheet", "op").agg(F.count("*").alias("n"))
+
+
 def _refresh_job(spark: SparkSession, sf: str) -> DataFrame:
     """Summary rows after the job, which writes the values of the new summaries under the old ids."""
     outcome = sheets.refresh_summaries(view(spark, sf, "summary_current"), view(spark, sf, "summary_new"))
@@ -144,11 +153,7 @@ QUERIES = {
         (PARTITION BY sheet, AC, FLEET, PN, MAIN_PN, VENDOR ORDER BY _id DESC) AS rn FROM tracker) t WHERE rn > 1""",
     ),
     "reconcile_mixed_types": Query(
-        lambda s, d: reconcile(
-            keep_first(view(s, d, "engine_tracker"), ENGINE_KEY).withColumn("LEVEL", F.col("LEVEL").cast("int")),
-            keep_first(view(s, d, "engine_refresh"), ENGINE_KEY, "src_id"),
-            ENGINE_KEY,
-        ).groupBy("sheet", "op").agg(F.count("*").alias("n")),
+        _mixed_types,
         f"""SELECT sheet, op, count(*) AS n
         FROM ({reconciling.QUERIES["engine_reconcile_ops"].sql}) x GROUP BY sheet, op""",
     ),
