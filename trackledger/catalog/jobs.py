@@ -26,8 +26,8 @@ _RUN_DATE = "2025-02-18"
 def _feedback(spark: SparkSession, sf: str, engine: bool = False) -> sheets.Outcome:
     keys = ENGINE_KEY if engine else AIRFRAME_KEY
     prefix = "engine_" if engine else ""
-    current = keep_first(view(spark, sf, "engine_tracker" if engine else "tracker"), keys)
-    refresh = keep_first(view(spark, sf, f"{prefix}refresh"), keys, "src_id")
+    current = keep_first(view(spark, sf, "engine_tracker" if engine else "tracker"), keys, keep_hash=True)
+    refresh = keep_first(view(spark, sf, f"{prefix}refresh"), keys, "src_id", keep_hash=True)
     return sheets.feedback(current, refresh, keys=keys)
 
 

@@ -116,8 +116,13 @@ def reconcile_once(
     key can't multiply; a first row that is not the only one of its key says so
     in the column ``_repeats``, which names the side, and is always returned.
     Whoever keeps the result asks ``require_no_repeats`` before using it.
+
+    Rows with null key parts are spread over the join tasks, unless both sides
+    bring their key hash: then ``keep_first`` left one row of each null key, and
+    the rows are joined as they are partitioned and sorted.
     """
-    left, right, on = _sides(current, refresh, keys, not null_safe)
+    deduped = key_hash(keys) in current.columns and key_hash(keys) in refresh.columns
+    left, right, on = _sides(current, refresh, keys, not null_safe and not deduped)
     by_key = Window.partitionBy(*[name(c) for c in on]).orderBy(name(on[0]))
     # Rows with a null key part match nothing, also not each other.
     counts = F.lit(True) if null_safe else ~any_null(keys)

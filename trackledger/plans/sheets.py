@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackledger.functions.conform import SHEET_TYPES, conform, conform_all
-from trackledger.functions.rules import impose_schema, select_user_columns, user_schema
+from trackledger.functions.rules import impose_schema, name, select_user_columns, user_schema
 from trackledger.model import AIRFRAME_KEY, ENGINE_KEY, OP, ROW_ID, ROW_ORDER, SHEET, user_columns
-from trackledger.operators.changes import apply_delete, apply_insert, apply_update, change_set, command_counts
+from trackledger.operators.changes import apply_delete, apply_insert, change_set, command_counts
 from trackledger.operators.dedupe import N_ALL, N_ROWS, duplicate_rows, keep_first
-from trackledger.operators.reconcile import REPEATS, inserts, next_snapshot, reconcile_once, require_no_repeats, updates
+from trackledger.operators.keys import key_hash
+from trackledger.operators.reconcile import inserts, next_snapshot, reconcile_once, require_no_repeats
 from trackledger.operators.refresh import refresh_summary, refreshed_rows
 from trackledger.session import materialize
 from trackledger.sinks.publish import Published, export_sheets, publish_version, rows_per_group, with_source
@@ -35,6 +36,14 @@ def typed_refresh(current: DataFrame, refresh: DataFrame) -> DataFrame:
     return impose_schema(select_user_columns(refresh), user_schema(current))
 
 
+def _same_keys(current: DataFrame, refresh: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether both sides bring the hash of their keys, and of keys of the same types."""
+    hashed = key_hash(keys)
+    if hashed not in current.columns or hashed not in refresh.columns:
+        return False
+    return all(current.schema[k].dataType == refresh.schema[k].dataType for k in keys)
+
+
 def feedback(
     current: DataFrame,
     refresh: DataFrame,
@@ -45,25 +54,29 @@ def feedback(
 ) -> Outcome:
     """Reconcile the sheets with their extract.
 
-    One pass over both finds the changes and checks that keys do not repeat;
-    only changed rows are written to the shared folder. ``sheets`` puts the new
-    Status of changed rows into the others by row id, when it is asked for. New
-    rows bring every title the sheet has, get the next row ids, and go on top.
-    In ``changes`` they have no row id yet.
+    One pass over both finds the changes and checks that keys do not repeat. It
+    is written once, with the rows that stay as they are: counts, changes and
+    sheets all come from there, and no row is looked for again. New rows bring
+    every title the sheet has, get the next row ids, and go on top. In
+    ``changes`` they have no row id yet. Sides that ``keep_first`` left with
+    their key hash are joined as they are partitioned there.
     """
     if registry is not None:
         current = select_by_tag(current, registry, tag)
         refresh = select_by_tag(refresh, registry, tag)
-    reconciled = reconcile_once(current, typed_refresh(current, refresh), keys, null_safe)
-    changed = materialize(reconciled.where((F.col(OP) != "KEEP") | F.col(REPEATS).isNotNull()))
-    require_no_repeats(changed, keys)
-    kept = apply_update(current, updates(changed), ["Status"])
-    # A sheet whose rows all stay as they are is counted with zeros.
-    counts = command_counts(changed.select(SHEET, OP).unionByName(current.select(SHEET).distinct().withColumn(OP, F.lit("KEEP"))))
+    typed, hashed = typed_refresh(current, refresh), key_hash(keys)
+    if _same_keys(current, refresh, keys):
+        typed = impose_schema(refresh.select(*[name(c) for c in [*typed.columns, hashed]]), user_schema(current))
+    else:
+        current = current.drop(hashed)
+    rows = materialize(reconcile_once(current, typed, keys, null_safe))
+    require_no_repeats(rows, keys)
+    changed = rows.where(F.col(OP) != "KEEP")
+    kept = next_snapshot(rows.where(F.col(OP) != "INSERT"))
     return Outcome(
         sheets=apply_insert(kept, next_snapshot(inserts(changed)), [SHEET, *keys]),
         changes=change_set(changed, user_columns(current)),
-        counts=counts,
+        counts=command_counts(rows),
     )
 
 
