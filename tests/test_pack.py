@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from trackledger.operators import blocks, pack
 from trackledger.operators.skew import attach_by_key
 from trackledger.plans import extracts
+from trackledger.sinks import publish
 
 
 def walk(sizes, cap):
@@ -197,6 +198,28 @@ def test_pack_job_writes_sorted_sheets(spark, rows, tmp_path):
     assert 0 < len(sheet) <= 500 and [r["PN"] for r in sheet] == sorted(r["PN"] for r in sheet)
 
 
+def test_many_sheets_are_written_by_several_tasks_and_listed_by_few(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(extracts, "SHEETS", 50, raising=False)
+    path = str(tmp_path / "sheets")
+    extracts.pack_job(rows, path, "2025-02-18", cap=20)
+    back = spark.read.parquet(path)
+    files = back.select("sheet_name", F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).alias("task"))
+    sheets = files.select("sheet_name").distinct().count()
+    assert back.count() == 9000 and sheets > 200
+    assert files.select("task").distinct().count() > 2
+
+    context = spark.sparkContext
+    context.setJobGroup("listing", "")
+    try:
+        read = publish.read_export(spark, path, back.drop("by_sheet_name").schema)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= publish.LISTING * context.defaultParallelism < sheets
+    assert read.count() == 9000
+
+
 def test_pack_job_needs_its_columns(spark):
     with pytest.raises(KeyError, match="Created Date, Modified Date"):
         extracts.prepare(spark.createDataFrame([], "Status string, CATEGORY string, PN string, MAIN_PN string, AC string, FLEET string"))
