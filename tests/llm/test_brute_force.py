@@ -4,9 +4,11 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from trackledger import session
 from trackledger.llm import fingerprints, mixing, near_dups, toxicity
 from trackledger.llm.words import text_column
 
@@ -119,3 +121,27 @@ def test_two_texts_of_one_id_and_null_ids_in_the_join(shared):
     assert found.count() == len(docs)
     top = {r["doc_id"]: r["component_id"] for r in found.collect()}
     assert top[6] == 5 and top[9] == 9 and top[None] is None
+
+
+def test_documents_that_share_too_few_shingles_are_never_paired(spark):
+    size = 146  # two sets of it link only if their prefixes share 17 shingles
+
+    def rows(doc_id, part, shingles):
+        return [(s, doc_id, (size << 32) + s, part) for s in shingles]
+
+    group = [row for k in range(60) for row in rows(k, 0, range(k % 3 * 8, k % 3 * 8 + 18))]
+    # The group has all 17 of the first one, a document of it 9 at most; all 17 of the other one are in a third of them.
+    few, enough = rows(100, 100, range(0, 34, 2)), rows(101, 101, range(1, 18))
+    open_ = spark.createDataFrame(group + few + enough, "shingle long, doc_id long, place long, part long")
+    found = {(r["a"], r["b"]) for r in near_dups._crossing(open_).collect()}
+    assert found == {(k, 101) for k in range(0, 60, 3)}
+
+
+def test_texts_fetched_for_pairs_do_not_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    words = [f"w{k}" for k in range(80)]
+    docs = [(k, " ".join([*words, f"end{k}"])) for k in range(8)]
+    found = near_dups.documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["component_id"] for r in found.collect()} == {0}
+    left = [pq.read_schema(f).names for f in tmp_path.rglob("part-*.parquet")]
+    assert left and not [names for names in left if {"text", "hub_place"} & set(names)]

@@ -48,14 +48,14 @@ from pyspark.sql import functions as F
 from trackledger.llm.bloom import members, tested, with_ids, without_ids, words_for
 from trackledger.llm.components import components
 from trackledger.llm.words import distinct, release, slices, text_column, tokens
-from trackledger.session import materialize
+from trackledger.session import materialize, passing
 
 SHINGLE = 5
 PERCENT = 75
 SLOT_BITS = 18
 BUCKETS = 256
 BANDS = 12  # of sizes, between a size and the largest that can link with it
-CHUNK = 1 << 20
+CHUNK = 1 << 18  # bytes of text that a worker holds as numbers at once
 _ODD = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -80,7 +80,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each word's bytes: a polynomial from sums over all bytes, mixed."""
-    power, inverse = _powers(max(20, int(len(data)).bit_length()))
+    power, inverse = _powers(max(18, int(len(data)).bit_length()))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_mix(np.arange(1, 257, dtype=np.uint64))[data] * power[: len(data)], out=total[1:])
     return _mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
@@ -202,10 +202,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _suffix_filter(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _suffix_filter(pairs: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
     """Pairs whose histograms allow the overlap: no more than the smaller count per bucket."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    own = materialize(with_ids(sets.select("doc_id", "n", "histogram"), ids))
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), folder)
+    own = materialize(with_ids(sets.select("doc_id", "n", "histogram"), ids), folder)
     one = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
     two = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
 
@@ -220,13 +220,14 @@ def _suffix_filter(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, each checked once against whole texts."""
-    pairs = materialize(_suffix_filter(pairs, sets))
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = with_ids(docs, ids).join(ids, F.col("doc_id") == F.col("id")).groupBy("id").agg(F.max("text").alias("text"))
-    texts = materialize(texts)
-    whole = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    whole = whole.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return materialize(whole.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"))
+    with passing(docs.sparkSession) as folder:
+        pairs = materialize(_suffix_filter(pairs, sets, folder), folder)
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), folder)
+        texts = with_ids(docs, ids).join(ids, F.col("doc_id") == F.col("id")).groupBy("id").agg(F.max("text").alias("text"))
+        texts = materialize(texts, folder)
+        whole = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        whole = whole.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        return materialize(whole.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"))
 
 
 def _size(place: str) -> Column:
@@ -243,6 +244,12 @@ def _needed(one: Column, two: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(overlap - F.ceil(F.greatest(one, two) * PERCENT / 100)))
 
 
+def _can_share(shared: Column, na: Column, nb: Column) -> Column:
+    """Whether sets can link whose prefixes share no more than ``shared``: that number and the longer suffix bound the overlap."""
+    overlap = shared + F.ceil(PERCENT * F.greatest(na, nb) / 100) - 1
+    return (100 + PERCENT) * overlap >= PERCENT * (na + nb)
+
+
 def _crossing(open_: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents of different components (shingle, doc_id, place, part) that may link.
 
@@ -250,7 +257,9 @@ def _crossing(open_: DataFrame) -> DataFrame:
     their sizes are. So a document looks for partners of a band of sizes, in
     components of smaller numbers, under its rarest shingles only: of k that such
     documents have, too, and of which it must share n or more, under all but the
-    n - 1 most frequent ones.
+    n - 1 most frequent ones. A pair meets under every shingle that it shares of
+    those, so it shares n - 1 more at most: pairs that this keeps apart are dropped
+    where they are counted, before anything is fetched for them.
     """
     size = _size("place").cast("double")
     step = math.log(100 / PERCENT) / BANDS
@@ -265,26 +274,32 @@ def _crossing(open_: DataFrame) -> DataFrame:
     )
     ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
     low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
-    needed = F.least(_needed(size, low), _needed(size, high))
-    probes = ranked.where(F.col("rank") <= F.col("k") - needed + 1)
-    probes = probes.select("shingle", F.col("other").alias("band"), *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")])
-    pairs = open_.join(probes, ["shingle", "band"]).where(
+    ranked = ranked.withColumn("needed", F.least(_needed(size, low), _needed(size, high)).cast("int"))
+    probes = ranked.where(F.col("rank") <= F.col("k") - F.col("needed") + 1)
+    probes = probes.select(
+        "shingle", F.col("other").alias("band"), "needed", *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")]
+    )
+    met = open_.join(probes, ["shingle", "band"]).where(
         (F.col("part") < F.col("part_1")) & _can_link(_size("place"), _at("place"), _size("place_1"), _at("place_1"))
     )
+    # Sizes tell texts of one id apart.
+    sizes = [_size("place").cast("int").alias("n"), _size("place_1").cast("int").alias("n_1")]
+    counted = met.select("doc_id", "doc_id_1", *sizes, "needed").groupBy("doc_id", "doc_id_1", "n", "n_1", "needed").agg(F.count("*").alias("met"))
+    pairs = counted.where(_can_share(F.col("met") + F.col("needed") - 1, F.col("n").cast("long"), F.col("n_1").cast("long")))
     ids = [F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")]
     return materialize(pairs.select(*ids).distinct())
 
 
 def _enough_shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose prefixes share enough: that number and the longer suffix bound the overlap."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    own = materialize(with_ids(sets.select("doc_id", "n", "prefix"), ids))
-    one = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
-    two = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
-    both = pairs.join(two, "b").join(one, "a")
-    overlap = F.size(F.array_intersect("pa", "pb")) + F.ceil(PERCENT * F.greatest("na", "nb") / 100) - 1
-    kept = both.where((100 + PERCENT) * overlap >= PERCENT * (F.col("na") + F.col("nb")))
-    return materialize(kept.select("a", "b").distinct())
+    """Pairs whose prefixes share enough."""
+    with passing(pairs.sparkSession) as folder:
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), folder)
+        own = materialize(with_ids(sets.select("doc_id", "n", "prefix"), ids), folder)
+        one = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+        two = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+        both = pairs.join(two, "b").join(one, "a")
+        kept = both.where(_can_share(F.size(F.array_intersect("pa", "pb")), F.col("na"), F.col("nb")))
+        return materialize(kept.select("a", "b").distinct())
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -321,19 +336,21 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     group = Window.partitionBy("shingle")
     hub = F.min(F.struct("doc_id", "place")).over(group)
     shared = postings.select("*", F.count("*").over(group).alias("docs"), hub.alias("hub")).where("docs > 1")
-    shared = materialize(shared.select("shingle", "doc_id", "place", F.col("hub.doc_id").alias("hub"), F.col("hub.place").alias("hub_place")))
-
-    stars = shared.where("doc_id <> hub").where(_can_link(_size("hub_place"), _at("hub_place"), _size("place"), _at("place")))
-    stars = materialize(stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = same.unionByName(verified(stars, docs, first))
-    found = components(links)
-
-    # Second round: what one shingle still holds in several components.
-    placed = shared.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
-    placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
-    several = placed.select("*", F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
-    open_ = materialize(several.where("low <> high").drop("low", "high"))
-    more = verified(_enough_shared(_crossing(open_), first), docs, first)
+    shared = shared.select("shingle", "doc_id", "place", F.col("hub.doc_id").alias("hub"), F.col("hub.place").alias("hub_place"))
+    with passing(docs.sparkSession) as later:
+        with passing(docs.sparkSession) as folder:
+            shared = materialize(shared, folder)
+            stars = shared.where("doc_id <> hub").where(_can_link(_size("hub_place"), _at("hub_place"), _size("place"), _at("place")))
+            stars = materialize(stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), folder)
+            links = same.unionByName(verified(stars, docs, first))
+            found = components(links)
+
+            # Second round: what one shingle still holds in several components.
+            placed = shared.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
+            placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
+            several = placed.select("*", F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
+            open_ = materialize(several.where("low <> high").drop("low", "high"), later)
+        more = verified(_enough_shared(_crossing(open_), first), docs, first)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     return sets.select("doc_id", F.col("n").alias("n_shingles")), found

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,24 +47,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove what this application has written with ``materialize``; for the end of a job."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, _scratch(spark))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Compute ``df`` once, as a Parquet table in the shared folder.
 
     For results that several later steps read: each reads only the columns it
     needs, the table has a known size, and it survives the loss of executors.
+    ``folder`` is one that ``passing`` gives.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "table")
+    path = f"{folder}/{uuid.uuid4().hex}" if folder else scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[str]:
+    """A folder for tables that nothing reads after this block; it is removed then."""
+    folder = scratch_path(spark, "passing")
+    try:
+        yield folder
+    finally:
+        _remove(spark, folder)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep its partitions as they are."""
     shared_dir(df.sparkSession)
