@@ -130,8 +130,8 @@ def test_documents_that_share_too_few_shingles_are_never_paired(spark):
         return [(s, doc_id, (size << 32) + s, part) for s in shingles]
 
     group = [row for k in range(60) for row in rows(k, 0, range(k % 3 * 8, k % 3 * 8 + 18))]
-    # The group has all 17 of the first one, a document of it 9 at most; all 17 of the other one are in a third of them.
-    few, enough = rows(100, 100, range(0, 34, 2)), rows(101, 101, range(1, 18))
+    # The group has all 16 of the first one, a document of it 9 at most; all 17 of the other one are in a third of them.
+    few, enough = rows(100, 100, range(0, 32, 2)), rows(101, 101, range(1, 18))
     open_ = spark.createDataFrame(group + few + enough, "shingle long, doc_id long, place long, part long")
     found = {(r["a"], r["b"]) for r in near_dups._crossing(open_).collect()}
     assert found == {(k, 101) for k in range(0, 60, 3)}

@@ -257,9 +257,9 @@ def _crossing(open_: DataFrame) -> DataFrame:
     their sizes are. So a document looks for partners of a band of sizes, in
     components of smaller numbers, under its rarest shingles only: of k that such
     documents have, too, and of which it must share n or more, under all but the
-    n - 1 most frequent ones. A pair meets under every shingle that it shares of
-    those, so it shares n - 1 more at most: pairs that this keeps apart are dropped
-    where they are counted, before anything is fetched for them.
+    n - 1 most frequent ones. That n is the least of the band; where two meet, their
+    own sizes say it again: under the first shingle that they share, no more are left
+    for them than this one and those behind it.
     """
     size = _size("place").cast("double")
     step = math.log(100 / PERCENT) / BANDS
@@ -274,18 +274,16 @@ def _crossing(open_: DataFrame) -> DataFrame:
     )
     ends = [F.exp(F.col("other") * step), F.exp((F.col("other") + 1) * step)]
     low, high = F.greatest(ends[0], size * PERCENT / 100), F.least(ends[1], size * 100 / PERCENT)
-    ranked = ranked.withColumn("needed", F.least(_needed(size, low), _needed(size, high)).cast("int"))
-    probes = ranked.where(F.col("rank") <= F.col("k") - F.col("needed") + 1)
+    needed = F.least(_needed(size, low), _needed(size, high))
+    probes = ranked.where(F.col("rank") <= F.col("k") - needed + 1).withColumn("left", F.col("k") - F.col("rank") + 1)
     probes = probes.select(
-        "shingle", F.col("other").alias("band"), "needed", *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")]
+        "shingle", F.col("other").alias("band"), "left", *[F.col(c).alias(f"{c}_1") for c in ("doc_id", "place", "part")]
     )
-    met = open_.join(probes, ["shingle", "band"]).where(
-        (F.col("part") < F.col("part_1")) & _can_link(_size("place"), _at("place"), _size("place_1"), _at("place_1"))
+    pairs = open_.join(probes, ["shingle", "band"]).where(
+        (F.col("part") < F.col("part_1"))
+        & _can_link(_size("place"), _at("place"), _size("place_1"), _at("place_1"))
+        & _can_share(F.col("left"), _size("place"), _size("place_1"))
     )
-    # Sizes tell texts of one id apart.
-    sizes = [_size("place").cast("int").alias("n"), _size("place_1").cast("int").alias("n_1")]
-    counted = met.select("doc_id", "doc_id_1", *sizes, "needed").groupBy("doc_id", "doc_id_1", "n", "n_1", "needed").agg(F.count("*").alias("met"))
-    pairs = counted.where(_can_share(F.col("met") + F.col("needed") - 1, F.col("n").cast("long"), F.col("n_1").cast("long")))
     ids = [F.least("doc_id", "doc_id_1").alias("a"), F.greatest("doc_id", "doc_id_1").alias("b")]
     return materialize(pairs.select(*ids).distinct())
 
