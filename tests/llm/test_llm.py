@@ -292,3 +292,10 @@ def test_pipeline_is_its_stages_by_brute_force(shared, sf_dir):
     stay = docs.where(F.col("doc_id").isin(list(kept)))
     times = {r["doc_id"]: int(r["taken"] / r["size"] + 0.5) for r in mixing.mix_by_source(stay).collect() if r["size"]}
     assert found == collections.Counter({i: n for i, n in times.items() if n})
+
+
+def test_rank_tables_are_made_when_they_are_used():
+    table = bpe.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert not {"slots", "ids", "pieces", "decimals"} & set(vars(table))
+    assert b"".join(table.pieces[k] for k in table.merged(b"wordless " * 40)) == b"wordless " * 40
+    assert "slots" in vars(table) and "decimals" not in vars(table)

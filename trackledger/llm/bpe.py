@@ -66,37 +66,66 @@ CHUNKS = (
 
 
 class Ranks:
-    """A rank file: pieces by id, and the literal map of pairs to joined pieces."""
+    """A rank file: pieces by id, and the literal map of pairs to joined pieces.
+
+    A worker makes and keeps only the tables that it uses: the first of a chunk's
+    two needs ``arrow``, the second the pieces and decimals, and the map is for
+    the plan and for long words.
+    """
 
     def __init__(self, path: str):
+        ids = self._read(path)
+        pieces = [b""] * (max(ids.values()) + 1)
+        for piece, rank in ids.items():
+            pieces[rank] = piece
+        if len(pieces) > NONE:
+            raise ValueError(f"the rank map holds at most {NONE} pieces")
+        self.path = path
+        self.arrow = pa.array(pieces, pa.binary())
+
+    @staticmethod
+    def _read(path: str) -> dict[bytes, int]:
         with open(path, "rb") as lines:
             parts = (line.split() for line in lines if line.strip())
-            self.ids = {base64.b64decode(piece): int(rank) for piece, rank in parts}
-        self.pieces = [b""] * (max(self.ids.values()) + 1)
-        for piece, rank in self.ids.items():
-            self.pieces[rank] = piece
-        if len(self.pieces) > NONE:
-            raise ValueError(f"the rank map holds at most {NONE} pieces")
-        self.piece_array = np.array(self.pieces, dtype=object)
-        self.decimals = np.array([str(k) for k in range(len(self.pieces))], dtype=object)
-        self.arrow = pa.array(self.pieces, pa.binary())
-        self.bytes = [self.ids[bytes([b])] for b in range(256)]
-        self._fill_slots()
-
-    def _fill_slots(self) -> None:
-        """Put every pair of pieces whose bytes are a piece into one of its two slots."""
-        self.slots = [[-1] * size for size in SLOTS]
+            return {base64.b64decode(piece): int(rank) for piece, rank in parts}
+
+    @functools.cached_property
+    def pieces(self) -> list[bytes]:
+        return self.arrow.to_pylist()
+
+    @functools.cached_property
+    def piece_array(self) -> np.ndarray:
+        return np.array(self.pieces, dtype=object)
+
+    @functools.cached_property
+    def decimals(self) -> np.ndarray:
+        return np.array([str(k) for k in range(len(self.arrow))], dtype=object)
+
+    @functools.cached_property
+    def ids(self) -> dict[bytes, int]:
+        return self._read(self.path)
+
+    @functools.cached_property
+    def bytes(self) -> list[int]:
+        return [self.ids[bytes([b])] for b in range(256)]
+
+    @functools.cached_property
+    def slots(self) -> list[list[int]]:
+        """Every pair of pieces whose bytes are a piece, in one of its two slots."""
+        slots = [[-1] * size for size in SLOTS]
         for piece, rank in self.ids.items():
             for cut in range(1, len(piece)):
                 left, right = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
                 if left is not None and right is not None:
-                    self._put((left * NONE + right) * NONE + rank)
+                    self._put(slots, (left * NONE + right) * NONE + rank)
+        return slots
 
-    def _put(self, entry: int) -> None:
+    @staticmethod
+    def _put(slots: list[list[int]], entry: int) -> None:
         for turn in range(200):
             side = turn % 2
             place = entry // NONE % SLOTS[side]
-            entry, self.slots[side][place] = self.slots[side][place], entry
+            entry, slots[side][place] = slots[side][place], entry
             if entry < 0:
                 return
         raise ValueError("the rank file has too many pairs for the slots")
