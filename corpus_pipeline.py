@@ -51,8 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the text decoded from them.
 
-    No words are folded before the others: that saves the driver, which has seen
-    four stages, a second plan with the literal rank map, and changes no id.
+    No words are folded before the others, which changes no id.
     """
     _small_batches(spark)
     return bpe.digests(docs, first=0)

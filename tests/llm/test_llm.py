@@ -299,3 +299,10 @@ def test_rank_tables_are_made_when_they_are_used():
     assert not {"slots", "ids", "pieces", "decimals"} & set(vars(table))
     assert b"".join(table.pieces[k] for k in table.merged(b"wordless " * 40)) == b"wordless " * 40
     assert "slots" in vars(table) and "decimals" not in vars(table)
+
+
+def test_the_rank_map_is_no_part_of_a_plan(odd):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.digests(odd, path, first=0)
+    plan = encoded._jdf.queryExecution().optimizedPlan()
+    assert len(plan.toJSON()) < 1_000_000

@@ -6,9 +6,9 @@ that is a piece itself has that piece's id. For all others Spark higher-order
 functions fold the ranked merges over the byte arrays: every step joins the
 adjacent pair of lowest rank, the first one of equals, until no pair has a rank.
 The fold carries the ranks of the pairs along, so a step looks up only the two
-pairs beside the joined one. The rank map is a literal: two arrays of slots
-(cuckoo hashing), of which a pair is in the one or the other at its key's
-remainder.
+pairs beside the joined one. The rank map is one broadcast row of 3 MB that a
+task makes: two arrays of slots (cuckoo hashing), of which a pair is in the one
+or the other at its key's remainder.
 Texts are never shuffled. A task folds a word once: it remembers up to ``WORDS``
 words for its later chunks. Words that many tasks would fold are folded before
 all others: the ``FREQUENT`` commonest ones of a sample of documents, of about
@@ -56,8 +56,7 @@ NONE = 1 << 16
 RANK_SHIFT = 28  # of an entry of the fold; the bits between the id and the rank hold the start
 #: Primes; a third of the slots is used by a map of 50,000 pieces.
 SLOTS = (149_993, 150_011)
-#: Characters of a plan's text that are kept: the literal map would be megabytes of it in every job's record.
-PLAN_TEXT = 100_000
+MAP = ("map_one", "map_two", "map_doubles", "map_first")  # columns of the rank map
 
 CHUNKS = (
     "doc_ids array<long>, firsts binary, codes binary, n_codes long, base long, counts binary, ids binary, "
@@ -66,11 +65,11 @@ CHUNKS = (
 
 
 class Ranks:
-    """A rank file: pieces by id, and the literal map of pairs to joined pieces.
+    """A rank file: pieces by id, and the map of pairs to joined pieces.
 
     A worker makes and keeps only the tables that it uses: the first of a chunk's
     two needs ``arrow``, the second the pieces and decimals, and the map is for
-    the plan and for long words.
+    the broadcast row and for long words.
     """
 
     def __init__(self, path: str):
@@ -167,21 +166,33 @@ def ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
-def _literal(values) -> Column:
-    """A constant array, parsed once when the plan is optimized."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+def _map_row(path: str):
+    def row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = Ranks(path)
+            arrays = (*table.slots, table.doubles(), table.bytes)
+            yield pa.record_batch([pa.array([x], pa.list_(pa.int64())) for x in arrays], names=list(MAP))
+            del table, arrays
+        release()
+
+    return row
+
+
+def with_map(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with the columns ``MAP``, as ``merge_words`` needs them: one row for all, of a size that the rank file bounds."""
+    one = rows.sparkSession.range(0, 1, 1, 1).mapInArrow(_map_row(path), ", ".join(f"{c} array<long>" for c in MAP))
+    return rows.crossJoin(F.broadcast(one))
 
 
-def merge_words(words: Column, table: Ranks) -> Column:
-    """Ids of each byte array (array of arrays): the fold over ranked merges.
+def merge_words(words: Column) -> Column:
+    """Ids of each byte array (array of arrays) of ``with_map``: the fold over ranked merges.
 
     The fold's state is one array of numbers, an entry for each piece: the rank
     of the pair that it begins, where it starts in the word, and its id. The
     smallest entry is the leftmost pair of lowest rank. An edge that joins
     nothing stands before and after the word, so all neighbours exist.
     """
-    one, two, doubles = (_literal(x) for x in (*table.slots, table.doubles()))
-    first = _literal(table.bytes)
+    one, two, doubles, first = (F.col(c) for c in MAP)
     unjoined = NONE << RANK_SHIFT
     before, after = (F.array(F.lit(unjoined + (k << 16) + NONE - 1).cast("long")) for k in (0, 4095))
 
@@ -335,8 +346,8 @@ def frequent(docs: DataFrame, path: str, count: int = FREQUENT, sample: int = SA
     rows = best.repartition(max(1, docs.sparkSession.sparkContext.defaultParallelism)).mapInArrow(
         _folding_rows, "words array<binary>, arrays array<array<short>>"
     )
-    merged = merge_words(F.col("arrays"), ranks(path)).cast("array<array<int>>")
-    found = materialize(rows.select(F.explode(F.arrays_zip("words", merged.alias("ids"))).alias("w")).select("w.words", "w.ids"))
+    merged = merge_words(F.col("arrays")).cast("array<array<int>>")
+    found = materialize(with_map(rows, path).select(F.explode(F.arrays_zip("words", merged.alias("ids"))).alias("w")).select("w.words", "w.ids"))
     folder = scratch_path(docs.sparkSession, "words")
     found.mapInArrow(_hashed, "word binary, hash long, ids array<int>").coalesce(1).write.parquet(folder)
     return folder
@@ -466,18 +477,14 @@ def encode(
 
     ``finish(doc_ids, firsts, codes, ids, counts)`` gets the chunk's documents,
     the place of each one's first word, the word number per place, and the ids
-    of the chunk's distinct words with their number per word. The session keeps
-    at most ``PLAN_TEXT`` characters of a plan's text from now on.
+    of the chunk's distinct words with their number per word.
     """
-    conf, limit = docs.sparkSession.conf, "spark.sql.maxPlanStringLength"
-    if len(conf.get(limit).rstrip("b")) > len(str(PLAN_TEXT)):  # bytes; 2147483632b by default
-        conf.set(limit, str(PLAN_TEXT))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     folder = frequent(docs, path, first) if first else None
     chunks = docs.mapInArrow(_chunks(path, folder, remembered), CHUNKS)
-    merged = merge_words(F.col("words"), ranks(path)).cast("array<array<int>>").alias("words")
+    merged = merge_words(F.col("words")).cast("array<array<int>>").alias("words")
     names = [f.split()[0] for f in CHUNKS.split(", ")]
-    return chunks.select(*[merged if n == "words" else n for n in names]).mapInArrow(_encoded(path, finish), schema)
+    return with_map(chunks, path).select(*[merged if n == "words" else n for n in names]).mapInArrow(_encoded(path, finish), schema)
 
 
 def _id_rows(doc_ids, firsts, codes, ids, counts) -> pa.RecordBatch:
