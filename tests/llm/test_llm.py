@@ -306,3 +306,19 @@ def test_the_rank_map_is_no_part_of_a_plan(odd):
     encoded = bpe.digests(odd, path, first=0)
     plan = encoded._jdf.queryExecution().optimizedPlan()
     assert len(plan.toJSON()) < 1_000_000
+
+
+def test_variants_meet_through_the_text_they_come_from(shared, monkeypatch):
+    # Each variant links with the base, which has the largest id, and with no other variant.
+    base = [f"w{k}" for k in range(200)]
+    docs = [(1000, " ".join(base))]
+    for v in range(60):
+        own = list(base)
+        for k in range(5):
+            own[(v * 7 + k * 37 + 5) % 190 + 5] = f"own{v}x{k}"
+        docs.append((v + 1, " ".join(own)))
+    made, crossing = [], near_dups._crossing
+    monkeypatch.setattr(near_dups, "_crossing", lambda open_: made.append(crossing(open_)) or made[-1])
+    frame = shared.createDataFrame(docs, "doc_id long, text string")
+    assert {r["component_id"] for r in near_dups.documents(frame).collect()} == {1}
+    assert sum(pairs.count() for pairs in made) <= len(docs)

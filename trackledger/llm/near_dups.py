@@ -250,6 +250,30 @@ def _can_share(shared: Column, na: Column, nb: Column) -> Column:
     return (100 + PERCENT) * overlap >= PERCENT * (na + nb)
 
 
+def _open(postings: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings (shingle, doc_id, place, part) of shingles that are held in several components."""
+    placed = postings.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
+    placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
+    group = Window.partitionBy("shingle")
+    several = placed.select("*", F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
+    return several.where("low <> high").drop("low", "high")
+
+
+def _middles(open_: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each open shingle's foremost document and those of other components that may link with it.
+
+    A text that others were made from has none of their own rare words before the
+    words that they share, so it has these foremost.
+    """
+    foremost = F.min(F.struct(_at("place").alias("at"), "doc_id", "place", "part")).over(Window.partitionBy("shingle"))
+    pairs = open_.select("doc_id", "place", "part", foremost.alias("hub"))
+    pairs = pairs.select("*", F.col("hub.place").alias("hub_place")).where(
+        (F.col("part") != F.col("hub.part"))
+        & _can_link(_size("hub_place"), _at("hub_place"), _size("place"), _at("place"))
+    )
+    return pairs.select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+
+
 def _crossing(open_: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents of different components (shingle, doc_id, place, part) that may link.
 
@@ -343,11 +367,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             links = same.unionByName(verified(stars, docs, first))
             found = components(links)
 
-            # Second round: what one shingle still holds in several components.
-            placed = shared.select("shingle", "doc_id", "place").join(found, F.col("doc_id") == F.col("id"), "left")
-            placed = placed.select("shingle", "doc_id", "place", F.coalesce("component", "doc_id").alias("part"))
-            several = placed.select("*", F.min("part").over(group).alias("low"), F.max("part").over(group).alias("high"))
-            open_ = materialize(several.where("low <> high").drop("low", "high"), later)
+            # Later rounds: what one shingle still holds in several components.
+            open_ = materialize(_open(shared, found), later)
+        middle = verified(materialize(_middles(open_), later), docs, first)
+        if not middle.isEmpty():
+            links = links.unionByName(middle)
+            found = components(links)
+            open_ = materialize(_open(open_, found), later)
         more = verified(_enough_shared(_crossing(open_), first), docs, first)
     if not more.isEmpty():
         found = components(links.unionByName(more))
