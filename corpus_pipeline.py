@@ -3,9 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns documents with all their
 columns, but for the last, which returns token digests. ``run`` writes each
 stage's result to the shared folder and reads it again as the next one's
-input, so a lost executor costs one stage at most. Stages hand texts to Python in
-batches of ``BATCH_ROWS`` rows, as the session is told: the stages before have
-left an executor less memory than an operator on its own has.
+input, so a lost executor costs one stage at most. Stages hand rows to Python in
+batches of ``BATCH_ROWS`` rows and of ``BATCH_BYTES``, as the session is told: the
+stages before have left an executor less memory than an operator on its own has.
+Rows alone are no bound, as one may be a chunk of many texts: without the bytes a
+task of the last stage gathers all its chunks in a batch.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from trackledger.llm import bpe, exact_dedup, mixing, near_dups, toxicity
 from trackledger.session import materialize
 
 
-BATCH_ROWS = 500
+BATCH_ROWS = 200
+BATCH_BYTES = 1 << 20
 
 
 def _small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

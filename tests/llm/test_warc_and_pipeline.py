@@ -3,11 +3,12 @@
 import base64
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trackledger.llm import warc
+from trackledger.llm import mixing, warc
 from trackledger.session import scratch_path
 
 
@@ -85,3 +86,29 @@ def test_pipeline_on_odd_tables(odd, none, shared, sf_dir, empty):
     assert tokens.count() == kept.count()
     sums = {hashlib.sha256(t.encode()).hexdigest() for t in texts}
     assert {r["decoded_sha256"] for r in tokens.collect()} == sums
+
+
+def test_pipeline_hands_rows_to_python_in_bounded_batches(shared):
+    """A row may be a chunk of many texts: batches are bounded by bytes as well, and a mix makes no RDD of Python rows."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64()), pa.array([batch.nbytes], pa.int64())], names=["n", "bytes"])
+
+    row = 1 << 18
+    chunks = shared.range(0, 64, 1, 1).select(F.repeat(F.lit("x"), row).alias("chunk"))
+    kept = {k: shared.conf.get(k, None) for k in (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))}
+    try:
+        corpus_pipeline._small_batches(shared)
+        found = chunks.mapInArrow(sizes, "n long, bytes long").collect()
+    finally:
+        for key, value in kept.items():
+            shared.conf.unset(key) if value is None else shared.conf.set(key, value)
+    assert sum(r["n"] for r in found) == 64
+    assert max(r["bytes"] for r in found) <= corpus_pipeline.BATCH_BYTES + 2 * row
+
+
+def test_mix_keeps_no_python_rows(shared, odd, none):
+    for docs in (odd, none):
+        plan = mixing.mix_by_source(docs)._jdf.queryExecution().optimizedPlan().toString()
+        assert "LocalRelation" in plan and "LogicalRDD" not in plan

@@ -25,6 +25,7 @@ from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -128,6 +129,18 @@ def route(patterns: Sequence[tuple[Sequence[int], int]], quotas: Sequence[int],
     return [[net.edges[net.edges[k].back].room for k in numbers] for numbers in copied]
 
 
+CUTS = pa.schema(
+    [("k", pa.int32()), ("pattern", pa.list_(pa.string())), ("copies", pa.int32()), ("prefix", pa.int64()), ("left", pa.int64())]
+)
+TARGETS = pa.schema([("name", pa.string()), ("source_size", pa.int64()), ("target", pa.float64())])
+
+
+def _small_table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """``rows`` of the driver as a local relation: made from tuples it would be an RDD, for which executors keep Python workers of their own."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema))
+
+
 def _cuts(rows: DataFrame, flows: list[tuple[list, int, int]]) -> DataFrame:
     """k, pattern, copies, prefix, left: where in the seeded order each pattern's last copy ends.
 
@@ -136,10 +149,9 @@ def _cuts(rows: DataFrame, flows: list[tuple[list, int, int]]) -> DataFrame:
     256 rows per pattern reach the driver.
     """
     state = [[pattern, copies, 0, words] for pattern, copies, words in flows]
-    schema = "k int, pattern array<string>, copies int, prefix long, left long"
 
     def table() -> DataFrame:
-        return rows.sparkSession.createDataFrame([(k, *x) for k, x in enumerate(state)], schema)
+        return _small_table(rows.sparkSession, [(k, *x) for k, x in enumerate(state)], CUTS)
 
     for step in range(1, STEPS + 1):
         # Bounded: at most MAX_PATTERNS rows.
@@ -268,7 +280,7 @@ def mix_by_source(docs: DataFrame) -> DataFrame:
 
     mixed = mix(docs, F.array("source"), quotas)
     rows = [(name, size, float(target)) for name, (size, target) in kept.items()]
-    table = docs.sparkSession.createDataFrame(rows, "name string, source_size long, target double")
+    table = _small_table(docs.sparkSession, rows, TARGETS)
     # Bounded as the patterns are.
     return mixed.join(F.broadcast(table), F.get("sources", F.lit(0)).eqNullSafe(F.col("name"))).select(
         "doc_id", "size", "source_size", "target", "taken"
