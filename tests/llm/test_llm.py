@@ -239,6 +239,17 @@ def test_language_model_tells_words_of_a_class_apart_by_context(shared, monkeypa
     assert all(one[i]["score"] > one[j]["score"] + 0.5 for (i, *_), (j, *_) in zip(seen, changed))
 
 
+def test_language_model_packs_its_messages(shared, sf_dir):
+    draw = np.random.default_rng(4)
+    for values in (draw.integers(0, 1 << 63, 999).astype("<u8"), np.ones(50, "<i4"), draw.random(7).astype("<f4"), np.zeros(0, "u1")):
+        assert (lm._unpacked(lm._packed(values), values.dtype.str) == values).all()
+    hashes = np.unique(draw.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    assert (np.cumsum(lm._gaps(hashes), dtype=np.uint64) == hashes).all()
+    _, parts, replies = lm.fit(shared.read.parquet(f"{sf_dir}/documents.parquet"))
+    size = replies.select(*[F.sum(F.octet_length(c)).alias(c) for c in ("n", "classes")]).first()
+    assert size["n"] < 3 * size["classes"]  # eight bytes a number if plain, and one
+
+
 def test_fingerprints(odd, none):
     found = fingerprints.fingerprint_with_next(odd).collect()
     order = sorted(texts(odd), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
