@@ -250,6 +250,37 @@ def test_language_model_packs_its_messages(shared, sf_dir):
     assert size["n"] < 3 * size["classes"]  # eight bytes a number if plain, and one
 
 
+def test_language_model_sends_one_message_for_all_parts_of_a_unit(shared, monkeypatch):
+    draw = np.random.default_rng(5)
+    monkeypatch.setattr(lm, "PART", 700)
+    at, target = draw.integers(0, 300, (lm.KINDS, 2000)) ** 2 // 300, draw.integers(0, lm.CLASSES, 2000)
+    training = draw.random(2000) < 0.8
+    model = lm.Model((), np.full(lm.CLASSES, 9.0), np.ones(lm.CLASSES), 90, 9)
+    found = lm._learned(model, at, target, training, 300)
+    n, weights, seen = collections.Counter(), collections.Counter(), collections.Counter()
+    for a in range(0, 2000, 700):
+        own, wanted = at[:, a : a + 700][:, training[a : a + 700]], target[a : a + 700][training[a : a + 700]]
+        entries, m = np.unique(own * lm.CLASSES + wanted, return_counts=True)
+        lists = lm.Lists(
+            lm._first(np.bincount(entries // lm.CLASSES, minlength=300)), (entries % lm.CLASSES).astype("u1"), m, np.zeros(len(m), "<f4")
+        )
+        lm._steps(lists, own, wanted, model.prior())
+        of_part = collections.Counter(own.ravel().tolist())
+        for e, k, w in zip(entries.tolist(), m.tolist(), lists.weights.tolist()):
+            n[e] += k
+            weights[e] += w * of_part[e // lm.CLASSES]
+        seen.update(of_part)
+    owner = np.repeat(np.arange(300), np.diff(found.first))
+    entries = (owner * lm.CLASSES + found.classes).tolist()
+    assert entries == sorted(n) and found.n.tolist() == [n[e] for e in entries]
+    assert np.allclose(found.weights, [weights[e] / seen[e // lm.CLASSES] for e in entries], atol=1e-5)
+
+    words = " ".join(f"w{k % 900}" for k in range(9 * (1 << 16)))  # of nine parts
+    frame = shared.createDataFrame([(3, words)], "doc_id long, text string")
+    _, units, replies = lm.fit(frame)
+    assert units.count() == 2 and replies.select("chunk", "unit").distinct().count() == 2
+
+
 def test_fingerprints(odd, none):
     found = fingerprints.fingerprint_with_next(odd).collect()
     order = sorted(texts(odd), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
