@@ -2,8 +2,10 @@
 
 import base64
 import collections
+import contextlib
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from trackledger import session
 from trackledger.llm import (
     bpe, catalog, exact_dedup, fingerprints, lm, mixing, near_dups, token_files, toxicity, warc, words,
 )
@@ -281,6 +284,42 @@ def test_language_model_sends_one_message_for_all_parts_of_a_unit(shared, monkey
     assert units.count() == 2 and replies.select("chunk", "unit").distinct().count() == 2
 
 
+def test_language_model_answers_common_features_once(shared, sf_dir, monkeypatch):
+    """One list for all units, or one for each: the scores are the same, and so they are whatever the number of rounds."""
+    docs = shared.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    frame = session.materialize(docs.repartitionByRange(12, "doc_id"))  # a unit for each file at least
+    found, sizes = [], []
+    for least, rounds in ((2, 4), (1000, 1)):
+        monkeypatch.setattr(lm, "LEAST", least)
+        monkeypatch.setattr(lm, "ROUNDS", rounds)
+        model, units, replies = lm.fit(frame)
+        assert units.count() > 3 and replies.where("chunk < 0").isEmpty()
+        named, lists = model.common.value
+        assert (np.diff(named.astype(object)) > 0).all() and len(lists.first) == len(named) + 1
+        sizes.append((len(named), replies.agg(F.sum(F.octet_length("weights"))).first()[0]))
+        found.append(sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in lm.score(model, units, replies).collect()))
+    assert sizes[0][0] > 100 and sizes[1][0] == 0 and sizes[0][1] < sizes[1][1]
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * a[1] for a, b in zip(*found)) and len(found[0]) == len(found[1])
+
+
+def test_shuffle_files_go_with_their_query(shared):
+    manager = shared.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left(free):
+        before = {str(f) for f in str(manager.getAllFiles().mkString("|")).split("|")}
+        with session.shuffles_go(shared) if free else contextlib.nullcontext():
+            rows = session.materialize(shared.range(50_000).groupBy((F.col("id") % 999).alias("k")).count())
+        for _ in range(50):
+            new = [f for f in str(manager.getAllFiles().mkString("|")).split("|") if f not in before and "shuffle_" in f]
+            if not new or not free:
+                break
+            time.sleep(0.2)
+        assert rows.count() == 999
+        return len(new)
+
+    assert left(False) > 0 and left(True) == 0
+
+
 def test_fingerprints(odd, none):
     found = fingerprints.fingerprint_with_next(odd).collect()
     order = sorted(texts(odd), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
