@@ -284,6 +284,20 @@ def test_language_model_sends_one_message_for_all_parts_of_a_unit(shared, monkey
     assert units.count() == 2 and replies.select("chunk", "unit").distinct().count() == 2
 
 
+def test_language_model_finds_distinct_hashes_by_one_sort():
+    draw = np.random.default_rng(6)
+    hashes = draw.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    cases = [
+        hashes[draw.integers(0, 3000, 9000)], np.append(hashes, hashes[:9] ^ np.uint64(1)), np.zeros(0, np.uint64),
+        draw.integers(0, 700, 5000), np.array([5], np.uint64), np.full(4, (1 << 64) - 1, np.uint64), np.arange(1 << 12)[::-1].astype(np.uint64),
+        np.arange((1 << 64) - 4096, 1 << 64, dtype=object).astype(np.uint64)[::-1].copy(),
+    ]
+    for values in cases:
+        own, at = lm._unique(values)
+        want, place = np.unique(values, return_inverse=True)
+        assert own.dtype == values.dtype and (own == want).all() and (at == place).all() and len(own) == len(want)
+
+
 def test_language_model_answers_common_features_once(shared, sf_dir, monkeypatch):
     """One list for all units, or one for each: the scores are the same, and so they are whatever the number of rounds."""
     docs = shared.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
