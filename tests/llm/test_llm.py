@@ -4,6 +4,7 @@ import base64
 import collections
 import contextlib
 import hashlib
+import os
 import re
 import time
 import zlib
@@ -316,6 +317,18 @@ def test_language_model_answers_common_features_once(shared, sf_dir, monkeypatch
     assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * a[1] for a, b in zip(*found)) and len(found[0]) == len(found[1])
 
 
+def test_language_model_leaves_only_scores(shared, sf_dir):
+    root = session._scratch(shared).removeprefix("file:")
+
+    def tables():
+        return {f"{where}/{d}" for where, folders, _ in os.walk(root) for d in folders if not d.startswith("_")}
+
+    before = tables()
+    scores = catalog.QUERIES["op4_lm_scoring"].run(shared, sf_dir)
+    left = [shared.read.parquet(f"file://{path}").columns for path in tables() - before]
+    assert left == [[f.split()[0] for f in lm.UNIT_SCORES.split(", ")]] * lm.ROUNDS and scores.count() > 0
+
+
 def test_shuffle_files_go_with_their_query(shared):
     manager = shared.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
